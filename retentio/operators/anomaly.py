@@ -91,9 +91,12 @@ def fit_isolation_forest(df: DataFrame, key: str, features, n_trees: int = 100,
     n = df.select(F.count(F.lit(1))).scalar()
     thr = F.least(F.lit(1.0), F.lit(float(sample_size)) / n) * F.lit(4294967296.0)
     h = lambda t: F.pmod(F.xxhash64(F.col(key), t, F.lit(seed)), F.lit(4294967296))
-    tagged = df.select(key, *[F.col(c).cast("double").alias(c) for c in features],
-                       F.explode(F.filter(F.sequence(F.lit(0), F.lit(n_trees - 1)),
-                                          lambda t: h(t) < thr)).alias("tree"))
+    # the threshold is a scalar subquery; lambdas cannot hold one, so it is
+    # projected first and referenced as a column inside the filter
+    pre = df.select(key, *[F.col(c).cast("double").alias(c) for c in features], thr.alias("_thr"))
+    tagged = pre.select(key, *features,
+                        F.explode(F.filter(F.sequence(F.lit(0), F.lit(n_trees - 1)),
+                                           lambda t: h(t) < F.col("_thr"))).alias("tree"))
     feats = list(features)
     return tagged.groupBy("tree").applyInPandas(lambda p: _grow(p, feats, seed), NODE_SCHEMA)
 

@@ -583,3 +583,12 @@ ORACLES["run_history"] = monthly_sql(
     "lag(value) OVER (PARTITION BY experiment, metric ORDER BY run_id) AS prev_value FROM ("
     "SELECT 'monthly_revenue' AS experiment, strftime(ds, '%Y-%m') AS run_id, 'y' AS metric, y AS value FROM monthly "
     "UNION ALL SELECT 'monthly_revenue', strftime(ds, '%Y-%m'), 'n_orders', CAST(n_orders AS DOUBLE) FROM monthly) l) w")
+
+ORACLES["stream_daily_activity"] = (
+    "SELECT user_id, CAST(ts AS DATE) AS activity_date, CAST(count(*) AS BIGINT) AS n_events, "
+    "CAST(count_if(event_type = 'view') AS BIGINT) AS n_views, "
+    "CAST(count_if(event_type = 'click') AS BIGINT) AS n_clicks, "
+    "CAST(count_if(event_type = 'purchase') AS BIGINT) AS n_purchases, "
+    "CAST(count_if(event_type = 'error') AS BIGINT) AS n_errors, "
+    "CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total_value "
+    "FROM events GROUP BY user_id, CAST(ts AS DATE)")
