@@ -63,3 +63,13 @@ def months_between_floor(later, earlier) -> Column:
     """Whole calendar months between two dates: year diff * 12 + month diff."""
     a, b = _c(later), _c(earlier)
     return (F.year(a) - F.year(b)) * 12 + (F.month(a) - F.month(b))
+
+
+def strict_int(c, name: str | None = None) -> Column:
+    """``astype(int)`` that fails on null or unparseable values.
+
+    ANSI ``cast`` already raises on junk text; a null raises explicitly.
+    """
+    col = _c(c)
+    label = name or (c if isinstance(c, str) else "value")
+    return F.when(col.isNull(), F.raise_error(F.lit(f"null in {label}"))).otherwise(col.cast("int"))

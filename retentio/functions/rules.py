@@ -205,3 +205,24 @@ def violations(rules: dict) -> Column:
     return F.array_compact(F.array(*[
         F.when(~F.coalesce(ok, F.lit(False)), F.lit(name))
         for name, ok in rules.items()]))
+
+
+def risk_response(prob, anomaly_score, factors_col=None, contract="contract_type",
+                  security="online_security", support="tech_support") -> Column:
+    """P25: nested risk response.
+
+    ``struct<score, tier, churn_probability, anomaly_score, segment,
+    recommendations array<string>>`` where the probability is first rounded
+    to 4 places as the service does; the anomaly score comes from the
+    isolation forest rather than a constant.
+    """
+    p4 = np_round(_c(prob), 4)
+    tier = risk_tier(_c(prob))
+    return F.struct(
+        risk_score(p4).alias("score"),
+        tier.alias("tier"),
+        p4.alias("churn_probability"),
+        np_round(_c(anomaly_score), 3).alias("anomaly_score"),
+        probability_segment(p4).alias("segment"),
+        F.array(recommendation(tier, contract, security, support)).alias("recommendations"),
+    )

@@ -1,10 +1,11 @@
 """Drift monitoring: PSI (Q3), prediction mean shift (Q4), KS (Q5), report (Q6).
 
 Inputs are two DataFrames (baseline and current) with the same feature
-columns — never driver arrays.  Edges come from a percentile aggregate over
-the baseline (a one-row scalar subquery); rows are binned by counting the
-edges at or below the value, which keeps binning a JVM expression.  Bin
-counts are a ``groupBy`` over (feature, bin): at most 10 rows per feature.
+columns — never driver arrays.  Decile edges of the baseline come from an
+exact distributed quantile (or a bounded sketch); rows are binned by
+counting the edges at or below the value, which keeps binning a JVM
+expression.  Bin counts are a ``groupBy`` over (feature, bin): at most 10
+rows per feature.
 """
 
 from __future__ import annotations
@@ -29,18 +30,50 @@ def _long(df: DataFrame, features, tag: str) -> DataFrame:
         "kv.feature", "kv.x", "side")
 
 
+def exact_quantiles(long: DataFrame, probs, group: str = "feature", value: str = "x") -> DataFrame:
+    """Exact linear-interpolation quantiles per group: (group, edges array).
+
+    Distributed and memory-bounded: values collapse to distinct
+    (group, value, count) rows, ``prefix_sums`` gives each distinct value the
+    0-based positions it covers, and only the rows covering one of the
+    2·len(probs) needed positions survive — no task ever holds a whole group.
+    edge = v[lo] + (v[hi] − v[lo]) · (h − lo), h = (n − 1)·p.
+    """
+    counts = long.groupBy(group, value).agg(F.count(F.lit(1)).alias("_cnt"))
+    cum = prefix_sums(counts, [value], {"c": F.col("_cnt")}, partition_by=[group])
+    n = F.col("_group_total_c")
+    start, end = F.col("cum_c") - F.col("_cnt"), F.col("cum_c") - 1
+    need = []
+    for i, p in enumerate(probs):
+        h = (n - 1).cast("double") * F.lit(float(p))
+        lo = F.floor(h)
+        hi = F.least(lo + 1, n - 1)
+        need += [F.struct(F.lit(i).alias("i"), F.lit("lo").alias("side"), lo.alias("pos"), h.alias("h")),
+                 F.struct(F.lit(i).alias("i"), F.lit("hi").alias("side"), hi.alias("pos"), h.alias("h"))]
+    hit = cum.select(group, value, F.filter(F.array(*need),
+                                            lambda t: (t["pos"] >= start) & (t["pos"] <= end)).alias("t"))
+    hit = hit.filter(F.size("t") > 0).select(group, value, F.explode("t").alias("t"))
+    per = hit.groupBy(group, F.col("t.i").alias("i")).agg(
+        F.max(F.when(F.col("t.side") == "lo", F.col(value))).alias("v_lo"),
+        F.max(F.when(F.col("t.side") == "hi", F.col(value))).alias("v_hi"),
+        F.max("t.h").alias("h"))
+    edge = F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * (F.col("h") - F.floor("h"))
+    arr = F.array_sort(F.collect_list(F.struct(F.col("i"), edge.alias("e"))))
+    return per.groupBy(group).agg(F.transform(arr, lambda s: s["e"]).alias("edges"))
+
+
 def quantile_edges(df: DataFrame, features, buckets: int = BUCKETS,
                    exact: bool = True, accuracy: int = 100000) -> DataFrame:
     """Inner decile edges of each feature: (feature, edges array<double>).
 
-    ``exact`` uses ``percentile`` (linear interpolation, numpy's default);
-    it keeps per-group value counts, so for very large baselines use
-    ``exact=False`` (``approx_percentile``, bounded memory).
+    ``exact`` uses ``exact_quantiles`` (distributed, numpy's linear rule);
+    ``exact=False`` uses ``percentile_approx`` (one pass, bounded sketch).
     """
     probs = [i / buckets for i in range(1, buckets)]
     long = _long(df, features, "base").filter(F.col("x").isNotNull())
-    pct = (F.percentile(F.col("x"), F.array(*map(F.lit, probs))) if exact
-           else F.percentile_approx(F.col("x"), F.array(*map(F.lit, probs)), accuracy))
+    if exact:
+        return exact_quantiles(long, probs)
+    pct = F.percentile_approx(F.col("x"), F.array(*map(F.lit, probs)), accuracy)
     return long.groupBy("feature").agg(pct.alias("edges"))
 
 

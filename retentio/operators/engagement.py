@@ -40,21 +40,33 @@ def order_activity(orders: DataFrame, key: str, ts: str, amount: str,
     over the ``recent_months`` before ``reference_ts`` (default: the table's
     own latest timestamp), ``orders_6mo``, ``revenue_6mo``,
     ``active_months_6mo``, ``cancellations_6mo``.
+
+    Two-phase aggregation: (customer, month) first, then customer.  The
+    distinct-month count becomes a count of monthly rows, so Spark needs no
+    Expand (which would multiply the order rows before the shuffle), and the
+    first phase is partially aggregated on the map side.
     """
     ref = reference_ts if reference_ts is not None else as_of(orders, ts)
     recent = F.col(ts) >= ref - F.make_ym_interval(F.lit(0), F.lit(recent_months))
     amt = _money(amount)
+    zero = F.lit(0).cast("decimal(18,2)")
     cancelled = (F.col(status) == F.lit(cancelled_value)) if status else F.lit(False)
-    return orders.groupBy(F.col(key).alias(out_key)).agg(
-        F.min(ts).alias("first_order"),
-        F.max(ts).alias("last_order"),
-        F.count(F.lit(1)).alias("total_orders"),
-        (F.sum(amt).cast("double") / F.lit(money_scale)).alias("total_spend"),
-        F.count_if(recent).alias("orders_6mo"),
-        (F.sum(F.when(recent, amt).otherwise(F.lit(0).cast("decimal(18,2)"))).cast("double")
-         / F.lit(money_scale)).alias("revenue_6mo"),
-        F.count_distinct(F.when(recent, F.date_trunc("month", F.col(ts)))).alias("active_months_6mo"),
-        F.count_if(recent & cancelled).alias("cancellations_6mo"),
+    monthly = orders.groupBy(F.col(key).alias(out_key),
+                             F.date_trunc("month", F.col(ts)).alias("_m")).agg(
+        F.min(ts).alias("_first"), F.max(ts).alias("_last"),
+        F.count(F.lit(1)).alias("_n"), F.sum(amt).alias("_amt"),
+        F.count_if(recent).alias("_n_recent"),
+        F.sum(F.when(recent, amt).otherwise(zero)).alias("_amt_recent"),
+        F.count_if(recent & cancelled).alias("_n_cancel"))
+    return monthly.groupBy(out_key).agg(
+        F.min("_first").alias("first_order"),
+        F.max("_last").alias("last_order"),
+        F.sum("_n").alias("total_orders"),
+        (F.sum("_amt").cast("double") / F.lit(money_scale)).alias("total_spend"),
+        F.sum("_n_recent").alias("orders_6mo"),
+        (F.sum("_amt_recent").cast("double") / F.lit(money_scale)).alias("revenue_6mo"),
+        F.count_if(F.col("_n_recent") > 0).alias("active_months_6mo"),
+        F.sum("_n_cancel").alias("cancellations_6mo"),
     )
 
 

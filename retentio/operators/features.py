@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import flag, flag_eq, np_round, safe_div, sum_columns, to_number
+from ..functions.numeric import flag, flag_eq, np_round, safe_div, strict_int, sum_columns, to_number
 
 # ---------------------------------------------------------------------------
 # Flag definitions (source column, value, case-insensitive?).
@@ -130,15 +130,15 @@ def churn_features(bronze: DataFrame, engagement: DataFrame | None = None,
     """P1–P14 over a normalised telco frame.
 
     ``engagement`` (one row per ``customer_id``, columns of
-    ``ENGAGEMENT_COLUMNS``) is left-joined; missing customers get 0.  A null
-    ``seniorcitizen`` is kept null by ANSI cast and then filled with 0 only
-    by the final numeric fill, matching the reference's final ``fillna(0)``.
+    ``ENGAGEMENT_COLUMNS``) is left-joined; missing customers get 0.
+    ``seniorcitizen`` is cast strictly (P4): a null or junk value fails the
+    job, as ``astype(int)`` does in the reference.
     """
     present = set(bronze.columns)
     base = bronze.select(
         F.col(key).alias("customer_id"),
         label_column("churn").alias("label"),
-        F.col("seniorcitizen").cast("int").alias("is_senior_citizen"),
+        strict_int("seniorcitizen").alias("is_senior_citizen"),
         to_number("tenure").alias("tenure_months"),
         to_number("monthlycharges").alias("monthly_charges"),
         to_number("totalcharges").alias("total_charges"),
@@ -176,3 +176,9 @@ def keep_existing(df: DataFrame, columns) -> DataFrame:
     """Project the listed columns that exist, in list order."""
     have = set(df.columns)
     return df.select(*[c for c in columns if c in have])
+
+
+def ensure_columns(df: DataFrame, defaults: dict) -> DataFrame:
+    """Add each ``{name: Column}`` only when the frame lacks it."""
+    missing = {k: v for k, v in defaults.items() if k not in df.columns}
+    return df.withColumns(missing) if missing else df

@@ -146,3 +146,18 @@ def validate_models(paths: dict, probes: dict) -> DataFrame | None:
     if failed:
         raise RuntimeError("model validation failed: " + "; ".join(failed))
     return None
+
+
+def feature_importances(model, features, top: int = 10):
+    """The ``top`` most important features of a tree-ensemble stage.
+
+    The vector has one entry per feature (bounded by the feature count), so
+    building the small result frame on the driver is safe.
+    """
+    from pyspark.sql import SparkSession
+    stage = [s for s in getattr(model, "stages", [model]) if hasattr(s, "featureImportances")][0]
+    imp = stage.featureImportances.toArray().tolist()
+    spark = SparkSession.getActiveSession()
+    df = spark.createDataFrame(list(zip(list(features), [float(x) for x in imp])),
+                               "feature string, importance double")
+    return df.orderBy(F.desc("importance"), "feature").limit(top)

@@ -47,3 +47,22 @@ def test_hash_split_no_shuffle(spark):
     n = s.filter("split = 'train'").count()
     assert 7700 < n < 8300
     assert "Exchange" not in s._jdf.queryExecution().executedPlan().toString()
+
+
+def test_run_log_and_history(spark, tmp_path):
+    from retentio.sources.runs import log_run, metric_history, read_runs
+    p = str(tmp_path / "runs")
+    log_run(spark, p, "churn", {"depth": 6}, {"auc": 0.80}, run_id="r1")
+    log_run(spark, p, "churn", {"depth": 6}, {"auc": 0.85}, run_id="r2")
+    h = metric_history(read_runs(spark, p), "auc").orderBy("ts").collect()
+    assert [x.run_id for x in h] == ["r1", "r2"] and abs(h[1].change - 0.05) < 1e-12
+    assert read_runs(spark, p).first().params == {"depth": "6"}
+
+
+def test_monitoring_report(spark):
+    from retentio.operators.drift import monitoring_report
+    p = spark.createDataFrame([("a", 0.05), ("b", 0.25)], "feature string, psi double")
+    s = spark.createDataFrame([(False,)], "alarm boolean")
+    q = spark.createDataFrame([("row_count", True), ("ids", True)], "check string, ok boolean")
+    r = monitoring_report(p, s, q).first()
+    assert r.feature_drift and r.retrain_required and r.quality_ok and not r.prediction_drift

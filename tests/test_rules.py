@@ -103,3 +103,22 @@ def test_violations(spark):
     r = df.select(R.violations({"id_present": F.col("id").isNotNull(),
                                 "x_non_negative": F.col("x") >= 0}).alias("v")).collect()
     assert r[0].v == [] and r[1].v == ["id_present", "x_non_negative"]
+
+
+def test_risk_response_struct(spark):
+    df = spark.createDataFrame([(0.81234, 0.1234, "Month-to-month", "No", "Yes")],
+                               "p double, a double, contract_type string, online_security string, "
+                               "tech_support string")
+    r = df.select(R.risk_response("p", "a").alias("r")).first().r
+    assert r.score == 81.2 and r.tier == "HIGH" and r.churn_probability == 0.8123
+    assert r.anomaly_score == 0.123 and r.segment == "Lost"
+    assert r.recommendations == [R.REC_HIGH_MONTHLY]
+
+
+def test_strict_int_raises_on_null(spark):
+    import pytest
+    from retentio.functions.numeric import strict_int
+    ok = spark.createDataFrame([("1",), ("0",)], "s string").select(strict_int("s")).collect()
+    assert [x[0] for x in ok] == [1, 0]
+    with pytest.raises(Exception):
+        spark.createDataFrame([("1",), (None,)], "s string").select(strict_int("s")).collect()
