@@ -5,31 +5,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ranking import neighbours, prefix_sums
 
-def scd2(changes: DataFrame, key: str, ts: str, tracked, order_tiebreak: str | None = None) -> DataFrame:
+
+def scd2(changes: DataFrame, key: str, ts: str, tracked, order_tiebreak: str | None = None,
+         num_partitions: int | None = None) -> DataFrame:
     """Type-2 history from a change feed.
 
     Rows are ordered by (ts, tiebreak) per key; consecutive rows with equal
     tracked values collapse into one version; ``valid_to`` is the next
-    version's ``valid_from`` (null = current).  Windows are partitioned by
-    the business key, so work spreads over keys.
+    version's ``valid_from`` (null = current); ``version`` numbers versions.
+
+    The per-key sequence is scanned with ``ranking.neighbours`` (range
+    partitioned on key + time, so one key holding a third of all rows is
+    still spread over many tasks) and versions are numbered with
+    ``ranking.prefix_sums`` — no window is partitioned by the key alone.
     """
     tracked = [tracked] if isinstance(tracked, str) else list(tracked)
-    order = [F.col(ts)] + ([F.col(order_tiebreak)] if order_tiebreak else [])
-    w = Window.partitionBy(key).orderBy(*order)
-    h = F.xxhash64(*[F.col(c) for c in tracked])
-    c = changes.select(key, ts, *tracked, *([order_tiebreak] if order_tiebreak else []),
-                       h.alias("_h"))
-    c = c.withColumn("_prev", F.lag("_h").over(w))
-    starts = c.filter(F.col("_prev").isNull() | (F.col("_prev") != F.col("_h")))
-    w2 = Window.partitionBy(key).orderBy(
-        F.col("valid_from"), *([F.col(order_tiebreak)] if order_tiebreak else []))
-    v = starts.select(key, *tracked, F.col(ts).alias("valid_from"),
-                      *([order_tiebreak] if order_tiebreak else []))
-    v = v.withColumn("valid_to", F.lead("valid_from").over(w2)) \
-         .withColumn("version", F.row_number().over(w2))
-    v = v.withColumn("is_current", F.col("valid_to").isNull())
-    return v.drop(*([order_tiebreak] if order_tiebreak else []))
+    tb = [order_tiebreak] if order_tiebreak else []
+    c = changes.select(key, ts, *tracked, *tb,
+                       F.xxhash64(*[F.col(t) for t in tracked]).alias("_h"))
+    c = neighbours(c, [ts, *tb], "_h", partition_by=[key], num_partitions=num_partitions,
+                   nxt=False)
+    starts = c.filter(F.col("prev__h").isNull() | (F.col("prev__h") != F.col("_h")))
+    starts = starts.select(key, *tracked, F.col(ts).alias("valid_from"), *tb)
+    v = neighbours(starts, ["valid_from", *tb], "valid_from", partition_by=[key],
+                   num_partitions=num_partitions, prev=False)
+    v = v.withColumnRenamed("next_valid_from", "valid_to")
+    v = prefix_sums(v, ["valid_from", *tb], partition_by=[key], num_partitions=num_partitions)
+    v = v.withColumn("version", F.col("cum_rows").cast("int")).drop("cum_rows", "_group_total_rows")
+    return v.withColumn("is_current", F.col("valid_to").isNull()).select(
+        key, *tracked, "valid_from", "valid_to", "version", "is_current")
 
 
 def as_of_lookup(history: DataFrame, points: DataFrame, key: str, at: str) -> DataFrame:

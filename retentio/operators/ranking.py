@@ -126,3 +126,73 @@ def ntile_from_rank(rank: Column, n: Column, tiles: int) -> Column:
     big = rem * (q + 1)
     return F.when(rank <= big, F.floor((rank - 1) / (q + 1)) + 1).otherwise(
         rem + F.floor((rank - big - 1) / F.greatest(q, F.lit(1))) + 1).cast("int")
+
+
+def neighbours(df: DataFrame, order: list, cols, partition_by: list | None = None,
+               num_partitions: int | None = None, prev: bool = True, nxt: bool = True) -> DataFrame:
+    """Exact ``lag(c)`` / ``lead(c)`` over ``PARTITION BY partition_by ORDER BY order``.
+
+    The frame is range-partitioned on (partition_by, order) — a group with a
+    third of all rows is split over many partitions — and checkpointed once.
+    Inside each partition the shift is vectorised (``mapInPandas``); the
+    first and last row of a partition take their neighbour from the
+    adjacent non-empty partition, read from a table of partition edges that
+    has at most ``num_partitions`` rows.  Adds ``prev_<c>`` / ``next_<c>``.
+    """
+    cols = [cols] if isinstance(cols, str) else list(cols)
+    part = [F.col(p) if isinstance(p, str) else p for p in (partition_by or [])]
+    ordc = [F.col(o) if isinstance(o, str) else o for o in order]
+    n = _num_partitions(df, num_partitions)
+    gnames = [f"_g{i}" for i in range(len(part))]
+    base = df.withColumns({g: p for g, p in zip(gnames, part)})
+    ranged = base.repartitionByRange(n, *[F.col(g) for g in gnames], *ordc) \
+        .withColumn("_pid", F.spark_partition_id())
+    ensure_checkpoint_dir(df.sparkSession)
+    ranged = ranged.checkpoint(eager=True)
+    # partition edges: first and last row (group key + cols) of each non-empty partition
+    okey = F.struct(*[F.col(g) for g in gnames], *ordc)
+    payload = F.struct(*[F.col(g).alias(g) for g in gnames], *[F.col(c).alias(c) for c in cols])
+    edges = ranged.groupBy("_pid").agg(F.min_by(payload, okey).alias("first"),
+                                       F.max_by(payload, okey).alias("last"))
+    w = Window.orderBy("_pid")  # at most num_partitions rows
+    edges = edges.select("_pid", F.lag("last").over(w).alias("prev_last"),
+                         F.lead("first").over(w).alias("next_first"))
+    table = {r["_pid"]: (r["prev_last"], r["next_first"]) for r in edges.collect()}
+
+    sorted_ = ranged.sortWithinPartitions(*[F.col(g) for g in gnames], *ordc)
+    fields = list(sorted_.schema.fields)
+    extra = []
+    for c in cols:
+        dt = sorted_.schema[c].dataType
+        if prev:
+            extra.append(T.StructField(f"prev_{c}", dt, True))
+        if nxt:
+            extra.append(T.StructField(f"next_{c}", dt, True))
+    schema = T.StructType(fields + extra)
+
+    def shift(batches):
+        pdfs = [p for p in batches if not p.empty]
+        if not pdfs:
+            return
+        pdf = pd.concat(pdfs, ignore_index=True)
+        pid = int(pdf["_pid"].iat[0])
+        prev_last, next_first = table.get(pid, (None, None))
+        key = (pdf[gnames].astype(object).apply(tuple, axis=1) if gnames
+               else pd.Series([()] * len(pdf)))
+        same_prev = key.eq(key.shift(1))
+        same_next = key.eq(key.shift(-1))
+        for c in cols:
+            if prev:
+                v = pdf[c].astype(object).shift(1).where(same_prev, None)
+                if prev_last is not None and tuple(prev_last[g] for g in gnames) == key.iat[0]:
+                    v.iat[0] = prev_last[c]
+                pdf[f"prev_{c}"] = v
+            if nxt:
+                v = pdf[c].astype(object).shift(-1).where(same_next, None)
+                if next_first is not None and tuple(next_first[g] for g in gnames) == key.iat[-1]:
+                    v.iat[-1] = next_first[c]
+                pdf[f"next_{c}"] = v
+        yield pdf
+
+    out = sorted_.mapInPandas(shift, schema)
+    return out.drop("_pid", *gnames)

@@ -66,3 +66,20 @@ def test_monitoring_report(spark):
     q = spark.createDataFrame([("row_count", True), ("ids", True)], "check string, ok boolean")
     r = monitoring_report(p, s, q).first()
     assert r.feature_drift and r.retrain_required and r.quality_ok and not r.prediction_drift
+
+
+def test_scd2_collapses_and_looks_up(spark):
+    import datetime as dt
+    from retentio.operators.history import as_of_lookup, scd2
+    D = dt.datetime
+    rows = [(1, D(2020, 1, 1), "A", 1), (1, D(2020, 2, 1), "A", 2), (1, D(2020, 3, 1), "B", 3),
+            (1, D(2020, 3, 1), "C", 4), (1, D(2020, 5, 1), "C", 5), (2, D(2020, 1, 5), "X", 6)]
+    ch = spark.createDataFrame(rows, "cust long, ts timestamp_ntz, tier string, seq long")
+    h = scd2(ch, "cust", "ts", ["tier"], order_tiebreak="seq").orderBy("cust", "version").collect()
+    assert [(r.cust, r.tier, r.version) for r in h] == [(1, "A", 1), (1, "B", 2), (1, "C", 3), (2, "X", 1)]
+    assert h[0].valid_to == D(2020, 3, 1) and h[2].is_current and h[3].is_current
+    pts = spark.createDataFrame([(1, D(2020, 2, 15)), (1, D(2021, 1, 1)), (2, D(2019, 1, 1))],
+                                "cust long, at timestamp_ntz")
+    hist = scd2(ch, "cust", "ts", ["tier"], order_tiebreak="seq")
+    got = {(r.cust, r.at): r.tier for r in as_of_lookup(hist, pts, "cust", "at").collect()}
+    assert got[(1, D(2020, 2, 15))] == "A" and got[(1, D(2021, 1, 1))] == "C" and got[(2, D(2019, 1, 1))] is None

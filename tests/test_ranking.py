@@ -37,3 +37,16 @@ def test_ntile_formula(spark):
         a = df.select(ntile_from_rank(F.col("id"), F.col("n"), 10).alias("t"),
                       F.ntile(10).over(Window.orderBy("id")).alias("ref"))
         assert a.filter(F.col("t") != F.col("ref")).count() == 0
+
+
+def test_neighbours_match_lag_lead_with_hot_key(spark):
+    from retentio.operators.ranking import neighbours
+    df = spark.range(0, 4000).select(
+        F.col("id"), F.when(F.col("id") < 1500, 0).otherwise(F.col("id") % 50).alias("k"),
+        ((F.col("id") * 7919) % 1000).alias("t"))
+    r = neighbours(df, ["t", "id"], ["id", "t"], partition_by=["k"], num_partitions=12)
+    w = Window.partitionBy("k").orderBy("t", "id")
+    ref = df.select("id", F.lag("id").over(w).alias("p"), F.lead("t").over(w).alias("nt"))
+    j = r.join(ref, "id")
+    bad = j.filter(~F.col("prev_id").eqNullSafe(F.col("p")) | ~F.col("next_t").eqNullSafe(F.col("nt")))
+    assert bad.count() == 0 and r.count() == 4000
