@@ -187,3 +187,51 @@ def regression_errors(df: DataFrame, actual: str = "y", pred: str = "predicted")
         F.avg(F.abs(F.try_divide(e, F.col(actual)))).alias("mape"),
         F.sqrt(F.avg(e * e)).alias("rmse"),
         F.avg(F.abs(e)).alias("mae"))
+
+
+def multi_horizon_frame(df: DataFrame, horizons: int = 12) -> DataFrame:
+    """M13b training/scoring frame: one row per (series, origin month, h).
+
+    Features are known at the origin (lags, rolling stats, origin calendar)
+    plus the horizon and the target month's position on the unit circle;
+    the target is y at origin + h months (an equi-join on the gap-filled
+    calendar).  Rows whose target lies beyond the data are the forecast rows.
+    Size: #series × #months × horizons — built on the monthly aggregate.
+    """
+    f = rolling_features(lag_features(calendar_features(df)))
+    e = f.select("*", F.explode(F.sequence(F.lit(1), F.lit(horizons))).alias("h"))
+    e = e.withColumn("target_ds", F.add_months("ds", F.col("h")))
+    tgt = df.select("series", F.col("ds").alias("target_ds"), F.col("y").alias("target_y"))
+    j = e.join(tgt, ["series", "target_ds"], "left")
+    ang = F.lit(2 * math.pi) * F.month("target_ds") / F.lit(12.0)
+    return j.withColumns({"target_month_sin": F.sin(ang), "target_month_cos": F.cos(ang)})
+
+
+MULTI_HORIZON_FEATURES = ["h", "target_month_sin", "target_month_cos", "month_sin", "month_cos",
+                          "lag_1", "lag_2", "lag_3", "lag_6", "lag_12", "rolling_mean_3",
+                          "rolling_std_3", "rolling_max_3", "rolling_mean_6", "rolling_std_6",
+                          "rolling_max_6"]
+
+
+def direct_forecast(df: DataFrame, horizons: int = 12, rounds: int = 200, seed: int = 42) -> DataFrame:
+    """One GBT regressor over all horizons and series; no recursion.
+
+    Trains on every (origin, h) whose target is known and whose features are
+    complete, then predicts h = 1..horizons from each series' last month.
+    """
+    from .models import fit_revenue
+    fr = multi_horizon_frame(df, horizons)
+    feats = MULTI_HORIZON_FEATURES
+    complete = F.lit(True)
+    for c in feats:
+        complete = complete & F.col(c).isNotNull()
+    train = fr.filter(complete & F.col("target_y").isNotNull()).withColumnRenamed("y", "y_origin") \
+        .withColumnRenamed("target_y", "y")
+    model = fit_revenue(train, feats, rounds=rounds, seed=seed)
+    last = df.groupBy("series").agg(F.max("ds").alias("ds"))
+    origin = fr.join(last, ["series", "ds"]).filter(complete)
+    pred = model.transform(origin.withColumnRenamed("y", "y_origin"))
+    lo, hi = forecast_band(F.col("forecast"))
+    return pred.select("series", "h", F.col("target_ds").alias("ds"),
+                       np_round("predicted", 0).alias("forecast")).withColumns(
+        {"lower_bound": lo, "upper_bound": hi})

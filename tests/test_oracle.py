@@ -8,7 +8,8 @@ from tests.oracle_harness import compare, duck
 from .conftest import SF01
 
 SQL = E.oracle_sql()
-SLOW = {"gbt_churn_scores", "kmeans_segments", "isolation_scores", "gbt_revenue"}
+SLOW = {"gbt_churn_scores", "kmeans_segments", "isolation_scores", "gbt_revenue",
+        "gbt_direct_forecast"}
 
 
 @pytest.fixture(scope="module")
