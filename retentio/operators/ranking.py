@@ -170,29 +170,48 @@ def neighbours(df: DataFrame, order: list, cols, partition_by: list | None = Non
             extra.append(T.StructField(f"next_{c}", dt, True))
     schema = T.StructType(fields + extra)
 
+    def keys_of(pdf):
+        return (pdf[gnames].astype(object).apply(tuple, axis=1) if gnames
+                else pd.Series([()] * len(pdf), index=pdf.index))
+
+    def edge_key(row):
+        return tuple(row[g] for g in gnames)
+
     def shift(batches):
-        pdfs = [p for p in batches if not p.empty]
-        if not pdfs:
-            return
-        pdf = pd.concat(pdfs, ignore_index=True)
-        pid = int(pdf["_pid"].iat[0])
-        prev_last, next_first = table.get(pid, (None, None))
-        key = (pdf[gnames].astype(object).apply(tuple, axis=1) if gnames
-               else pd.Series([()] * len(pdf)))
-        same_prev = key.eq(key.shift(1))
-        same_next = key.eq(key.shift(-1))
-        for c in cols:
-            if prev:
-                v = pdf[c].astype(object).shift(1).where(same_prev, None)
-                if prev_last is not None and tuple(prev_last[g] for g in gnames) == key.iat[0]:
-                    v.iat[0] = prev_last[c]
-                pdf[f"prev_{c}"] = v
-            if nxt:
-                v = pdf[c].astype(object).shift(-1).where(same_next, None)
-                if next_first is not None and tuple(next_first[g] for g in gnames) == key.iat[-1]:
-                    v.iat[-1] = next_first[c]
-                pdf[f"next_{c}"] = v
-        yield pdf
+        # Streams the partition batch by batch: a batch is emitted once the
+        # next batch's first row is known (it may be the last row's "next").
+        pending, pending_key = None, None
+        prev_last = next_first = None
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            if pending is None:
+                prev_last, next_first = table.get(int(pdf["_pid"].iat[0]), (None, None))
+            pdf = pdf.reset_index(drop=True)
+            key = keys_of(pdf)
+            same_prev, same_next = key.eq(key.shift(1)), key.eq(key.shift(-1))
+            for c in cols:
+                vals = pdf[c].astype(object)
+                if prev:
+                    v = vals.shift(1).where(same_prev, None)
+                    if pending is not None:
+                        if pending_key.iat[-1] == key.iat[0]:
+                            v.iat[0] = pending[c].iat[-1]
+                    elif prev_last is not None and edge_key(prev_last) == key.iat[0]:
+                        v.iat[0] = prev_last[c]
+                    pdf[f"prev_{c}"] = v
+                if nxt:
+                    pdf[f"next_{c}"] = vals.shift(-1).where(same_next, None)
+                    if pending is not None and pending_key.iat[-1] == key.iat[0]:
+                        pending.at[len(pending) - 1, f"next_{c}"] = vals.iat[0]
+            if pending is not None:
+                yield pending
+            pending, pending_key = pdf, key
+        if pending is not None:
+            if nxt and next_first is not None and edge_key(next_first) == pending_key.iat[-1]:
+                for c in cols:
+                    pending.at[len(pending) - 1, f"next_{c}"] = next_first[c]
+            yield pending
 
     out = sorted_.mapInPandas(shift, schema)
     return out.drop("_pid", *gnames)

@@ -61,7 +61,8 @@ def lineage_columns(source: str, batch_id: str | None = None,
     """One constant timestamp, source and batch id for a whole load."""
     ts = ingested_at or datetime.now(timezone.utc).replace(tzinfo=None)
     bid = batch_id or uuid.uuid4().hex[:12]
-    return {"_ingested_at": F.lit(ts).cast("timestamp_ntz"),
+    # built from text so the value does not depend on the session time zone
+    return {"_ingested_at": F.lit(ts.isoformat(sep=" ")).cast("timestamp_ntz"),
             "_source": F.lit(source),
             "_batch_id": F.lit(bid)}
 

@@ -50,3 +50,22 @@ def test_neighbours_match_lag_lead_with_hot_key(spark):
     j = r.join(ref, "id")
     bad = j.filter(~F.col("prev_id").eqNullSafe(F.col("p")) | ~F.col("next_t").eqNullSafe(F.col("nt")))
     assert bad.count() == 0 and r.count() == 4000
+
+
+def test_multi_batch_partitions(spark):
+    """Force small Arrow batches so carries across batches are exercised."""
+    from retentio.operators.ranking import neighbours
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "97")
+    try:
+        df = spark.range(0, 3000).select("id", (F.col("id") % 3).alias("k"), ((F.col("id") * 31) % 500).alias("t"))
+        r = neighbours(df, ["t", "id"], ["id"], partition_by=["k"], num_partitions=4)
+        w = Window.partitionBy("k").orderBy("t", "id")
+        ref = df.select("id", F.lag("id").over(w).alias("p"), F.lead("id").over(w).alias("n"))
+        j = r.join(ref, "id")
+        assert j.filter(~F.col("prev_id").eqNullSafe(F.col("p")) | ~F.col("next_id").eqNullSafe(F.col("n"))).count() == 0
+        rn = row_number_global(df, ["t", "id"], partition_by=["k"], num_partitions=4)
+        ref2 = df.withColumn("rr", F.row_number().over(w))
+        assert rn.join(ref2, "id").filter(F.col("rn") != F.col("rr")).count() == 0
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
