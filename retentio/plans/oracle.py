@@ -592,3 +592,18 @@ ORACLES["stream_daily_activity"] = (
     "CAST(count_if(event_type = 'error') AS BIGINT) AS n_errors, "
     "CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total_value "
     "FROM events GROUP BY user_id, CAST(ts AS DATE)")
+
+ORACLES["stream_bronze_ingest"] = (
+    "SELECT event_id, user_id, event_type, value, ts, 'events' AS _source, 'batch_0001' AS _batch_id "
+    "FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY ts) AS rn FROM events) e WHERE rn = 1")
+
+ORACLES["stream_risk_scoring"] = with_base(
+    "SELECT customer_id, churn_prob, churn_prob >= 0.5::DOUBLE AS churn_prediction, risk_tier, "
+    f"array_to_string({_FLIST}, ',') AS factor_names, CASE "
+    "WHEN risk_tier = 'HIGH' AND coalesce(contract_type = 'Month-to-month', false) THEN "
+    "'Offer a 20% discount to upgrade to a 1-year contract. Assign a dedicated customer success manager immediately.' "
+    "WHEN risk_tier = 'HIGH' THEN 'Schedule a proactive retention call. Offer a loyalty reward or service upgrade.' "
+    "WHEN risk_tier = 'MEDIUM' AND (coalesce(online_security = 'No', false) OR coalesce(tech_support = 'No', false)) "
+    "THEN 'Bundle online security + tech support at a reduced rate. Send a personalised value email.' "
+    "WHEN risk_tier = 'MEDIUM' THEN 'Send a satisfaction survey and offer a loyalty discount.' "
+    "ELSE 'Customer is healthy. Continue standard engagement.' END AS recommendation FROM sc", scored=True)

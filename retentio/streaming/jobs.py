@@ -123,3 +123,40 @@ def daily_activity_job(spark: SparkSession, events_path: str, work_dir: str | No
         T.StructField("total_value", T.DoubleType()), T.StructField("_batch_id", T.LongType())])
     return compact_changelog(spark, os.path.join(base, "changelog"),
                              ["user_id", "activity_date"], out_schema)
+
+
+def ingest_job(spark: SparkSession, source: str, id_cols, ts_col: str, watermark: str = "1 day",
+               work_dir: str | None = None, source_name: str = "stream",
+               batch_id: str = "stream_batch") -> DataFrame:
+    """R1 end to end: ingest ``source`` incrementally and return the sink table."""
+    base = work_dir or os.path.join(checkpoint_dir(spark), "stream_ingest", uuid.uuid4().hex)
+    sch = spark.read.parquet(source).schema
+    sink = os.path.join(base, "table")
+    q = ingest_incremental(spark, source, sch, sink, os.path.join(base, "_checkpoint"),
+                           id_cols, ts_col, watermark, source_name, batch_id)
+    if q.exception():
+        raise q.exception()
+    out_schema = T.StructType([T.StructField(f.name, T.TimestampType() if f.name == ts_col
+                                             else f.dataType, True) for f in sch.fields]
+                              + [T.StructField("_ingested_at", T.TimestampNTZType()),
+                                 T.StructField("_source", T.StringType()),
+                                 T.StructField("_batch_id", T.StringType())])
+    return spark.read.schema(out_schema).parquet(sink)
+
+
+def scoring_job(spark: SparkSession, features: DataFrame, work_dir: str | None = None) -> DataFrame:
+    """R2 end to end: features are landed as files, streamed through
+    ``score_stream`` with ``availableNow`` and the scored table is returned."""
+    base = work_dir or os.path.join(checkpoint_dir(spark), "stream_scoring", uuid.uuid4().hex)
+    src = os.path.join(base, "input")
+    features.write.mode("overwrite").parquet(src)
+    sch = spark.read.parquet(src).schema
+    scored = score_stream(_stream(spark, src, sch))
+    out = os.path.join(base, "scored")
+    q = (scored.writeStream.format("parquet").option("path", out)
+         .option("checkpointLocation", os.path.join(base, "_checkpoint"))
+         .outputMode("append").trigger(availableNow=True).start())
+    q.awaitTermination()
+    if q.exception():
+        raise q.exception()
+    return spark.read.schema(scored.schema).parquet(out)
