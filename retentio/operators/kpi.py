@@ -47,7 +47,7 @@ def mean_by_tenure_band(df: DataFrame, tenure: str, value: str) -> DataFrame:
             .groupBy("tenure_band")
             .agg(F.count(F.lit(1)).alias("n_customers"),
                  (F.sum(F.col("v").cast("long")).cast("double") / F.count(F.lit(1))).alias("churn_rate"))
-            .withColumn("band_order", tenure_band_order(F.col("tenure_band")))
+            .withColumn("band_order", tenure_band_order(F.col("tenure_band")).cast("int"))
             .orderBy("band_order"))
 
 

@@ -70,11 +70,18 @@ def customer_features(spark: SparkSession, d: str) -> DataFrame:
                         reference_ts=ref, money_scale=MONEY_SCALE)
     ta = ticket_activity(events, "user_id", "ts", F.col("event_type") == "error",
                          recent_days=TICKET_RECENT_DAYS)
+    # as_of-dependent columns are computed on the per-customer aggregate,
+    # below the join: later projections see plain attributes, so the scalar
+    # subquery is not copied into every expression that uses tenure or label.
+    oa = oa.withColumns({
+        "_tenure": months_between_floor(ref, F.col("first_order")),
+        "_lapsed": flag(F.col("last_order") < ref - F.make_dt_interval(F.lit(CHURN_DAYS))),
+    })
     cust = customer.join(nation.select("n_nationkey", "n_regionkey"),
                          customer.c_nationkey == nation.n_nationkey, "left")
     j = engagement_join(cust, "c_custkey", oa, ta)
 
-    tenure = F.coalesce(months_between_floor(ref, F.col("first_order")), F.lit(0))
+    tenure = F.coalesce(F.col("_tenure"), F.lit(0))
     total = F.coalesce(F.col("total_spend"), F.lit(0.0))
     n_orders = F.coalesce(F.col("total_orders"), F.lit(0))
     base = j.select(
@@ -86,8 +93,7 @@ def customer_features(spark: SparkSession, d: str) -> DataFrame:
         internet_of(F.col("n_regionkey")).alias("internet_service"),
         F.when(F.col("c_acctbal") >= SECURITY_BALANCE, "Yes").otherwise("No").alias("online_security"),
         F.when(n_orders >= SUPPORT_MIN_ORDERS, "Yes").otherwise("No").alias("tech_support"),
-        flag(F.col("last_order").isNull()
-             | (F.col("last_order") < ref - F.make_dt_interval(F.lit(CHURN_DAYS)))).alias("label"),
+        F.coalesce(F.col("_lapsed"), F.lit(1)).alias("label"),  # no order at all → churned
         tenure.alias("tenure_months"),
         total.alias("total_charges"),
         (total / F.greatest(tenure, F.lit(1))).alias("monthly_charges"),

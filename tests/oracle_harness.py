@@ -80,9 +80,9 @@ def compare(spark, con, key, qfn, sql, sf_dir):
         res["status"] = "ROWCOUNT"
         return res
     if rows_of(st, scols, None) == rows_of(dt, scols, None):
-        res["status"] = "exact"
+        res["status"] = "exact" if not tmis else "TYPES"
     elif rows_of(st, scols, 9) == rows_of(dt, scols, 9):
-        res["status"] = "approx9"
+        res["status"] = "approx9" if not tmis else "TYPES"
     else:
         a, b = rows_of(st, scols, 9), rows_of(dt, scols, 9)
         diff = [(x, y) for x, y in zip(a, b) if x != y][:2]
