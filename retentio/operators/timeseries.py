@@ -235,3 +235,12 @@ def direct_forecast(df: DataFrame, horizons: int = 12, rounds: int = 200, seed:
     return pred.select("series", "h", F.col("target_ds").alias("ds"),
                        np_round("predicted", 0).alias("forecast")).withColumns(
         {"lower_bound": lo, "upper_bound": hi})
+
+
+def complete_months(monthly: DataFrame, last_ts: Column) -> DataFrame:
+    """Drop a trailing partial month: the month of ``last_ts`` is kept only
+    when ``last_ts`` falls on its last day.  Forecast fits and errors use
+    complete months so a one-day month does not read as a revenue collapse."""
+    cut = F.trunc(F.to_date(last_ts), "month")
+    full = F.to_date(last_ts) == F.last_day(F.to_date(last_ts))
+    return monthly.filter((F.col("ds") < cut) | full)

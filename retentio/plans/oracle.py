@@ -83,6 +83,10 @@ mcal AS (
 monthly AS (
   SELECT c.ds, CAST(coalesce(f.y_dec, 0) AS DOUBLE) AS y, CAST(coalesce(f.n_orders, 0) AS BIGINT) AS n_orders
   FROM mcal c LEFT JOIN mfacts f ON c.ds = f.ds),
+monthly_c AS (
+  SELECT * FROM monthly
+  WHERE ds < CAST(date_trunc('month', (SELECT max(o_orderdate) FROM orders)) AS DATE)
+     OR CAST((SELECT max(o_orderdate) FROM orders) AS DATE) = last_day((SELECT max(o_orderdate) FROM orders))),
 """
 
 
@@ -315,8 +319,9 @@ ORACLES["period_summary"] = (
     "coalesce(CAST(sum(CAST(o.o_totalprice AS DECIMAL(18,2))) AS DOUBLE), 0.0::DOUBLE) AS revenue "
     "FROM r CROSS JOIN m LEFT JOIN orders o ON o.o_orderdate >= m.as_of - r.days * INTERVAL 1 DAY "
     "GROUP BY r.date_range) "
-    "SELECT *, printf('%s: %d orders from %d customers', replace(date_range, '_', ' '), n_orders, n_customers) "
-    "AS summary FROM a")
+    "SELECT *, printf('Activity report (%s): %d orders from %d customers, revenue ', replace(date_range, '_', ' '), "
+    "n_orders, n_customers) || format('{:,}', CAST(" + npr("revenue / 1000.0::DOUBLE", 0) + " AS BIGINT)) "
+    "|| ' thousand.' AS summary FROM a")
 
 ORACLES["revenue_lags"] = monthly_sql(
     "SELECT ds, y, " + ", ".join(f"lag(y, {k}) OVER (ORDER BY ds) AS lag_{k}" for k in (1, 2, 3, 6, 12))
@@ -372,7 +377,7 @@ ORACLES["time_split"] = monthly_sql(
 # Trend + month-effect fit from exact moment sums (same expression order as Spark).
 _FIT_CTES = """
 pos AS (SELECT ds, y, CAST(row_number() OVER (ORDER BY ds) AS INTEGER) AS t,
-               count(*) OVER () AS n_months FROM monthly),
+               count(*) OVER () AS n_months FROM monthly_c),
 trainset AS (SELECT * FROM pos WHERE {train}),
 mom AS (SELECT CAST(count(*) AS DOUBLE) AS k, CAST(sum(t) AS DOUBLE) AS st,
                CAST(sum(CAST(t AS BIGINT) * t) AS DOUBLE) AS stt,
@@ -408,7 +413,7 @@ ORACLES["forecast_errors"] = monthly_sql(
 
 ORACLES["history_plus_forecast"] = monthly_sql(
     "SELECT * FROM (SELECT ds, 'history' AS type, y AS value, y AS lower_bound, y AS upper_bound "
-    "FROM monthly ORDER BY ds DESC LIMIT 12) h UNION ALL "
+    "FROM monthly_c ORDER BY ds DESC LIMIT 12) h UNION ALL "
     f"SELECT ds, 'forecast' AS type, forecast AS value, {npr('forecast * 0.92::DOUBLE', 2)} AS lower_bound, "
     f"{npr('forecast * 1.08::DOUBLE', 2)} AS upper_bound FROM ("
     f"SELECT s.ds, {npr('c.a + c.b * (c.t_last + s.h) + coalesce(e.effect, 0.0::DOUBLE)', 0)} AS forecast "

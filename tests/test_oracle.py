@@ -9,6 +9,7 @@ from .conftest import SF01
 
 SQL = E.oracle_sql()
 SLOW = {"gbt_churn_scores", "kmeans_segments", "isolation_scores", "gbt_revenue",
+        "churn_model_metrics", "revenue_model_metrics",
         "gbt_direct_forecast"}
 
 
