@@ -612,3 +612,33 @@ ORACLES["stream_risk_scoring"] = with_base(
     "THEN 'Bundle online security + tech support at a reduced rate. Send a personalised value email.' "
     "WHEN risk_tier = 'MEDIUM' THEN 'Send a satisfaction survey and offer a loyalty discount.' "
     "ELSE 'Customer is healthy. Continue standard engagement.' END AS recommendation FROM sc", scored=True)
+
+ORACLES["monitoring_report"] = (
+    "SELECT q.quality_ok, p.max_psi, s.prediction_drift, p.max_psi > 0.2::DOUBLE AS feature_drift, "
+    "(p.max_psi > 0.2::DOUBLE) OR s.prediction_drift OR NOT q.quality_ok AS retrain_required FROM "
+    f"(SELECT bool_and(ok) AS quality_ok FROM ({ORACLES['quality_checks']}) x) q CROSS JOIN "
+    f"(SELECT max(psi) AS max_psi FROM ({ORACLES['psi_by_feature']}) y) p CROSS JOIN "
+    f"(SELECT alarm AS prediction_drift FROM ({ORACLES['mean_drift']}) z) s")
+
+_PER = ORACLES["period_summary"]
+_RNG = "replace(date_range, '_', ' ')"
+_REVK = "format('{:,}', CAST(" + npr("revenue / 1000.0::DOUBLE", 0) + " AS BIGINT))"
+_CUST = "format('{:,}', total_customers)"
+_RATE = "CAST(churn_rate_pct AS VARCHAR) || '%'"
+ORACLES["summary_report"] = with_base(
+    "SELECT report_type, date_range, n_orders, n_customers, revenue, total_customers, churn_rate_pct, "
+    "high_risk_customers, CASE report_type "
+    f"WHEN 'executive' THEN 'Platform overview (' || {_RNG} || '): ' || {_CUST} || ' customers monitored, churn rate ' "
+    f"|| {_RATE} || ', ' || CAST(n_orders AS VARCHAR) || ' orders worth ' || {_REVK} || ' thousand; ' "
+    "|| CAST(high_risk_customers AS VARCHAR) || ' customers at high risk need retention action.' "
+    f"WHEN 'churn' THEN 'Churn analysis (' || {_RNG} || '): churn rate ' || {_RATE} || ' across ' || {_CUST} "
+    "|| ' customers; ' || CAST(high_risk_customers AS VARCHAR) || ' are predicted to churn without action.' "
+    f"WHEN 'revenue' THEN 'Revenue intelligence (' || {_RNG} || '): ' || {_REVK} || ' thousand from ' "
+    "|| CAST(n_orders AS VARCHAR) || ' orders placed by ' || CAST(n_customers AS VARCHAR) || ' customers.' "
+    f"ELSE 'Risk assessment (' || {_RNG} || '): ' || CAST(high_risk_customers AS VARCHAR) || ' of ' || {_CUST} "
+    "|| ' customers are HIGH risk; ' || CAST(n_customers AS VARCHAR) || ' customers ordered in the period.' END AS summary "
+    f"FROM (SELECT date_range, n_orders, n_customers, revenue FROM ({_PER}) p0) p CROSS JOIN "
+    "(SELECT CAST(count(*) AS BIGINT) AS total_customers, "
+    f"{npr('CAST(sum(label) AS DOUBLE) / count(*) * 100.0::DOUBLE', 1)} AS churn_rate_pct, "
+    "CAST(count_if(risk_tier = 'HIGH') AS BIGINT) AS high_risk_customers FROM sc) s "
+    "CROSS JOIN (VALUES ('executive'), ('churn'), ('revenue'), ('risk')) t(report_type)", scored=True)

@@ -83,3 +83,13 @@ def test_scd2_collapses_and_looks_up(spark):
     hist = scd2(ch, "cust", "ts", ["tier"], order_tiebreak="seq")
     got = {(r.cust, r.at): r.tier for r in as_of_lookup(hist, pts, "cust", "at").collect()}
     assert got[(1, D(2020, 2, 15))] == "A" and got[(1, D(2021, 1, 1))] == "C" and got[(2, D(2019, 1, 1))] is None
+
+
+def test_summary_report_fields_and_length(spark):
+    """Reference invariant: each summary has its fields and more than 50 characters."""
+    import __spark_entry__ as E
+    from .conftest import SF001
+    rows = E.queries()["summary_report"](spark, SF001).collect()
+    assert len(rows) == 12
+    assert {r.report_type for r in rows} == {"executive", "churn", "revenue", "risk"}
+    assert all(len(r.summary) > 50 for r in rows)
