@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ranking import neighbours, prefix_sums
+from .ranking import forward_fill, neighbours, prefix_sums
 
 
 def scd2(changes: DataFrame, key: str, ts: str, tracked, order_tiebreak: str | None = None,
@@ -41,11 +41,27 @@ def scd2(changes: DataFrame, key: str, ts: str, tracked, order_tiebreak: str | N
 def as_of_lookup(history: DataFrame, points: DataFrame, key: str, at: str) -> DataFrame:
     """J5 point-in-time lookup: the version with valid_from ≤ at < valid_to.
 
-    An equi-join on the key with a range predicate (no cartesian product).
+    An as-of join by sorting, not by pairs: points and versions are unioned,
+    ordered by (key, time, versions before points) and the version columns
+    are forward-filled with ``ranking.forward_fill`` — range partitioned, so
+    a key with a third of all rows is split across tasks and no key ever
+    compares all its points with all its versions.
     """
-    cond = ((points[key] == history[key]) & (history["valid_from"] <= points[at])
-            & (history["valid_to"].isNull() | (points[at] < history["valid_to"])))
-    return points.join(history, cond, "left").drop(history[key])
+    vcols = [c for c in history.columns if c != key]
+    ver = history.select(F.col(key), F.col("valid_from").alias("_t"), F.lit(0).alias("_kind"),
+                         F.lit(None).cast(points.schema[at].dataType).alias(at),
+                         F.struct(*[F.col(c) for c in vcols]).alias("_v"),
+                         F.lit(None).cast("long").alias("_pt"))
+    pts = points.withColumn("_pt", F.monotonically_increasing_id())
+    extra = [c for c in pts.columns if c not in (key, at, "_pt")]
+    p = pts.select(F.col(key), F.col(at).alias("_t"), F.lit(1).alias("_kind"), F.col(at),
+                   F.lit(None).cast(ver.schema["_v"].dataType).alias("_v"), "_pt", *extra)
+    ver = ver.select(*ver.columns, *[F.lit(None).cast(pts.schema[c].dataType).alias(c) for c in extra])
+    u = ver.unionByName(p)
+    filled = forward_fill(u, ["_t", "_kind", "_pt"], ["_v"], partition_by=[key])
+    hit = filled.filter(F.col("_kind") == 1)
+    ok = F.col("_v").isNotNull() & (F.col("_v.valid_to").isNull() | (F.col(at) < F.col("_v.valid_to")))
+    return hit.select(key, at, *extra, *[F.when(ok, F.col(f"_v.{c}")).alias(c) for c in vcols])
 
 
 def run_log(metrics: DataFrame, experiment: str, run_col: str, metric_cols) -> DataFrame:

@@ -215,3 +215,75 @@ def neighbours(df: DataFrame, order: list, cols, partition_by: list | None = Non
 
     out = sorted_.mapInPandas(shift, schema)
     return out.drop("_pid", *gnames)
+
+
+def forward_fill(df: DataFrame, order: list, cols, partition_by: list | None = None,
+                 num_partitions: int | None = None) -> DataFrame:
+    """``last(c, ignorenulls) OVER (PARTITION BY p ORDER BY o ROWS UNBOUNDED
+    PRECEDING)`` for each of ``cols``, exactly, without a key-only window.
+
+    Same scaffold as ``neighbours``: range partitioning on (p, o), one
+    checkpoint, a per-partition vectorised fill, and the carry into each
+    partition taken from the last non-null value per column of the nearest
+    earlier partition with the same group key (a table of ≤ partitions rows).
+    """
+    cols = [cols] if isinstance(cols, str) else list(cols)
+    part = [F.col(p) if isinstance(p, str) else p for p in (partition_by or [])]
+    ordc = [F.col(o) if isinstance(o, str) else o for o in order]
+    n = _num_partitions(df, num_partitions)
+    gnames = [f"_g{i}" for i in range(len(part))]
+    base = df.withColumns({g: p for g, p in zip(gnames, part)})
+    ranged = base.repartitionByRange(n, *[F.col(g) for g in gnames], *ordc) \
+        .withColumn("_pid", F.spark_partition_id())
+    ensure_checkpoint_dir(df.sparkSession)
+    ranged = ranged.checkpoint(eager=True)
+    okey = F.struct(*[F.col(g) for g in gnames], *ordc)
+    # per partition: its last group key and, per column, the last non-null
+    # value within that last group (with the key it belongs to)
+    aggs = [F.max_by(F.struct(*[F.col(g) for g in gnames]), okey).alias("last_key")]
+    for c in cols:
+        aggs.append(F.max_by(F.struct(*[F.col(g).alias(g) for g in gnames], F.col(c).alias("v")),
+                             F.when(F.col(c).isNotNull(), okey)).alias(f"lnn_{c}"))
+    edges = ranged.groupBy("_pid").agg(*aggs).collect()  # ≤ num_partitions rows
+    edges = sorted(edges, key=lambda r: r["_pid"])
+    carry_in, running = {}, {c: None for c in cols}
+    for r in edges:
+        carry_in[r["_pid"]] = dict(running)
+        for c in cols:
+            lnn = r[f"lnn_{c}"]
+            if lnn is not None and lnn["v"] is not None:
+                running[c] = (tuple(lnn[g] for g in gnames), lnn["v"])
+
+    sorted_ = ranged.sortWithinPartitions(*[F.col(g) for g in gnames], *ordc)
+    schema = T.StructType([f if f.name not in cols else T.StructField(f.name, f.dataType, True)
+                           for f in sorted_.schema.fields])
+
+    def fill(batches):
+        carry = None
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            pdf = pdf.reset_index(drop=True)
+            if carry is None:
+                carry = {c: v for c, v in carry_in.get(int(pdf["_pid"].iat[0]), {}).items() if v}
+            key = (pdf[gnames].astype(object).apply(tuple, axis=1) if gnames
+                   else pd.Series([()] * len(pdf)))
+            seg = (key != key.shift(1)).cumsum()
+            for c in cols:
+                v = pdf[c].astype(object).where(pdf[c].notna(), None)
+                filled = v.groupby(seg).ffill()
+                first_seg = seg == seg.iat[0]
+                ck = carry.get(c)
+                if ck is not None and ck[0] == key.iat[0]:
+                    filled = filled.where(~(first_seg & filled.isna()), pd.Series([ck[1]] * len(filled),
+                                                                                   index=filled.index))
+                filled = filled.astype(object).where(filled.notna(), None)
+                pdf[c] = filled
+                lastv = filled.iat[-1]
+                if lastv is not None and not (isinstance(lastv, float) and pd.isna(lastv)):
+                    carry[c] = (key.iat[-1], lastv)
+                elif ck is None or ck[0] != key.iat[-1]:
+                    carry.pop(c, None)
+            yield pdf
+
+    return sorted_.mapInPandas(fill, schema).drop("_pid", *gnames)

@@ -642,3 +642,10 @@ ORACLES["summary_report"] = with_base(
     f"{npr('CAST(sum(label) AS DOUBLE) / count(*) * 100.0::DOUBLE', 1)} AS churn_rate_pct, "
     "CAST(count_if(risk_tier = 'HIGH') AS BIGINT) AS high_risk_customers FROM sc) s "
     "CROSS JOIN (VALUES ('executive'), ('churn'), ('revenue'), ('risk')) t(report_type)", scored=True)
+
+ORACLES["scd2_as_of"] = (
+    "SELECT o.o_orderkey, o.o_custkey AS customer_id, o.o_orderdate - INTERVAL 90 DAY AS at, "
+    "h.o_orderpriority AS priority_then, h.version FROM orders o LEFT JOIN "
+    f"({ORACLES['scd2_history']}) h ON h.customer_id = o.o_custkey "
+    "AND h.valid_from <= o.o_orderdate - INTERVAL 90 DAY "
+    "AND (h.valid_to IS NULL OR o.o_orderdate - INTERVAL 90 DAY < h.valid_to)")

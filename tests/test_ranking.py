@@ -69,3 +69,20 @@ def test_multi_batch_partitions(spark):
         assert rn.join(ref2, "id").filter(F.col("rn") != F.col("rr")).count() == 0
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+
+
+def test_forward_fill_matches_window(spark):
+    from retentio.operators.ranking import forward_fill
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "53")
+    try:
+        df = spark.range(0, 3000).select(
+            "id", F.when(F.col("id") < 1000, 0).otherwise(F.col("id") % 7).alias("k"),
+            F.when(F.col("id") % 11 == 0, F.col("id")).alias("v"))
+        r = forward_fill(df, ["id"], ["v"], partition_by=["k"], num_partitions=9)
+        w = Window.partitionBy("k").orderBy("id").rowsBetween(Window.unboundedPreceding, 0)
+        ref = df.select("id", F.last("v", ignorenulls=True).over(w).alias("ref"))
+        j = r.join(ref, "id")
+        assert j.filter(~F.col("v").eqNullSafe(F.col("ref"))).count() == 0 and r.count() == 3000
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
