@@ -87,7 +87,9 @@ def psi(baseline: DataFrame, current: DataFrame, features, buckets: int = BUCKET
     edges = quantile_edges(baseline, features, buckets, exact)
     both = _long(baseline, features, "base").unionByName(_long(current, features, "cur")) \
         .filter(F.col("x").isNotNull())
-    j = both.join(edges, "feature")  # tiny right side: one row per feature
+    # edges has exactly one row per feature (a proven bound): broadcast it so
+    # the few feature keys never become a skewed sort-merge join
+    j = both.join(F.broadcast(edges), "feature")
     binned = j.select("feature", "side",
                       F.size(F.filter("edges", lambda e: e <= F.col("x"))).alias("bin"))
     counts = binned.groupBy("feature", "bin").agg(

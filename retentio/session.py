@@ -15,7 +15,12 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.sql.parquet.aggregatePushdown": "true",
+}
+
+# Core settings applied when this module creates the context: checkpoint
+# files of collected references are cleaned in long-lived sessions.
+CONTEXT_CONF = {
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -29,7 +34,7 @@ def get_session(master: str | None = None, app: str = "retentio",
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
-    for k, v in BASE_CONF.items():
+    for k, v in {**BASE_CONF, **CONTEXT_CONF}.items():
         b = b.config(k, v)
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))

@@ -51,3 +51,16 @@ def test_trend_summary(spark):
     m = TS.monthly_series(_facts(spark), "ts", "amt")
     r = TS.trend_summary(m).first()
     assert r.first_y == 10.0 and r.last_y == 106.0 and r.trend == "growing"
+
+
+def test_reference_revenue_invariants(spark):
+    """Reference invariants on the catalogue forecast: 12 periods, positive
+    values, trend in its domain."""
+    import __spark_entry__ as E
+    from .conftest import SF01
+    q = E.queries()
+    f = q["forecast_trend_season"](spark, SF01).toPandas()
+    assert len(f) == 12 and (f["forecast"] > 0).all()
+    assert (f["lower_bound"] < f["forecast"]).all() and (f["forecast"] < f["upper_bound"]).all()
+    t = q["revenue_trend"](spark, SF01).first()
+    assert t.trend in ("growing", "declining", "stable")
