@@ -226,3 +226,12 @@ def risk_response(prob, anomaly_score, factors_col=None, contract="contract_type
         probability_segment(p4).alias("segment"),
         F.array(recommendation(tier, contract, security, support)).alias("recommendations"),
     )
+
+
+def split_valid(df, rules: dict, reasons: str = "violations"):
+    """``(valid, quarantine)`` frames; quarantine rows carry the names of
+    the rules they broke.  One projection, two filters — no second scan when
+    the caller persists or writes both from the same source."""
+    tagged = df.withColumn(reasons, violations(rules))
+    return (tagged.filter(F.size(reasons) == 0).drop(reasons),
+            tagged.filter(F.size(reasons) > 0))

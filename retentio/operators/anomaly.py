@@ -147,3 +147,15 @@ def isolation_forest(df: DataFrame, key: str, features, n_trees: int = 100,
     scored = score_isolation_forest(df, nodes_pdf, key, features, sample_size)
     thr = scored.select(F.percentile_approx("anomaly_score", 1.0 - contamination, 10000)).scalar()
     return scored.withColumn("is_anomaly", (F.col("anomaly_score") > thr).cast("int"))
+
+
+def save_forest(nodes: DataFrame, path: str) -> None:
+    """The forest is a node table; persist it as parquet."""
+    nodes.write.mode("overwrite").parquet(path)
+
+
+def score_with_saved_forest(df: DataFrame, path: str, key: str, features,
+                            sample_size: int = 256) -> DataFrame:
+    """Score with a saved node table (bounded: trees × 2ψ rows are read)."""
+    nodes_pdf = df.sparkSession.read.parquet(path).toPandas()
+    return score_isolation_forest(df, nodes_pdf, key, features, sample_size)

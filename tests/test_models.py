@@ -57,3 +57,26 @@ def test_isolation_forest_flags_outliers(spark):
     assert 0.03 < r["is_anomaly"].mean() < 0.07
     assert r.loc[r.id >= 5000, "is_anomaly"].all()
     assert r.loc[r.id >= 5000, "anomaly_score"].min() > r.loc[r.id < 5000, "anomaly_score"].median()
+
+
+def test_feature_importances_and_saved_forest(spark, tmp_path):
+    from retentio.operators.anomaly import fit_isolation_forest, save_forest, score_with_saved_forest
+    df = _train(spark)
+    m = MD.fit_churn(df, rounds=3)
+    imp = MD.feature_importances(m, FEATURE_COLUMNS, top=5).collect()
+    assert len(imp) == 5 and imp[0].importance >= imp[-1].importance
+    rows = spark.range(500).select("id", (F.col("id") % 17).cast("double").alias("a"),
+                                   (F.col("id") % 5).cast("double").alias("b"))
+    nodes = fit_isolation_forest(rows, "id", ["a", "b"], n_trees=10, sample_size=64)
+    path = str(tmp_path / "forest")
+    save_forest(nodes, path)
+    s = score_with_saved_forest(rows, path, "id", ["a", "b"], sample_size=64)
+    assert s.count() == 500 and s.filter("anomaly_score <= 0 or anomaly_score >= 1").count() == 0
+
+
+def test_split_valid(spark):
+    from retentio.functions.rules import split_valid
+    df = spark.createDataFrame([(1, 5.0), (None, -1.0), (3, -2.0)], "id int, x double")
+    good, bad = split_valid(df, {"id_present": F.col("id").isNotNull(), "x_non_negative": F.col("x") >= 0})
+    assert good.count() == 1 and bad.count() == 2
+    assert {tuple(r.violations) for r in bad.collect()} == {("id_present", "x_non_negative"), ("x_non_negative",)}
