@@ -8,7 +8,6 @@ projection.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .numeric import _c, flag
