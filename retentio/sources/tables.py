@@ -21,9 +21,29 @@ def table_path(sf_dir: str, name: str) -> str:
     return p
 
 
+_SCANS: dict = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Lazy parquet scan; Catalyst prunes columns and pushes filters into it."""
-    return spark.read.parquet(table_path(sf_dir, name))
+    """Lazy parquet scan; Catalyst prunes columns and pushes filters into it.
+
+    For a local single-file table the scan (file listing + footer schema) is
+    reused across queries of the same application, keyed by the file's size
+    and modification time so a rewritten file is read afresh.  Folders and
+    remote paths are always listed anew.
+    """
+    path = table_path(sf_dir, name)
+    local = path[len("file:"):] if path.startswith("file:") else path
+    if "://" in path or not os.path.isfile(local):
+        return spark.read.parquet(path)
+    st = os.stat(local)
+    key = (spark.sparkContext.applicationId, id(spark), os.path.abspath(local),
+           st.st_size, st.st_mtime_ns)
+    df = _SCANS.get(key)
+    if df is None:
+        df = spark.read.parquet(path)
+        _SCANS[key] = df
+    return df
 
 
 def with_event_time(df: DataFrame, cols) -> DataFrame:
