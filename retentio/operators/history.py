@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ranking import forward_fill, neighbours, prefix_sums
+from .ranking import forward_fill, neighbours
 
 
 def scd2(changes: DataFrame, key: str, ts: str, tracked, order_tiebreak: str | None = None,
@@ -18,8 +18,9 @@ def scd2(changes: DataFrame, key: str, ts: str, tracked, order_tiebreak: str | N
 
     The per-key sequence is scanned with ``ranking.neighbours`` (range
     partitioned on key + time, so one key holding a third of all rows is
-    still spread over many tasks) and versions are numbered with
-    ``ranking.prefix_sums`` — no window is partitioned by the key alone.
+    still spread over many tasks); the second pass (next version start)
+    also numbers the versions.  Two checkpointed passes, and no window is
+    partitioned by the key alone.
     """
     tracked = [tracked] if isinstance(tracked, str) else list(tracked)
     tb = [order_tiebreak] if order_tiebreak else []
@@ -30,10 +31,9 @@ def scd2(changes: DataFrame, key: str, ts: str, tracked, order_tiebreak: str | N
     starts = c.filter(F.col("prev__h").isNull() | (F.col("prev__h") != F.col("_h")))
     starts = starts.select(key, *tracked, F.col(ts).alias("valid_from"), *tb)
     v = neighbours(starts, ["valid_from", *tb], "valid_from", partition_by=[key],
-                   num_partitions=num_partitions, prev=False)
+                   num_partitions=num_partitions, prev=False, number="_version")
     v = v.withColumnRenamed("next_valid_from", "valid_to")
-    v = prefix_sums(v, ["valid_from", *tb], partition_by=[key], num_partitions=num_partitions)
-    v = v.withColumn("version", F.col("cum_rows").cast("int")).drop("cum_rows", "_group_total_rows")
+    v = v.withColumn("version", F.col("_version").cast("int"))
     return v.withColumn("is_current", F.col("valid_to").isNull()).select(
         key, *tracked, "valid_from", "valid_to", "version", "is_current")
 

@@ -129,7 +129,8 @@ def ntile_from_rank(rank: Column, n: Column, tiles: int) -> Column:
 
 
 def neighbours(df: DataFrame, order: list, cols, partition_by: list | None = None,
-               num_partitions: int | None = None, prev: bool = True, nxt: bool = True) -> DataFrame:
+               num_partitions: int | None = None, prev: bool = True, nxt: bool = True,
+               number: str | None = None) -> DataFrame:
     """Exact ``lag(c)`` / ``lead(c)`` over ``PARTITION BY partition_by ORDER BY order``.
 
     The frame is range-partitioned on (partition_by, order) — a group with a
@@ -138,6 +139,8 @@ def neighbours(df: DataFrame, order: list, cols, partition_by: list | None = Non
     first and last row of a partition take their neighbour from the
     adjacent non-empty partition, read from a table of partition edges that
     has at most ``num_partitions`` rows.  Adds ``prev_<c>`` / ``next_<c>``.
+    With ``number`` set, also adds that column: the exact 1-based
+    ``row_number()`` within the group, from the same single pass.
     """
     cols = [cols] if isinstance(cols, str) else list(cols)
     part = [F.col(p) if isinstance(p, str) else p for p in (partition_by or [])]
@@ -158,10 +161,30 @@ def neighbours(df: DataFrame, order: list, cols, partition_by: list | None = Non
     edges = edges.select("_pid", F.lag("last").over(w).alias("prev_last"),
                          F.lead("first").over(w).alias("next_first"))
     table = {r["_pid"]: (r["prev_last"], r["next_first"]) for r in edges.collect()}
+    offsets = {}
+    if number:
+        # rows of each partition's last group key, to carry row numbers forward
+        lk = ranged.groupBy("_pid").agg(F.max_by(F.struct(*[F.col(g) for g in gnames]), okey).alias("lk"),
+                                        F.min_by(F.struct(*[F.col(g) for g in gnames]), okey).alias("fk"))
+        lk_rows = lk.collect()  # ≤ num_partitions rows
+        lk_df = df.sparkSession.createDataFrame(
+            [(r["_pid"], *[r["lk"][g] for g in gnames]) for r in lk_rows],
+            T.StructType([T.StructField("_pid", T.IntegerType())] +
+                         [T.StructField(f"_lk{i}", ranged.schema[g].dataType) for i, g in enumerate(gnames)]))
+        cond = [ranged["_pid"] == lk_df["_pid"]] + [ranged[g] == lk_df[f"_lk{i}"] for i, g in enumerate(gnames)]
+        cnt = {r["_pid"]: r["n"] for r in ranged.join(F.broadcast(lk_df), cond)
+               .groupBy(ranged["_pid"]).agg(F.count(F.lit(1)).alias("n")).collect()}
+        running, prev_lk = 0, None
+        for r in sorted(lk_rows, key=lambda x: x["_pid"]):
+            fk, lkey = tuple(r["fk"][g] for g in gnames), tuple(r["lk"][g] for g in gnames)
+            off = running if prev_lk is not None and fk == prev_lk else 0
+            offsets[r["_pid"]] = off
+            running = (off if fk == lkey else 0) + cnt.get(r["_pid"], 0)
+            prev_lk = lkey
 
     sorted_ = ranged.sortWithinPartitions(*[F.col(g) for g in gnames], *ordc)
     fields = list(sorted_.schema.fields)
-    extra = []
+    extra = [T.StructField(number, T.LongType(), True)] if number else []
     for c in cols:
         dt = sorted_.schema[c].dataType
         if prev:
@@ -182,14 +205,27 @@ def neighbours(df: DataFrame, order: list, cols, partition_by: list | None = Non
         # next batch's first row is known (it may be the last row's "next").
         pending, pending_key = None, None
         prev_last = next_first = None
+        rn_key, rn_count = None, 0
         for pdf in batches:
             if pdf.empty:
                 continue
             if pending is None:
-                prev_last, next_first = table.get(int(pdf["_pid"].iat[0]), (None, None))
+                pid = int(pdf["_pid"].iat[0])
+                prev_last, next_first = table.get(pid, (None, None))
+                rn_count = offsets.get(pid, 0)
+                rn_key = None
             pdf = pdf.reset_index(drop=True)
             key = keys_of(pdf)
             same_prev, same_next = key.eq(key.shift(1)), key.eq(key.shift(-1))
+            if number:
+                seg = (~same_prev).cumsum()
+                within = pdf.groupby(seg).cumcount() + 1
+                first_seg = seg == seg.iat[0]
+                cont = rn_key is None or rn_key == key.iat[0]
+                base_n = rn_count if cont else 0
+                pdf[number] = (within + first_seg.astype("int64") * base_n).astype("int64")
+                rn_key = key.iat[-1]
+                rn_count = int(pdf[number].iat[-1])
             for c in cols:
                 vals = pdf[c].astype(object)
                 if prev:

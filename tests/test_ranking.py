@@ -86,3 +86,20 @@ def test_forward_fill_matches_window(spark):
         assert j.filter(~F.col("v").eqNullSafe(F.col("ref"))).count() == 0 and r.count() == 3000
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+
+
+def test_neighbours_row_number_multi_batch(spark):
+    from retentio.operators.ranking import neighbours
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "61")
+    try:
+        df = spark.range(0, 3000).select(
+            "id", F.when(F.col("id") < 1200, 0).otherwise(F.col("id") % 9).alias("k"),
+            ((F.col("id") * 37) % 700).alias("t"))
+        r = neighbours(df, ["t", "id"], ["id"], partition_by=["k"], num_partitions=10, number="rn")
+        w = Window.partitionBy("k").orderBy("t", "id")
+        ref = df.select("id", F.row_number().over(w).alias("rr"), F.lead("id").over(w).alias("n"))
+        j = r.join(ref, "id")
+        assert j.filter((F.col("rn") != F.col("rr")) | ~F.col("next_id").eqNullSafe(F.col("n"))).count() == 0
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
