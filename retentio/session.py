@@ -58,8 +58,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the cluster's ``spark.checkpoint.dir``; set one only when unset.
 
-    The fallback (a fresh temp folder) is meant for local tests only; a
-    cluster must name a shared folder in ``spark.checkpoint.dir``.
+    The fallback (a fresh temp folder) is allowed for ``local`` masters only,
+    as in tests; on a cluster a machine-local folder would not survive the
+    loss of an executor, so a missing setting is an error there.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -67,6 +68,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         conf_dir = tempfile.mkdtemp(prefix="retentio-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
