@@ -649,3 +649,17 @@ ORACLES["scd2_as_of"] = (
     f"({ORACLES['scd2_history']}) h ON h.customer_id = o.o_custkey "
     "AND h.valid_from <= o.o_orderdate - INTERVAL 90 DAY "
     "AND (h.valid_to IS NULL OR o.o_orderdate - INTERVAL 90 DAY < h.valid_to)")
+
+ORACLES["segment_revenue_growth"] = (
+    "WITH f AS (SELECT c.c_mktsegment AS series, CAST(date_trunc('month', o.o_orderdate) AS DATE) AS ds, "
+    "sum(CAST(o.o_totalprice AS DECIMAL(18,2))) AS y_dec, CAST(count(*) AS BIGINT) AS n "
+    "FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey GROUP BY 1, 2), "
+    "span AS (SELECT series, min(ds) AS lo, max(ds) AS hi FROM f GROUP BY series), "
+    "cal AS (SELECT series, CAST(unnest(generate_series(lo, hi, INTERVAL 1 MONTH)) AS DATE) AS ds FROM span), "
+    "m AS (SELECT cal.series, cal.ds, CAST(coalesce(f.y_dec, 0) AS DOUBLE) AS y, "
+    "CAST(coalesce(f.n, 0) AS BIGINT) AS n_orders FROM cal LEFT JOIN f ON cal.series = f.series AND cal.ds = f.ds) "
+    "SELECT series AS segment, ds, y, n_orders, lag(y) OVER w AS prev_y, "
+    "(y - lag(y) OVER w) * 100.0::DOUBLE / nullif(lag(y) OVER w, 0) AS mom_growth_pct, "
+    f"CASE WHEN count(y) OVER w3 = 3 THEN {npr('avg(y) OVER w3', 2)} END AS rolling_mean_3 FROM m "
+    "WINDOW w AS (PARTITION BY series ORDER BY ds), "
+    "w3 AS (PARTITION BY series ORDER BY ds ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING)")
