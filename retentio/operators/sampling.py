@@ -1,7 +1,8 @@
 """Deterministic samples and splits.
 
 The hash is portable (multiplicative, mod 2^32) so the same rows are chosen
-by Spark and by a SQL engine.  Valid for non-negative ids below 2^33.
+by Spark and by a SQL engine.  It is computed in 16-bit limbs, so no
+intermediate exceeds 2^49 and any 64-bit id works under ANSI overflow checks.
 """
 
 from __future__ import annotations
@@ -16,9 +17,16 @@ MOD32 = 4294967296
 
 
 def portable_hash(key, seed: int = 0) -> Column:
-    """(key · 2654435761 + seed) mod 2^32 — identical in any SQL engine."""
-    k = F.col(key) if isinstance(key, str) else key
-    return F.pmod(k.cast("long") * F.lit(KNUTH) + F.lit(seed), F.lit(MOD32))
+    """(key · 2654435761 + seed) mod 2^32 — identical in any SQL engine.
+
+    With k = key mod 2^32 = a + b·2^16 (a, b < 2^16):
+    k·M mod 2^32 = (a·M + ((b·M) mod 2^16)·2^16) mod 2^32.
+    """
+    k = F.pmod((F.col(key) if isinstance(key, str) else key).cast("long"), F.lit(MOD32))
+    a = F.pmod(k, F.lit(65536))
+    b = F.floor(k / F.lit(65536)).cast("long")
+    m = F.lit(KNUTH)
+    return F.pmod(a * m + F.pmod(b * m, F.lit(65536)) * F.lit(65536) + F.lit(seed), F.lit(MOD32))
 
 
 def exact_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:

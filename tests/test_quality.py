@@ -93,3 +93,11 @@ def test_summary_report_fields_and_length(spark):
     assert len(rows) == 12
     assert {r.report_type for r in rows} == {"executive", "churn", "revenue", "risk"}
     assert all(len(r.summary) > 50 for r in rows)
+
+
+def test_portable_hash_large_ids(spark):
+    from retentio.operators.sampling import portable_hash
+    ids = [0, 1, 12345, 2**31 - 1, 2**32 + 7, 15_000_000_000, 2**62 + 3]
+    df = spark.createDataFrame([(i,) for i in ids], "id long")
+    got = [r[0] for r in df.select(portable_hash("id", 42)).collect()]
+    assert got == [(i * 2654435761 + 42) % 4294967296 for i in ids]
