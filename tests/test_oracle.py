@@ -28,3 +28,7 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     rows = df.collect()
     assert len(rows) >= 1 and df.columns == ["contract_type", "n_customers", "churned", "churn_rate"]
+
+
+def test_every_oracle_has_a_query():
+    assert set(SQL) <= set(E.queries())
