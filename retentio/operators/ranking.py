@@ -39,7 +39,10 @@ def prefix_sums(df: DataFrame, order: list, weights: dict | None = None,
     must identify each row's position (end it with a unique key for ties).
     ``weights`` maps output suffix → integer Column; default counts rows and
     yields ``{prefix}rows`` (the row number).  ``partition_by`` restarts the
-    sums per group (e.g. per label) and also adds ``_group_total_<name>``.
+    sums per group (e.g. per label) and also adds ``_group_total_<name>``;
+    it is meant for few groups — for a high-cardinality key use
+    ``neighbours(..., number=...)``, whose edge table stays bounded by the
+    partition count.
     """
     weights = weights or {"rows": F.lit(1)}
     part = [F.col(p) if isinstance(p, str) else p for p in (partition_by or [])]
@@ -98,9 +101,11 @@ def prefix_sums(df: DataFrame, order: list, weights: dict | None = None,
                      F.lit(0)).alias(f"_off_{n_}") for n_ in wnames],
         *[F.sum(f"_tot_{n_}").over(Window.partitionBy(*gnames)).alias(f"_group_total_{n_}")
           for n_ in wnames])
-    # offsets has at most (#groups x num_partitions) rows: bounded by the
-    # partition count, so broadcasting it is safe at any data size.
-    j = numbered.join(F.broadcast(offsets), on=[*gnames, "_pid"], how="inner")
+    # offsets has at most (#groups x num_partitions) rows.  Without groups it
+    # is bounded by the partition count and is broadcast; with groups (meant
+    # for low-cardinality keys such as a label) AQE's size check decides.
+    offsets = F.broadcast(offsets) if not gnames else offsets
+    j = numbered.join(offsets, on=[*gnames, "_pid"], how="inner")
     out = j.withColumns({f"{prefix}{n_}": F.col(f"_off_{n_}") + F.col(f"_loc_{n_}")
                          for n_ in wnames})
     drop = wcols + gnames + ["_pid"] + [f"_loc_{n_}" for n_ in wnames] + \
