@@ -122,3 +122,21 @@ def test_strict_int_raises_on_null(spark):
     assert [x[0] for x in ok] == [1, 0]
     with pytest.raises(Exception):
         spark.createDataFrame([("1",), (None,)], "s string").select(strict_int("s")).collect()
+
+
+def test_tiers_monotone_in_probability(spark):
+    """Property: a higher probability never gets a lower tier."""
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    rank = {"LOW": 0, "MEDIUM": 1, "HIGH": 2}
+
+    @settings(max_examples=5, deadline=None)
+    @given(st.lists(st.floats(0.0, 1.0, allow_nan=False), min_size=2, max_size=50))
+    def check(ps):
+        df = spark.createDataFrame([(p,) for p in ps], "p double")
+        rows = sorted(df.select("p", R.risk_tier("p").alias("t")).collect(), key=lambda r: r.p)
+        tiers = [rank[r.t] for r in rows]
+        assert tiers == sorted(tiers)
+
+    check()
