@@ -23,23 +23,30 @@ ROLLING = (3, 6)
 
 def monthly_series(facts: DataFrame, ts: str, amount: str, series: str | None = None,
                    fill_gaps: bool = True) -> DataFrame:
-    """``(series, ds, y, n)`` per calendar month; missing months get 0.
+    """``(series, ds, y, n_orders)`` per calendar month; missing months get 0.
 
-    The calendar is built per series from its own first to last month with
-    ``sequence`` + ``explode`` — no driver loop, no cross join of all series.
+    One aggregation pass over the facts.  Gaps are filled from the aggregate
+    alone: ``lead(ds)`` per series (a window over #series × #months rows)
+    and a single ``explode`` that emits each month followed by the empty
+    months before the next one — the facts are never scanned a second time
+    for a calendar, and no union or join is needed.
     """
     keys = [F.col(series).alias("series")] if series else [F.lit("all").alias("series")]
     m = facts.groupBy(*keys, F.date_trunc("month", F.col(ts)).cast("date").alias("ds")).agg(
-        F.sum(F.col(amount).cast("decimal(18,2)")).alias("y_dec"),
+        F.sum(F.col(amount).cast("decimal(18,2)")).cast("double").alias("y"),
         F.count(F.lit(1)).alias("n_orders"))
     if not fill_gaps:
-        return m.select("series", "ds", F.col("y_dec").cast("double").alias("y"), "n_orders")
-    span = m.groupBy("series").agg(F.min("ds").alias("lo"), F.max("ds").alias("hi"))
-    cal = span.select("series", F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 MONTH"))).alias("ds"))
-    out = cal.join(m, ["series", "ds"], "left")
-    return out.select("series", "ds",
-                      F.coalesce(F.col("y_dec"), F.lit(0).cast("decimal(18,2)")).cast("double").alias("y"),
-                      F.coalesce(F.col("n_orders"), F.lit(0)).alias("n_orders"))
+        return m
+    nxt = F.lead("ds").over(Window.partitionBy("series").orderBy("ds"))
+    m = m.withColumn("_next", nxt)
+    gap = F.when(F.col("_next") > F.add_months("ds", 1),
+                 F.sequence(F.add_months("ds", 1), F.add_months("_next", -1),
+                            F.expr("INTERVAL 1 MONTH"))).otherwise(F.array().cast("array<date>"))
+    own = F.struct(F.col("ds").alias("ds"), F.col("y").alias("y"), F.col("n_orders").alias("n_orders"))
+    rows = F.concat(F.array(own), F.transform(gap, lambda d: F.struct(
+        d.alias("ds"), F.lit(0.0).alias("y"), F.lit(0).cast("long").alias("n_orders"))))
+    return m.select("series", F.explode(rows).alias("r")).select(
+        "series", "r.ds", "r.y", "r.n_orders")
 
 
 def _w(series: str = "series", ds: str = "ds"):
