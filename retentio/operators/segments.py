@@ -11,12 +11,18 @@ from .ranking import ntile_from_rank, row_number_global
 SEGMENT_NAMES = ["Champions", "Loyal Customers", "Potential Loyalists", "At Risk", "Lost"]
 
 
-def zscore(df: DataFrame, cols, suffix: str = "_z") -> DataFrame:
+def zscore(df: DataFrame, cols, suffix: str = "_z", materialize: bool = True) -> DataFrame:
     """M6: (x − mean) / population std; a zero std scales by 1.
 
     Statistics are one global aggregate (a scalar row joined back by a 1-row
-    broadcast), so the pass over the data stays narrow.
+    broadcast), so the pass over the data stays narrow.  The input is read
+    twice (statistics, then scaling); with ``materialize`` it is checkpointed
+    first so an expensive upstream plan runs once.
     """
+    if materialize:
+        from ..session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(df.sparkSession)
+        df = df.checkpoint(eager=True)
     stats = df.agg(*[F.avg(F.col(c).cast("double")).alias(f"_m_{c}") for c in cols],
                    *[F.stddev_pop(F.col(c).cast("double")).alias(f"_s_{c}") for c in cols])
     j = df.crossJoin(F.broadcast(stats))  # stats is exactly one row
