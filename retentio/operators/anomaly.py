@@ -140,7 +140,14 @@ def score_isolation_forest(df: DataFrame, nodes_pdf: pd.DataFrame, key: str, fea
 def isolation_forest(df: DataFrame, key: str, features, n_trees: int = 100,
                      sample_size: int = 256, contamination: float = 0.05,
                      seed: int = 42) -> DataFrame:
-    """M9: fit, score and flag the top ``contamination`` share as anomalies."""
+    """M9: fit, score and flag the top ``contamination`` share as anomalies.
+
+    The input is read by the count, the tree sampling, the scoring and the
+    threshold; its narrow projection (key + features) is checkpointed once.
+    """
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    df = df.select(key, *features).checkpoint(eager=True)
     nodes = fit_isolation_forest(df, key, features, n_trees, sample_size, seed)
     # bounded: at most n_trees * (2 * sample_size) rows
     nodes_pdf = nodes.toPandas()
