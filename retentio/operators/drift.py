@@ -10,8 +10,6 @@ rows per feature.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -118,14 +116,14 @@ def mean_shift(baseline: DataFrame, current: DataFrame, col: str,
                alarm_pct: float = PRED_DRIFT_ALARM_PCT) -> DataFrame:
     """Q4: |mean_cur − mean_base| / mean_base · 100 and the alarm flag.
 
-    Both means are one-row aggregates; combining two single rows is a
-    bounded cross join of 1 × 1.
+    Both means are one-row aggregates; the current one enters as a
+    struct-valued scalar subquery, so no join is planned.
     """
     b = baseline.agg(F.avg(F.col(col).cast("double")).alias("baseline_mean"),
                      F.count(F.lit(1)).alias("n_baseline"))
-    c = current.agg(F.avg(F.col(col).cast("double")).alias("current_mean"),
-                    F.count(F.lit(1)).alias("n_current"))
-    j = b.crossJoin(c)
+    c = current.select(F.struct(F.avg(F.col(col).cast("double")).alias("m"),
+                                F.count(F.lit(1)).alias("n"))).scalar()
+    j = b.select("*", c.getField("m").alias("current_mean"), c.getField("n").alias("n_current"))
     d = F.try_divide(F.abs(F.col("current_mean") - F.col("baseline_mean")) * 100.0,
                      F.col("baseline_mean"))
     return j.withColumn("drift_pct", d).withColumn("alarm", d > F.lit(alarm_pct))
@@ -153,9 +151,9 @@ def ks_statistic(baseline: DataFrame, current: DataFrame, col: str) -> DataFrame
 def monitoring_report(psi_df: DataFrame, shift_df: DataFrame, quality_df: DataFrame) -> DataFrame:
     """Q6: one row with the three statuses and ``retrain_required``."""
     q = quality_df.agg(F.bool_and("ok").alias("quality_ok"))
-    p = psi_df.agg(F.max("psi").alias("max_psi"))
-    s = shift_df.select(F.col("alarm").alias("prediction_drift"))
-    r = reduce(lambda x, y: x.crossJoin(y), [q, p, s])
+    p = psi_df.select(F.max("psi")).scalar()
+    s = shift_df.select(F.first("alarm")).scalar()
+    r = q.select("quality_ok", p.alias("max_psi"), s.alias("prediction_drift"))
     return r.withColumns({
         "feature_drift": F.col("max_psi") > F.lit(DRIFT_ALARM),
         "retrain_required": (F.col("max_psi") > F.lit(DRIFT_ALARM)) | F.col("prediction_drift")

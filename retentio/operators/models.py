@@ -56,8 +56,8 @@ def churn_members(features=FEATURE_COLUMNS, rounds: int = 300, seed: int = 42):
 def with_weights(df: DataFrame, label: str = "label") -> DataFrame:
     """Sample weights: member A weights positives by 3, member B is balanced."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n_c"))
-    total = counts.agg(F.sum("_n_c").alias("_n"))
-    w = counts.crossJoin(total).select(label, (F.col("_n") / (2.0 * F.col("_n_c"))).alias("w_b"))
+    total = counts.select(F.sum("_n_c")).scalar()
+    w = counts.select(label, (total / (2.0 * F.col("_n_c"))).alias("w_b"))
     out = df.join(F.broadcast(w), label)  # w has one row per class
     return out.withColumn("w_a", F.when(F.col(label) == 1, F.lit(POSITIVE_WEIGHT)).otherwise(1.0))
 

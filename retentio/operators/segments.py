@@ -14,8 +14,8 @@ SEGMENT_NAMES = ["Champions", "Loyal Customers", "Potential Loyalists", "At Risk
 def zscore(df: DataFrame, cols, suffix: str = "_z", materialize: bool = True) -> DataFrame:
     """M6: (x − mean) / population std; a zero std scales by 1.
 
-    Statistics are one global aggregate (a scalar row joined back by a 1-row
-    broadcast), so the pass over the data stays narrow.  The input is read
+    Statistics are one global aggregate entering as a struct-valued scalar
+    subquery (computed once, inlined), so the scaling pass stays narrow.  The input is read
     twice (statistics, then scaling); with ``materialize`` it is checkpointed
     first so an expensive upstream plan runs once.
     """
@@ -23,14 +23,12 @@ def zscore(df: DataFrame, cols, suffix: str = "_z", materialize: bool = True) ->
         from ..session import ensure_checkpoint_dir
         ensure_checkpoint_dir(df.sparkSession)
         df = df.checkpoint(eager=True)
-    stats = df.agg(*[F.avg(F.col(c).cast("double")).alias(f"_m_{c}") for c in cols],
-                   *[F.stddev_pop(F.col(c).cast("double")).alias(f"_s_{c}") for c in cols])
-    j = df.crossJoin(F.broadcast(stats))  # stats is exactly one row
-    out = j.withColumns({
-        f"{c}{suffix}": (F.col(c) - F.col(f"_m_{c}")) /
-        F.when(F.coalesce(F.col(f"_s_{c}"), F.lit(0.0)) == 0, F.lit(1.0)).otherwise(F.col(f"_s_{c}"))
+    st = df.select(F.struct(*[F.avg(F.col(c).cast("double")).alias(f"m_{c}") for c in cols],
+                            *[F.stddev_pop(F.col(c).cast("double")).alias(f"s_{c}") for c in cols])).scalar()
+    return df.withColumns({
+        f"{c}{suffix}": (F.col(c) - st.getField(f"m_{c}")) /
+        F.when(F.coalesce(st.getField(f"s_{c}"), F.lit(0.0)) == 0, F.lit(1.0)).otherwise(st.getField(f"s_{c}"))
         for c in cols})
-    return out.drop(*[f"_m_{c}" for c in cols], *[f"_s_{c}" for c in cols])
 
 
 def rfm(facts: DataFrame, key: str, ts: str, amount: str) -> DataFrame:
