@@ -110,3 +110,17 @@ def test_format_helpers(spark):
     r = df.select(money_text("m").alias("a"), pct_text("p").alias("b"), id_code("i").alias("c"),
                   month_text(__import__("pyspark.sql.functions", fromlist=["lit"]).lit("2024-03-05").cast("date")).alias("d")).first()
     assert (r.a, r.b, r.c, r.d) == ("$1,234", "12.3%", "CUST_000042", "2024-03")
+
+
+def test_churn_features_with_engagement(spark):
+    from retentio.operators.features import ENGAGEMENT_COLUMNS
+    b = _bronze(spark)
+    eng = spark.createDataFrame(
+        [("lower", 4, 1, 2, 3, 120.0, 40.0, 5.5, 1, 2, 60.5, 9)],
+        "customer_id string, " + ", ".join(
+            f"{c} {'double' if 'revenue' in c or c == 'avg_order_value' else 'int'}" for c in ENGAGEMENT_COLUMNS))
+    f = {r.customer_id: r for r in churn_features(b, eng).collect()}
+    assert f["lower"].total_support_tickets == 4 and f["lower"].negative_ticket_ratio == 0.25
+    assert f["lower"].lifetime_value == round(70.0 * 48 + 120.0, 2)
+    assert f["blank"].total_support_tickets == 0 and f["blank"].negative_ticket_ratio == 0.0
+    assert f["junk"].charge_to_ltv_ratio == 0.0   # ltv 0 → 0
