@@ -23,11 +23,14 @@ from pyspark.sql import types as T
 from ..session import ensure_checkpoint_dir
 
 
-def _num_partitions(df: DataFrame, num_partitions: int | None) -> int:
+def _range(df: DataFrame, num_partitions: int | None, *cols) -> DataFrame:
+    """Range-partition on ``cols``.  Without an explicit count Spark uses
+    ``spark.sql.shuffle.partitions`` and AQE may coalesce *adjacent* ranges
+    for small data, which keeps the global order; the checkpoint taken
+    afterwards fixes the partition ids both passes see."""
     if num_partitions:
-        return num_partitions
-    spark = df.sparkSession
-    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+        return df.repartitionByRange(num_partitions, *cols)
+    return df.repartitionByRange(*cols)
 
 
 def prefix_sums(df: DataFrame, order: list, weights: dict | None = None,
@@ -50,15 +53,13 @@ def prefix_sums(df: DataFrame, order: list, weights: dict | None = None,
     wnames = list(weights)
     wcols = [f"_w_{n}" for n in wnames]
     base = df.withColumns({c: w.cast("long") for c, w in zip(wcols, weights.values())})
-    n = _num_partitions(df, num_partitions)
     gnames = [f"_g{i}" for i in range(len(part))]
     # Range bounds are sampled per shuffle, so two evaluations of the same
     # exchange may cut at different points.  The partitioned frame is
     # therefore materialised once (reliable checkpoint in the shared
     # spark.checkpoint.dir) and both the totals and the numbering read it.
-    ranged = (base.withColumns({g: p for g, p in zip(gnames, part)})
-              .repartitionByRange(n, *part, *ordc)
-              .withColumn("_pid", F.spark_partition_id()))
+    ranged = _range(base.withColumns({g: p for g, p in zip(gnames, part)}), num_partitions,
+                    *part, *ordc).withColumn("_pid", F.spark_partition_id())
     ensure_checkpoint_dir(df.sparkSession)
     ranged = ranged.checkpoint(eager=True).sortWithinPartitions(*[F.col(g) for g in gnames], *ordc)
 
@@ -150,10 +151,9 @@ def neighbours(df: DataFrame, order: list, cols, partition_by: list | None = Non
     cols = [cols] if isinstance(cols, str) else list(cols)
     part = [F.col(p) if isinstance(p, str) else p for p in (partition_by or [])]
     ordc = [F.col(o) if isinstance(o, str) else o for o in order]
-    n = _num_partitions(df, num_partitions)
     gnames = [f"_g{i}" for i in range(len(part))]
     base = df.withColumns({g: p for g, p in zip(gnames, part)})
-    ranged = base.repartitionByRange(n, *[F.col(g) for g in gnames], *ordc) \
+    ranged = _range(base, num_partitions, *[F.col(g) for g in gnames], *ordc) \
         .withColumn("_pid", F.spark_partition_id())
     ensure_checkpoint_dir(df.sparkSession)
     ranged = ranged.checkpoint(eager=True)
@@ -271,10 +271,9 @@ def forward_fill(df: DataFrame, order: list, cols, partition_by: list | None = N
     cols = [cols] if isinstance(cols, str) else list(cols)
     part = [F.col(p) if isinstance(p, str) else p for p in (partition_by or [])]
     ordc = [F.col(o) if isinstance(o, str) else o for o in order]
-    n = _num_partitions(df, num_partitions)
     gnames = [f"_g{i}" for i in range(len(part))]
     base = df.withColumns({g: p for g, p in zip(gnames, part)})
-    ranged = base.repartitionByRange(n, *[F.col(g) for g in gnames], *ordc) \
+    ranged = _range(base, num_partitions, *[F.col(g) for g in gnames], *ordc) \
         .withColumn("_pid", F.spark_partition_id())
     ensure_checkpoint_dir(df.sparkSession)
     ranged = ranged.checkpoint(eager=True)
