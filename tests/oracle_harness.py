@@ -109,6 +109,7 @@ def main(argv):
     qs, sqls = E.queries(), E.oracle_sql()
     con = duck(sf_dir)
     bad = 0
+    tally = {}
     for k in keys or list(qs):
         try:
             r = compare(spark, con, k, qs[k], sqls.get(k), sf_dir)
@@ -116,7 +117,9 @@ def main(argv):
             r = {"key": k, "status": "ERROR", "err": str(e)[:800]}
         if r["status"] not in ("exact", "approx9", "rows-only"):
             bad += 1
+        tally[r["status"]] = tally.get(r["status"], 0) + 1
         print(r, flush=True)
+    print("SUMMARY", tally)
     print("FAILED", bad)
     return bad
 
