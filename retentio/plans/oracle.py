@@ -633,7 +633,7 @@ ORACLES["summary_report"] = with_base(
     "|| CAST(high_risk_customers AS VARCHAR) || ' customers at high risk need retention action.' "
     f"WHEN 'churn' THEN 'Churn analysis (' || {_RNG} || '): churn rate ' || {_RATE} || ' across ' || {_CUST} "
     "|| ' customers; ' || CAST(high_risk_customers AS VARCHAR) || ' are predicted to churn without action.' "
-    f"WHEN 'revenue' THEN 'Revenue intelligence (' || {_RNG} || '): ' || {_REVK} || ' thousand from ' "
+    f"WHEN 'revenue' THEN 'Revenue report (' || {_RNG} || '): ' || {_REVK} || ' thousand from ' "
     "|| CAST(n_orders AS VARCHAR) || ' orders placed by ' || CAST(n_customers AS VARCHAR) || ' customers.' "
     f"ELSE 'Risk assessment (' || {_RNG} || '): ' || CAST(high_risk_customers AS VARCHAR) || ' of ' || {_CUST} "
     "|| ' customers are HIGH risk; ' || CAST(n_customers AS VARCHAR) || ' customers ordered in the period.' END AS summary "
