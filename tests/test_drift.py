@@ -50,3 +50,13 @@ def test_mean_shift_alarm(spark):
     b = spark.range(100).select(((F.col("id") % 10) * 1.2).alias("p"))
     r = mean_shift(a, b, "p").first()
     assert abs(r.drift_pct - 20.0) < 1e-9 and r.alarm
+
+
+def test_psi_approx_edges_close_to_exact(spark):
+    """The bounded-memory option (percentile_approx edges) stays close to exact."""
+    rng = np.random.default_rng(5)
+    a = spark.createDataFrame([(float(v),) for v in rng.normal(0, 1, 3000)], "m double")
+    b = spark.createDataFrame([(float(v),) for v in rng.normal(0.3, 1, 3000)], "m double")
+    exact = psi(a, b, ["m"], exact=True).first().psi
+    approx = psi(a, b, ["m"], exact=False).first().psi
+    assert abs(exact - approx) < 0.01 and exact > 0.05
