@@ -9,6 +9,19 @@ here collects data-sized frames to the driver.  Sub-packages:
   series, drift, quality, ranking metrics, models, anomaly scores, SCD2)
 * ``plans``     — the query catalogue run on the test tables, with DuckDB twins
 * ``streaming`` — Structured Streaming ingest, scoring and activity rollups
+
+Typical use::
+
+    from retentio.session import get_session
+    from retentio.sources.bronze import read_csv, clean_telco, write_parquet
+    from retentio.operators.features import churn_features
+    from retentio.functions import rules as R
+
+    spark = get_session()
+    bronze = clean_telco(read_csv(spark, "s3://bucket/telco/"))
+    write_parquet(bronze, "s3://bucket/bronze/telco", partition_by="contract")
+    feats = churn_features(bronze)
+    scored = feats.withColumn("risk_tier", R.risk_tier("churn_prob"))  # with a model's prob
 """
 
 __version__ = "0.1.0"
