@@ -18,8 +18,8 @@ Typical use::
     from retentio.functions import rules as R
 
     spark = get_session()
-    bronze = clean_telco(read_csv(spark, "s3://bucket/telco/"))
-    write_parquet(bronze, "s3://bucket/bronze/telco", partition_by="contract")
+    bronze = clean_telco(read_csv(spark, "/data/raw/telco/"))
+    write_parquet(bronze, "/data/bronze/telco", partition_by="contract")
     feats = churn_features(bronze)
     scored = feats.withColumn("risk_tier", R.risk_tier("churn_prob"))  # with a model's prob
 """
