@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import decontam, fingerprint, licenses, mixing, secrets
+from . import decontam, fingerprint, jaccard, licenses, linededup, mixing, quality, secrets, toxicity, urls
+from .shared import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -25,6 +26,21 @@ def query(name: str):
     return deco
 
 
+def learnable(labels: DataFrame) -> DataFrame:
+    """The labels that may be learnt from."""
+    return labels.where(~held_out("doc_id"))
+
+
+@query("op1_toxicity")
+def op1_toxicity(spark, d):
+    docs, labels = read_table(spark, d, "documents"), read_table(spark, d, "labels")
+    lexicon = toxicity.fit(toxicity.training_sample(docs, learnable(labels)))
+    scored = toxicity.scan(docs, lexicon)
+    return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score",
+                         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+                         F.size("matches").alias("n_matches"))
+
+
 @query("op2_secrets")
 def op2_secrets(spark, d):
     docs = read_table(spark, d, "documents")
@@ -40,6 +56,15 @@ def op2_secrets(spark, d):
         F.array_join(F.transform("spans", text), ",").alias("spans"))
 
 
+@query("op3_quality")
+def op3_quality(spark, d):
+    docs, labels = read_table(spark, d, "documents"), read_table(spark, d, "labels")
+    model = quality.fit(quality.training_rows(docs, learnable(labels)))
+    return quality.scan(docs, model).select(
+        "doc_id", held_out("doc_id").alias("held_out"), "score",
+        (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
+
+
 @query("op4_mixing")
 def op4_mixing(spark, d):
     return (mixing.take(read_table(spark, d, "documents"))
@@ -123,6 +148,38 @@ def op6_fingerprints(spark, d):
     return fingerprint.edit_likeness(read_table(spark, d, "documents"))
 
 
+@query("op7_line_dedup")
+def op7_line_dedup(spark, d):
+    return linededup.report(read_table(spark, d, "documents"))
+
+
+@query("op8_url_filter")
+def op8_url_filter(spark, d):
+    return urls.judge(read_table(spark, d, "pages"))
+
+
+@query("op9_ngram_jaccard")
+def op9_ngram_jaccard(spark, d):
+    return jaccard.groups(read_table(spark, d, "documents"))
+
+
+ORACLES["op9_ngram_jaccard"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, list_distinct([array_to_string(w[k : k + 3], ' ') FOR k IN range(1, greatest(len(w) - 3, 1) + 1)]) AS s
+      FROM w WHERE len(w) > 0),
+n AS (SELECT doc_id, len(s) AS n FROM s),
+t AS (SELECT doc_id, unnest(s) AS t FROM s),
+i AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM t a JOIN t b ON a.t = b.t AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+link AS (SELECT a, b FROM i JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * i >= 85 * (x.n + y.n - i)),
+reach AS (SELECT a, b FROM link UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles,
+       least(w.doc_id, coalesce((SELECT min(b) FROM reach WHERE reach.a = w.doc_id), w.doc_id)) AS component_id
+FROM w LEFT JOIN n USING (doc_id)
+"""
+
+
 @query("op10_licenses")
 def op10_licenses(spark, d):
     return licenses.scan(read_table(spark, d, "documents"), licenses.known_texts(spark))

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,3 +21,32 @@ def cut(df: DataFrame) -> DataFrame:
 def held_out(id_col: str = "doc_id"):
     """Rows whose labels are never learnt from: crc32 of the id mod 4 is 2."""
     return F.coalesce(F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
+
+
+#: Address bits of the filter of ids: 2 ** 26 bits are 8 MB, whatever the data.
+FILTER_BITS = 26
+
+
+def passing(df: DataFrame, ids: DataFrame, col: str) -> DataFrame:
+    """The rows of ``df`` whose ``col`` may be among those of ``ids``.
+
+    A bitmap of hashed ids, of fixed size, is summed in Spark and broadcast;
+    rows that surely have no partner are left out before a join on ``col``,
+    which must follow.  Null ids are left out.
+    """
+    h = F.pmod(F.xxhash64(F.lit("filter"), F.col(col)), F.lit(1 << FILTER_BITS))
+    words = (ids.where(F.col(col).isNotNull()).select(h.alias("h"))
+             .select(F.shiftright("h", 6).alias("w"), F.col("h").bitwiseAND(F.lit(63)).cast("int").alias("k"))
+             .groupBy("w").agg(F.bit_or(F.expr("shiftleft(1L, k)")).alias("v")).toArrow())
+    bits = np.zeros(1 << (FILTER_BITS - 6), np.int64)
+    bits[words.column(0).to_numpy()] = words.column(1).to_numpy()
+    shared = df.sparkSession.sparkContext.broadcast(bits)
+    q = df.where(F.col(col).isNotNull()).withColumn("_h", h)
+
+    def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = shared.value
+        for batch in batches:
+            x = batch.column(batch.num_columns - 1).to_numpy()
+            yield batch.filter(pa.array((table[x >> 6] >> (x & 63) & 1).astype(bool)))
+
+    return q.mapInArrow(test, q.schema).drop("_h")
