@@ -35,7 +35,7 @@ ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
 MIN_CHARS = 16
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % MIN_CHARS)
 #: Nats a character by which random must beat ordinary.
-THRESHOLD = 0.5
+THRESHOLD = 0.3
 #: Documents sampled for the ordinary strings, at most, and random strings drawn.
 SAMPLE_DOCS = 5_000
 SAMPLE_RANDOM = 4_000
