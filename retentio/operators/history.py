@@ -17,18 +17,17 @@ def scd2(changes: DataFrame, key: str, ts: str, tracked, order_tiebreak: str | N
     version's ``valid_from`` (null = current); ``version`` numbers versions.
 
     The per-key sequence is scanned with ``ranking.neighbours`` (range
-    partitioned on key + time, so one key holding a third of all rows is
+    buckets over key + time, so one key holding a third of all rows is
     still spread over many tasks); the second pass (next version start)
-    also numbers the versions.  Two checkpointed passes, and no window is
-    partitioned by the key alone.
+    also numbers the versions.  Tracked values are compared null-safely.
     """
     tracked = [tracked] if isinstance(tracked, str) else list(tracked)
     tb = [order_tiebreak] if order_tiebreak else []
     c = changes.select(key, ts, *tracked, *tb,
-                       F.xxhash64(*[F.col(t) for t in tracked]).alias("_h"))
+                       F.struct(*[F.col(t) for t in tracked]).alias("_h"))
     c = neighbours(c, [ts, *tb], "_h", partition_by=[key], num_partitions=num_partitions,
                    nxt=False)
-    starts = c.filter(F.col("prev__h").isNull() | (F.col("prev__h") != F.col("_h")))
+    starts = c.filter(~F.col("prev__h").eqNullSafe(F.col("_h")))
     starts = starts.select(key, *tracked, F.col(ts).alias("valid_from"), *tb)
     v = neighbours(starts, ["valid_from", *tb], "valid_from", partition_by=[key],
                    num_partitions=num_partitions, prev=False, number="_version")
@@ -43,22 +42,21 @@ def as_of_lookup(history: DataFrame, points: DataFrame, key: str, at: str) -> Da
 
     An as-of join by sorting, not by pairs: points and versions are unioned,
     ordered by (key, time, versions before points) and the version columns
-    are forward-filled with ``ranking.forward_fill`` — range partitioned, so
+    are forward-filled with ``ranking.forward_fill`` over range buckets, so
     a key with a third of all rows is split across tasks and no key ever
-    compares all its points with all its versions.
+    compares all its points with all its versions.  Points of a null key meet
+    the versions of the null key.
     """
     vcols = [c for c in history.columns if c != key]
-    ver = history.select(F.col(key), F.col("valid_from").alias("_t"), F.lit(0).alias("_kind"),
+    value = F.struct(*[F.col(c) for c in vcols])
+    extra = [c for c in points.columns if c not in (key, at)]
+    ver = history.select(F.col(key), F.col("valid_from").alias("_t"), F.lit(0).alias("_kind"), value.alias("_v"),
                          F.lit(None).cast(points.schema[at].dataType).alias(at),
-                         F.struct(*[F.col(c) for c in vcols]).alias("_v"),
-                         F.lit(None).cast("long").alias("_pt"))
-    pts = points.withColumn("_pt", F.monotonically_increasing_id())
-    extra = [c for c in pts.columns if c not in (key, at, "_pt")]
-    p = pts.select(F.col(key), F.col(at).alias("_t"), F.lit(1).alias("_kind"), F.col(at),
-                   F.lit(None).cast(ver.schema["_v"].dataType).alias("_v"), "_pt", *extra)
-    ver = ver.select(*ver.columns, *[F.lit(None).cast(pts.schema[c].dataType).alias(c) for c in extra])
-    u = ver.unionByName(p)
-    filled = forward_fill(u, ["_t", "_kind", "_pt"], ["_v"], partition_by=[key])
+                         *[F.lit(None).cast(points.schema[c].dataType).alias(c) for c in extra])
+    p = points.select(F.col(key), F.col(at).alias("_t"), F.lit(1).alias("_kind"),
+                      F.lit(None).cast(ver.schema["_v"].dataType).alias("_v"), F.col(at), *extra)
+    # Versions of one instant go by their columns; points of one instant are alike.
+    filled = forward_fill(ver.unionByName(p), ["_t", "_kind", F.hash("_v").alias("_tie")], ["_v"], partition_by=[key])
     hit = filled.filter(F.col("_kind") == 1)
     ok = F.col("_v").isNotNull() & (F.col("_v.valid_to").isNull() | (F.col(at) < F.col("_v.valid_to")))
     return hit.select(key, at, *extra, *[F.when(ok, F.col(f"_v.{c}")).alias(c) for c in vcols])

@@ -34,10 +34,10 @@ def classifier_metrics(df: DataFrame, score: str, label: str, threshold: float =
         "fp_desc": F.col("_group_total_neg") - F.col("cum_neg") + F.col("neg"),
     })
     t = d.select(
-        (F.col("pos") * ((F.col("cum_neg") - F.col("neg")) + F.col("neg") / 2.0)).alias("u"),
+        (F.col("pos").cast("double") * ((F.col("cum_neg") - F.col("neg")) + F.col("neg") / 2.0)).alias("u"),
         F.col("_group_total_pos").alias("n_pos"), F.col("_group_total_neg").alias("n_neg"),
-        F.try_divide(F.col("pos") * F.col("tp_desc"),
-                     F.col("_group_total_pos") * (F.col("tp_desc") + F.col("fp_desc"))).alias("ap_term"),
+        F.try_divide(F.col("pos").cast("double") * F.col("tp_desc"),
+                     F.col("_group_total_pos").cast("double") * (F.col("tp_desc") + F.col("fp_desc"))).alias("ap_term"),
         F.when(F.col("s") >= threshold, F.col("pos")).otherwise(0).alias("tp"),
         F.when(F.col("s") >= threshold, F.col("neg")).otherwise(0).alias("fp"),
         F.when(F.col("s") < threshold, F.col("pos")).otherwise(0).alias("fn"))
@@ -47,7 +47,7 @@ def classifier_metrics(df: DataFrame, score: str, label: str, threshold: float =
     prec = F.coalesce(F.try_divide(F.col("tp"), F.col("tp") + F.col("fp")), F.lit(0.0))
     rec = F.coalesce(F.try_divide(F.col("tp"), F.col("tp") + F.col("fn")), F.lit(0.0))
     out = a.withColumns({
-        "roc_auc": F.try_divide(F.col("u"), F.col("n_pos") * F.col("n_neg")),
+        "roc_auc": F.try_divide(F.col("u"), F.col("n_pos").cast("double") * F.col("n_neg")),
         "precision": prec, "recall": rec})
     out = out.withColumn("f1", F.coalesce(F.try_divide(
         2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall")), F.lit(0.0)))
@@ -76,7 +76,7 @@ def confusion_report(df: DataFrame, pred: Column, label: str) -> DataFrame:
 
 def gain_curve(df: DataFrame, score: str, label: str, key: str, tiles: int = 10) -> DataFrame:
     """Deciles by score (desc, key asc): positives and cumulative capture."""
-    r = row_number_global(df.select(score, label, key), [F.desc(score), F.asc(key)])
+    r = row_number_global(df.select(score, label, key), [-F.col(score), key])
     r = r.withColumn("decile", ntile_from_rank(F.col("rn"), F.col("n_in_group"), tiles))
     g = r.groupBy("decile").agg(F.count(F.lit(1)).alias("n"),
                                 F.sum(F.col(label).cast("long")).alias("positives"))

@@ -1,125 +1,96 @@
-"""Exact global ranks and running sums without a single-task window.
-
-``Window.orderBy`` with no ``partitionBy`` moves every row into one task.
-``prefix_sums`` instead range-partitions on the full ordering (the key
-already includes the tie-break column, so even a value held by a third of
-all rows is split across partitions), checkpoints that partitioning once,
-numbers rows inside each partition with a per-partition pass
-(``mapInPandas``; the only imperative step) and adds each partition's
-offset, taken from a per-partition total that has at most
-``num_partitions`` rows per group.  The data is shuffled once.
-
-Results equal ``sum(w) OVER (PARTITION BY g ORDER BY k ROWS UNBOUNDED
-PRECEDING)`` exactly for integer weights.
+"""Exact global ranks, running sums, neighbours and fills without a hot task.
+
+A window over a whole table, or over a key that holds a third of all rows, is
+one task.  The functions here cut the order into range buckets first: bounds
+are chosen over (group, order) from a bounded sample of the keys, every row's
+bucket follows by comparison, and ordinary Spark windows run within (group,
+bucket).  What crosses a bucket's border comes from a small table of bucket
+totals or edges.  Rows are shuffled once and stay in the JVM; where the bounds
+fall has no bearing on the result.
+
+``order`` lists ascending Columns or names (negate numbers for descending
+order); it must end with a unique key where ties matter.  Nulls come first.  A
+null group is a group of its own.
 """
 
 from __future__ import annotations
 
-import pandas as pd
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..session import ensure_checkpoint_dir
+#: Sampled keys per bucket.
+SAMPLE = 32
+
+
+def _columns(cols) -> list[Column]:
+    return [F.col(c) if isinstance(c, str) else c for c in (cols or [])]
+
+
+def _bucketed(df: DataFrame, order: list, partition_by: list | None, buckets: int | None) -> DataFrame:
+    """Adds ``_g`` (group), ``_o`` (order), ``_b`` (bucket) and ``_split``:
+    whether the row's group may lie in several buckets.
+
+    The sample is the rows of least key hash, so it is bounded by
+    ``SAMPLE * buckets`` and needs no count.  Comparison takes two steps over
+    about the square root of the number of buckets each.
+    """
+    spark = df.sparkSession
+    n = buckets or max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    g = F.struct(*_columns(partition_by)) if partition_by else F.struct(F.lit(0).alias("all"))
+    df = df.withColumn("_g", g).withColumn("_o", F.struct(*_columns(order)))
+    key = F.struct("_g", "_o")
+    sample = df.select(key.alias("k")).orderBy(F.xxhash64("k"), "k").limit(SAMPLE * n)
+    rn = F.row_number().over(Window.orderBy("k"))  # at most SAMPLE * n rows
+    bounds = (sample.withColumn("r", rn).where(F.col("r") % SAMPLE == 0)
+              .select(F.array_sort(F.collect_list("k"))).scalar())
+    step = max(1, math.isqrt(n))
+    df = df.withColumn("_bounds", bounds).withColumn("_k", key)
+    coarse = F.filter("_bounds", lambda b, i: (i % step == step - 1) & (b < F.col("_k")))
+    df = df.withColumn("_c", F.size(coarse) * step)
+    fine = F.filter(F.slice("_bounds", F.col("_c") + 1, F.lit(step)), lambda b: b < F.col("_k"))
+    split = F.exists("_bounds", lambda b: b["_g"] == F.col("_g"))
+    return df.withColumn("_b", F.col("_c") + F.size(fine)).withColumn("_split", split).drop("_bounds", "_k", "_c")
+
+
+_INNER = ["_g", "_b"]
 
 
-def _range(df: DataFrame, num_partitions: int | None, *cols) -> DataFrame:
-    """Range-partition on ``cols``.  Without an explicit count Spark uses
-    ``spark.sql.shuffle.partitions`` and AQE may coalesce *adjacent* ranges
-    for small data, which keeps the global order; the checkpoint taken
-    afterwards fixes the partition ids both passes see."""
-    if num_partitions:
-        return df.repartitionByRange(num_partitions, *cols)
-    return df.repartitionByRange(*cols)
+def _inside():
+    return Window.partitionBy(*_INNER).orderBy("_o")
 
 
 def prefix_sums(df: DataFrame, order: list, weights: dict | None = None,
                 partition_by: list | None = None, num_partitions: int | None = None,
                 prefix: str = "cum_") -> DataFrame:
-    """Add inclusive running sums of integer ``weights`` in ``order``.
+    """Inclusive running sums of integer ``weights`` in ``order``.
 
-    ``order`` is a list of Columns/names (use ``F.desc`` for descending) that
-    must identify each row's position (end it with a unique key for ties).
-    ``weights`` maps output suffix → integer Column; default counts rows and
-    yields ``{prefix}rows`` (the row number).  ``partition_by`` restarts the
-    sums per group (e.g. per label) and also adds ``_group_total_<name>``;
-    it is meant for few groups — for a high-cardinality key use
-    ``neighbours(..., number=...)``, whose edge table stays bounded by the
-    partition count.
+    ``weights`` maps output suffix to an integer Column; the default counts
+    rows (``{prefix}rows``, the row number).  ``partition_by`` restarts the
+    sums per group; ``_group_total_<name>`` is the group's sum.
     """
     weights = weights or {"rows": F.lit(1)}
-    part = [F.col(p) if isinstance(p, str) else p for p in (partition_by or [])]
-    ordc = [F.col(o) if isinstance(o, str) else o for o in order]
-    wnames = list(weights)
-    wcols = [f"_w_{n}" for n in wnames]
-    base = df.withColumns({c: w.cast("long") for c, w in zip(wcols, weights.values())})
-    gnames = [f"_g{i}" for i in range(len(part))]
-    # Range bounds are sampled per shuffle, so two evaluations of the same
-    # exchange may cut at different points.  The partitioned frame is
-    # therefore materialised once (reliable checkpoint in the shared
-    # spark.checkpoint.dir) and both the totals and the numbering read it.
-    ranged = _range(base.withColumns({g: p for g, p in zip(gnames, part)}), num_partitions,
-                    *part, *ordc).withColumn("_pid", F.spark_partition_id())
-    ensure_checkpoint_dir(df.sparkSession)
-    ranged = ranged.checkpoint(eager=True).sortWithinPartitions(*[F.col(g) for g in gnames], *ordc)
-
-    schema = T.StructType(ranged.schema.fields + [
-        T.StructField(f"_loc_{n_}", T.LongType(), False) for n_ in wnames])
-
-    def number(batches):
-        # vectorised running sums; segments restart where the group key changes
-        carry = {n_: 0 for n_ in wnames}
-        last_key = None
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            if gnames:
-                k = pdf[gnames].astype(object)
-                changed = (k != k.shift()).any(axis=1)
-                cont = last_key is not None and tuple(k.iloc[0]) == last_key
-                changed.iat[0] = not cont
-                last_key = tuple(k.iloc[-1])
-            else:
-                changed = pd.Series(False, index=pdf.index)
-                cont = last_key is not None
-                last_key = ()
-            seg = changed.cumsum()
-            for n_, c in zip(wnames, wcols):
-                cs = pdf[c].astype("int64").groupby(seg).cumsum()
-                if cont:
-                    cs = cs.where(seg != seg.iat[0], cs + carry[n_])
-                pdf[f"_loc_{n_}"] = cs.astype("int64")
-                carry[n_] = int(cs.iat[-1])
-            yield pdf
-
-    numbered = ranged.mapInPandas(number, schema)
-    totals = ranged.groupBy(*gnames, "_pid").agg(
-        *[F.sum(c).alias(f"_tot_{n_}") for n_, c in zip(wnames, wcols)])
-    w = Window.partitionBy(*gnames).orderBy("_pid")
-    offsets = totals.select(
-        *gnames, "_pid",
-        *[F.coalesce(F.sum(f"_tot_{n_}").over(w.rowsBetween(Window.unboundedPreceding, -1)),
-                     F.lit(0)).alias(f"_off_{n_}") for n_ in wnames],
-        *[F.sum(f"_tot_{n_}").over(Window.partitionBy(*gnames)).alias(f"_group_total_{n_}")
-          for n_ in wnames])
-    # offsets has at most (#groups x num_partitions) rows.  Without groups it
-    # is bounded by the partition count and is broadcast; with groups (meant
-    # for low-cardinality keys such as a label) AQE's size check decides.
-    offsets = F.broadcast(offsets) if not gnames else offsets
-    j = numbered.join(offsets, on=[*gnames, "_pid"], how="inner")
-    out = j.withColumns({f"{prefix}{n_}": F.col(f"_off_{n_}") + F.col(f"_loc_{n_}")
-                         for n_ in wnames})
-    drop = wcols + gnames + ["_pid"] + [f"_loc_{n_}" for n_ in wnames] + \
-        [f"_off_{n_}" for n_ in wnames]
-    return out.drop(*drop)
+    base = df.withColumns({f"_w_{n}": w.cast("long") for n, w in weights.items()})
+    base = _bucketed(base, order, partition_by, num_partitions)
+    totals = base.groupBy(*_INNER).agg(*[F.sum(f"_w_{n}").alias(f"_t_{n}") for n in weights])
+    w = Window.partitionBy("_g").orderBy("_b")
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*_INNER, *[F.coalesce(F.sum(f"_t_{n}").over(before), F.lit(0)).alias(f"_off_{n}") for n in weights],
+                            *[F.sum(f"_t_{n}").over(Window.partitionBy("_g")).alias(f"_group_total_{n}") for n in weights])
+    # Without groups the offsets are one row per bucket, a bound that is known.
+    offsets = offsets if partition_by else F.broadcast(offsets)
+    run = _inside().rowsBetween(Window.unboundedPreceding, 0)
+    local = base.withColumns({f"_loc_{n}": F.sum(f"_w_{n}").over(run) for n in weights})
+    out = local.join(offsets, _INNER).withColumns({f"{prefix}{n}": F.col(f"_off_{n}") + F.col(f"_loc_{n}") for n in weights})
+    return out.select(*df.columns, *[f"{prefix}{n}" for n in weights], *[f"_group_total_{n}" for n in weights])
 
 
 def row_number_global(df: DataFrame, order: list, partition_by: list | None = None,
                       name: str = "rn", num_partitions: int | None = None) -> DataFrame:
     """Exact ``row_number()`` plus the group size ``n_in_group``."""
     r = prefix_sums(df, order, {"rows": F.lit(1)}, partition_by, num_partitions)
-    return (r.withColumnRenamed("cum_rows", name)
-            .withColumnRenamed("_group_total_rows", "n_in_group"))
+    return r.withColumnsRenamed({"cum_rows": name, "_group_total_rows": "n_in_group"})
 
 
 def ntile_from_rank(rank: Column, n: Column, tiles: int) -> Column:
@@ -134,196 +105,54 @@ def ntile_from_rank(rank: Column, n: Column, tiles: int) -> Column:
         rem + F.floor((rank - big - 1) / F.greatest(q, F.lit(1))) + 1).cast("int")
 
 
+def _edges(base: DataFrame, *aggs: Column) -> DataFrame:
+    """Aggregates per bucket of the groups that lie in several.
+
+    Each bound splits one group at most, so there are at most two rows per
+    bucket: the table may be broadcast.
+    """
+    return base.where("_split").groupBy(*_INNER).agg(*aggs)
+
+
 def neighbours(df: DataFrame, order: list, cols, partition_by: list | None = None,
                num_partitions: int | None = None, prev: bool = True, nxt: bool = True,
                number: str | None = None) -> DataFrame:
     """Exact ``lag(c)`` / ``lead(c)`` over ``PARTITION BY partition_by ORDER BY order``.
 
-    The frame is range-partitioned on (partition_by, order) — a group with a
-    third of all rows is split over many partitions — and checkpointed once.
-    Inside each partition the shift is vectorised (``mapInPandas``); the
-    first and last row of a partition take their neighbour from the
-    adjacent non-empty partition, read from a table of partition edges that
-    has at most ``num_partitions`` rows.  Adds ``prev_<c>`` / ``next_<c>``.
-    With ``number`` set, also adds that column: the exact 1-based
-    ``row_number()`` within the group, from the same single pass.
+    Adds ``prev_<c>`` / ``next_<c>`` and, with ``number`` set, that column:
+    the 1-based ``row_number()`` within the group.
     """
     cols = [cols] if isinstance(cols, str) else list(cols)
-    part = [F.col(p) if isinstance(p, str) else p for p in (partition_by or [])]
-    ordc = [F.col(o) if isinstance(o, str) else o for o in order]
-    gnames = [f"_g{i}" for i in range(len(part))]
-    base = df.withColumns({g: p for g, p in zip(gnames, part)})
-    ranged = _range(base, num_partitions, *[F.col(g) for g in gnames], *ordc) \
-        .withColumn("_pid", F.spark_partition_id())
-    ensure_checkpoint_dir(df.sparkSession)
-    ranged = ranged.checkpoint(eager=True)
-    # partition edges: first and last row (group key + cols) of each non-empty partition
-    okey = F.struct(*[F.col(g) for g in gnames], *ordc)
-    payload = F.struct(*[F.col(g).alias(g) for g in gnames], *[F.col(c).alias(c) for c in cols])
-    edges = ranged.groupBy("_pid").agg(F.min_by(payload, okey).alias("first"),
-                                       F.max_by(payload, okey).alias("last"))
-    w = Window.orderBy("_pid")  # at most num_partitions rows
-    edges = edges.select("_pid", F.lag("last").over(w).alias("prev_last"),
-                         F.lead("first").over(w).alias("next_first"))
-    table = {r["_pid"]: (r["prev_last"], r["next_first"]) for r in edges.collect()}
-    offsets = {}
+    base = _bucketed(df, order, partition_by, num_partitions)
+    payload = F.struct(*[F.col(c) for c in cols])
+    w = Window.partitionBy("_g").orderBy("_b")
+    edges = _edges(base, F.min_by(payload, F.col("_o")).alias("first"), F.max_by(payload, F.col("_o")).alias("last"),
+                   F.count("*").alias("n"))
+    edges = edges.select(*_INNER, F.lag("last").over(w).alias("_before"), F.lead("first").over(w).alias("_after"),
+                         F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_rows"))
+    inner = _inside()
+    out = base.withColumns({"_rn": F.row_number().over(inner), "_end": F.lead(F.lit(1)).over(inner).isNull(),
+                            **({f"prev_{c}": F.lag(c).over(inner) for c in cols} if prev else {}),
+                            **({f"next_{c}": F.lead(c).over(inner) for c in cols} if nxt else {})})
+    out = out.join(F.broadcast(edges), _INNER, "left")
+    if prev:
+        out = out.withColumns({f"prev_{c}": F.when(F.col("_rn") == 1, F.col("_before")[c]).otherwise(F.col(f"prev_{c}")) for c in cols})
+    if nxt:
+        out = out.withColumns({f"next_{c}": F.when(F.col("_end"), F.col("_after")[c]).otherwise(F.col(f"next_{c}")) for c in cols})
     if number:
-        # rows of each partition's last group key, to carry row numbers forward
-        lk = ranged.groupBy("_pid").agg(F.max_by(F.struct(*[F.col(g) for g in gnames]), okey).alias("lk"),
-                                        F.min_by(F.struct(*[F.col(g) for g in gnames]), okey).alias("fk"))
-        lk_rows = lk.collect()  # ≤ num_partitions rows
-        lk_df = df.sparkSession.createDataFrame(
-            [(r["_pid"], *[r["lk"][g] for g in gnames]) for r in lk_rows],
-            T.StructType([T.StructField("_pid", T.IntegerType())] +
-                         [T.StructField(f"_lk{i}", ranged.schema[g].dataType) for i, g in enumerate(gnames)]))
-        cond = [ranged["_pid"] == lk_df["_pid"]] + [ranged[g] == lk_df[f"_lk{i}"] for i, g in enumerate(gnames)]
-        cnt = {r["_pid"]: r["n"] for r in ranged.join(F.broadcast(lk_df), cond)
-               .groupBy(ranged["_pid"]).agg(F.count(F.lit(1)).alias("n")).collect()}
-        running, prev_lk = 0, None
-        for r in sorted(lk_rows, key=lambda x: x["_pid"]):
-            fk, lkey = tuple(r["fk"][g] for g in gnames), tuple(r["lk"][g] for g in gnames)
-            off = running if prev_lk is not None and fk == prev_lk else 0
-            offsets[r["_pid"]] = off
-            running = (off if fk == lkey else 0) + cnt.get(r["_pid"], 0)
-            prev_lk = lkey
-
-    sorted_ = ranged.sortWithinPartitions(*[F.col(g) for g in gnames], *ordc)
-    fields = list(sorted_.schema.fields)
-    extra = [T.StructField(number, T.LongType(), True)] if number else []
-    for c in cols:
-        dt = sorted_.schema[c].dataType
-        if prev:
-            extra.append(T.StructField(f"prev_{c}", dt, True))
-        if nxt:
-            extra.append(T.StructField(f"next_{c}", dt, True))
-    schema = T.StructType(fields + extra)
-
-    def keys_of(pdf):
-        return (pdf[gnames].astype(object).apply(tuple, axis=1) if gnames
-                else pd.Series([()] * len(pdf), index=pdf.index))
-
-    def edge_key(row):
-        return tuple(row[g] for g in gnames)
-
-    def shift(batches):
-        # Streams the partition batch by batch: a batch is emitted once the
-        # next batch's first row is known (it may be the last row's "next").
-        pending, pending_key = None, None
-        prev_last = next_first = None
-        rn_key, rn_count = None, 0
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            if pending is None:
-                pid = int(pdf["_pid"].iat[0])
-                prev_last, next_first = table.get(pid, (None, None))
-                rn_count = offsets.get(pid, 0)
-                rn_key = None
-            pdf = pdf.reset_index(drop=True)
-            key = keys_of(pdf)
-            same_prev, same_next = key.eq(key.shift(1)), key.eq(key.shift(-1))
-            if number:
-                seg = (~same_prev).cumsum()
-                within = pdf.groupby(seg).cumcount() + 1
-                first_seg = seg == seg.iat[0]
-                cont = rn_key is None or rn_key == key.iat[0]
-                base_n = rn_count if cont else 0
-                pdf[number] = (within + first_seg.astype("int64") * base_n).astype("int64")
-                rn_key = key.iat[-1]
-                rn_count = int(pdf[number].iat[-1])
-            for c in cols:
-                vals = pdf[c].astype(object)
-                if prev:
-                    v = vals.shift(1).where(same_prev, None)
-                    if pending is not None:
-                        if pending_key.iat[-1] == key.iat[0]:
-                            v.iat[0] = pending[c].iat[-1]
-                    elif prev_last is not None and edge_key(prev_last) == key.iat[0]:
-                        v.iat[0] = prev_last[c]
-                    pdf[f"prev_{c}"] = v
-                if nxt:
-                    pdf[f"next_{c}"] = vals.shift(-1).where(same_next, None)
-                    if pending is not None and pending_key.iat[-1] == key.iat[0]:
-                        pending.at[len(pending) - 1, f"next_{c}"] = vals.iat[0]
-            if pending is not None:
-                yield pending
-            pending, pending_key = pdf, key
-        if pending is not None:
-            if nxt and next_first is not None and edge_key(next_first) == pending_key.iat[-1]:
-                for c in cols:
-                    pending.at[len(pending) - 1, f"next_{c}"] = next_first[c]
-            yield pending
-
-    out = sorted_.mapInPandas(shift, schema)
-    return out.drop("_pid", *gnames)
+        out = out.withColumn(number, (F.col("_rn") + F.coalesce("_rows", F.lit(0))).cast("long"))
+    return out.drop("_g", "_o", "_b", "_split", "_rn", "_end", "_before", "_after", "_rows")
 
 
 def forward_fill(df: DataFrame, order: list, cols, partition_by: list | None = None,
                  num_partitions: int | None = None) -> DataFrame:
     """``last(c, ignorenulls) OVER (PARTITION BY p ORDER BY o ROWS UNBOUNDED
-    PRECEDING)`` for each of ``cols``, exactly, without a key-only window.
-
-    Same scaffold as ``neighbours``: range partitioning on (p, o), one
-    checkpoint, a per-partition vectorised fill, and the carry into each
-    partition taken from the last non-null value per column of the nearest
-    earlier partition with the same group key (a table of ≤ partitions rows).
-    """
+    PRECEDING)`` for each of ``cols``, exactly."""
     cols = [cols] if isinstance(cols, str) else list(cols)
-    part = [F.col(p) if isinstance(p, str) else p for p in (partition_by or [])]
-    ordc = [F.col(o) if isinstance(o, str) else o for o in order]
-    gnames = [f"_g{i}" for i in range(len(part))]
-    base = df.withColumns({g: p for g, p in zip(gnames, part)})
-    ranged = _range(base, num_partitions, *[F.col(g) for g in gnames], *ordc) \
-        .withColumn("_pid", F.spark_partition_id())
-    ensure_checkpoint_dir(df.sparkSession)
-    ranged = ranged.checkpoint(eager=True)
-    okey = F.struct(*[F.col(g) for g in gnames], *ordc)
-    # per partition: its last group key and, per column, the last non-null
-    # value within that last group (with the key it belongs to)
-    aggs = [F.max_by(F.struct(*[F.col(g) for g in gnames]), okey).alias("last_key")]
-    for c in cols:
-        aggs.append(F.max_by(F.struct(*[F.col(g).alias(g) for g in gnames], F.col(c).alias("v")),
-                             F.when(F.col(c).isNotNull(), okey)).alias(f"lnn_{c}"))
-    edges = ranged.groupBy("_pid").agg(*aggs).collect()  # ≤ num_partitions rows
-    edges = sorted(edges, key=lambda r: r["_pid"])
-    carry_in, running = {}, {c: None for c in cols}
-    for r in edges:
-        carry_in[r["_pid"]] = dict(running)
-        for c in cols:
-            lnn = r[f"lnn_{c}"]
-            if lnn is not None and lnn["v"] is not None:
-                running[c] = (tuple(lnn[g] for g in gnames), lnn["v"])
-
-    sorted_ = ranged.sortWithinPartitions(*[F.col(g) for g in gnames], *ordc)
-    schema = T.StructType([f if f.name not in cols else T.StructField(f.name, f.dataType, True)
-                           for f in sorted_.schema.fields])
-
-    def fill(batches):
-        carry = None
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            pdf = pdf.reset_index(drop=True)
-            if carry is None:
-                carry = {c: v for c, v in carry_in.get(int(pdf["_pid"].iat[0]), {}).items() if v}
-            key = (pdf[gnames].astype(object).apply(tuple, axis=1) if gnames
-                   else pd.Series([()] * len(pdf)))
-            seg = (key != key.shift(1)).cumsum()
-            for c in cols:
-                v = pdf[c].astype(object).where(pdf[c].notna(), None)
-                filled = v.groupby(seg).ffill()
-                first_seg = seg == seg.iat[0]
-                ck = carry.get(c)
-                if ck is not None and ck[0] == key.iat[0]:
-                    filled = filled.where(~(first_seg & filled.isna()), pd.Series([ck[1]] * len(filled),
-                                                                                   index=filled.index))
-                filled = filled.astype(object).where(filled.notna(), None)
-                pdf[c] = filled
-                lastv = filled.iat[-1]
-                if lastv is not None and not (isinstance(lastv, float) and pd.isna(lastv)):
-                    carry[c] = (key.iat[-1], lastv)
-                elif ck is None or ck[0] != key.iat[-1]:
-                    carry.pop(c, None)
-            yield pdf
-
-    return sorted_.mapInPandas(fill, schema).drop("_pid", *gnames)
+    base = _bucketed(df, order, partition_by, num_partitions)
+    edges = _edges(base, *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col("_o"))).alias(f"_last_{c}") for c in cols])
+    before = Window.partitionBy("_g").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    edges = edges.select(*_INNER, *[F.last(f"_last_{c}", ignorenulls=True).over(before).alias(f"_carry_{c}") for c in cols])
+    run = _inside().rowsBetween(Window.unboundedPreceding, 0)
+    out = base.withColumns({c: F.last(c, ignorenulls=True).over(run) for c in cols}).join(F.broadcast(edges), _INNER, "left")
+    return out.withColumns({c: F.coalesce(c, f"_carry_{c}") for c in cols}).select(*df.columns)

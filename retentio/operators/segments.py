@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .ranking import ntile_from_rank, row_number_global
+from ..session import ensure_checkpoint_dir
+from .ranking import row_number_global
 
 # Segment names of the reference, in id order.
-SEGMENT_NAMES = ["Champions", "Loyal Customers", "Potential Loyalists", "At Risk", "Lost"]
+SEGMENT_NAMES = ["Champions", "Loyal Customers", "At Risk", "Hibernating", "Lost"]
 
 
 def zscore(df: DataFrame, cols, suffix: str = "_z", materialize: bool = True) -> DataFrame:
@@ -33,20 +34,35 @@ def zscore(df: DataFrame, cols, suffix: str = "_z", materialize: bool = True) ->
 
 def rfm(facts: DataFrame, key: str, ts: str, amount: str) -> DataFrame:
     """M8: recency (days before the latest date), frequency, monetary; then
-    quintile scores 1..5 (5 = best) with exact ntile ranks (ties by key)."""
+    quintile scores 1..5 (5 = best) with exact ntile ranks (ties by key).
+
+    One ranking of the three measures gives the rows that bound the
+    quintiles (four per measure); scores follow by comparison.
+    """
     ref = facts.select(F.max(ts)).scalar()
     base = facts.groupBy(F.col(key).alias("customer_id")).agg(
         F.datediff(ref, F.max(ts)).alias("recency_days"),
         F.count(F.lit(1)).alias("frequency"),
         F.sum(F.col(amount).cast("decimal(18,2)")).cast("double").alias("monetary"))
-    # recency: more recent is better → rank descending days gives score 1 to the oldest
-    r = row_number_global(base, [F.desc("recency_days"), "customer_id"], name="_rr")
-    r = r.withColumn("r_score", ntile_from_rank(F.col("_rr"), F.col("n_in_group"), 5)).drop("_rr", "n_in_group")
-    r = row_number_global(r, ["frequency", "customer_id"], name="_fr")
-    r = r.withColumn("f_score", ntile_from_rank(F.col("_fr"), F.col("n_in_group"), 5)).drop("_fr", "n_in_group")
-    r = row_number_global(r, ["monetary", "customer_id"], name="_mr")
-    r = r.withColumn("m_score", ntile_from_rank(F.col("_mr"), F.col("n_in_group"), 5)).drop("_mr", "n_in_group")
-    return r.withColumn("rfm_score", F.col("r_score") + F.col("f_score") + F.col("m_score"))
+    ensure_checkpoint_dir(facts.sparkSession)
+    base = base.checkpoint()
+    # Recency ascends from the oldest: more days rank first, score 1.
+    measures = {"r": -F.col("recency_days").cast("double"), "f": F.col("frequency").cast("double"), "m": F.col("monetary")}
+    long = base.select("customer_id", F.explode(F.array(*[F.struct(F.lit(k).alias("measure"), v.alias("v"))
+                                                          for k, v in measures.items()])).alias("x"))
+    ranks = row_number_global(long.select("x.measure", "x.v", "customer_id"), ["v", "customer_id"], partition_by=["measure"])
+    # The last row of each of the first four quintiles bounds the scores.
+    n = F.col("n_in_group")
+    last = F.array(*[F.floor(n / 5) * t + F.least(F.lit(t), n % 5) for t in range(1, 5)])
+    bounds = (ranks.where(F.array_contains(last, F.col("rn"))).groupBy("measure")
+              .agg(F.collect_list(F.struct("v", "customer_id")).alias("b"))
+              .select(F.map_from_entries(F.collect_list(F.struct("measure", "b")))).scalar())
+    base = base.withColumn("_b", bounds)
+    for k, v in measures.items():
+        base = base.withColumn(f"_{k}", F.struct(v.alias("v"), F.col("customer_id")))
+        base = base.withColumn(f"{k}_score", 1 + F.size(F.filter(F.col("_b")[k], lambda x, k=k: x < F.col(f"_{k}"))))
+    return base.drop("_b", *[f"_{k}" for k in measures]).withColumn(
+        "rfm_score", F.col("r_score") + F.col("f_score") + F.col("m_score"))
 
 
 def rfm_segment(score) -> "F.Column":
