@@ -132,11 +132,13 @@ class _Frequency:
 
 
 def _sets(docs: DataFrame, id_col: str, text_col: str, size: int, percent: int) -> DataFrame:
-    """(doc_id, n, sid, rare, common) of every document: its set's size and id,
-    and the prefix in two parts, the shingles known to be frequent last."""
+    """(doc_id, n, sid, sketch, rare, common) of every document: its set's size,
+    id and bucket counts, and the prefix in two parts, the shingles known to
+    be frequent last."""
     shared = docs.sparkSession.sparkContext.broadcast(_frequent(docs, text_col, size))
     q = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     schema = q.select("doc_id", F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("sid"),
+                      F.array().cast("array<int>").alias("sketch"),
                       *[F.array().cast("array<long>").alias(c) for c in ("rare", "common")]).schema
 
     def one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,10 +146,11 @@ def _sets(docs: DataFrame, id_col: str, text_col: str, size: int, percent: int)
         for batch in batches:
             for part, data, off in batches_of(batch, "text"):
                 w = words(data, off)
-                n, sid, rare, common = [], [], [], []
+                n, sid, sketch, rare, common = [], [], [], [], []
                 for s in shingle_hashes(w.hash, w.off, size):
                     n.append(len(s))
                     sid.append(set_id(s))
+                    sketch.append(np.bincount((s >> np.uint64(20)).astype(np.int64) % SKETCH, minlength=SKETCH).astype(np.int32))
                     df = f.of(s)
                     order = np.argsort(df, kind="stable")[:prefix_length(len(s), percent)]
                     r = int(np.searchsorted(df[order], 1))
@@ -156,20 +159,19 @@ def _sets(docs: DataFrame, id_col: str, text_col: str, size: int, percent: int)
                     common.append(s[order[r:]])
                 kind = pa.list_(pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(n, pa.int64()), pa.array(sid, pa.int64()), pa.array(rare, kind), pa.array(common, kind)],
-                    names=["doc_id", "n", "sid", "rare", "common"])
+                    [part.column(0), pa.array(n, pa.int64()), pa.array(sid, pa.int64()), pa.array(sketch, pa.list_(pa.int32())),
+                     pa.array(rare, kind), pa.array(common, kind)], names=["doc_id", "n", "sid", "sketch", "rare", "common"])
 
     return cut(q.mapInArrow(one, schema))
 
 
 def _postings(sets: DataFrame, percent: int) -> DataFrame:
     """Entries (token, blk, n, pos, sid) of the lists that hold two sets or more."""
-    # One document stands for a class of equal sets.
-    first = sets.where("n > 0").groupBy("sid", "n").agg(F.min("doc_id").alias("doc_id"))
-    one = sets.join(first, ["sid", "n", "doc_id"]).select("sid", "n", "rare", "common")
+    # Equal sets have equal entries: they become one in distinct(), most of
+    # them before anything is shuffled.
     blk = F.floor(F.log(F.col("n").cast("double")) / float(-np.log(percent / 100))).cast("int")
-    rare = one.select("sid", "n", F.posexplode("rare").alias("pos", "token"))
-    common = one.select("sid", "n", F.size("rare").alias("r"), F.posexplode("common").alias("p", "token"))
+    rare = sets.select("sid", "n", F.posexplode("rare").alias("pos", "token"))
+    common = sets.select("sid", "n", F.size("rare").alias("r"), F.posexplode("common").alias("p", "token"))
     # Shingles counted as frequent are in several sets; of the others, lists
     # of one set (nearly all) are dropped, in one shuffle.  A shingle that
     # is in a large part of the documents is frequent, so no such list is long.
@@ -206,44 +208,44 @@ def _suffixed(df: DataFrame, suffix: str) -> DataFrame:
     return df.toDF(*[c + suffix for c in df.columns])
 
 
-def _compared(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
-    """(sid, n, set, sketch) of the nodes (sid, n, doc_id).
+def _pruned(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose bucket counts leave room for the overlap they need."""
+    both = pairs.select("a").unionByName(pairs.select(F.col("b").alias("a"))).distinct()
+    counts = passing(sets.select("sid", "sketch"), both.withColumnRenamed("a", "sid"), "sid").dropDuplicates(["sid"])
+    p = (pairs.join(_suffixed(counts, "_1"), F.col("a") == F.col("sid_1"))
+         .join(_suffixed(counts, "_2"), F.col("b") == F.col("sid_2")))
+    most = F.aggregate(F.zip_with("sketch_1", "sketch_2", lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
+    return cut(p.where(F.lit(100 + percent) * most >= _needed(F.col("na"), F.col("nb"), percent)).select(*pairs.columns))
+
+
+def _full_sets(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
+    """(sid, set) of the nodes (sid, doc_id).
 
     Only texts whose ids pass a filter reach the join, so little text is
-    shuffled; the join is exact.
+    shuffled; the join is exact.  Repeated rows give repeated sets.
     """
     kept = passing(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")), nodes, "doc_id")
-    pairs = nodes.select("doc_id", "sid", "n").join(kept, "doc_id").select("sid", "n", "text")
-    schema = "sid long, n long, set array<long>, sketch array<int>"
+    pairs = nodes.select("doc_id", "sid").join(kept, "doc_id").select("sid", "text")
 
     def one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, data, off in batches_of(batch, "text"):
                 w = words(data, off)
-                sid, n, sets, sketch = [], [], [], []
+                sid, sets = [], []
                 for want, s in zip(part.column(0).to_pylist(), shingle_hashes(w.hash, w.off, size)):
                     if set_id(s) == want:  # else another text of a repeated id
                         sid.append(want)
-                        n.append(len(s))
                         sets.append(s.view(np.int64))
-                        sketch.append(np.bincount((s >> np.uint64(20)).astype(np.int64) % SKETCH, minlength=SKETCH).astype(np.int32))
-                yield pa.RecordBatch.from_arrays([pa.array(sid, pa.int64()), pa.array(n, pa.int64()), pa.array(sets, pa.list_(pa.int64())),
-                                                  pa.array(sketch, pa.list_(pa.int32()))], names=["sid", "n", "set", "sketch"])
+                yield pa.RecordBatch.from_arrays([pa.array(sid, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], names=["sid", "set"])
 
-    return cut(pairs.mapInArrow(one, schema).dropDuplicates(["sid", "n"]))
+    return cut(pairs.mapInArrow(one, "sid long, set array<long>"))
 
 
-def _overlaps(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """``pairs`` with their overlap ``i``, those that surely don't link left out."""
-    small = sets.select("sid", "sketch")
-    p = (pairs.join(_suffixed(small, "_1"), F.col("a") == F.col("sid_1"))
-         .join(_suffixed(small, "_2"), F.col("b") == F.col("sid_2")))
-    most = F.aggregate(F.zip_with("sketch_1", "sketch_2", lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
-    p = p.where(F.lit(100 + percent) * most >= _needed(F.col("na"), F.col("nb"), percent)).select(*pairs.columns)
-    full = sets.select("sid", "set")
-    return (p.join(_suffixed(full, "_1"), F.col("a") == F.col("sid_1"))
+def _overlaps(pairs: DataFrame, full: DataFrame) -> DataFrame:
+    """``pairs`` with their overlap ``i``."""
+    return (pairs.join(_suffixed(full, "_1"), F.col("a") == F.col("sid_1"))
             .join(_suffixed(full, "_2"), F.col("b") == F.col("sid_2"))
-            .withColumn("i", F.size(F.array_intersect("set_1", "set_2")).cast("long")).select(*pairs.columns, "i"))
+            .withColumn("i", F.size(F.array_intersect("set_1", "set_2")).cast("long")).select(*pairs.columns, "i").distinct())
 
 
 def _links(overlaps: DataFrame, percent: int) -> DataFrame:
@@ -259,16 +261,20 @@ def groups(docs: DataFrame, *, shingle: int = SHINGLE, percent: int = PERCENT, i
     """
     sets = _sets(docs, id_col, text_col, shingle, percent)
     entries = _postings(sets, percent)
-    first = sets.where("n > 0").groupBy("sid", "n").agg(F.min("doc_id").alias("doc_id"))
-    nodes = entries.select("sid", "n").distinct().join(first, ["sid", "n"])
-    compared = _compared(docs, nodes, id_col, text_col, shingle)
+    first = cut(sets.where("n > 0").groupBy("sid", "n").agg(F.min("doc_id").alias("doc_id")))
+
+    def overlaps(pairs: DataFrame) -> DataFrame:
+        pairs = _pruned(pairs, sets, percent)
+        both = pairs.select("a").unionByName(pairs.select(F.col("b").alias("a"))).distinct()
+        nodes = first.join(both, F.col("sid") == F.col("a")).select("sid", "doc_id")
+        return _overlaps(pairs, _full_sets(docs, nodes, id_col, text_col, shingle))
 
     # Leaders: the entry of least position in each block of each list.
     lead = (entries.groupBy("token", "blk").agg(F.min(F.struct("pos", "n", "sid")).alias("x"))
             .select("token", "blk", "x.sid", "x.n", "x.pos"))
     shape = ["token", "blk", "sid", "n", "pos"]
     to_leader = _candidates(_suffixed(lead.select(shape), "_a"), _suffixed(entries.select(shape), "_b"), None, percent)
-    answers = cut(_overlaps(to_leader, compared, percent))
+    answers = cut(overlaps(cut(to_leader)))
     star = _links(answers, percent)
     roots = cut(components(star))
 
@@ -280,7 +286,7 @@ def groups(docs: DataFrame, *, shingle: int = SHINGLE, percent: int = PERCENT, i
     rest = _candidates(_suffixed(marked, "_a"), _suffixed(upper, "_b"), order & (F.col("root_a") != F.col("root_b")), percent)
     rest = rest.join(answers.select("a", "b"), ["a", "b"], "left_anti")
     derived = cut(_derive(rest, answers, percent))
-    more = _links(_overlaps(derived.where("settled is null").drop("settled"), compared, percent), percent)
+    more = _links(overlaps(derived.where("settled is null").drop("settled")), percent)
     second = derived.where("settled").select("a", "b").unionByName(more)
     # Links between components, as links between their roots.
     r = lambda s: _suffixed(roots, s)
