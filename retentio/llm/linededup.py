@@ -12,7 +12,7 @@ Pigeonhole: the bits are cut into ``DISTANCE + 2`` blocks; two SimHashes within
 the distance agree in two blocks at least, so classes meet in the lists of
 every pair of blocks.  In a list the most frequent class is the leader and is
 compared with all others first; only classes that are not yet in one group are
-compared then.  Lists are never put into one task whole (leaders are greatest
+compared then, in the first list that both are in.  Lists are never put into one task whole (leaders are greatest
 values, summed map-side; joins on a list's key may be split), and no list
 writes out all its pairs.
 
@@ -24,11 +24,13 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
+from operator import and_
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
@@ -74,11 +76,11 @@ class Lines:
     def __len__(self) -> int:
         return len(self.first)
 
-    def identities(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """64-bit hash, SimHash and number of words of each line."""
+    def identities(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """64-bit hash, SimHash, number of words and word parities of each line."""
         n = self.last - self.first
         if not len(n):
-            return np.empty(0, np.int64), np.empty(0, np.int64), n
+            return np.empty(0, np.int64), np.empty(0, np.int64), n, np.empty(0, np.int64)
         # Words of the lines follow one another without gaps.
         at = np.arange(self.first[0], self.last[-1]) - np.repeat(self.first, n)
         h = self.hash[self.first[0]:self.last[-1]]
@@ -96,7 +98,8 @@ class Lines:
             votes = np.add.reduceat(votes, per_line, axis=0)
             for i in range(8):
                 sim |= (2 * votes[:, i] > total).astype(np.uint64) << np.uint64(8 * k + i)
-        return whole.view(np.int64), sim.view(np.int64), n
+        parity = np.bitwise_xor.reduceat(np.uint64(1) << (voters >> np.uint64(7) & np.uint64(63)), line)
+        return whole.view(np.int64), sim.view(np.int64), n, parity.view(np.int64)
 
     def codes(self) -> list[str]:
         """Each line as a string with one code point per word."""
@@ -105,38 +108,58 @@ class Lines:
 
 
 def line_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, line, h, sim, n) of every line with words."""
+    """(doc_id, line, h, sim, n, par) of every line with words."""
     q = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    schema = q.select("doc_id", *[F.lit(0).cast(t).alias(c) for c, t in (("line", "int"), ("h", "long"), ("sim", "long"), ("n", "int"))]).schema
+    schema = q.select("doc_id", *[F.lit(0).cast(t).alias(c) for c, t in (("line", "int"), ("h", "long"), ("sim", "long"), ("n", "int"), ("par", "long"))]).schema
 
     def one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, data, off in batches_of(batch, "text"):
                 lines = Lines(data, off)
-                h, sim, n = lines.identities()
+                h, sim, n, par = lines.identities()
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0).take(pa.array(lines.text, pa.int64())), pa.array(lines.number.astype(np.int32)), pa.array(h), pa.array(sim),
-                     pa.array(n.astype(np.int32))], names=["doc_id", "line", "h", "sim", "n"])
+                     pa.array(n.astype(np.int32)), pa.array(par)], names=["doc_id", "line", "h", "sim", "n", "par"])
 
     return q.mapInArrow(one, schema)
 
 
 def _keys(classes: DataFrame, distance: int) -> DataFrame:
-    """(key, h, sim, n, c): a row per class and pair of blocks."""
+    """(key, h, sim, n, par, c): a row per class and pair of blocks."""
     blocks = block_edges(distance)
     bits = [F.shiftrightunsigned("sim", a).bitwiseAND(F.lit((1 << w) - 1)) for a, w in blocks]
     width = max(w for _, w in blocks)
     keys = [F.lit(k << (2 * width)) + bits[i] * F.lit(1 << width) + bits[j]
             for k, (i, j) in enumerate(combinations(range(len(blocks)), 2))]
-    return classes.select(F.explode(F.array(*keys)).alias("key"), "h", "sim", "n", "c")
+    return classes.select(F.explode(F.array(*keys)).alias("key"), "h", "sim", "n", "par", "c")
+
+
+def _first_list(distance: int) -> Column:
+    """Whether a pair's list is the first of those in which both classes are:
+    no block before the list's two, or between them, agrees."""
+    blocks = block_edges(distance)
+    differ = F.col("sim_a").bitwiseXOR(F.col("sim_b"))
+    mask = [((1 << w) - 1) << a for a, w in blocks]
+    apart = [differ.bitwiseAND(F.lit(m - (1 << 64) if m >> 63 else m)) != 0 for m in mask]
+    width = max(w for _, w in blocks)
+    out = F.lit(False)
+    for k, (i, j) in enumerate(combinations(range(len(blocks)), 2)):
+        first = reduce(and_, [apart[m] for m in range(j) if m != i], F.lit(True))
+        out = F.when(F.shiftright("key_a", 2 * width) == k, first).otherwise(out)
+    return out
 
 
 def _near(a: DataFrame, b: DataFrame, extra, distance: int, similarity: float) -> DataFrame:
-    """Distinct pairs (a, b) of one list whose SimHashes and lengths allow it."""
+    """Distinct pairs (a, b) of one list whose SimHashes, lengths and words allow it.
+
+    An edit changes the parity of two words at most, so pairs whose parities
+    differ in more places need no comparison.
+    """
     most = F.floor(F.greatest("n_a", "n_b") * F.lit(1 - similarity) + 1e-9)
     ok = ((F.col("key_a") == F.col("key_b")) & (F.col("h_a") != F.col("h_b"))
           & (F.bit_count(F.col("sim_a").bitwiseXOR(F.col("sim_b"))) <= distance)
-          & (F.abs(F.col("n_a") - F.col("n_b")) <= most))
+          & (F.abs(F.col("n_a") - F.col("n_b")) <= most)
+          & (F.bit_count(F.col("par_a").bitwiseXOR(F.col("par_b"))) <= 2 * most))
     if extra is not None:
         ok = ok & extra
     return a.join(b, ok).select(F.least("h_a", "h_b").alias("a"), F.greatest("h_a", "h_b").alias("b")).distinct()
@@ -163,7 +186,7 @@ def _codes(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str) -> Dat
         for batch in batches:
             for part, data, off in batches_of(batch, "text"):
                 lines = Lines(data, off)
-                h, _, _ = lines.identities()
+                h = lines.identities()[0]
                 want = [set(x) for x in part.column(0).to_pylist()]
                 at = [k for k, (t, n) in enumerate(zip(lines.text.tolist(), lines.number.tolist())) if n in want[t]]
                 code = lines.codes() if at else []
@@ -174,19 +197,19 @@ def _codes(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str) -> Dat
 
 def line_groups(docs: DataFrame, *, distance: int = DISTANCE, similarity: float = SIMILARITY, id_col: str = "doc_id",
                 text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """The lines (doc_id, line, h, sim, n), and of each class that occurs more
+    """The lines (doc_id, line, h, sim, n, par), and of each class that occurs more
     than once or is near another: (h, sim, n, root, keep), ``keep`` being the
     (doc_id, line) that stays of its group."""
     lines = cut(line_table(docs, id_col, text_col))
-    classes = cut(lines.groupBy("h", "sim", "n").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count("*").alias("c")))
+    classes = cut(lines.groupBy("h", "sim", "n", "par").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count("*").alias("c")))
     # An edit more than the similarity allows is one word of few: skip those lines.
     least = next(n for n in range(1, 1000) if int(n * (1 - similarity) + 1e-9) or int((n + 1) * (1 - similarity) + 1e-9))
-    keyed = _keys(classes.where(F.col("n") >= least).select("h", "sim", "n", "c"), distance)
+    keyed = _keys(classes.where(F.col("n") >= least).select("h", "sim", "n", "par", "c"), distance)
     several = keyed.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key")
     entries = cut(keyed.join(several.hint("shuffle_hash"), "key"))
 
-    lead = entries.groupBy("key").agg(F.max(F.struct("c", "h", "sim", "n")).alias("x")).select("key", "x.h", "x.sim", "x.n")
-    shape = ["key", "h", "sim", "n"]
+    lead = entries.groupBy("key").agg(F.max(F.struct("c", "h", "sim", "n", "par")).alias("x")).select("key", "x.h", "x.sim", "x.n", "x.par")
+    shape = ["key", "h", "sim", "n", "par"]
     star = cut(_near(_suffixed(lead, "_a"), _suffixed(entries.select(shape), "_b"), None, distance, similarity))
     place = classes.select("h", "first.doc_id", "first.line")
 
@@ -197,7 +220,7 @@ def line_groups(docs: DataFrame, *, distance: int = DISTANCE, similarity: float
     roots = cut(components(_verified(star, codes(star), similarity)))
     marked = (entries.join(roots, F.col("h") == F.col("node"), "left").withColumn("root", F.coalesce("root", "h")).select(*shape, "root"))
     rest = _near(_suffixed(marked, "_a"), _suffixed(marked, "_b"),
-                 (F.col("h_a") < F.col("h_b")) & (F.col("root_a") != F.col("root_b")), distance, similarity)
+                 (F.col("h_a") < F.col("h_b")) & (F.col("root_a") != F.col("root_b")) & _first_list(distance), distance, similarity)
     rest = cut(rest.join(star, ["a", "b"], "left_anti"))
     more = _verified(rest, codes(rest), similarity)
     r = lambda s: _suffixed(roots, s)

@@ -54,7 +54,7 @@ def test_simhash_is_a_weighted_majority():
     rng = random.Random(1)
     line = " ".join("".join(rng.choice("abc") for _ in range(rng.randint(1, 12))) for _ in range(400))
     lines = L.Lines(*utf8(pa.array([line])))
-    h, sim, n = lines.identities()
+    h, sim, n, _ = lines.identities()
     voters = L.mix(lines.hash ^ np.uint64(0x5851F42D4C957F2D))
     votes = [0] * 64
     for v, w in zip(voters.tolist(), brute.simhash_words(line)):
