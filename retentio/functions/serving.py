@@ -22,19 +22,41 @@ ACTIVE_MONTHS_CAP = 6
 def serving_columns(tenure="tenure_months", monthly="monthly_charges", total="total_charges",
                     tickets="num_support_tickets", contract="contract_type",
                     payment="payment_method", internet="internet_service",
-                    security="online_security", support="tech_support") -> dict:
+                    security="online_security", support="tech_support", gender="gender",
+                    senior="is_senior_citizen", partner="has_partner", dependents="has_dependents",
+                    paperless="paperless_billing") -> dict:
+    """The model's 44 features, in model order, from the request's 15 fields."""
     t, m, tot = _c(tenure).cast("double"), _c(monthly).cast("double"), _c(total).cast("double")
     k = _c(tickets).cast("int")
     neg = F.greatest(k - 1, F.lit(0))
+    is_ = lambda c, v: flag(_c(c) == v)
     return {
+        "is_male": is_(gender, "Male"),
+        "is_senior_citizen": _c(senior).cast("int"),
+        "has_partner": is_(partner, "Yes"),
+        "has_dependents": is_(dependents, "Yes"),
+        "tenure_months": t,
+        "monthly_charges": m,
+        "total_charges": tot,
         "implied_tenure": F.when(m > 0, tot / m).otherwise(F.lit(0.0)),
-        "is_monthly_contract": flag(_c(contract) == "Month-to-month"),
-        "uses_electronic_check": flag(_c(payment) == "Electronic check"),
-        "has_fiber_optic": flag(_c(internet) == "Fiber optic"),
-        "has_online_security": flag(_c(security) == "Yes"),
-        "has_tech_support": flag(_c(support) == "Yes"),
+        "is_monthly_contract": is_(contract, "Month-to-month"),
+        "is_annual_contract": is_(contract, "One year"),
+        "is_biannual_contract": is_(contract, "Two year"),
+        "uses_electronic_check": is_(payment, "Electronic check"),
+        "has_paperless_billing": is_(paperless, "Yes"),
+        "has_fiber_optic": is_(internet, "Fiber optic"),
+        "has_dsl": is_(internet, "DSL"),
+        "no_internet": is_(internet, "No"),
+        "has_online_security": is_(security, "Yes"),
+        "has_tech_support": is_(support, "Yes"),
         "has_phone": F.lit(1),
+        **{c: F.lit(0) for c in ("has_multiple_lines", "has_online_backup", "has_device_protect",
+                                 "has_streaming_tv", "has_streaming_movies")},
+        "is_new_customer": flag(t < 12),
+        "is_long_tenure": flag(t > 48),
+        "charge_gap": m * t - tot,
         "services_count": F.lit(0),
+        "is_high_value": flag(m > 70),
         "is_at_risk": flag((_c(contract) == "Month-to-month") & (t < 12)),
         "total_support_tickets": k,
         "negative_support_tickets": neg,

@@ -8,8 +8,8 @@ Isolation forest (Liu, Ting & Zhou, 2008) in two Spark phases:
    tree per group from those ψ rows.  Group size is bounded by ψ, not by n.
 2. *Score.*  The node table (≤ trees × 2ψ rows, a proven bound) is shipped
    to every task and ``mapInPandas`` walks all trees vectorised over each
-   Arrow batch.  The flag threshold is the (1 − contamination) quantile of
-   the scores from ``percentile_approx`` — bounded memory at any size.
+   Arrow batch.  The flag threshold is the exact (1 − contamination)
+   quantile of the scores, found over range buckets.
 """
 
 from __future__ import annotations
@@ -20,21 +20,30 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import ensure_checkpoint_dir
+from .drift import exact_quantiles
+
 EULER = 0.5772156649015329
 
 
+#: Groups whose statistics are held in one map; beyond, they are joined.
+MAX_MAPPED_GROUPS = 10_000
+
+
 def group_zscore(df: DataFrame, group: str, value: str, out: str = "z") -> DataFrame:
     """(x − mean_g) / stddev_samp_g with group stats from one aggregate.
 
-    The stats table has one row per group; the join back is an equi-join
-    that AQE turns into a broadcast when the table is small.
+    The statistics (one row per group) are counted first: up to
+    ``MAX_MAPPED_GROUPS`` groups they are broadcast, so the rows are not
+    shuffled on a few hot keys; more groups go through a join that may be split.
     """
-    stats = df.groupBy(group).agg(
+    stats = df.groupBy(F.col(group).alias("_g")).agg(
         (F.sum(F.col(value).cast("decimal(18,2)")).cast("double") / F.count(value)).alias("_mean"),
         F.stddev_samp(F.col(value).cast("double")).alias("_std"))
-    j = df.join(stats, group)
+    few = stats.limit(MAX_MAPPED_GROUPS + 1).count() <= MAX_MAPPED_GROUPS
+    j = df.join(F.broadcast(stats) if few else stats, F.col(group) == F.col("_g"))
     z = F.try_divide(F.col(value) - F.col("_mean"), F.col("_std"))
-    return j.withColumn(out, z).drop("_mean", "_std")
+    return j.withColumn(out, z).drop("_mean", "_std", "_g")
 
 
 def _c(n: float) -> float:
@@ -87,24 +96,33 @@ def _grow(pdf: pd.DataFrame, features, seed: int) -> pd.DataFrame:
 
 def fit_isolation_forest(df: DataFrame, key: str, features, n_trees: int = 100,
                          sample_size: int = 256, seed: int = 42) -> DataFrame:
-    """Grow the forest; returns the node table (tree, node, feature, split, ...)."""
-    n = df.select(F.count(F.lit(1))).scalar()
-    thr = F.least(F.lit(1.0), F.lit(float(sample_size)) / n) * F.lit(4294967296.0)
-    h = lambda t: F.pmod(F.xxhash64(F.col(key), t, F.lit(seed)), F.lit(4294967296))
-    # the threshold is a scalar subquery; lambdas cannot hold one, so it is
-    # projected first and referenced as a column inside the filter
-    pre = df.select(key, *[F.col(c).cast("double").alias(c) for c in features], thr.alias("_thr"))
-    tagged = pre.select(key, *features,
-                        F.explode(F.filter(F.sequence(F.lit(0), F.lit(n_trees - 1)),
-                                           lambda t: h(t) < F.col("_thr"))).alias("tree"))
+    """Grow the forest; returns the node table (tree, node, feature, split, ...).
+
+    A row is in ``n_trees * min(sample_size, n) / n`` trees on average: its
+    hash decides the fraction and the first of its consecutive trees.
+    """
     feats = list(features)
+    n = F.greatest(df.select(F.count(F.lit(1))).scalar(), F.lit(1))
+    mean = F.lit(float(n_trees)) * F.least(F.lit(1.0), F.lit(float(sample_size)) / n)
+    u = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(1 << 32)) / F.lit(float(1 << 32))
+    pre = df.select(key, *[F.col(c).cast("double").alias(c) for c in feats],
+                    F.floor(mean + u).cast("int").alias("_k"),
+                    F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(n_trees)).cast("int").alias("_first"))
+    tagged = pre.where("_k > 0").select(key, *feats, F.explode(F.transform(
+        F.sequence(F.lit(0), F.col("_k") - 1), lambda j: F.pmod(F.col("_first") + j, F.lit(n_trees)))).alias("tree"))
     return tagged.groupBy("tree").applyInPandas(lambda p: _grow(p, feats, seed), NODE_SCHEMA)
 
 
 def score_isolation_forest(df: DataFrame, nodes_pdf: pd.DataFrame, key: str, features,
-                           sample_size: int = 256) -> DataFrame:
-    """Anomaly score 2^(−E[h(x)] / c(ψ)) per row (higher = more anomalous)."""
+                           sample_size: int | None = None) -> DataFrame:
+    """Anomaly score 2^(−E[h(x)] / c(ψ)) per row (higher = more anomalous).
+
+    ψ is the mean size of the trees' samples, read from their leaves.
+    """
     trees = {}
+    if sample_size is None:
+        leaves = nodes_pdf[nodes_pdf["feature"] < 0]
+        sample_size = leaves["size"].sum() / max(1, leaves["tree"].nunique())
     for t, g in nodes_pdf.groupby("tree"):
         g = g.sort_values("node")
         leaf_adj = np.array([d + _c(s) if f < 0 else 0.0
@@ -142,27 +160,55 @@ def isolation_forest(df: DataFrame, key: str, features, n_trees: int = 100,
                      seed: int = 42) -> DataFrame:
     """M9: fit, score and flag the top ``contamination`` share as anomalies.
 
-    The input is read by the count, the tree sampling, the scoring and the
-    threshold; its narrow projection (key + features) is checkpointed once.
+    The narrow projection (key + features) and the scores are written once;
+    the threshold is the exact quantile of the scores.
     """
-    from ..session import ensure_checkpoint_dir
     ensure_checkpoint_dir(df.sparkSession)
-    df = df.select(key, *features).checkpoint(eager=True)
-    nodes = fit_isolation_forest(df, key, features, n_trees, sample_size, seed)
-    # bounded: at most n_trees * (2 * sample_size) rows
-    nodes_pdf = nodes.toPandas()
-    scored = score_isolation_forest(df, nodes_pdf, key, features, sample_size)
-    thr = scored.select(F.percentile_approx("anomaly_score", 1.0 - contamination, 10000)).scalar()
+    df = df.select(key, *features).checkpoint()
+    nodes_pdf = read_nodes(fit_isolation_forest(df, key, features, n_trees, sample_size, seed))
+    scored = score_isolation_forest(df, nodes_pdf, key, features).checkpoint()
+    edge = exact_quantiles(scored.select(F.lit("s").alias("feature"), F.col("anomaly_score").alias("x")), [1.0 - contamination])
+    thr = edge.select(F.max(F.col("edges")[0])).scalar()
     return scored.withColumn("is_anomaly", (F.col("anomaly_score") > thr).cast("int"))
 
 
+def top_anomalies(scored: DataFrame, key: str, k: int = 10) -> DataFrame:
+    """The ``k`` most anomalous among the flagged rows."""
+    return scored.where("is_anomaly = 1").orderBy(F.desc("anomaly_score"), key).limit(k)
+
+
+def anomaly_summary(scored: DataFrame) -> DataFrame:
+    """Rows, flagged rows and rate, mean and population deviation of the scores."""
+    return scored.agg(F.count("*").alias("n"), F.sum("is_anomaly").alias("n_anomalies"),
+                      F.avg(F.col("is_anomaly").cast("double")).alias("anomaly_rate"),
+                      F.avg("anomaly_score").alias("score_mean"), F.stddev_pop("anomaly_score").alias("score_std"))
+
+
+#: Nodes of a forest that one task and the driver may hold.
+MAX_NODES = 2_000_000
+
+
+def read_nodes(nodes: DataFrame) -> pd.DataFrame:
+    """The node table, after a check of its size."""
+    rows = nodes.limit(MAX_NODES + 1).toPandas()
+    if len(rows) > MAX_NODES:
+        raise ValueError(f"the forest has more than {MAX_NODES} nodes")
+    return rows
+
+
 def save_forest(nodes: DataFrame, path: str) -> None:
     """The forest is a node table; persist it as parquet."""
     nodes.write.mode("overwrite").parquet(path)
 
 
+def validate_forest(df: DataFrame, path: str, key: str, features) -> None:
+    """The saved forest loads and scores a probe row; raises otherwise."""
+    got = score_with_saved_forest(df.limit(1), path, key, features).first()
+    if got is None or not 0.0 <= got["anomaly_score"] <= 1.0:
+        raise RuntimeError(f"forest validation failed: {path}")
+
+
 def score_with_saved_forest(df: DataFrame, path: str, key: str, features,
-                            sample_size: int = 256) -> DataFrame:
-    """Score with a saved node table (bounded: trees × 2ψ rows are read)."""
-    nodes_pdf = df.sparkSession.read.parquet(path).toPandas()
-    return score_isolation_forest(df, nodes_pdf, key, features, sample_size)
+                            sample_size: int | None = None) -> DataFrame:
+    """Score with a saved node table of checked size."""
+    return score_isolation_forest(df, read_nodes(df.sparkSession.read.parquet(path)), key, features, sample_size)

@@ -10,6 +10,9 @@ rows per feature.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,6 +23,10 @@ PSI_FLOOR = 0.0001
 BUCKETS = 10
 
 
+def _known(c: str):
+    return F.col(c).isNotNull() & ~F.isnan(c)
+
+
 def _long(df: DataFrame, features, tag: str) -> DataFrame:
     """Unpivot the feature columns to (feature, x) rows tagged with ``tag``."""
     return df.select(F.explode(F.array(*[
@@ -68,7 +75,7 @@ def quantile_edges(df: DataFrame, features, buckets: int = BUCKETS,
     ``exact=False`` uses ``percentile_approx`` (one pass, bounded sketch).
     """
     probs = [i / buckets for i in range(1, buckets)]
-    long = _long(df, features, "base").filter(F.col("x").isNotNull())
+    long = _long(df, features, "base").filter(_known("x"))
     if exact:
         return exact_quantiles(long, probs)
     pct = F.percentile_approx(F.col("x"), F.array(*map(F.lit, probs)), accuracy)
@@ -80,49 +87,41 @@ def psi(baseline: DataFrame, current: DataFrame, features, buckets: int = BUCKET
     """Q3: PSI per feature on bucket *shares* (first/last bucket open).
 
     bucket(x) = number of inner edges <= x, so buckets are left-closed like
-    ``numpy.histogram``; empty shares are floored at 0.0001.
+    ``numpy.histogram``; empty shares are floored at 0.0001.  The edges (a
+    few per feature) enter as one map-valued scalar, both sides are binned in
+    one scan and the grid of bins is made of constants.  Null and NaN values
+    are in no bin; their shares are ``missing_base`` and ``missing_cur``.  A
+    side without values gives a null PSI and the status ``NO DATA``.
     """
-    edges = quantile_edges(baseline, features, buckets, exact)
-    both = _long(baseline, features, "base").unionByName(_long(current, features, "cur")) \
-        .filter(F.col("x").isNotNull())
-    # edges has exactly one row per feature (a proven bound): broadcast it so
-    # the few feature keys never become a skewed sort-merge join
-    j = both.join(F.broadcast(edges), "feature")
-    binned = j.select("feature", "side",
-                      F.size(F.filter("edges", lambda e: e <= F.col("x"))).alias("bin"))
-    counts = binned.groupBy("feature", "bin").agg(
-        F.count_if(F.col("side") == "base").alias("n_base"),
-        F.count_if(F.col("side") == "cur").alias("n_cur"))
-    grid = edges.select("feature", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))).alias("bin"))
-    full = grid.join(counts, ["feature", "bin"], "left").na.fill(0, ["n_base", "n_cur"])
-    tot = F.sum("n_base").over(_by_feature()), F.sum("n_cur").over(_by_feature())
-    shares = full.select("feature", "bin",
-                         (F.col("n_base") / tot[0]).alias("e"),
-                         (F.col("n_cur") / tot[1]).alias("a"))
-    floor = F.lit(PSI_FLOOR)
-    e = F.when(F.col("e") == 0, floor).otherwise(F.col("e"))
-    a = F.when(F.col("a") == 0, floor).otherwise(F.col("a"))
-    terms = shares.select("feature", "bin", ((a - e) * F.log(a / e)).alias("term"))
-    return terms.groupBy("feature").agg(F.sum("term").alias("psi")).withColumn(
-        "status", drift_status(F.col("psi")))
-
-
-def _by_feature():
-    from pyspark.sql import Window
-    return Window.partitionBy("feature")
+    edges = quantile_edges(baseline, features, buckets, exact).select(
+        F.map_from_entries(F.collect_list(F.struct("feature", "edges")))).scalar()
+    both = _long(baseline, features, "base").unionByName(_long(current, features, "cur"))
+    both = both.withColumn("e", edges).withColumn("e", F.col("e")[F.col("feature")])
+    binned = both.select("feature", "side", F.when(_known("x"), F.size(F.filter("e", lambda e: e <= F.col("x")))).alias("bin"))
+    in_side = lambda s, k: F.count_if((F.col("side") == s) & k)
+    per = binned.groupBy("feature").agg(
+        *[in_side(s, F.col("bin") == b).alias(f"{s}_{b}") for s in ("base", "cur") for b in range(buckets)],
+        *[F.try_divide(in_side(s, F.col("bin").isNull()), in_side(s, F.lit(True))).alias(f"missing_{s}") for s in ("base", "cur")])
+    total = {s: reduce(add, [F.col(f"{s}_{b}") for b in range(buckets)]) for s in ("base", "cur")}
+    share = lambda s, b: F.try_divide(F.col(f"{s}_{b}"), total[s])
+    floor = lambda c: F.when(c == 0, F.lit(PSI_FLOOR)).otherwise(c)
+    terms = [(floor(share("cur", b)) - floor(share("base", b))) * F.log(floor(share("cur", b)) / floor(share("base", b)))
+             for b in range(buckets)]
+    out = per.select("feature", reduce(add, terms).alias("psi"), "missing_base", "missing_cur")
+    return out.withColumn("status", F.when(F.col("psi").isNull(), F.lit("NO DATA")).otherwise(drift_status(F.col("psi"))))
 
 
 def mean_shift(baseline: DataFrame, current: DataFrame, col: str,
-               alarm_pct: float = PRED_DRIFT_ALARM_PCT) -> DataFrame:
+               alarm_pct: float = PRED_DRIFT_ALARM_PCT, mean=None) -> DataFrame:
     """Q4: |mean_cur − mean_base| / mean_base · 100 and the alarm flag.
 
     Both means are one-row aggregates; the current one enters as a
-    struct-valued scalar subquery, so no join is planned.
+    struct-valued scalar subquery, so no join is planned.  ``mean`` takes a
+    column name and gives the aggregate (default: the average as a double).
     """
-    b = baseline.agg(F.avg(F.col(col).cast("double")).alias("baseline_mean"),
-                     F.count(F.lit(1)).alias("n_baseline"))
-    c = current.select(F.struct(F.avg(F.col(col).cast("double")).alias("m"),
-                                F.count(F.lit(1)).alias("n"))).scalar()
+    mean = mean or (lambda c: F.avg(F.col(c).cast("double")))
+    b = baseline.agg(mean(col).alias("baseline_mean"), F.count(F.lit(1)).alias("n_baseline"))
+    c = current.select(F.struct(mean(col).alias("m"), F.count(F.lit(1)).alias("n"))).scalar()
     j = b.select("*", c.getField("m").alias("current_mean"), c.getField("n").alias("n_current"))
     d = F.try_divide(F.abs(F.col("current_mean") - F.col("baseline_mean")) * 100.0,
                      F.col("baseline_mean"))
@@ -134,26 +133,30 @@ def ks_statistic(baseline: DataFrame, current: DataFrame, col: str) -> DataFrame
 
     Values are first collapsed to distinct (value, n_base, n_cur) — a hot
     value becomes one row — then exact running counts come from
-    ``prefix_sums`` (range-partitioned, no single-task window).
+    ``prefix_sums`` (range buckets, no single-task window).  Null and NaN
+    values don't count; a side without values gives null.
     """
     u = (baseline.select(F.col(col).cast("double").alias("v"), F.lit(1).alias("b"), F.lit(0).alias("c"))
          .unionByName(current.select(F.col(col).cast("double").alias("v"), F.lit(0).alias("b"),
                                      F.lit(1).alias("c")))
-         .filter(F.col("v").isNotNull()))
+         .filter(_known("v")))
     g = u.groupBy("v").agg(F.sum("b").alias("nb"), F.sum("c").alias("nc"))
     cum = prefix_sums(g, ["v"], {"b": F.col("nb"), "c": F.col("nc")})
-    d = F.abs(F.col("cum_b") / F.col("_group_total_b") - F.col("cum_c") / F.col("_group_total_c"))
+    d = F.abs(F.try_divide(F.col("cum_b"), F.col("_group_total_b")) - F.try_divide(F.col("cum_c"), F.col("_group_total_c")))
+    none = F.lit(0).cast("long")
     return cum.agg(F.max(d).alias("ks_statistic"),
-                   F.max("_group_total_b").alias("n_baseline"),
-                   F.max("_group_total_c").alias("n_current"))
+                   F.coalesce(F.max("_group_total_b"), none).alias("n_baseline"),
+                   F.coalesce(F.max("_group_total_c"), none).alias("n_current"))
 
 
-def monitoring_report(psi_df: DataFrame, shift_df: DataFrame, quality_df: DataFrame) -> DataFrame:
-    """Q6: one row with the three statuses and ``retrain_required``."""
+def monitoring_report(psi_df: DataFrame, shift_df: DataFrame, quality_df: DataFrame,
+                      ks_df: DataFrame | None = None) -> DataFrame:
+    """Q6: one row with the statuses, the KS statistic and ``retrain_required``."""
     q = quality_df.agg(F.bool_and("ok").alias("quality_ok"))
     p = psi_df.select(F.max("psi")).scalar()
     s = shift_df.select(F.first("alarm")).scalar()
-    r = q.select("quality_ok", p.alias("max_psi"), s.alias("prediction_drift"))
+    k = ks_df.select(F.max("ks_statistic")).scalar() if ks_df is not None else F.lit(None).cast("double")
+    r = q.select("quality_ok", p.alias("max_psi"), s.alias("prediction_drift"), k.alias("ks_statistic"))
     return r.withColumns({
         "feature_drift": F.col("max_psi") > F.lit(DRIFT_ALARM),
         "retrain_required": (F.col("max_psi") > F.lit(DRIFT_ALARM)) | F.col("prediction_drift")

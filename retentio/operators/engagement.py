@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import flag
+from ..functions.numeric import flag, np_round, safe_div
 
 
 def as_of(df: DataFrame, ts: str) -> Column:
@@ -34,52 +34,60 @@ def order_activity(orders: DataFrame, key: str, ts: str, amount: str,
                    status: str | None = None, cancelled_value: str | None = None,
                    reference_ts: Column | None = None, recent_months: int = 6,
                    money_scale: float = 1.0, out_key: str = "customer_id") -> DataFrame:
-    """Per-customer order facts.
-
-    ``first_order``, ``last_order``, ``total_orders``, ``total_spend`` and,
-    over the ``recent_months`` before ``reference_ts`` (default: the table's
-    own latest timestamp), ``orders_6mo``, ``revenue_6mo``,
-    ``active_months_6mo``, ``cancellations_6mo``.
-
-    Two-phase aggregation: (customer, month) first, then customer.  The
-    distinct-month count becomes a count of monthly rows, so Spark needs no
-    Expand (which would multiply the order rows before the shuffle), and the
-    first phase is partially aggregated on the map side.
+    """Per-customer order facts under the model's names.
+
+    ``first_order``, ``last_order``, ``total_orders``, ``total_spend``,
+    ``avg_order_value`` and, over the ``recent_months`` before
+    ``reference_ts`` (default: the table's own latest timestamp),
+    ``total_orders_6mo``, ``total_revenue_6mo``, ``avg_monthly_revenue_6mo``,
+    ``revenue_volatility_6mo`` (population deviation of the revenue of the
+    trailing one-month windows), ``active_months_6mo`` (calendar months with
+    orders) and ``total_cancellations_6mo``.
+
+    One aggregate by customer, summed map-side: the distinct months are a
+    bitmap and the windows are conditional sums, so nothing is expanded and
+    the orders are shuffled once, as one row per customer and task.
     """
     ref = reference_ts if reference_ts is not None else as_of(orders, ts)
-    recent = F.col(ts) >= ref - F.make_ym_interval(F.lit(0), F.lit(recent_months))
+    back = [ref - F.make_ym_interval(F.lit(0), F.lit(k)) for k in range(recent_months + 1)]
+    recent = F.col(ts) >= back[-1]
     amt = _money(amount)
     zero = F.lit(0).cast("decimal(18,2)")
     cancelled = (F.col(status) == F.lit(cancelled_value)) if status else F.lit(False)
-    monthly = orders.groupBy(F.col(key).alias(out_key),
-                             F.date_trunc("month", F.col(ts)).alias("_m")).agg(
-        F.min(ts).alias("_first"), F.max(ts).alias("_last"),
-        F.count(F.lit(1)).alias("_n"), F.sum(amt).alias("_amt"),
-        F.count_if(recent).alias("_n_recent"),
-        F.sum(F.when(recent, amt).otherwise(zero)).alias("_amt_recent"),
-        F.count_if(recent & cancelled).alias("_n_cancel"))
-    return monthly.groupBy(out_key).agg(
-        F.min("_first").alias("first_order"),
-        F.max("_last").alias("last_order"),
-        F.sum("_n").alias("total_orders"),
-        (F.sum("_amt").cast("double") / F.lit(money_scale)).alias("total_spend"),
-        F.sum("_n_recent").alias("orders_6mo"),
-        (F.sum("_amt_recent").cast("double") / F.lit(money_scale)).alias("revenue_6mo"),
-        F.count_if(F.col("_n_recent") > 0).alias("active_months_6mo"),
-        F.sum("_n_cancel").alias("cancellations_6mo"),
-    )
+    bit = F.expr(f"shiftleft(1L, cast(pmod(year({ts}) * 12 + month({ts}), 63) as int))")
+    window = [F.sum(F.when((F.col(ts) >= back[k + 1]) & ((F.col(ts) < back[k]) if k else F.lit(True)), amt)
+                    .otherwise(zero)).alias(f"_w{k}") for k in range(recent_months)]
+    g = orders.groupBy(F.col(key).alias(out_key)).agg(
+        F.min(ts).alias("first_order"), F.max(ts).alias("last_order"),
+        F.count(F.lit(1)).alias("total_orders"), F.sum(amt).alias("_amt"),
+        F.count_if(recent).alias("total_orders_6mo"),
+        F.sum(F.when(recent, amt).otherwise(zero)).alias("_recent"),
+        F.bit_count(F.bit_or(F.when(recent, bit).otherwise(F.lit(0).cast("long")))).cast("long").alias("active_months_6mo"),
+        F.count_if(recent & cancelled).alias("total_cancellations_6mo"), *window)
+    scale = F.lit(float(money_scale))
+    g = g.withColumns({"total_spend": F.col("_amt").cast("double") / scale,
+                       "total_revenue_6mo": F.col("_recent").cast("double") / scale,
+                       **{f"_w{k}": F.col(f"_w{k}").cast("double") / scale for k in range(recent_months)}})
+    total = sum((F.col(f"_w{k}") for k in range(1, recent_months)), F.col("_w0"))
+    g = g.withColumn("_mean", total / float(recent_months))
+    dev = [(F.col(f"_w{k}") - F.col("_mean")) * (F.col(f"_w{k}") - F.col("_mean")) for k in range(recent_months)]
+    return g.withColumns({
+        "avg_order_value": np_round(safe_div(F.col("total_spend"), F.col("total_orders")), 2),
+        "avg_monthly_revenue_6mo": np_round(F.col("total_revenue_6mo") / float(recent_months), 2),
+        "revenue_volatility_6mo": np_round(F.sqrt(sum(dev[1:], dev[0]) / float(recent_months)), 2),
+    }).drop("_amt", "_recent", "_mean", *[f"_w{k}" for k in range(recent_months)])
 
 
 def ticket_activity(tickets: DataFrame, key: str, ts: str, negative: Column,
-                    recent_days: int = 7, reference_ts: Column | None = None,
+                    recent_months: int = 6, reference_ts: Column | None = None,
                     out_key: str = "customer_id") -> DataFrame:
-    """Per-customer ticket facts: total, negative, recent (trailing days)."""
+    """Per-customer ticket facts: total, negative, those of the trailing months."""
     ref = reference_ts if reference_ts is not None else as_of(tickets, ts)
-    recent = F.col(ts) >= ref - F.make_dt_interval(F.lit(recent_days))
+    recent = F.col(ts) >= ref - F.make_ym_interval(F.lit(0), F.lit(recent_months))
     return tickets.groupBy(F.col(key).alias(out_key)).agg(
         F.count(F.lit(1)).alias("total_support_tickets"),
         F.count_if(negative).alias("negative_support_tickets"),
-        F.count_if(recent).alias("tickets_recent"),
+        F.count_if(recent).alias("tickets_last_6mo"),
     )
 
 

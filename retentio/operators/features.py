@@ -162,14 +162,23 @@ def churn_features(bronze: DataFrame, engagement: DataFrame | None = None,
     return feat.na.fill(0, subset=numeric)
 
 
-def model_matrix(df: DataFrame, features=FEATURE_COLUMNS, label: str = "label") -> DataFrame:
-    """Add missing features as 0, fixed order, null → 0, cast double."""
+def model_matrix(df: DataFrame, features=FEATURE_COLUMNS, label: str = "label", strict: bool = False,
+                 keep=()) -> DataFrame:
+    """Add missing features as 0, fixed order, null → 0, cast double.
+
+    ``strict`` raises on a missing feature instead of adding zeros; ``keep``
+    lists further columns to carry along.
+    """
     present = set(df.columns)
+    missing = [c for c in features if c not in present]
+    if strict and missing:
+        raise ValueError(f"model features missing: {missing}")
     cols = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) if c in present
             else F.lit(0.0).alias(c) for c in features]
     extra = [F.col(label).cast("int").alias(label)] if label in present else []
-    keep = [F.col("customer_id")] if "customer_id" in present else []
-    return df.select(*keep, *cols, *extra)
+    names = {label, *features}
+    ids = [c for c in dict.fromkeys(["customer_id", *keep]) if c in present and c not in names]
+    return df.select(*ids, *cols, *extra)
 
 
 def keep_existing(df: DataFrame, columns) -> DataFrame:

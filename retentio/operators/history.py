@@ -55,8 +55,9 @@ def as_of_lookup(history: DataFrame, points: DataFrame, key: str, at: str) -> Da
                          *[F.lit(None).cast(points.schema[c].dataType).alias(c) for c in extra])
     p = points.select(F.col(key), F.col(at).alias("_t"), F.lit(1).alias("_kind"),
                       F.lit(None).cast(ver.schema["_v"].dataType).alias("_v"), F.col(at), *extra)
-    # Versions of one instant go by their columns; points of one instant are alike.
-    filled = forward_fill(ver.unionByName(p), ["_t", "_kind", F.hash("_v").alias("_tie")], ["_v"], partition_by=[key])
+    # Of versions that begin together the longest comes last; points of one instant are alike.
+    order = ["_t", "_kind", F.col("_v.valid_to").isNull().alias("_open"), F.col("_v.valid_to").alias("_to")]
+    filled = forward_fill(ver.unionByName(p), order, ["_v"], partition_by=[key])
     hit = filled.filter(F.col("_kind") == 1)
     ok = F.col("_v").isNotNull() & (F.col("_v.valid_to").isNull() | (F.col(at) < F.col("_v.valid_to")))
     return hit.select(key, at, *extra, *[F.when(ok, F.col(f"_v.{c}")).alias(c) for c in vcols])

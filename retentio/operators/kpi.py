@@ -78,12 +78,17 @@ def group_means(df: DataFrame, by: str, cols, digits: int | None = 1) -> DataFra
 
 def histogram(df: DataFrame, value: str, bins: int = 40, lo: float = 0.0,
               hi: float = 1.0, by: str | None = None) -> DataFrame:
-    """Fixed-width histogram over [lo, hi]; the top edge falls in the last bin."""
+    """Fixed-width histogram over [lo, hi]; the top edge falls in the last bin.
+
+    Values below or above the range count in the first or last bin, null and
+    NaN in a bin of their own (null).
+    """
     width = (hi - lo) / bins
-    b = F.least(F.floor((F.col(value) - F.lit(lo)) / F.lit(width)), F.lit(bins - 1)).cast("int")
+    v = F.greatest(F.lit(float(lo)), F.least(F.lit(float(hi)), F.col(value).cast("double")))
+    b = F.least(F.floor((v - F.lit(lo)) / F.lit(width)), F.lit(bins - 1)).cast("int")
+    b = F.when(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")), b)
     keys = ([by] if by else []) + ["bin"]
-    return (df.filter(F.col(value).between(lo, hi))
-            .select(*([F.col(by)] if by else []), b.alias("bin"))
+    return (df.select(*([F.col(by)] if by else []), b.alias("bin"))
             .groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
             .withColumn("bin_lo", F.lit(lo) + F.col("bin") * F.lit(width)))
 

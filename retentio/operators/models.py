@@ -22,8 +22,9 @@ from ..functions.numeric import np_round
 from .features import FEATURE_COLUMNS, model_matrix
 from .segments import segment_names, zscore
 
-# Fixed hyper-parameters of the reference's models (rounds are a parameter:
-# 300 boosting rounds on a laptop-sized cluster is slow).
+# Hyper-parameters of the reference's models.
+CHURN_ROUNDS = 300
+REVENUE_ROUNDS = 200
 CHURN_DEPTH = 6
 CHURN_STEP = 0.05
 CHURN_SUBSAMPLE = 0.8
@@ -38,7 +39,7 @@ def _assembler(features, out: str = "features") -> VectorAssembler:
     return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="keep")
 
 
-def churn_members(features=FEATURE_COLUMNS, rounds: int = 300, seed: int = 42):
+def churn_members(features=FEATURE_COLUMNS, rounds: int = CHURN_ROUNDS, seed: int = 42):
     """M1 and M2: two boosted classifiers with different weighting and seed."""
     a = GBTClassifier(featuresCol="features", labelCol="label", weightCol="w_a",
                       maxIter=rounds, maxDepth=CHURN_DEPTH, stepSize=CHURN_STEP,
@@ -62,20 +63,16 @@ def with_weights(df: DataFrame, label: str = "label") -> DataFrame:
     return out.withColumn("w_a", F.when(F.col(label) == 1, F.lit(POSITIVE_WEIGHT)).otherwise(1.0))
 
 
-def fit_churn(train: DataFrame, features=FEATURE_COLUMNS, rounds: int = 300,
+def fit_churn(train: DataFrame, features=FEATURE_COLUMNS, rounds: int = CHURN_ROUNDS,
               seed: int = 42) -> PipelineModel:
-    m = model_matrix(train, features)
+    m = model_matrix(train, features, strict=True)
     return churn_members(features, rounds, seed).fit(with_weights(m))
 
 
 def score_churn(model: PipelineModel, df: DataFrame, features=FEATURE_COLUMNS,
                 keep=()) -> DataFrame:
     """M3 + M14: soft vote of the members, tier, prediction (no refit)."""
-    m = model_matrix(df, features, label="label")
-    extra = [c for c in keep if c in df.columns and c not in m.columns]
-    if extra:
-        m = m.join(df.select("customer_id", *extra), "customer_id")
-    s = model.transform(m)
+    s = model.transform(model_matrix(df, features, label="label", keep=keep))
     pa = vector_to_array("prob_a")[1]
     pb = vector_to_array("prob_b")[1]
     p = F.lit(VOTE_WEIGHTS[0]) * pa + F.lit(VOTE_WEIGHTS[1]) * pb
@@ -89,7 +86,7 @@ def score_churn(model: PipelineModel, df: DataFrame, features=FEATURE_COLUMNS,
 
 
 def kmeans_segments(df: DataFrame, key: str, features, ks=K_RANGE, seed: int = 42,
-                    value_col: str = "lifetime_value", max_iter: int = 20,
+                    value_col: str = "lifetime_value", max_iter: int = 300,
                     restarts: int = 10) -> DataFrame:
     """M6 + M7 + P31: z-scored features, k chosen by silhouette, clusters
     ordered by mean ``value_col`` (descending) and named.
@@ -121,7 +118,7 @@ def kmeans_segments(df: DataFrame, key: str, features, ks=K_RANGE, seed: int = 4
                       F.lit(k).alias("k"), F.lit(float(sil)).alias("silhouette"))
 
 
-def fit_revenue(train: DataFrame, features, rounds: int = 200, seed: int = 42) -> PipelineModel:
+def fit_revenue(train: DataFrame, features, rounds: int = REVENUE_ROUNDS, seed: int = 42) -> PipelineModel:
     """Boosted regressor on time features."""
     gbt = GBTRegressor(featuresCol="features", labelCol="y", maxIter=rounds,
                        maxDepth=REVENUE_DEPTH, stepSize=REVENUE_STEP, subsamplingRate=0.8,

@@ -63,14 +63,29 @@ def row_counts(tables: dict, minimums: dict) -> DataFrame:
     return u.withColumn("ok", F.col("n_rows") >= F.col("min_rows"))
 
 
+def require(report: DataFrame, name: str = "check") -> DataFrame:
+    """Q1/Q2 gate: raises with the names of the failed checks, else the report.
+
+    A report has one row per check, so its failures fit the driver.
+    """
+    failed = [":".join(str(r[c]) for c in ("table_name", name) if c in report.columns)
+              for r in report.where(~F.coalesce("ok", F.lit(False))).collect()]
+    if failed:
+        raise ValueError("quality checks failed: " + ", ".join(sorted(failed)))
+    return report
+
+
 def fingerprint(df: DataFrame, cols=None) -> DataFrame:
-    """Order-free content hash: count + xor and sum of row hashes.
+    """Order-free content hash: count, xor and sum of row digests.
 
     Equal multisets of rows give equal fingerprints whatever the file
     layout or partitioning; a partial aggregate per task, one tiny merge.
+    A row's digest is the MD5 of its values as text, each marked null or not,
+    so any engine can compute it.
     """
     cols = cols or df.columns
-    h = F.xxhash64(*[F.col(c) for c in cols])
+    text = F.concat_ws("|", *[F.when(F.col(c).isNull(), "n").otherwise(F.concat(F.lit("v"), F.col(c).cast("string"))) for c in cols])
+    h = F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
     return df.agg(F.count(F.lit(1)).alias("n_rows"),
                   F.bit_xor(h).alias("xor_hash"),
                   F.sum(F.pmod(h, F.lit(1000003))).alias("mod_sum_hash"))

@@ -60,11 +60,15 @@ def rfm(facts: DataFrame, key: str, ts: str, amount: str) -> DataFrame:
     base = base.withColumn("_b", bounds)
     for k, v in measures.items():
         base = base.withColumn(f"_{k}", F.struct(v.alias("v"), F.col("customer_id")))
-        base = base.withColumn(f"{k}_score", 1 + F.size(F.filter(F.col("_b")[k], lambda x, k=k: x < F.col(f"_{k}"))))
+        base = base.withColumn(f"{k}_score", 1 + F.size(F.filter(F.col("_b")[k], _below(F.col(f"_{k}")))))
     return base.drop("_b", *[f"_{k}" for k in measures]).withColumn(
         "rfm_score", F.col("r_score") + F.col("f_score") + F.col("m_score"))
 
 
+def _below(key):
+    return lambda x: x < key
+
+
 def rfm_segment(score) -> "F.Column":
     """Name an RFM total (3..15) with the reference's five segment names."""
     s = F.col(score) if isinstance(score, str) else score

@@ -22,19 +22,20 @@ ROLLING = (3, 6)
 
 
 def monthly_series(facts: DataFrame, ts: str, amount: str, series: str | None = None,
-                   fill_gaps: bool = True) -> DataFrame:
+                   fill_gaps: bool = True, count: str | None = None) -> DataFrame:
     """``(series, ds, y, n_orders)`` per calendar month; missing months get 0.
 
     One aggregation pass over the facts.  Gaps are filled from the aggregate
     alone: ``lead(ds)`` per series (a window over #series × #months rows)
     and a single ``explode`` that emits each month followed by the empty
     months before the next one — the facts are never scanned a second time
-    for a calendar, and no union or join is needed.
+    for a calendar, and no union or join is needed.  Facts that are already
+    summed name the column that holds their ``count``.
     """
     keys = [F.col(series).alias("series")] if series else [F.lit("all").alias("series")]
     m = facts.groupBy(*keys, F.date_trunc("month", F.col(ts)).cast("date").alias("ds")).agg(
         F.sum(F.col(amount).cast("decimal(18,2)")).cast("double").alias("y"),
-        F.count(F.lit(1)).alias("n_orders"))
+        (F.sum(count) if count else F.count(F.lit(1))).alias("n_orders"))
     if not fill_gaps:
         return m
     nxt = F.lead("ds").over(Window.partitionBy("series").orderBy("ds"))
@@ -160,7 +161,7 @@ def fit_trend_season(df: DataFrame, train: Column | None = None, y: str = "y") -
     return mom.select("series", "a", "b", "t_last", "ds_last").join(eff, "series")
 
 
-def forecast(model: DataFrame, periods: int = 12, digits: int = 0) -> DataFrame:
+def forecast(model: DataFrame, periods: int = 12, digits: int = 2) -> DataFrame:
     """M13a predict + P28 band for ``periods`` months after each series' end.
 
     Month stepping uses ``add_months`` (the reference's +32-day step skips a
@@ -178,10 +179,10 @@ def forecast(model: DataFrame, periods: int = 12, digits: int = 0) -> DataFrame:
             .withColumns({"lower_bound": lo, "upper_bound": hi}))
 
 
-def predict_on(model: DataFrame, df: DataFrame, digits: int = 0) -> DataFrame:
+def predict_on(model: DataFrame, df: DataFrame, digits: int = 2) -> DataFrame:
     """Apply a trend+season fit to the months of ``df`` (its own t index)."""
     p = with_position(df)
-    j = p.join(model, ["series"], "inner").filter(F.month("ds") == F.col("month"))
+    j = p.join(model.select("series", "a", "b", "month", "effect"), ["series"]).filter(F.month("ds") == F.col("month"))
     return j.withColumn("predicted", np_round(F.col("a") + F.col("b") * F.col("t")
                                               + F.col("effect"), digits))
 
@@ -240,7 +241,7 @@ def direct_forecast(df: DataFrame, horizons: int = 12, rounds: int = 200, seed:
     pred = model.transform(origin.withColumnRenamed("y", "y_origin"))
     lo, hi = forecast_band(F.col("forecast"))
     return pred.select("series", "h", F.col("target_ds").alias("ds"),
-                       np_round("predicted", 0).alias("forecast")).withColumns(
+                       np_round("predicted", 2).alias("forecast")).withColumns(
         {"lower_bound": lo, "upper_bound": hi})
 
 

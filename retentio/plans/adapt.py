@@ -4,7 +4,8 @@ customer = ``customer``; orders = ``orders`` (money in thousands);
 tickets = ``events`` with ``user_id = c_custkey``, negative = ``error``;
 ``as_of`` = latest order date; label = no order in the 365 days before
 ``as_of``.  Telco attributes the tables lack are derived from columns that
-exist (fixed mapping below), so the risk rules see realistic domains.
+exist (fixed mapping below), so the risk rules see realistic domains.  The
+features are the library's own functions over these columns.
 """
 
 from __future__ import annotations
@@ -12,8 +13,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.numeric import flag, months_between_floor, np_round, safe_div
+from ..functions.numeric import months_between_floor, strict_int, sum_columns
 from ..functions import rules as R
+from ..operators.features import (CATEGORICAL_DEFAULTS, ENGAGEMENT_COLUMNS, SERVICE_FLAGS,
+                                  binary_flag_columns, derived_columns, label_column, ratio_to_ltv,
+                                  value_columns)
 from ..operators.engagement import as_of, engagement_join, order_activity, ticket_activity
 from ..sources.tables import read_table
 
@@ -35,7 +39,6 @@ SECURITY_BALANCE = 5000.0
 SUPPORT_MIN_ORDERS = 12
 CHURN_DAYS = 365
 MONEY_SCALE = 1000.0
-TICKET_RECENT_DAYS = 7
 CANCELLED_STATUS = "P"
 # ---------------------------------------------------------------------------
 
@@ -57,8 +60,13 @@ def payment_of(balance: Column) -> Column:
     return e.otherwise(F.lit(PAYMENT_DEFAULT))
 
 
-def customer_features(spark: SparkSession, d: str) -> DataFrame:
-    """One row per customer with the churn model's columns."""
+def yes_no(cond: Column) -> Column:
+    return F.when(cond, "Yes").otherwise("No")
+
+
+def bronze(spark: SparkSession, d: str) -> DataFrame:
+    """One row per customer with the telco table's column names, and the
+    engagement facts beside them."""
     customer = read_table(spark, d, "customer")
     nation = read_table(spark, d, "nation")
     orders = read_table(spark, d, "orders")
@@ -68,71 +76,62 @@ def customer_features(spark: SparkSession, d: str) -> DataFrame:
     oa = order_activity(orders, "o_custkey", "o_orderdate", "o_totalprice",
                         status="o_orderstatus", cancelled_value=CANCELLED_STATUS,
                         reference_ts=ref, money_scale=MONEY_SCALE)
-    ta = ticket_activity(events, "user_id", "ts", F.col("event_type") == "error",
-                         recent_days=TICKET_RECENT_DAYS)
+    ta = ticket_activity(events, "user_id", "ts", F.col("event_type") == "error")
     # as_of-dependent columns are computed on the per-customer aggregate,
     # below the join: later projections see plain attributes, so the scalar
     # subquery is not copied into every expression that uses tenure or label.
     oa = oa.withColumns({
         "_tenure": months_between_floor(ref, F.col("first_order")),
-        "_lapsed": flag(F.col("last_order") < ref - F.make_dt_interval(F.lit(CHURN_DAYS))),
+        "_lapsed": F.col("last_order") < ref - F.make_dt_interval(F.lit(CHURN_DAYS)),
     })
     cust = customer.join(nation.select("n_nationkey", "n_regionkey"),
                          customer.c_nationkey == nation.n_nationkey, "left")
     j = engagement_join(cust, "c_custkey", oa, ta)
 
+    key, bal = F.col("c_custkey"), F.col("c_acctbal")
+    internet = internet_of(F.col("n_regionkey"))
     tenure = F.coalesce(F.col("_tenure"), F.lit(0))
     total = F.coalesce(F.col("total_spend"), F.lit(0.0))
     n_orders = F.coalesce(F.col("total_orders"), F.lit(0))
-    base = j.select(
-        F.col("c_custkey").alias("customer_id"),
-        F.col("c_mktsegment").alias("segment"),
-        F.col("c_acctbal").alias("acctbal"),
-        contract_of(F.col("c_mktsegment")).alias("contract_type"),
-        payment_of(F.col("c_acctbal")).alias("payment_method"),
-        internet_of(F.col("n_regionkey")).alias("internet_service"),
-        F.when(F.col("c_acctbal") >= SECURITY_BALANCE, "Yes").otherwise("No").alias("online_security"),
-        F.when(n_orders >= SUPPORT_MIN_ORDERS, "Yes").otherwise("No").alias("tech_support"),
-        F.coalesce(F.col("_lapsed"), F.lit(1)).alias("label"),  # no order at all → churned
-        tenure.alias("tenure_months"),
-        total.alias("total_charges"),
+    return j.select(
+        key.alias("customerid"), F.col("c_mktsegment").alias("segment"), bal.alias("acctbal"),
+        F.when(key % 2 == 0, "Male").otherwise("Female").alias("gender"),
+        F.when(bal < 0, 1).otherwise(0).alias("seniorcitizen"),
+        yes_no(F.col("c_nationkey") % 2 == 0).alias("partner"),
+        yes_no(F.col("c_nationkey") % 3 == 0).alias("dependents"),
+        yes_no(key % 10 != 0).alias("phoneservice"), yes_no(key % 3 == 0).alias("multiplelines"),
+        internet.alias("internetservice"), yes_no(bal >= SECURITY_BALANCE).alias("onlinesecurity"),
+        yes_no(key % 5 < 2).alias("onlinebackup"), yes_no(key % 7 < 3).alias("deviceprotection"),
+        yes_no(n_orders >= SUPPORT_MIN_ORDERS).alias("techsupport"),
+        yes_no(key % 4 == 1).alias("streamingtv"), yes_no(key % 6 == 1).alias("streamingmovies"),
+        contract_of(F.col("c_mktsegment")).alias("contract"),
+        yes_no(key % 4 != 0).alias("paperlessbilling"), payment_of(bal).alias("paymentmethod"),
+        yes_no(F.coalesce(F.col("_lapsed"), F.lit(True))).alias("churn"),  # no order at all → churned
+        tenure.alias("tenure_months"), total.alias("total_charges"),
         (total / F.greatest(tenure, F.lit(1))).alias("monthly_charges"),
-        n_orders.alias("total_orders"),
-        F.coalesce(F.col("orders_6mo"), F.lit(0)).alias("total_orders_6mo"),
-        F.coalesce(F.col("revenue_6mo"), F.lit(0.0)).alias("total_revenue_6mo"),
-        F.coalesce(F.col("active_months_6mo"), F.lit(0)).alias("active_months_6mo"),
-        F.coalesce(F.col("cancellations_6mo"), F.lit(0)).alias("total_cancellations_6mo"),
-        F.coalesce(F.col("total_support_tickets"), F.lit(0)).alias("total_support_tickets"),
-        F.coalesce(F.col("negative_support_tickets"), F.lit(0)).alias("negative_support_tickets"),
-        F.coalesce(F.col("tickets_recent"), F.lit(0)).alias("tickets_last_7d"),
-        F.col("last_order"),
-    )
-    return base
+        *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in ENGAGEMENT_COLUMNS],
+        F.col("last_order"))
+
+
+def customer_features(spark: SparkSession, d: str) -> DataFrame:
+    """Labels, flags and categories from the bronze columns."""
+    b = bronze(spark, d)
+    return b.select(
+        F.col("customerid").alias("customer_id"), "segment", "acctbal",
+        *[F.coalesce(F.col(src), F.lit(v)).alias(n) for n, (src, v) in CATEGORICAL_DEFAULTS.items()],
+        F.col("onlinesecurity").alias("online_security"), F.col("techsupport").alias("tech_support"),
+        "gender", F.col("partner").alias("partner"), F.col("dependents").alias("dependents"),
+        F.col("paperlessbilling").alias("paperless_billing"),
+        label_column("churn").alias("label"), strict_int("seniorcitizen").alias("is_senior_citizen"),
+        "tenure_months", "total_charges", "monthly_charges", *ENGAGEMENT_COLUMNS, "last_order",
+        *[c.alias(n) for n, c in binary_flag_columns(set(b.columns)).items()])
 
 
 def engineered(spark: SparkSession, d: str) -> DataFrame:
     """customer_features + derived flags, value and ratio columns."""
-    b = customer_features(spark, d)
-    t, m, tot = F.col("tenure_months"), F.col("monthly_charges"), F.col("total_charges")
-    e = b.withColumns({
-        "num_support_tickets": F.col("total_support_tickets"),
-        "is_monthly_contract": flag(F.col("contract_type") == "Month-to-month"),
-        "implied_tenure": safe_div(tot, m),
-        "is_new_customer": flag(t < 12),
-        "is_long_tenure": flag(t > 48),
-        "charge_gap": m * t - tot,
-        "is_high_value": flag(m > 70),
-        "avg_order_value": np_round(safe_div(tot, F.col("total_orders")), 2),
-        "lifetime_value": np_round(m * t + F.col("total_revenue_6mo"), 2),
-        "negative_ticket_ratio": np_round(
-            F.col("negative_support_tickets")
-            / F.when(F.col("total_support_tickets") == 0, F.lit(1))
-            .otherwise(F.col("total_support_tickets")), 3),
-    })
-    return e.withColumns({
-        "is_at_risk": flag((F.col("is_monthly_contract") == 1) & (t < 12)),
-        "charge_to_ltv_ratio": np_round(safe_div(m, F.col("lifetime_value")), 4),
-    })
+    e = customer_features(spark, d).withColumn("num_support_tickets", F.col("total_support_tickets"))
+    e = e.withColumns({**derived_columns(), "services_count": sum_columns(SERVICE_FLAGS)})
+    return e.withColumns(value_columns()).withColumn("charge_to_ltv_ratio", ratio_to_ltv())
 
 
 # Rule score: the sum of the seven factor weights that fire, divided by the sum

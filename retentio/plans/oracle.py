@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .sqlbase import _flag
 from .sqlbase import np_round_sql as npr
 from .sqlbase import with_base
 
@@ -18,10 +19,8 @@ ORACLES["customer_value"] = with_base(
     "SELECT customer_id, total_revenue_6mo, lifetime_value, avg_order_value, "
     "charge_to_ltv_ratio FROM eng")
 
-ORACLES["engagement_features"] = with_base(
-    "SELECT customer_id, total_orders, total_orders_6mo, total_revenue_6mo, active_months_6mo, "
-    "total_cancellations_6mo, total_support_tickets, negative_support_tickets, tickets_last_7d, "
-    "negative_ticket_ratio FROM eng")
+_ENGAGEMENT = ["total_orders", "total_orders_6mo", "total_revenue_6mo", "avg_monthly_revenue_6mo", "revenue_volatility_6mo", "active_months_6mo", "total_cancellations_6mo", "avg_order_value", "total_support_tickets", "negative_support_tickets", "tickets_last_6mo", "negative_ticket_ratio"]
+ORACLES["engagement_features"] = with_base(f"SELECT customer_id, {', '.join(_ENGAGEMENT)} FROM eng")
 
 ORACLES["churn_by_contract"] = with_base(
     "SELECT contract_type, CAST(count(*) AS BIGINT) AS n_customers, "
@@ -83,10 +82,6 @@ mcal AS (
 monthly AS (
   SELECT c.ds, CAST(coalesce(f.y_dec, 0) AS DOUBLE) AS y, CAST(coalesce(f.n_orders, 0) AS BIGINT) AS n_orders
   FROM mcal c LEFT JOIN mfacts f ON c.ds = f.ds),
-monthly_c AS (
-  SELECT * FROM monthly
-  WHERE ds < CAST(date_trunc('month', (SELECT max(o_orderdate) FROM orders)) AS DATE)
-     OR CAST((SELECT max(o_orderdate) FROM orders) AS DATE) = last_day((SELECT max(o_orderdate) FROM orders))),
 """
 
 
@@ -117,42 +112,32 @@ ORACLES["numeric_coerce"] = (
     "coalesce(TRY_CAST(CAST(value AS VARCHAR) AS DOUBLE), 0.0::DOUBLE) AS value_text FROM events")
 
 
-def _flag(cond: str) -> str:
-    return f"CASE WHEN {cond} THEN 1 ELSE 0 END"
-
-
-ORACLES["binary_flags"] = with_base(
-    "SELECT customer_id, "
-    f"{_flag(chr(39).join(['contract_type = ', 'Month-to-month', '']))} AS is_monthly_contract, "
-    f"{_flag(chr(39).join(['contract_type = ', 'One year', '']))} AS is_annual_contract, "
-    f"{_flag(chr(39).join(['contract_type = ', 'Two year', '']))} AS is_biannual_contract, "
-    f"{_flag(chr(39).join(['payment_method = ', 'Electronic check', '']))} AS uses_electronic_check, "
-    f"{_flag(chr(39).join(['internet_service = ', 'Fiber optic', '']))} AS has_fiber_optic, "
-    f"{_flag(chr(39).join(['internet_service = ', 'DSL', '']))} AS has_dsl, "
-    f"{_flag(chr(39).join(['internet_service = ', 'No', '']))} AS no_internet, "
-    f"{_flag(chr(39).join(['online_security = ', 'Yes', '']))} AS has_online_security, "
-    f"{_flag(chr(39).join(['tech_support = ', 'Yes', '']))} AS has_tech_support FROM cf")
+_FLAGS = ["is_male", "has_partner", "has_dependents", "has_paperless_billing", "is_monthly_contract",
+          "is_annual_contract", "is_biannual_contract", "uses_electronic_check", "has_fiber_optic", "has_dsl",
+          "no_internet", "has_online_security", "has_tech_support", "has_phone", "has_multiple_lines",
+          "has_online_backup", "has_device_protect", "has_streaming_tv", "has_streaming_movies"]
+ORACLES["binary_flags"] = with_base(f"SELECT customer_id, is_senior_citizen, {', '.join(_FLAGS)} FROM cf")
 
+_TENURE = "CAST(tenure_months AS DOUBLE)"
+_TICKETS = "CAST(num_support_tickets AS INTEGER)"
 ORACLES["serving_features"] = with_base(
-    "SELECT customer_id, "
+    "SELECT customer_id, is_male, is_senior_citizen, has_partner, has_dependents, "
+    f"{_TENURE} AS tenure_months, monthly_charges, total_charges, "
     "CASE WHEN monthly_charges > 0 THEN total_charges / monthly_charges ELSE 0.0::DOUBLE END AS implied_tenure, "
-    f"{_flag(chr(39).join(['contract_type = ', 'Month-to-month', '']))} AS is_monthly_contract, "
-    f"{_flag(chr(39).join(['payment_method = ', 'Electronic check', '']))} AS uses_electronic_check, "
-    f"{_flag(chr(39).join(['internet_service = ', 'Fiber optic', '']))} AS has_fiber_optic, "
-    f"{_flag(chr(39).join(['online_security = ', 'Yes', '']))} AS has_online_security, "
-    f"{_flag(chr(39).join(['tech_support = ', 'Yes', '']))} AS has_tech_support, "
-    "1 AS has_phone, 0 AS services_count, "
-    f"{_flag(chr(39).join(['contract_type = ', 'Month-to-month', ' AND tenure_months < 12']))} AS is_at_risk, "
-    "CAST(num_support_tickets AS INTEGER) AS total_support_tickets, "
-    "greatest(CAST(num_support_tickets AS INTEGER) - 1, 0) AS negative_support_tickets, "
-    "CAST(num_support_tickets AS INTEGER) AS tickets_last_6mo, 5 AS total_orders_6mo, "
+    "is_monthly_contract, is_annual_contract, is_biannual_contract, uses_electronic_check, has_paperless_billing, "
+    "has_fiber_optic, has_dsl, no_internet, has_online_security, has_tech_support, 1 AS has_phone, "
+    "0 AS has_multiple_lines, 0 AS has_online_backup, 0 AS has_device_protect, 0 AS has_streaming_tv, "
+    f"0 AS has_streaming_movies, is_new_customer, is_long_tenure, monthly_charges * {_TENURE} - total_charges AS charge_gap, "
+    "0 AS services_count, is_high_value, is_at_risk, "
+    f"{_TICKETS} AS total_support_tickets, greatest({_TICKETS} - 1, 0) AS negative_support_tickets, "
+    f"{_TICKETS} AS tickets_last_6mo, 5 AS total_orders_6mo, "
     "monthly_charges * 6.0::DOUBLE AS total_revenue_6mo, monthly_charges AS avg_monthly_revenue_6mo, "
     "monthly_charges * 0.1::DOUBLE AS revenue_volatility_6mo, 0 AS total_cancellations_6mo, "
-    "least(6, CAST(trunc(CAST(tenure_months AS DOUBLE)) AS INTEGER)) AS active_months_6mo, "
+    f"least(6, CAST(trunc({_TENURE}) AS INTEGER)) AS active_months_6mo, "
     "total_charges AS lifetime_value, monthly_charges AS avg_order_value, "
-    "greatest(1, CAST(trunc(CAST(tenure_months AS DOUBLE)) AS INTEGER)) AS total_orders, "
-    "CASE WHEN num_support_tickets > 0 THEN greatest(CAST(num_support_tickets AS INTEGER) - 1, 0) "
-    "/ CAST(num_support_tickets AS INTEGER) ELSE 0.0::DOUBLE END AS negative_ticket_ratio, "
+    f"greatest(1, CAST(trunc({_TENURE}) AS INTEGER)) AS total_orders, "
+    f"CASE WHEN num_support_tickets > 0 THEN greatest({_TICKETS} - 1, 0) / {_TICKETS} ELSE 0.0::DOUBLE END "
+    "AS negative_ticket_ratio, "
     "CASE WHEN total_charges > 0 THEN monthly_charges / total_charges ELSE 0.0::DOUBLE END AS charge_to_ltv_ratio "
     "FROM eng")
 
@@ -262,8 +247,8 @@ rfm AS (
   SELECT *, r_score + f_score + m_score AS rfm_score,
          CASE WHEN r_score + f_score + m_score >= 13 THEN 'Champions'
               WHEN r_score + f_score + m_score >= 10 THEN 'Loyal Customers'
-              WHEN r_score + f_score + m_score >= 8 THEN 'Potential Loyalists'
-              WHEN r_score + f_score + m_score >= 6 THEN 'At Risk' ELSE 'Lost' END AS rfm_segment
+              WHEN r_score + f_score + m_score >= 8 THEN 'At Risk'
+              WHEN r_score + f_score + m_score >= 6 THEN 'Hibernating' ELSE 'Lost' END AS rfm_segment
   FROM rfm1),
 """
 ORACLES["rfm_scores"] = f"WITH {_RFM_CTES.strip().rstrip(',')}\nSELECT * FROM rfm"
@@ -271,8 +256,7 @@ ORACLES["rfm_scores"] = f"WITH {_RFM_CTES.strip().rstrip(',')}\nSELECT * FROM rf
 ORACLES["upsell_candidates"] = with_base(
     "SELECT r.customer_id, r.rfm_segment, s.risk_tier, r.monetary FROM rfm r "
     "JOIN sc s ON r.customer_id = s.customer_id "
-    "WHERE r.rfm_segment IN ('Champions', 'Loyal Customers') AND s.risk_tier <> 'HIGH' "
-    "ORDER BY r.monetary DESC, r.customer_id LIMIT 50", scored=True, ctes=_RFM_CTES)
+    "WHERE r.rfm_segment IN ('Champions', 'Loyal Customers') AND s.risk_tier <> 'HIGH'", scored=True, ctes=_RFM_CTES)
 
 ORACLES["scd2_history"] = (
     "WITH c AS (SELECT o_custkey AS customer_id, o_orderdate, o_orderpriority, o_orderkey, "
@@ -311,8 +295,8 @@ ORACLES["staged_orders"] = (
     "CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 1 ELSE 0 END AS is_priority FROM orders")
 
 ORACLES["period_summary"] = (
-    "WITH r AS (SELECT * FROM (VALUES ('last_30_days', 30, 1), ('last_90_days', 90, 2), "
-    "('last_365_days', 365, 3)) t(date_range, days, k)), "
+    "WITH r AS (SELECT * FROM (VALUES ('last_7_days', 7, 1), ('last_30_days', 30, 2), "
+    "('last_90_days', 90, 3)) t(date_range, days, k)), "
     "m AS (SELECT max(o_orderdate) AS as_of FROM orders), "
     "a AS (SELECT r.date_range, CAST(count(o.o_orderkey) AS BIGINT) AS n_orders, "
     "CAST(count(DISTINCT o.o_custkey) AS BIGINT) AS n_customers, "
@@ -377,7 +361,7 @@ ORACLES["time_split"] = monthly_sql(
 # Trend + month-effect fit from exact moment sums (same expression order as Spark).
 _FIT_CTES = """
 pos AS (SELECT ds, y, CAST(row_number() OVER (ORDER BY ds) AS INTEGER) AS t,
-               count(*) OVER () AS n_months FROM monthly_c),
+               count(*) OVER () AS n_months FROM monthly),
 trainset AS (SELECT * FROM pos WHERE {train}),
 mom AS (SELECT CAST(count(*) AS DOUBLE) AS k, CAST(sum(t) AS DOUBLE) AS st,
                CAST(sum(CAST(t AS BIGINT) * t) AS DOUBLE) AS stt,
@@ -398,7 +382,7 @@ def _fit(train: str = "true") -> str:
 ORACLES["forecast_trend_season"] = monthly_sql(
     f"SELECT h, ds, forecast, {npr('forecast * 0.92::DOUBLE', 2)} AS lower_bound, "
     f"{npr('forecast * 1.08::DOUBLE', 2)} AS upper_bound FROM ("
-    f"SELECT s.h, s.ds, {npr('c.a + c.b * (c.t_last + s.h) + coalesce(e.effect, 0.0::DOUBLE)', 0)} AS forecast "
+    f"SELECT s.h, s.ds, {npr('c.a + c.b * (c.t_last + s.h) + coalesce(e.effect, 0.0::DOUBLE)', 2)} AS forecast "
     "FROM (SELECT CAST(h AS INTEGER) AS h, CAST(ds_last + h * INTERVAL 1 MONTH AS DATE) AS ds "
     "FROM coef, range(1, 13) r(h)) s CROSS JOIN coef c "
     "LEFT JOIN eff e ON e.month = month(s.ds)) f", ctes=_fit())
@@ -407,16 +391,16 @@ ORACLES["forecast_errors"] = monthly_sql(
     f"SELECT CAST(count(*) AS BIGINT) AS n_test, {npr('avg(abs((predicted - y) / nullif(y, 0)))', 6)} AS mape, "
     f"{npr('sqrt(avg((predicted - y) * (predicted - y)))', 2)} AS rmse, "
     f"{npr('avg(abs(predicted - y))', 2)} AS mae FROM ("
-    f"SELECT p.y, {npr('c.a + c.b * p.t + e.effect', 0)} AS predicted FROM pos p CROSS JOIN coef c "
+    f"SELECT p.y, {npr('c.a + c.b * p.t + e.effect', 2)} AS predicted FROM pos p CROSS JOIN coef c "
     "JOIN eff e ON e.month = month(p.ds) WHERE p.t > floor(p.n_months * 0.8::DOUBLE)) q",
     ctes=_fit("t <= floor(n_months * 0.8::DOUBLE)"))
 
 ORACLES["history_plus_forecast"] = monthly_sql(
     "SELECT * FROM (SELECT ds, 'history' AS type, y AS value, y AS lower_bound, y AS upper_bound "
-    "FROM monthly_c ORDER BY ds DESC LIMIT 12) h UNION ALL "
+    "FROM monthly ORDER BY ds DESC LIMIT 12) h UNION ALL "
     f"SELECT ds, 'forecast' AS type, forecast AS value, {npr('forecast * 0.92::DOUBLE', 2)} AS lower_bound, "
     f"{npr('forecast * 1.08::DOUBLE', 2)} AS upper_bound FROM ("
-    f"SELECT s.ds, {npr('c.a + c.b * (c.t_last + s.h) + coalesce(e.effect, 0.0::DOUBLE)', 0)} AS forecast "
+    f"SELECT s.ds, {npr('c.a + c.b * (c.t_last + s.h) + coalesce(e.effect, 0.0::DOUBLE)', 2)} AS forecast "
     "FROM (SELECT CAST(h AS INTEGER) AS h, CAST(ds_last + h * INTERVAL 1 MONTH AS DATE) AS ds "
     "FROM coef, range(1, 13) r(h)) s CROSS JOIN coef c "
     "LEFT JOIN eff e ON e.month = month(s.ds)) f", ctes=_fit())
@@ -614,11 +598,12 @@ ORACLES["stream_risk_scoring"] = with_base(
     "ELSE 'Customer is healthy. Continue standard engagement.' END AS recommendation FROM sc", scored=True)
 
 ORACLES["monitoring_report"] = (
-    "SELECT q.quality_ok, p.max_psi, s.prediction_drift, p.max_psi > 0.2::DOUBLE AS feature_drift, "
+    "SELECT q.quality_ok, p.max_psi, s.prediction_drift, k.ks_statistic, p.max_psi > 0.2::DOUBLE AS feature_drift, "
     "(p.max_psi > 0.2::DOUBLE) OR s.prediction_drift OR NOT q.quality_ok AS retrain_required FROM "
     f"(SELECT bool_and(ok) AS quality_ok FROM ({ORACLES['quality_checks']}) x) q CROSS JOIN "
     f"(SELECT max(psi) AS max_psi FROM ({ORACLES['psi_by_feature']}) y) p CROSS JOIN "
-    f"(SELECT alarm AS prediction_drift FROM ({ORACLES['mean_drift']}) z) s")
+    f"(SELECT alarm AS prediction_drift FROM ({ORACLES['mean_drift']}) z) s CROSS JOIN "
+    f"(SELECT ks_statistic FROM ({ORACLES['ks_statistic']}) u) k")
 
 _PER = ORACLES["period_summary"]
 _RNG = "replace(date_range, '_', ' ')"

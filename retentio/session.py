@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -56,23 +55,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; set one only when unset.
+    """Use the session's ``spark.checkpoint.dir``; set one only when unset.
 
-    The fallback (a fresh temp folder) is allowed for ``local`` masters only,
-    as in tests; on a cluster a machine-local folder would not survive the
-    loss of an executor, so a missing setting is an error there.
+    The fallback lies in the warehouse folder, which all executors share.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    if not conf_dir:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-        conf_dir = tempfile.mkdtemp(prefix="retentio-ckpt-")
-    sc.setCheckpointDir(conf_dir)
-    return sc.getCheckpointDir() or conf_dir
+    folder = spark.conf.get("spark.checkpoint.dir", None) or os.path.join(
+        spark.conf.get("spark.sql.warehouse.dir"), "_checkpoints")
+    sc.setCheckpointDir(folder)
+    return sc.getCheckpointDir() or folder
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

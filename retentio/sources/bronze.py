@@ -37,8 +37,9 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType = TELCO_CSV_SC
 
     ``TotalCharges`` stays a string here: the raw file has blanks that the
     clean step coerces.  Malformed numeric fields become null (PERMISSIVE).
+    With a header, columns whose names differ from the schema's raise.
     """
-    return (spark.read.schema(schema).option("header", header)
+    return (spark.read.schema(schema).option("header", header).option("enforceSchema", not header)
             .option("mode", "PERMISSIVE").csv(path))
 
 
