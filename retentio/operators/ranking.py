@@ -20,6 +20,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 #: Sampled keys per bucket.
 SAMPLE = 32
 
@@ -43,8 +45,10 @@ def _bucketed(df: DataFrame, order: list, partition_by: list | None, buckets: in
     key = F.struct("_g", "_o")
     sample = df.select(key.alias("k")).orderBy(F.xxhash64("k"), "k").limit(SAMPLE * n)
     rn = F.row_number().over(Window.orderBy("k"))  # at most SAMPLE * n rows
+    # One row, written at once: the rows below are not read again for it.
+    ensure_checkpoint_dir(spark)
     bounds = (sample.withColumn("r", rn).where(F.col("r") % SAMPLE == 0)
-              .select(F.array_sort(F.collect_list("k"))).scalar())
+              .agg(F.array_sort(F.collect_list("k")).alias("b")).checkpoint().select("b").scalar())
     step = max(1, math.isqrt(n))
     df = df.withColumn("_bounds", bounds).withColumn("_k", key)
     coarse = F.filter("_bounds", lambda b, i: (i % step == step - 1) & (b < F.col("_k")))
