@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions import rules as R
 from ..functions.numeric import np_round
+from ..session import ensure_checkpoint_dir
 from .features import FEATURE_COLUMNS, model_matrix
 from .segments import segment_names, zscore
 
@@ -63,10 +64,22 @@ def with_weights(df: DataFrame, label: str = "label") -> DataFrame:
     return out.withColumn("w_a", F.when(F.col(label) == 1, F.lit(POSITIVE_WEIGHT)).otherwise(1.0))
 
 
+#: Rows of a training partition: boosting runs several jobs a round, and small
+#: frames in many partitions spend their time in task starts.
+TRAIN_ROWS = 50_000
+
+
+def _sized(train: DataFrame) -> DataFrame:
+    """The training frame, written once, in partitions of about TRAIN_ROWS rows."""
+    ensure_checkpoint_dir(train.sparkSession)
+    train = train.checkpoint()
+    return train.coalesce(max(1, -(-train.count() // TRAIN_ROWS)))
+
+
 def fit_churn(train: DataFrame, features=FEATURE_COLUMNS, rounds: int = CHURN_ROUNDS,
               seed: int = 42) -> PipelineModel:
-    m = model_matrix(train, features, strict=True)
-    return churn_members(features, rounds, seed).fit(with_weights(m))
+    m = _sized(with_weights(model_matrix(train, features, strict=True)))
+    return churn_members(features, rounds, seed).fit(m)
 
 
 def score_churn(model: PipelineModel, df: DataFrame, features=FEATURE_COLUMNS,
@@ -123,7 +136,7 @@ def fit_revenue(train: DataFrame, features, rounds: int = REVENUE_ROUNDS, seed:
     gbt = GBTRegressor(featuresCol="features", labelCol="y", maxIter=rounds,
                        maxDepth=REVENUE_DEPTH, stepSize=REVENUE_STEP, subsamplingRate=0.8,
                        seed=seed, predictionCol="predicted")
-    return Pipeline(stages=[_assembler(features), gbt]).fit(train)
+    return Pipeline(stages=[_assembler(features), gbt]).fit(_sized(train))
 
 
 def save_model(model: PipelineModel, path: str) -> None:
