@@ -77,15 +77,16 @@ def _sized(train: DataFrame) -> DataFrame:
 
 
 def fit_churn(train: DataFrame, features=FEATURE_COLUMNS, rounds: int = CHURN_ROUNDS,
-              seed: int = 42) -> PipelineModel:
-    m = _sized(with_weights(model_matrix(train, features, strict=True)))
+              seed: int = 42, strict: bool = False) -> PipelineModel:
+    """M1–M3: both members; ``strict`` raises where a feature is missing."""
+    m = _sized(with_weights(model_matrix(train, features, strict=strict)))
     return churn_members(features, rounds, seed).fit(m)
 
 
 def score_churn(model: PipelineModel, df: DataFrame, features=FEATURE_COLUMNS,
-                keep=()) -> DataFrame:
+                keep=(), strict: bool = False) -> DataFrame:
     """M3 + M14: soft vote of the members, tier, prediction (no refit)."""
-    s = model.transform(model_matrix(df, features, label="label", keep=keep))
+    s = model.transform(model_matrix(df, features, label="label", keep=keep, strict=strict))
     pa = vector_to_array("prob_a")[1]
     pb = vector_to_array("prob_b")[1]
     p = F.lit(VOTE_WEIGHTS[0]) * pa + F.lit(VOTE_WEIGHTS[1]) * pb

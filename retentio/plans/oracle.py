@@ -648,3 +648,35 @@ ORACLES["segment_revenue_growth"] = (
     f"CASE WHEN count(y) OVER w3 = 3 THEN {npr('avg(y) OVER w3', 2)} END AS rolling_mean_3 FROM m "
     "WINDOW w AS (PARTITION BY series ORDER BY ds), "
     "w3 AS (PARTITION BY series ORDER BY ds ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING)")
+
+_MODEL = ["is_male", "is_senior_citizen", "has_partner", "has_dependents", "tenure_months", "monthly_charges",
+          "total_charges", "implied_tenure", "is_monthly_contract", "is_annual_contract", "is_biannual_contract",
+          "uses_electronic_check", "has_paperless_billing", "has_fiber_optic", "has_dsl", "no_internet",
+          "has_online_security", "has_tech_support", "has_phone", "has_multiple_lines", "has_online_backup",
+          "has_device_protect", "has_streaming_tv", "has_streaming_movies", "is_new_customer", "is_long_tenure",
+          "charge_gap", "services_count", "is_high_value", "is_at_risk", "total_support_tickets",
+          "negative_support_tickets", "tickets_last_6mo", "total_orders_6mo", "total_revenue_6mo",
+          "avg_monthly_revenue_6mo", "revenue_volatility_6mo", "total_cancellations_6mo", "active_months_6mo",
+          "lifetime_value", "avg_order_value", "total_orders", "negative_ticket_ratio", "charge_to_ltv_ratio"]
+ORACLES["telco_features"] = with_base(
+    "SELECT customer_id, " + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in _MODEL) + ", label FROM eng")
+
+ORACLES["risk_response"] = with_base(
+    f"SELECT customer_id, {npr(f'{_P4} * 100.0::DOUBLE', 1)} AS score, risk_tier AS tier, "
+    f"{_P4} AS churn_probability, {npr('churn_prob', 3)} AS anomaly_score, "
+    "['Champions', 'Loyal Customers', 'At Risk', 'Hibernating', 'Lost']"
+    f"[least(CAST(trunc({_P4} * 5.0::DOUBLE) AS INTEGER), 4) + 1] AS segment, "
+    "r.recommendation AS recommendations FROM sc JOIN (SELECT customer_id, recommendation FROM "
+    f"({ORACLES['recommendation']}) x) r USING (customer_id)", scored=True)
+
+ORACLES["dataset_fingerprint"] = """
+WITH t AS (SELECT concat_ws('|',
+    CASE WHEN o_orderkey IS NULL THEN 'n' ELSE 'v' || CAST(o_orderkey AS VARCHAR) END,
+    CASE WHEN o_custkey IS NULL THEN 'n' ELSE 'v' || CAST(o_custkey AS VARCHAR) END,
+    CASE WHEN o_orderstatus IS NULL THEN 'n' ELSE 'v' || o_orderstatus END,
+    CASE WHEN o_totalprice IS NULL THEN 'n' ELSE 'v' || printf('%.2f', o_totalprice) END,
+    CASE WHEN o_orderdate IS NULL THEN 'n' ELSE 'v' || strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END,
+    CASE WHEN o_orderpriority IS NULL THEN 'n' ELSE 'v' || o_orderpriority END) AS text FROM orders),
+h AS (SELECT CAST('0x' || substr(md5(text), 1, 15) AS BIGINT) AS h FROM t)
+SELECT CAST(count(*) AS BIGINT) AS n_rows, bit_xor(h) AS xor_hash, CAST(sum(h % 1000003) AS BIGINT) AS mod_sum_hash FROM h
+"""

@@ -60,3 +60,16 @@ def test_psi_approx_edges_close_to_exact(spark):
     exact = psi(a, b, ["m"], exact=True).first().psi
     approx = psi(a, b, ["m"], exact=False).first().psi
     assert abs(exact - approx) < 0.01 and exact > 0.05
+
+
+def test_empty_and_nan_sides(spark):
+    """A side without values gives NO DATA and null; NaN is missing, not drift."""
+    from retentio.operators import drift as DR
+    base = spark.createDataFrame([(float(k),) for k in range(50)], "x double")
+    nan = base.unionByName(spark.createDataFrame([(float("nan"),)] * 50, "x double"))
+    r = DR.psi(base, nan, ["x"]).first()
+    assert abs(r.psi) < 1e-12 and r.status == "STABLE" and r.missing_cur == 0.5 and r.missing_base == 0.0
+    empty = DR.psi(base, base.limit(0), ["x"]).first()
+    assert empty.psi is None and empty.status == "NO DATA"
+    assert DR.ks_statistic(base, base.limit(0), "x").first().ks_statistic is None
+    assert DR.ks_statistic(base, nan, "x").first().ks_statistic == 0.0

@@ -124,3 +124,21 @@ def test_churn_features_with_engagement(spark):
     assert f["lower"].lifetime_value == round(70.0 * 48 + 120.0, 2)
     assert f["blank"].total_support_tickets == 0 and f["blank"].negative_ticket_ratio == 0.0
     assert f["junk"].charge_to_ltv_ratio == 0.0   # ltv 0 → 0
+
+
+def test_bronze_to_score(spark):
+    """Bronze and engagement → features → fit → serving row → score."""
+    from retentio.functions.serving import serving_columns
+    from retentio.operators import features as FE
+    from retentio.operators import models as MD
+    from retentio.plans import adapt as A
+    from retentio.plans.catalog import telco_features
+    from .conftest import SF001
+    m = telco_features(spark, SF001)
+    assert set(FE.FEATURE_COLUMNS) <= set(m.columns)
+    model = MD.fit_churn(m, rounds=2, strict=True)
+    e = A.engineered(spark, SF001)
+    row = e.select("customer_id", *[c.alias(n) for n, c in serving_columns(partner="partner", dependents="dependents").items()])
+    assert [c for c in row.columns if c != "customer_id"] == FE.FEATURE_COLUMNS
+    s = MD.score_churn(model, row, strict=True)
+    assert s.count() == 150 and s.where("churn_probability between 0 and 1").count() == 150

@@ -8,20 +8,15 @@ from tests.oracle_harness import compare, duck
 from .conftest import SF01
 
 SQL = E.oracle_sql()
-SLOW = {"gbt_churn_scores", "kmeans_segments", "isolation_scores", "gbt_revenue",
-        "churn_model_metrics", "revenue_model_metrics",
-        "gbt_direct_forecast"}
-
-
 @pytest.fixture(scope="module")
 def con():
     return duck(SF01)
 
 
-@pytest.mark.parametrize("key", sorted(k for k in E.queries() if k not in SLOW))
+@pytest.mark.parametrize("key", sorted(SQL))
 def test_query_matches_oracle(spark, con, key):
     r = compare(spark, con, key, E.queries()[key], SQL.get(key), SF01)
-    assert r["status"] in ("exact", "rows-only"), r
+    assert r["status"] == "exact", r
 
 
 def test_entry_smoke(spark):

@@ -101,3 +101,30 @@ def test_portable_hash_large_ids(spark):
     df = spark.createDataFrame([(i,) for i in ids], "id long")
     got = [r[0] for r in df.select(portable_hash("id", 42)).collect()]
     assert got == [(i * 2654435761 + 42) % 4294967296 for i in ids]
+
+
+def test_gate_raises_with_the_failed_names(spark):
+    import pytest
+    from retentio.operators import quality as Q
+    df = spark.createDataFrame([(1, "x"), (None, "x")], "a int, b string")
+    good = Q.check_table(df, {"b_known": Q.not_null("b")}, min_rows=1, table="t")
+    assert Q.require(good).count() == 2
+    with pytest.raises(ValueError, match="t:a_known"):
+        Q.require(Q.check_table(df, {"a_known": Q.not_null("a")}, table="t"))
+
+
+def test_fingerprint_tells_null_positions_apart(spark):
+    from retentio.operators import quality as Q
+    a = spark.createDataFrame([(None, "x")], "a string, b string")
+    b = spark.createDataFrame([("x", None)], "a string, b string")
+    assert Q.fingerprint(a).first() != Q.fingerprint(b).first()
+
+
+def test_csv_with_other_columns_raises(spark, tmp_path):
+    import pytest
+    from retentio.sources.bronze import TELCO_COLUMNS, read_csv
+    cols = TELCO_COLUMNS[:1] + [TELCO_COLUMNS[3], TELCO_COLUMNS[2], TELCO_COLUMNS[1]] + TELCO_COLUMNS[4:]
+    p = tmp_path / "t.csv"
+    p.write_text(",".join(cols) + "\n" + ",".join(["1"] * len(cols)) + "\n")
+    with pytest.raises(Exception):
+        read_csv(spark, str(p)).collect()

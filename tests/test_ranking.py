@@ -103,3 +103,32 @@ def test_neighbours_row_number_multi_batch(spark):
         assert j.filter((F.col("rn") != F.col("rr")) | ~F.col("next_id").eqNullSafe(F.col("n"))).count() == 0
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+
+
+def test_null_group_large_ids_and_far_dates(spark):
+    """Payload stays exact; a null group is a group; far dates are values."""
+    import datetime
+    from retentio.operators.history import as_of_lookup, scd2
+    from retentio.operators.ranking import forward_fill, neighbours, prefix_sums
+    far = datetime.datetime(9999, 12, 31)
+    rows = [(None, 1, 2 ** 53 + 1), (None, 2, None), (None, 3, 2 ** 53 + 3), ("a", 1, None), ("a", 2, 5)]
+    df = spark.createDataFrame(rows, "g string, t int, v long")
+    n = {(r.g, r.t): (r.prev_v, r.next_v, r.rn) for r in neighbours(df, ["t"], ["v"], ["g"], 3, number="rn").collect()}
+    assert n[None, 2] == (2 ** 53 + 1, 2 ** 53 + 3, 2) and n[None, 1] == (None, None, 1) and n["a", 2] == (None, None, 2)
+    f = {(r.g, r.t): r.v for r in forward_fill(df, ["t"], ["v"], ["g"], 3).collect()}
+    assert f[None, 2] == 2 ** 53 + 1 and f["a", 1] is None
+    assert prefix_sums(df, ["t"], partition_by=["g"], num_partitions=3).count() == 5
+    changes = spark.createDataFrame([("k", datetime.datetime(2020, 1, 1), None, "x"), ("k", datetime.datetime(2020, 2, 1), "x", None),
+                                     ("k", far, "x", None), (None, far, "y", "z")], "k string, ts timestamp_ntz, p string, q string")
+    h = scd2(changes, "k", "ts", ["p", "q"])
+    assert sorted((str(r.k), r.version, str(r.valid_from.year)) for r in h.collect()) == [("None", 1, "9999"), ("k", 1, "2020"), ("k", 2, "2020")]
+    pts = spark.createDataFrame([("k", datetime.datetime(2020, 3, 1), 2 ** 53 + 1), (None, far, 7), ("z", far, 8)], "k string, at timestamp_ntz, id long")
+    got = {r.id: (r.p, r.version) for r in as_of_lookup(h, pts, "k", "at").collect()}
+    assert got == {2 ** 53 + 1: ("x", 2), 7: ("y", 1), 8: (None, None)}
+
+
+def test_plans_have_no_python(spark):
+    from retentio.operators.ranking import neighbours
+    df = spark.range(100).selectExpr("id", "id % 3 as g")
+    plan = neighbours(df, ["id"], ["id"], ["g"])._jdf.queryExecution().executedPlan().toString()
+    assert "InPandas" not in plan and "InArrow" not in plan
