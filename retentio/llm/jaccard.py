@@ -46,6 +46,8 @@ PERCENT = 85
 #: Shingles kept in the table of frequent ones: at most so many, 16 bytes each,
 #: seen at least so often.  Others count as rare.
 FREQUENT, FREQUENT_MIN = 1_000_000, 8
+#: Block of the lists of two sets: their one pair is a leader's.
+PAIR = -1
 #: Shingles counted together in a task.
 CHUNK = 2_000_000
 #: Buckets of the counts that prune pairs.
@@ -167,19 +169,21 @@ def _sets(docs: DataFrame, id_col: str, text_col: str, size: int, percent: int)
 
 def _postings(sets: DataFrame, percent: int) -> DataFrame:
     """Entries (token, blk, n, pos, sid) of the lists that hold two sets or more."""
-    # Equal sets have equal entries: they become one in distinct(), most of
-    # them before anything is shuffled.
+    # Equal sets have equal entries; those of frequent shingles become one in
+    # distinct(), most of them before anything is shuffled.
     blk = F.floor(F.log(F.col("n").cast("double")) / float(-np.log(percent / 100))).cast("int")
     rare = sets.select("sid", "n", F.posexplode("rare").alias("pos", "token"))
     common = sets.select("sid", "n", F.size("rare").alias("r"), F.posexplode("common").alias("p", "token"))
     # Shingles counted as frequent are in several sets; of the others, lists
     # of one set (nearly all) are dropped, in one shuffle.  A shingle that
     # is in a large part of the documents is frequent, so no such list is long.
-    w = Window.partitionBy("token")
-    shared = (rare.withColumn("least", F.min("sid").over(w)).withColumn("most", F.max("sid").over(w))
-              .where("least <> most").select("token", "sid", "n", "pos"))
-    both = shared.unionByName(common.select("token", "sid", "n", (F.col("r") + F.col("p")).alias("pos")))
-    return cut(both.withColumn("blk", blk).distinct())
+    by_set = Window.partitionBy("token").orderBy("sid")
+    whole = by_set.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    shared = (rare.withColumn("new", F.coalesce(F.lag("sid").over(by_set) != F.col("sid"), F.lit(True)))
+              .withColumn("m", F.sum(F.col("new").cast("int")).over(whole)).where("new and m > 1")
+              .select("token", "sid", "n", "pos", F.when(F.col("m") > 2, blk).otherwise(F.lit(PAIR)).alias("blk")))
+    common = common.select("token", "sid", "n", (F.col("r") + F.col("p")).alias("pos"), blk.alias("blk")).distinct()
+    return cut(shared.unionByName(common))
 
 
 def _needed(na: Column, nb: Column, percent: int) -> Column:
@@ -279,7 +283,7 @@ def groups(docs: DataFrame, *, shingle: int = SHINGLE, percent: int = PERCENT, i
     roots = cut(components(star))
 
     # The other pairs of a list block: not of one component, not yet compared.
-    marked = entries.join(roots, F.col("sid") == F.col("node"), "left").withColumn("root", F.coalesce("root", "sid"))
+    marked = entries.where(F.col("blk") != PAIR).join(roots, F.col("sid") == F.col("node"), "left").withColumn("root", F.coalesce("root", "sid"))
     marked = marked.select(*shape, "root")
     upper = marked.withColumn("blk", F.explode(F.array("blk", F.col("blk") - 1)))
     order = F.struct("n_a", "sid_a") < F.struct("n_b", "sid_b")

@@ -125,13 +125,13 @@ def line_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _keys(classes: DataFrame, distance: int) -> DataFrame:
-    """(key, h, sim, n, par, c): a row per class and pair of blocks."""
+    """(key, h): a row per class and pair of blocks."""
     blocks = block_edges(distance)
     bits = [F.shiftrightunsigned("sim", a).bitwiseAND(F.lit((1 << w) - 1)) for a, w in blocks]
     width = max(w for _, w in blocks)
     keys = [F.lit(k << (2 * width)) + bits[i] * F.lit(1 << width) + bits[j]
             for k, (i, j) in enumerate(combinations(range(len(blocks)), 2))]
-    return classes.select(F.explode(F.array(*keys)).alias("key"), "h", "sim", "n", "par", "c")
+    return classes.select(F.explode(F.array(*keys)).alias("key"), "h")
 
 
 def _first_list(distance: int) -> Column:
@@ -204,9 +204,10 @@ def line_groups(docs: DataFrame, *, distance: int = DISTANCE, similarity: float
     classes = cut(lines.groupBy("h", "sim", "n", "par").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count("*").alias("c")))
     # An edit more than the similarity allows is one word of few: skip those lines.
     least = next(n for n in range(1, 1000) if int(n * (1 - similarity) + 1e-9) or int((n + 1) * (1 - similarity) + 1e-9))
-    keyed = _keys(classes.where(F.col("n") >= least).select("h", "sim", "n", "par", "c"), distance)
+    long = classes.where(F.col("n") >= least).select("h", "sim", "n", "par", "c")
+    keyed = _keys(long, distance)
     several = keyed.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key")
-    entries = cut(keyed.join(several.hint("shuffle_hash"), "key"))
+    entries = cut(keyed.join(several.hint("shuffle_hash"), "key").join(long, "h"))
 
     lead = entries.groupBy("key").agg(F.max(F.struct("c", "h", "sim", "n", "par")).alias("x")).select("key", "x.h", "x.sim", "x.n", "x.par")
     shape = ["key", "h", "sim", "n", "par"]
