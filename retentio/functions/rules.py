@@ -207,6 +207,50 @@ def violations(rules: dict) -> Column:
         for name, ok in rules.items()]))
 
 
+# The request's domains and defaults.
+YES_NO = ("Yes", "No")
+SERVICE = ("Yes", "No", "No internet service")
+DOMAINS = {
+    "contract_type": ("Month-to-month", "One year", "Two year"),
+    "payment_method": ("Electronic check", "Mailed check", "Bank transfer (automatic)", "Credit card (automatic)"),
+    "internet_service": ("Fiber optic", "DSL", "No"),
+    "online_security": SERVICE, "tech_support": SERVICE,
+    "has_partner": YES_NO, "has_dependents": YES_NO, "paperless_billing": YES_NO,
+    "gender": ("Male", "Female"),
+}
+NON_NEGATIVE = ("tenure_months", "monthly_charges", "total_charges")
+CHURN_DEFAULTS = {"online_security": "No", "tech_support": "No", "num_support_tickets": 0, "is_senior_citizen": 0,
+                  "has_partner": "No", "has_dependents": "No", "paperless_billing": "Yes", "gender": "Male"}
+RISK_DEFAULTS = {**CHURN_DEFAULTS, "contract_type": "Month-to-month", "payment_method": "Electronic check",
+                 "internet_service": "Fiber optic"}
+PERIODS_RANGE = (1, 24)
+
+
+def with_request_defaults(df, defaults: dict = CHURN_DEFAULTS):
+    """Absent columns and null values of optional fields take their defaults."""
+    return df.withColumns({c: (F.coalesce(F.col(c), F.lit(v)) if c in df.columns else F.lit(v))
+                           for c, v in defaults.items()})
+
+
+def request_rules(names: dict | None = None, charges: bool = True) -> dict:
+    """The scoring request's rules, ``{rule: ok_condition}``.
+
+    ``names`` maps a field to another column name.  The risk request, which
+    doesn't bound tenure and charges from below, has ``charges=False``.
+    """
+    c = lambda f: F.col((names or {}).get(f, f))
+    rules = {"customer_id_present": c("customer_id").isNotNull()}
+    rules |= {f"{f}_non_negative": c(f) >= 0 if charges else c(f).isNotNull() for f in NON_NEGATIVE}
+    rules |= {f"{f}_domain": c(f).isin(*values) for f, values in DOMAINS.items()}
+    return rules | {"num_support_tickets_non_negative": c("num_support_tickets") >= 0,
+                    "is_senior_citizen_domain": c("is_senior_citizen").isin(0, 1)}
+
+
+def periods_rule(periods) -> Column:
+    """A forecast request asks for 1 to 24 periods."""
+    return _c(periods).between(*PERIODS_RANGE)
+
+
 def risk_response(prob, anomaly_score, factors_col=None, contract="contract_type",
                   security="online_security", support="tech_support") -> Column:
     """P25: nested risk response.

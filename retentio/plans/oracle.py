@@ -141,17 +141,25 @@ ORACLES["serving_features"] = with_base(
     "CASE WHEN total_charges > 0 THEN monthly_charges / total_charges ELSE 0.0::DOUBLE END AS charge_to_ltv_ratio "
     "FROM eng")
 
+_SERVICE = "('Yes', 'No', 'No internet service')"
 _RULES = [
     ("customer_id_present", "customer_id IS NOT NULL"),
-    ("tenure_non_negative", "tenure_months >= 0"),
-    ("monthly_non_negative", "monthly_charges >= 0"),
-    ("total_non_negative", "total_charges >= 0"),
+    ("tenure_months_non_negative", "tenure_months >= 0"),
+    ("monthly_charges_non_negative", "monthly_charges >= 0"),
+    ("total_charges_non_negative", "total_charges >= 0"),
+    ("contract_type_domain", "contract_type IN ('Month-to-month', 'One year', 'Two year')"),
+    ("payment_method_domain", "payment_method IN ('Electronic check', 'Mailed check', "
+                              "'Bank transfer (automatic)', 'Credit card (automatic)')"),
+    ("internet_service_domain", "internet_service IN ('Fiber optic', 'DSL', 'No')"),
+    ("online_security_domain", f"online_security IN {_SERVICE}"),
+    ("tech_support_domain", f"tech_support IN {_SERVICE}"),
+    ("has_partner_domain", "partner IN ('Yes', 'No')"),
+    ("has_dependents_domain", "dependents IN ('Yes', 'No')"),
+    ("paperless_billing_domain", "paperless_billing IN ('Yes', 'No')"),
+    ("gender_domain", "gender IN ('Male', 'Female')"),
+    ("num_support_tickets_non_negative", "total_support_tickets >= 0"),
+    ("is_senior_citizen_domain", "is_senior_citizen IN (0, 1)"),
     ("balance_non_negative", "acctbal >= 0"),
-    ("contract_domain", "contract_type IN ('Month-to-month', 'One year', 'Two year')"),
-    ("internet_domain", "internet_service IN ('Fiber optic', 'DSL', 'No')"),
-    ("payment_domain", "payment_method IN ('Electronic check', 'Mailed check', "
-                       "'Bank transfer (automatic)', 'Credit card (automatic)')"),
-    ("tickets_non_negative", "total_support_tickets >= 0"),
 ]
 _FAILS = [f"CASE WHEN NOT coalesce({c}, false) THEN '{n}' END" for n, c in _RULES]
 ORACLES["validate_rows"] = with_base(

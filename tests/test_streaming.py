@@ -63,3 +63,34 @@ def test_score_stream_is_stateless(spark):
                                "tech_support string, monthly_charges double")
     r = score_stream(df).first()
     assert r.risk_tier == "HIGH" and r.churn_prediction and len(r.top_factors) == 4
+
+
+def test_ingest_keeps_late_rows_and_bounds_batches(spark, tmp_path):
+    import datetime
+    src, sch = tmp_path / "in", "event_id long, ts timestamp_ntz, value double"
+    sink, ck = str(tmp_path / "sink"), str(tmp_path / "ck")
+    at = lambda d: datetime.datetime(2024, 1, d)
+    batches = [[(1, at(1), 1.0), (2, at(20), 1.0)], [(3, at(2), 1.0), (2, at(20), 2.0), (4, None, 1.0)]]
+    for k, rows in enumerate(batches):
+        spark.createDataFrame(rows, sch).coalesce(1).write.mode("append").parquet(str(src))
+        schema = spark.read.parquet(str(src)).schema
+        ingest_incremental(spark, str(src), schema, sink, ck, ["event_id"], "ts", "1 day", "events", max_files=1)
+    got = spark.read.parquet(sink)
+    assert sorted(r.event_id for r in got.collect()) == [1, 2, 3, 4]  # 3 is 18 days late
+
+
+def test_saved_model_scores_a_stream(spark, tmp_path):
+    from retentio.operators import models as MD
+    from retentio.streaming.jobs import score_stream_with_model
+    rows = [(k, k % 2, float(k % 2 * 50 + k % 7), float(k % 5)) for k in range(200)]
+    df = spark.createDataFrame(rows, "customer_id long, label int, a double, b double")
+    MD.save_model(MD.fit_churn(df, ["a", "b"], rounds=2), str(tmp_path / "m"))
+    df.write.parquet(str(tmp_path / "in"))
+    s = spark.readStream.schema(df.schema).parquet(str(tmp_path / "in"))
+    scored = score_stream_with_model(s, MD.load_model(str(tmp_path / "m")), ["a", "b"])
+    q = (scored.select("customer_id", "churn_probability", "risk_tier").writeStream.format("parquet")
+         .option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "ck"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    out = spark.read.parquet(str(tmp_path / "out"))
+    assert out.count() == 200 and out.where("churn_probability is null").count() == 0
