@@ -2,7 +2,7 @@
 
 A line is normalised to its words (A-Z lower-cased; digits, a-z and non-ASCII
 characters); lines without words stay where they are.  Equal normalised lines
-are one class.  A class has a 64-bit SimHash of its words, longer words
+are one class.  A class has an 80-bit SimHash of its words, longer words
 weighing more.  Two classes are near where their SimHashes differ in at most
 ``DISTANCE`` bits and the word-level edit similarity, 1 - distance / words of
 the longer, is at least ``similarity``.  Of every connected group of lines one
@@ -39,7 +39,8 @@ from .text import NOT_ALNUM, batches_of, mix, segments, words
 
 DISTANCE = 3
 SIMILARITY = 0.8
-BITS = 64
+#: Bits of the SimHash: a long and an int.
+BITS = 64 + 16
 
 #: Weight of a word by its bytes: 1 up to three, 2 up to six, else 3.
 _WEIGHT = np.array([1, 1, 1, 1, 2, 2, 2, 3], np.uint64)
@@ -49,11 +50,17 @@ _CHUNK = 85
 _LANES = np.array([sum((b >> i & 1) << (8 * i) for i in range(8)) for b in range(256)], np.uint64)
 
 
-def block_edges(distance: int = DISTANCE) -> list[tuple[int, int]]:
-    """First bit and width of each block."""
+def block_edges(distance: int = DISTANCE) -> list[tuple[str, int, int]]:
+    """Column, first bit and width of each block; none crosses the columns' border."""
     n = distance + 2
-    cuts = [BITS * k // n for k in range(n + 1)]
-    return [(a, b - a) for a, b in zip(cuts, cuts[1:])]
+    low = min(n - 1, max(1, round(n * 64 / BITS)))
+    cut = lambda bits, m: [bits * k // m for k in range(m + 1)]
+    return [(c, x, y - x) for c, bits, m in (("sim", 64, low), ("sim2", BITS - 64, n - low))
+            for x, y in zip(cut(bits, m), cut(bits, m)[1:])]
+
+
+def _bits_apart() -> Column:
+    return (F.bit_count(F.col("sim_a").bitwiseXOR(F.col("sim_b"))) + F.bit_count(F.col("sim2_a").bitwiseXOR(F.col("sim2_b"))))
 
 
 class Lines:
@@ -76,11 +83,11 @@ class Lines:
     def __len__(self) -> int:
         return len(self.first)
 
-    def identities(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """64-bit hash, SimHash, number of words and word parities of each line."""
+    def identities(self) -> tuple[np.ndarray, ...]:
+        """64-bit hash, SimHash (64 bits), words, word parities and SimHash (16 bits) of each line."""
         n = self.last - self.first
         if not len(n):
-            return np.empty(0, np.int64), np.empty(0, np.int64), n, np.empty(0, np.int64)
+            return np.empty(0, np.int64), np.empty(0, np.int64), n, np.empty(0, np.int64), np.empty(0, np.int32)
         # Words of the lines follow one another without gaps.
         at = np.arange(self.first[0], self.last[-1]) - np.repeat(self.first, n)
         h = self.hash[self.first[0]:self.last[-1]]
@@ -90,16 +97,18 @@ class Lines:
         chunk = np.flatnonzero(at % _CHUNK == 0)
         per_line = np.searchsorted(chunk, line)
         total = np.add.reduceat(weight.astype(np.int64), line)
-        sim = np.zeros(len(n), np.uint64)
+        sim, more = np.zeros(len(n), np.uint64), np.zeros(len(n), np.uint64)
         voters = mix(h ^ np.uint64(0x5851F42D4C957F2D))
-        for k in range(8):
-            lanes = _LANES[(voters >> np.uint64(8 * k) & np.uint64(255)).astype(np.int64)] * weight
+        others = mix(h ^ np.uint64(0x14057B7EF767814F))
+        for k in range(BITS // 8):
+            side, at8 = (sim, k) if k < 8 else (more, k - 8)
+            lanes = _LANES[((voters if k < 8 else others) >> np.uint64(8 * at8) & np.uint64(255)).astype(np.int64)] * weight
             votes = np.add.reduceat(lanes, chunk).view(np.uint8).reshape(-1, 8).astype(np.int64)
             votes = np.add.reduceat(votes, per_line, axis=0)
             for i in range(8):
-                sim |= (2 * votes[:, i] > total).astype(np.uint64) << np.uint64(8 * k + i)
+                side |= (2 * votes[:, i] > total).astype(np.uint64) << np.uint64(8 * at8 + i)
         parity = np.bitwise_xor.reduceat(np.uint64(1) << (voters >> np.uint64(7) & np.uint64(63)), line)
-        return whole.view(np.int64), sim.view(np.int64), n, parity.view(np.int64)
+        return whole.view(np.int64), sim.view(np.int64), n, parity.view(np.int64), more.astype(np.int32)
 
     def codes(self) -> list[str]:
         """Each line as a string with one code point per word."""
@@ -110,16 +119,17 @@ class Lines:
 def line_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(doc_id, line, h, sim, n, par) of every line with words."""
     q = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    schema = q.select("doc_id", *[F.lit(0).cast(t).alias(c) for c, t in (("line", "int"), ("h", "long"), ("sim", "long"), ("n", "int"), ("par", "long"))]).schema
+    schema = q.select("doc_id", *[F.lit(0).cast(t).alias(c) for c, t in (("line", "int"), ("h", "long"), ("sim", "long"), ("n", "int"), ("par", "long"), ("sim2", "int"))]).schema
 
     def one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, data, off in batches_of(batch, "text"):
                 lines = Lines(data, off)
-                h, sim, n, par = lines.identities()
+                h, sim, n, par, sim2 = lines.identities()
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0).take(pa.array(lines.text, pa.int64())), pa.array(lines.number.astype(np.int32)), pa.array(h), pa.array(sim),
-                     pa.array(n.astype(np.int32)), pa.array(par)], names=["doc_id", "line", "h", "sim", "n", "par"])
+                     pa.array(n.astype(np.int32)), pa.array(par), pa.array(sim2)],
+                    names=["doc_id", "line", "h", "sim", "n", "par", "sim2"])
 
     return q.mapInArrow(one, schema)
 
@@ -127,9 +137,9 @@ def line_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def _keys(classes: DataFrame, distance: int) -> DataFrame:
     """(key, h): a row per class and pair of blocks."""
     blocks = block_edges(distance)
-    bits = [F.shiftrightunsigned("sim", a).bitwiseAND(F.lit((1 << w) - 1)) for a, w in blocks]
-    width = max(w for _, w in blocks)
-    keys = [F.lit(k << (2 * width)) + bits[i] * F.lit(1 << width) + bits[j]
+    bits = [F.shiftrightunsigned(F.col(c).cast("long"), a).bitwiseAND(F.lit((1 << w) - 1)) for c, a, w in blocks]
+    width = max(w for *_, w in blocks)
+    keys = [F.lit(k << (2 * width)).cast("long") + bits[i] * F.lit(1 << width) + bits[j]
             for k, (i, j) in enumerate(combinations(range(len(blocks)), 2))]
     return classes.select(F.explode(F.array(*keys)).alias("key"), "h")
 
@@ -138,10 +148,10 @@ def _first_list(distance: int) -> Column:
     """Whether a pair's list is the first of those in which both classes are:
     no block before the list's two, or between them, agrees."""
     blocks = block_edges(distance)
-    differ = F.col("sim_a").bitwiseXOR(F.col("sim_b"))
-    mask = [((1 << w) - 1) << a for a, w in blocks]
-    apart = [differ.bitwiseAND(F.lit(m - (1 << 64) if m >> 63 else m)) != 0 for m in mask]
-    width = max(w for _, w in blocks)
+    differ = {c: F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b")).cast("long") for c in ("sim", "sim2")}
+    mask = [(c, ((1 << w) - 1) << a) for c, a, w in blocks]
+    apart = [differ[c].bitwiseAND(F.lit(m - (1 << 64) if m >> 63 else m)) != 0 for c, m in mask]
+    width = max(w for *_, w in blocks)
     out = F.lit(False)
     for k, (i, j) in enumerate(combinations(range(len(blocks)), 2)):
         first = reduce(and_, [apart[m] for m in range(j) if m != i], F.lit(True))
@@ -157,7 +167,7 @@ def _near(a: DataFrame, b: DataFrame, extra, distance: int, similarity: float) -
     """
     most = F.floor(F.greatest("n_a", "n_b") * F.lit(1 - similarity) + 1e-9)
     ok = ((F.col("key_a") == F.col("key_b")) & (F.col("h_a") != F.col("h_b"))
-          & (F.bit_count(F.col("sim_a").bitwiseXOR(F.col("sim_b"))) <= distance)
+          & (_bits_apart() <= distance)
           & (F.abs(F.col("n_a") - F.col("n_b")) <= most)
           & (F.bit_count(F.col("par_a").bitwiseXOR(F.col("par_b"))) <= 2 * most))
     if extra is not None:
@@ -201,16 +211,16 @@ def line_groups(docs: DataFrame, *, distance: int = DISTANCE, similarity: float
     than once or is near another: (h, sim, n, root, keep), ``keep`` being the
     (doc_id, line) that stays of its group."""
     lines = cut(line_table(docs, id_col, text_col))
-    classes = cut(lines.groupBy("h", "sim", "n", "par").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count("*").alias("c")))
+    classes = cut(lines.groupBy("h", "sim", "n", "par", "sim2").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count("*").alias("c")))
     # An edit more than the similarity allows is one word of few: skip those lines.
     least = next(n for n in range(1, 1000) if int(n * (1 - similarity) + 1e-9) or int((n + 1) * (1 - similarity) + 1e-9))
-    long = classes.where(F.col("n") >= least).select("h", "sim", "n", "par", "c")
+    long = classes.where(F.col("n") >= least).select("h", "sim", "n", "par", "sim2", "c")
     keyed = _keys(long, distance)
     several = keyed.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key")
     entries = cut(keyed.join(several.hint("shuffle_hash"), "key").join(long, "h"))
 
-    lead = entries.groupBy("key").agg(F.max(F.struct("c", "h", "sim", "n", "par")).alias("x")).select("key", "x.h", "x.sim", "x.n", "x.par")
-    shape = ["key", "h", "sim", "n", "par"]
+    lead = entries.groupBy("key").agg(F.max(F.struct("c", "h", "sim", "n", "par", "sim2")).alias("x")).select("key", "x.h", "x.sim", "x.n", "x.par", "x.sim2")
+    shape = ["key", "h", "sim", "n", "par", "sim2"]
     star = cut(_near(_suffixed(lead, "_a"), _suffixed(entries.select(shape), "_b"), None, distance, similarity))
     place = classes.select("h", "first.doc_id", "first.line")
 

@@ -125,7 +125,7 @@ def dropped_lines(docs, sims, distance, similarity):
     at = [x for x in at if x[2]]
 
     def near(a, b):
-        if bin((sims[a] ^ sims[b]) & (1 << 64) - 1).count("1") > distance:
+        if bin((sims[a] ^ sims[b]) & (1 << 80) - 1).count("1") > distance:
             return False
         return edit_distance(a, b) <= int(max(len(a), len(b)) * (1 - similarity) + 1e-9)
 
