@@ -1,20 +1,24 @@
-"""Line dedup: fuzzy lines by SimHash blocks and edit similarity.
+"""Line dedup: fuzzy lines by a prefix join on rare words and edit similarity.
 
 A line is normalised to its words (A-Z lower-cased; digits, a-z and non-ASCII
 characters); lines without words stay where they are.  Equal normalised lines
-are one class.  A class has an 80-bit SimHash of its words, longer words
-weighing more.  Two classes are near where their SimHashes differ in at most
-``DISTANCE`` bits and the word-level edit similarity, 1 - distance / words of
-the longer, is at least ``similarity``.  Of every connected group of lines one
-occurrence stays, the one of the least (id, line number).
-
-Pigeonhole: the bits are cut into ``DISTANCE + 2`` blocks; two SimHashes within
-the distance agree in two blocks at least, so classes meet in the lists of
-every pair of blocks.  In a list the most frequent class is the leader and is
-compared with all others first; only classes that are not yet in one group are
-compared then, in the first list that both are in.  Lists are never put into one task whole (leaders are greatest
+are one class.  Two classes are near where the word-level edit similarity,
+1 - distance / words of the longer, is at least ``similarity``.  Of every
+connected group of lines one occurrence stays, the one of the least (id, line
+number).  A ``distance`` under ``BITS`` asks besides that the 80-bit SimHashes of
+the words, longer words weighing more, differ in at most so many bits.
+
+No near pair is missed: of a line of n words at most k = (1 - similarity) n are
+edited, so two near lines share a word among the k + 1 that come first in any
+order of all words (the i-th occurrence of a word in a line counts as a word of
+its own).  The order is by frequency, rare words first; frequencies are counted
+in a table of fixed size, and whatever they are changes only the cost.  Classes
+meet in the lists of those words.  The most frequent class of a list is its
+leader and is compared with all others first, in the lists of the ``STAR``
+rarest words; only classes that are not yet in one group are compared then, in
+all lists.  Lists are never put into one task whole (leaders are greatest
 values, summed map-side; joins on a list's key may be split), and no list
-writes out all its pairs.
+writes out all its pairs: lengths and word parities are compared in the join.
 
 Null and empty texts have no lines.  Rows that repeat an id are one document:
 they keep the same lines.
@@ -24,9 +28,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import reduce
-from itertools import combinations
-from operator import and_
 
 import numpy as np
 import pyarrow as pa
@@ -37,10 +38,19 @@ from .components import components
 from .shared import cut, passing
 from .text import NOT_ALNUM, batches_of, mix, segments, words
 
-DISTANCE = 3
 SIMILARITY = 0.8
 #: Bits of the SimHash: a long and an int.
 BITS = 64 + 16
+#: Bits by which SimHashes may differ: any, edit similarity alone decides.
+DISTANCE = BITS
+#: Address bits of the table of word frequencies, a byte each whatever the data.
+LEVEL_BITS = 21
+#: Words of a class in whose lists it is compared with leaders.
+STAR = 4
+#: Word parities of a line: bits of so many longs.
+PARITIES = ("par", "par2", "par3", "par4")
+#: What tells classes apart.
+CLASS = ("h", "n", "par")
 
 #: Weight of a word by its bytes: 1 up to three, 2 up to six, else 3.
 _WEIGHT = np.array([1, 1, 1, 1, 2, 2, 2, 3], np.uint64)
@@ -50,15 +60,6 @@ _CHUNK = 85
 _LANES = np.array([sum((b >> i & 1) << (8 * i) for i in range(8)) for b in range(256)], np.uint64)
 
 
-def block_edges(distance: int = DISTANCE) -> list[tuple[str, int, int]]:
-    """Column, first bit and width of each block; none crosses the columns' border."""
-    n = distance + 2
-    low = min(n - 1, max(1, round(n * 64 / BITS)))
-    cut = lambda bits, m: [bits * k // m for k in range(m + 1)]
-    return [(c, x, y - x) for c, bits, m in (("sim", 64, low), ("sim2", BITS - 64, n - low))
-            for x, y in zip(cut(bits, m), cut(bits, m)[1:])]
-
-
 def _bits_apart() -> Column:
     return (F.bit_count(F.col("sim_a").bitwiseXOR(F.col("sim_b"))) + F.bit_count(F.col("sim2_a").bitwiseXOR(F.col("sim2_b"))))
 
@@ -83,16 +84,56 @@ class Lines:
     def __len__(self) -> int:
         return len(self.first)
 
+    def _words(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Hash of each word of the lines, its place in its line, first word and words of each line.
+
+        Words of the lines follow one another without gaps.
+        """
+        n = self.last - self.first
+        if not len(n):
+            return np.empty(0, np.uint64), np.empty(0, np.int64), n, n
+        at = np.arange(self.first[0], self.last[-1]) - np.repeat(self.first, n)
+        return self.hash[self.first[0]:self.last[-1]], at, self.first - self.first[0], n
+
+    def hashes(self) -> np.ndarray:
+        """64-bit hash of each line."""
+        h, at, line, n = self._words()
+        if not len(n):
+            return np.empty(0, np.int64)
+        return mix(np.add.reduceat(h * (mix(at.astype(np.uint64) + np.uint64(1)) | np.uint64(1)), line) + n.astype(np.uint64)).view(np.int64)
+
+    def parities(self) -> list[np.ndarray]:
+        """Whether the words of each of 256 kinds are odd in number, 64 kinds a long."""
+        h, _, line, n = self._words()
+        if not len(n):
+            return [np.empty(0, np.int64)] * len(PARITIES)
+        voters = mix(h ^ np.uint64(0x5851F42D4C957F2D))
+        bit, side = np.uint64(1) << (voters >> np.uint64(7) & np.uint64(63)), voters >> np.uint64(13) & np.uint64(3)
+        return [np.bitwise_xor.reduceat(np.where(side == np.uint64(k), bit, np.uint64(0)), line).view(np.int64) for k in range(len(PARITIES))]
+
+    def prefixes(self, levels: np.ndarray, similarity: float) -> pa.ListArray:
+        """The words, rarest first, of which a near line must have one: 32 bits each."""
+        h, _, line, n = self._words()
+        if not len(n):
+            return pa.array([], pa.list_(pa.int32()))
+        of = np.repeat(np.arange(len(n)), n)
+        order = np.lexsort((h, of))
+        same = np.append(False, (h[order][1:] == h[order][:-1]) & (of[order][1:] == of[order][:-1]))
+        place = np.arange(len(h))
+        occurrence = np.empty(len(h), np.uint64)
+        occurrence[order] = place - np.maximum.accumulate(np.where(same, 0, place))
+        token = mix(h + occurrence * np.uint64(0x9E3779B97F4A7C15))
+        order = np.lexsort((token, levels[h >> np.uint64(64 - LEVEL_BITS)], of))
+        least = np.floor(n * (1 - similarity) + 1e-9).astype(np.int64) + 1
+        token = token[order[place - np.repeat(line, n) < np.repeat(least, n)]]
+        off = np.concatenate(([0], np.cumsum(np.minimum(least, n))))
+        return pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), pa.array(token.astype(np.uint32).view(np.int32)))
+
     def identities(self) -> tuple[np.ndarray, ...]:
         """64-bit hash, SimHash (64 bits), words, word parities and SimHash (16 bits) of each line."""
-        n = self.last - self.first
+        h, at, line, n = self._words()
         if not len(n):
             return np.empty(0, np.int64), np.empty(0, np.int64), n, np.empty(0, np.int64), np.empty(0, np.int32)
-        # Words of the lines follow one another without gaps.
-        at = np.arange(self.first[0], self.last[-1]) - np.repeat(self.first, n)
-        h = self.hash[self.first[0]:self.last[-1]]
-        line = self.first - self.first[0]
-        whole = mix(np.add.reduceat(h * (mix(at.astype(np.uint64) + np.uint64(1)) | np.uint64(1)), line) + n.astype(np.uint64))
         weight = _WEIGHT[np.minimum(self.word_len[self.first[0]:self.last[-1]], 7)]
         chunk = np.flatnonzero(at % _CHUNK == 0)
         per_line = np.searchsorted(chunk, line)
@@ -107,8 +148,7 @@ class Lines:
             votes = np.add.reduceat(votes, per_line, axis=0)
             for i in range(8):
                 side |= (2 * votes[:, i] > total).astype(np.uint64) << np.uint64(8 * at8 + i)
-        parity = np.bitwise_xor.reduceat(np.uint64(1) << (voters >> np.uint64(7) & np.uint64(63)), line)
-        return whole.view(np.int64), sim.view(np.int64), n, parity.view(np.int64), more.astype(np.int32)
+        return self.hashes(), sim.view(np.int64), n, self.parities()[0], more.astype(np.int32)
 
     def codes(self) -> list[str]:
         """Each line as a string with one code point per word."""
@@ -116,60 +156,61 @@ class Lines:
         return [points[a:b].astype("<u4").tobytes().decode("utf-32-le") for a, b in zip(self.first, self.last)]
 
 
-def line_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, line, h, sim, n, par) of every line with words."""
+def word_levels(docs: DataFrame, text_col: str) -> np.ndarray:
+    """Frequency of words by the first bits of their hashes, as a logarithm in a byte."""
+    def one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << LEVEL_BITS, np.int64)
+        for batch in batches:
+            for _, data, off in batches_of(batch, "text"):
+                total += np.bincount((words(data, off, NOT_ALNUM).hash >> np.uint64(64 - LEVEL_BITS)).astype(np.int64), minlength=1 << LEVEL_BITS)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["at", "n"])
+
+    rows = (docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(one, "at int, n long")
+            .groupBy("at").agg(F.least(F.floor(F.log2(F.sum("n") + 1) * 6), F.lit(255)).cast("short").alias("level")).toArrow())
+    levels = np.zeros(1 << LEVEL_BITS, np.uint8)
+    levels[rows.column(0).to_numpy()] = rows.column(1).to_numpy()
+    return levels
+
+
+def line_table(docs: DataFrame, id_col: str, text_col: str, *, more: bool = False, similarity: float = SIMILARITY, sims: bool = False) -> DataFrame:
+    """(doc_id, line, h, n, par) of every line with words; with ``more``, also the
+    other parities, ``pre``, its rarest words, and with ``sims`` sim and sim2."""
     q = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    schema = q.select("doc_id", *[F.lit(0).cast(t).alias(c) for c, t in (("line", "int"), ("h", "long"), ("sim", "long"), ("n", "int"), ("par", "long"), ("sim2", "int"))]).schema
+    extra = [(c, "long") for c in PARITIES[1:]] + [("pre", "array<int>")] + [("sim", "long"), ("sim2", "int")] * sims
+    kinds = [("line", "int"), ("h", "long"), ("n", "int"), ("par", "long")] + extra * more
+    schema = q.select("doc_id", *[F.lit(None).cast(t).alias(c) for c, t in kinds]).schema
+    shared = docs.sparkSession.sparkContext.broadcast(word_levels(docs, text_col)) if more else None
 
     def one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, data, off in batches_of(batch, "text"):
                 lines = Lines(data, off)
-                h, sim, n, par, sim2 = lines.identities()
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(pa.array(lines.text, pa.int64())), pa.array(lines.number.astype(np.int32)), pa.array(h), pa.array(sim),
-                     pa.array(n.astype(np.int32)), pa.array(par), pa.array(sim2)],
-                    names=["doc_id", "line", "h", "sim", "n", "par", "sim2"])
+                par = [pa.array(x) for x in lines.parities()]
+                out = [part.column(0).take(pa.array(lines.text, pa.int64())), pa.array(lines.number.astype(np.int32)), pa.array(lines.hashes()),
+                       pa.array((lines.last - lines.first).astype(np.int32)), par[0]]
+                if more:
+                    out += [*par[1:], lines.prefixes(shared.value, similarity)]
+                    if sims:
+                        _, sim, _, _, sim2 = lines.identities()
+                        out += [pa.array(sim), pa.array(sim2)]
+                yield pa.RecordBatch.from_arrays(out, names=["doc_id", *[c for c, _ in kinds]])
 
     return q.mapInArrow(one, schema)
 
 
-def _keys(classes: DataFrame, distance: int) -> DataFrame:
-    """(key, h): a row per class and pair of blocks."""
-    blocks = block_edges(distance)
-    bits = [F.shiftrightunsigned(F.col(c).cast("long"), a).bitwiseAND(F.lit((1 << w) - 1)) for c, a, w in blocks]
-    width = max(w for *_, w in blocks)
-    keys = [F.lit(k << (2 * width)).cast("long") + bits[i] * F.lit(1 << width) + bits[j]
-            for k, (i, j) in enumerate(combinations(range(len(blocks)), 2))]
-    return classes.select(F.explode(F.array(*keys)).alias("key"), "h")
-
-
-def _first_list(distance: int) -> Column:
-    """Whether a pair's list is the first of those in which both classes are:
-    no block before the list's two, or between them, agrees."""
-    blocks = block_edges(distance)
-    differ = {c: F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b")).cast("long") for c in ("sim", "sim2")}
-    mask = [(c, ((1 << w) - 1) << a) for c, a, w in blocks]
-    apart = [differ[c].bitwiseAND(F.lit(m - (1 << 64) if m >> 63 else m)) != 0 for c, m in mask]
-    width = max(w for *_, w in blocks)
-    out = F.lit(False)
-    for k, (i, j) in enumerate(combinations(range(len(blocks)), 2)):
-        first = reduce(and_, [apart[m] for m in range(j) if m != i], F.lit(True))
-        out = F.when(F.shiftright("key_a", 2 * width) == k, first).otherwise(out)
-    return out
-
-
 def _near(a: DataFrame, b: DataFrame, extra, distance: int, similarity: float) -> DataFrame:
-    """Distinct pairs (a, b) of one list whose SimHashes, lengths and words allow it.
+    """Distinct pairs (a, b) of one list whose lengths, words and SimHashes allow it.
 
     An edit changes the parity of two words at most, so pairs whose parities
     differ in more places need no comparison.
     """
     most = F.floor(F.greatest("n_a", "n_b") * F.lit(1 - similarity) + 1e-9)
+    odd = [F.bit_count(F.col(c + "_a").bitwiseXOR(F.col(c + "_b"))) for c in PARITIES]
     ok = ((F.col("key_a") == F.col("key_b")) & (F.col("h_a") != F.col("h_b"))
-          & (_bits_apart() <= distance)
-          & (F.abs(F.col("n_a") - F.col("n_b")) <= most)
-          & (F.bit_count(F.col("par_a").bitwiseXOR(F.col("par_b"))) <= 2 * most))
+          & (F.abs(F.col("n_a") - F.col("n_b")) <= most) & (sum(odd[1:], odd[0]) <= 2 * most))
+    if distance < BITS:
+        ok = ok & (_bits_apart() <= distance)
     if extra is not None:
         ok = ok & extra
     return a.join(b, ok).select(F.least("h_a", "h_b").alias("a"), F.greatest("h_a", "h_b").alias("b")).distinct()
@@ -196,7 +237,7 @@ def _codes(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str) -> Dat
         for batch in batches:
             for part, data, off in batches_of(batch, "text"):
                 lines = Lines(data, off)
-                h = lines.identities()[0]
+                h = lines.hashes()
                 want = [set(x) for x in part.column(0).to_pylist()]
                 at = [k for k, (t, n) in enumerate(zip(lines.text.tolist(), lines.number.tolist())) if n in want[t]]
                 code = lines.codes() if at else []
@@ -207,20 +248,23 @@ def _codes(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str) -> Dat
 
 def line_groups(docs: DataFrame, *, distance: int = DISTANCE, similarity: float = SIMILARITY, id_col: str = "doc_id",
                 text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """The lines (doc_id, line, h, sim, n, par), and of each class that occurs more
-    than once or is near another: (h, sim, n, root, keep), ``keep`` being the
+    """The lines (doc_id, line, h, n, par), and of each class that occurs more
+    than once or is near another: (h, n, par, root, keep), ``keep`` being the
     (doc_id, line) that stays of its group."""
-    lines = cut(line_table(docs, id_col, text_col))
-    classes = cut(lines.groupBy("h", "sim", "n", "par", "sim2").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count("*").alias("c")))
+    lines = line_table(docs, id_col, text_col)
+    sims = ("sim", "sim2") if distance < BITS else ()
+    table = line_table(docs, id_col, text_col, more=True, similarity=similarity, sims=bool(sims))
+    held = ("doc_id", "line", *PARITIES[1:], *sims, "pre")
+    classes = table.groupBy(*CLASS).agg(F.min(F.struct(*held)).alias("x"), F.count("*").alias("c"))
+    classes = cut(classes.select(*CLASS, F.struct("x.doc_id", "x.line").alias("first"), *[F.col(f"x.{c}").alias(c) for c in held[2:]], "c"))
     # An edit more than the similarity allows is one word of few: skip those lines.
     least = next(n for n in range(1, 1000) if int(n * (1 - similarity) + 1e-9) or int((n + 1) * (1 - similarity) + 1e-9))
-    long = classes.where(F.col("n") >= least).select("h", "sim", "n", "par", "sim2", "c")
-    keyed = _keys(long, distance)
-    several = keyed.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key")
-    entries = cut(keyed.join(several.hint("shuffle_hash"), "key").join(long, "h"))
+    long = classes.where(F.col("n") >= least).drop("first")
+    shape = ["key", "h", "n", *PARITIES, *sims]
 
-    lead = entries.groupBy("key").agg(F.max(F.struct("c", "h", "sim", "n", "par", "sim2")).alias("x")).select("key", "x.h", "x.sim", "x.n", "x.par", "x.sim2")
-    shape = ["key", "h", "sim", "n", "par", "sim2"]
+    entries = long.select(F.explode(F.slice("pre", 1, STAR)).alias("key"), *shape[1:], "c")
+    lead = entries.groupBy("key").agg(F.max(F.struct("c", *shape[1:])).alias("x"), F.count("*").alias("m")).where("m > 1")
+    lead = lead.select("key", *[F.col(f"x.{c}").alias(c) for c in shape[1:]])
     star = cut(_near(_suffixed(lead, "_a"), _suffixed(entries.select(shape), "_b"), None, distance, similarity))
     place = classes.select("h", "first.doc_id", "first.line")
 
@@ -229,9 +273,10 @@ def line_groups(docs: DataFrame, *, distance: int = DISTANCE, similarity: float
         return cut(_codes(docs, nodes.join(place, F.col("a") == F.col("h")).select("h", "doc_id", "line"), id_col, text_col))
 
     roots = cut(components(_verified(star, codes(star), similarity)))
-    marked = (entries.join(roots, F.col("h") == F.col("node"), "left").withColumn("root", F.coalesce("root", "h")).select(*shape, "root"))
+    marked = (long.join(roots, F.col("h") == F.col("node"), "left").withColumn("root", F.coalesce("root", "h"))
+              .select(F.explode("pre").alias("key"), *shape[1:], "root"))
     rest = _near(_suffixed(marked, "_a"), _suffixed(marked, "_b"),
-                 (F.col("h_a") < F.col("h_b")) & (F.col("root_a") != F.col("root_b")) & _first_list(distance), distance, similarity)
+                 (F.col("h_a") < F.col("h_b")) & (F.col("root_a") != F.col("root_b")), distance, similarity)
     rest = cut(rest.join(star, ["a", "b"], "left_anti"))
     more = _verified(rest, codes(rest), similarity)
     r = lambda s: _suffixed(roots, s)
@@ -242,17 +287,17 @@ def line_groups(docs: DataFrame, *, distance: int = DISTANCE, similarity: float
              .select("node", F.coalesce("root", "r").alias("root"))
              .unionByName(top.join(roots.select("node"), "node", "left_anti")))
     grouped = classes.join(roots, F.col("h") == F.col("node"), "left").where("c > 1 or node is not null")
-    grouped = grouped.select("h", "sim", "n", "first", F.coalesce("root", "h").alias("root"), F.col("node").isNotNull().alias("fuzzy"))
+    grouped = grouped.select(*CLASS, "first", F.coalesce("root", "h").alias("root"), F.col("node").isNotNull().alias("fuzzy"))
     keep = grouped.where("fuzzy").groupBy("root").agg(F.min("first").alias("keep"))
-    near = grouped.where("fuzzy").join(keep, "root").select("h", "sim", "n", "root", "keep")
-    alone = grouped.where("not fuzzy").select("h", "sim", "n", "root", F.col("first").alias("keep"))
+    near = grouped.where("fuzzy").join(keep, "root").select(*CLASS, "root", "keep")
+    alone = grouped.where("not fuzzy").select(*CLASS, "root", F.col("first").alias("keep"))
     return lines, near.unionByName(alone)
 
 
 def dropped_lines(docs: DataFrame, **options) -> DataFrame:
     """(doc_id, lines): numbers of the lines to drop, of documents with any."""
     lines, groups = line_groups(docs, **options)
-    gone = lines.join(groups, ["h", "sim", "n"]).where(~F.struct("doc_id", "line").eqNullSafe(F.col("keep")))
+    gone = lines.join(groups, list(CLASS)).where(~F.struct("doc_id", "line").eqNullSafe(F.col("keep")))
     return gone.groupBy("doc_id").agg(F.array_sort(F.collect_set("line")).alias("lines"))
 
 

@@ -80,3 +80,21 @@ def test_edges(spark):
     assert L.dedup(frame, drop_emptied=False).count() == len(docs)
     empty = spark.createDataFrame([], frame.schema)
     assert L.dedup(empty).collect() == [] and L.report(empty).collect() == []
+
+
+def test_edit_similarity_alone_decides(spark):
+    """One of 10 to 14 words replaced, dropped or added: all are near, whatever their SimHashes."""
+    rng = random.Random(2)
+    vocab = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 9))) for _ in range(300)]
+    docs = []
+    for k in range(60):
+        x = [rng.choice(vocab) for _ in range(rng.choice([5, 10, 12, 14, 30, 90]))]
+        y = list(x)
+        for _ in range(rng.randint(1, len(x) // 5)):
+            at = rng.randrange(len(y))
+            y[at:at + 1] = rng.choice([[rng.choice(vocab)], [], [y[at], rng.choice(vocab)]])
+        docs += [(2 * k, " ".join(x)), (2 * k + 1, " ".join(y) + "\nown %d" % k)]
+    got = L.dropped_lines(spark.createDataFrame(docs, "doc_id long, text string"))
+    got = {r.doc_id: list(r.lines) for r in got.collect()}
+    assert got == brute.dropped_lines(docs, dict.fromkeys(sims_of(docs), 0), 0, 0.8)
+    assert len(got) >= 50
