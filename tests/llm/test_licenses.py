@@ -30,3 +30,39 @@ def test_edges(spark):
     assert got[1].digest == got[2].digest == got[3].digest
     assert (got[4].license, got[4].line_licenses) == ("a,b,r", "a,b,r") and got[None].license == "a,b"
     assert scan(spark, [], known) == {} and scan(spark, docs, known.limit(0))[4].license == ""
+
+
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE."""
+
+
+def test_full_texts_and_runs_of_lines(spark):
+    """A whole licence, alone or inside a document, commented or wrapped anew; a notice over two lines."""
+    words = MIT.split()
+    wrapped = "\n".join(" ".join(words[k:k + 7]) for k in range(0, len(words), 7))
+    at = words.index("COPYRIGHT")
+    split = " ".join(words[:at]) + "\n" + " ".join(words[at:])
+    got = scan(spark, [
+        (1, "MIT License\n\nCopyright (c) 2026 A. Person\n\n" + MIT), (2, "def f():\n" + "\n".join("# " + x for x in MIT.split("\n")) + "\n  pass"),
+        (3, wrapped), (4, split), (5, "Before.\nCopyright 2020 Me\n" + split + "\nafter"), (6, MIT.replace("charge", "cost") + "\nx"),
+        (7, "intro\nLicensed under the Apache\nLicense, Version 2.0.\nend"), (8, "x\n" + MIT + "\n" + MIT)])
+    assert all(got[k].license == "MIT" for k in (1, 3, 4)) and got[3].line_licenses == got[4].line_licenses == ""
+    assert all(got[k].license == "" and got[k].line_licenses == "MIT" for k in (2, 5, 8))
+    assert got[2].n_license_lines == 15 and got[5].n_license_lines == 2 and got[8].n_license_lines == 30
+    assert (got[6].license, got[6].line_licenses, got[6].n_license_lines) == ("", "", 0)
+    assert (got[7].line_licenses, got[7].n_license_lines) == ("Apache-2.0", 2)
