@@ -1,11 +1,14 @@
 """Secret scans: rules, and Markov models of random strings and identifiers.
 
 Three rules give the base spans, leftmost and non-overlapping per kind.  The
-method adds spans of kind ``random``: a candidate is a run of characters that
-secrets are written in, at least ``MIN_CHARS`` long; it is reported where a
-character Markov model of random strings explains it better than one of
-ordinary identifiers, by at least ``threshold`` nats a character, and where
-it does not overlap a base span.
+method adds spans of kind ``random``.  A run of characters that secrets are
+written in, less the base spans in it, leaves pieces of ``SHORTEST`` characters or
+more.  A piece of ``MIN_CHARS`` is reported whole where a character Markov model of
+random strings explains it better than one of ordinary identifiers by at least
+``threshold`` nats a character.  Of any other piece the stretches are reported by
+whose characters random wins by ``total`` nats or more in sum, however long the
+ordinary rest is, widened to the next ``/``, ``=``, ``_`` or ``-`` and less the
+ordinary words between such characters at either end.
 
 Both models are first-order tables over the same fixed alphabet, counted in
 Spark from labelled samples (text, label): 1 random, 0 ordinary.  Their size
@@ -36,6 +39,10 @@ MIN_CHARS = 16
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % MIN_CHARS)
 #: Nats a character by which random must beat ordinary.
 THRESHOLD = 0.3
+#: Characters of a piece at least, and nats in sum by which random must win in a stretch of it.
+SHORTEST = 8
+TOTAL = 10.0
+RUN = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % SHORTEST)
 #: Documents sampled for the ordinary strings, at most, and random strings drawn.
 SAMPLE_DOCS = 5_000
 SAMPLE_RANDOM = 4_000
@@ -131,14 +138,71 @@ def transitions(text: str) -> np.ndarray:
     return np.concatenate(([_SIZE - 1], code[:-1])) * _SIZE + code
 
 
-def added_spans(text: str, base: list[tuple[int, int, str]], ratios: np.ndarray, threshold: float
+def stretches(score: np.ndarray, total: float) -> list[tuple[int, int]]:
+    """Disjoint stretches whose scores sum to ``total`` or more, each up to its highest sum."""
+    out, start, end, upto, best = [], 0, 0, 0.0, 0.0
+    for k, x in enumerate([*score.tolist(), -np.inf]):
+        upto += x
+        if upto > best:
+            best, end = upto, k + 1
+        if upto <= 0 or upto <= best - total:
+            if best >= total:
+                out.append((start, end))
+            start, end, upto, best = k + 1, k + 1, 0.0, 0.0
+    return out
+
+
+def _likely(text: str, ratios: np.ndarray, total: float) -> np.ndarray:
+    """Offsets at which some stretch of a run has reached ``total``."""
+    at = transitions(text)
+    score = np.where(at % _SIZE == _SIZE - 1, -1e4, ratios[at])
+    upto = np.concatenate(([0.0], np.cumsum(score)))
+    return np.flatnonzero(upto[1:] - np.minimum.accumulate(upto)[:-1] >= total - 1e-3)
+
+
+def _random_in(text: str, a: int, b: int, ratios: np.ndarray, threshold: float, total: float) -> list[tuple[int, int, str]]:
+    """The random spans of a piece."""
+    score = ratios[transitions(text[a:b])]
+    if b - a >= MIN_CHARS and score.sum() >= threshold * (b - a):
+        return [(a, b, "random")]
+    out: list[tuple[int, int, str]] = []
+    for x, y in stretches(score, total):
+        x, y = a + x, a + y
+        while x > a and text[x - 1] not in "/=_-":
+            x -= 1
+        while y < b and text[y] not in "/=_-":
+            y += 1
+        words = [m.span() for m in re.finditer(r"[^/=_-]+", text[x:y])]
+        plain = [score[x - a + i:x - a + j].sum() <= 0 for i, j in words]
+        if not all(plain):
+            x, y = x + words[plain.index(False)][0], x + words[len(plain) - 1 - plain[::-1].index(False)][1]
+        if out and x < out[-1][1]:
+            x = out.pop()[0]
+        if y - x >= SHORTEST:
+            out.append((x, y, "random"))
+    return out
+
+
+def added_spans(text: str, base: list[tuple[int, int, str]], ratios: np.ndarray, threshold: float, total: float = TOTAL
                 ) -> list[tuple[int, int, str]]:
-    """Candidates that the models call random and that no base span touches."""
-    out = []
-    for m in CANDIDATE.finditer(text):
+    """What the models call random in the runs, beside the base spans."""
+    out: list[tuple[int, int, str]] = []
+    if not text:
+        return out
+    likely = _likely(text, ratios, total)
+    for m in (RUN if len(likely) or base else CANDIDATE).finditer(text):
         a, b = m.span()
-        if not any(x < b and a < y for x, y, _ in base) and ratios[transitions(m[0])].sum() >= threshold * (b - a):
-            out.append((a, b, "random"))
+        covered = [s for s in base if s[0] < b and a < s[1]]
+        if not covered and b - a < MIN_CHARS:
+            k = np.searchsorted(likely, a)
+            if k == len(likely) or likely[k] >= b:
+                continue
+        for x, y, _ in sorted(covered):
+            if x - a >= SHORTEST:
+                out += _random_in(text, a, x, ratios, threshold, total)
+            a = max(a, y)
+        if b - a >= SHORTEST:
+            out += _random_in(text, a, b, ratios, threshold, total)
     return out
 
 
