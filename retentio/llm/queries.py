@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import decontam, fingerprint, jaccard, licenses, linededup, mixing, quality, secrets, toxicity, urls
+from . import decontam, fingerprint, jaccard, licenses, linededup, mixing, periodic, quality, secrets, toxicity, urls
 from .shared import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -218,3 +218,80 @@ FROM f GROUP BY doc_id
 
 
 ORACLES["op10_licenses"] = _license_oracle()
+
+
+@query("op12_periodic_runs")
+def op12_periodic_runs(spark, d):
+    docs = read_table(spark, d, "documents")
+    found = periodic.scan(docs.withColumn("text", periodic.repeated_tail(F.col("text"), F.col("doc_id"))))
+    best = periodic.strongest(F.col("runs"))
+    line = lambda r: F.concat(r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","),
+                              r["period"].cast("string"), F.lit("\n"))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("best.start").alias("start"),
+        F.col("best.length").alias("length"), F.col("best.period").alias("period"),
+        F.floor(F.lit(1000) * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", line), "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+def _periodic_oracle(scales: int = 13) -> str:
+    """Grams of doubling length by windows, next occurrences, and islands of them
+    on each lag; ``scales`` 13 covers texts of up to 196,608 words."""
+    ctes, pairs, at = [], [], "w"
+    for k in range(4 + scales):
+        size, name = 1 << k, f"g{k}"
+        if k:
+            ctes.append(f"{name} AS (SELECT doc_id, n, i, hash(h, lead(h, {size // 2}) OVER (PARTITION BY doc_id ORDER BY i)) AS h "
+                        f"FROM {at} WHERE n >= {max(24, 3 * (size // 2 + 1) if size > 16 else 24)})")
+        else:
+            ctes.append(f"{name} AS (SELECT doc_id, n, i, hash(word) AS h FROM w)")
+        at = name
+        if k >= 4:
+            pairs.append(f"SELECT {size} AS size, {size // 2 if size > 16 else 0} AS least, doc_id, i, "
+                         f"lead(i) OVER (PARTITION BY doc_id, h ORDER BY i) - i AS q FROM {name} WHERE i + {size} <= n")
+    return f"""
+WITH crc_table AS (
+  SELECT list(c ORDER BY b) AS t FROM (
+    SELECT b, list_reduce(list_concat([b], [0, 0, 0, 0, 0, 0, 0, 0]),
+                          lambda c, z: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS c
+    FROM (SELECT CAST(unnest(range(256)) AS BIGINT) AS b))),
+d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+         xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)],
+                         list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+                         lambda c, b: xor(c // 256, t[1 + xor(c % 256, b)])), CAST(4294967295 AS BIGINT)) AS h
+  FROM documents, crc_table),
+s AS (SELECT doc_id, w, CAST(len(w) AS BIGINT) AS n, h, h // 10 AS g FROM d),
+a AS (SELECT *, CASE WHEN h % 10 = 0 AND n > 0 THEN g % n END AS a FROM s),
+p AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM a),
+w AS (
+  SELECT doc_id, n, i, w[1 + CASE WHEN a IS NULL OR i < a THEN i ELSE a + (i - a) % p END] AS word
+  FROM p, unnest(range(n)) AS r(i)),
+{', '.join(ctes)},
+pairs AS ({' UNION ALL '.join(pairs)}),
+islands AS (
+  SELECT doc_id, size, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island
+  FROM pairs WHERE q > least AND q <= size),
+runs AS (
+  SELECT doc_id, min(i) AS start, max(i) + any_value(size) + q - min(i) AS length, q AS period
+  FROM islands GROUP BY doc_id, q, island
+  HAVING max(i) + any_value(size) + q - min(i) >= greatest(24, 3 * q)),
+best AS (
+  SELECT * FROM runs
+  QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY CAST(length AS DECIMAL(38, 18)) / period DESC, start, period) = 1),
+gone AS (SELECT DISTINCT doc_id, k AS i FROM runs, unnest(range(start + period, start + length)) AS r(k)),
+listed AS (
+  SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS runs
+  FROM runs GROUP BY doc_id),
+kept AS (
+  SELECT w.doc_id, string_agg(word, ' ' ORDER BY w.i) AS text
+  FROM w LEFT JOIN gone ON gone.doc_id = w.doc_id AND gone.i = w.i WHERE gone.i IS NULL GROUP BY w.doc_id)
+SELECT s.doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period,
+       (1000 * length) // period AS exponent_milli,
+       sha256(coalesce(runs, '')) AS runs_sha256, sha256(coalesce(kept.text, '')) AS collapsed_sha256
+FROM s LEFT JOIN listed USING (doc_id) LEFT JOIN best USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+
+ORACLES["op12_periodic_runs"] = _periodic_oracle()

@@ -34,11 +34,12 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
-def _byte_codes(seed: int, separators: bytes) -> np.ndarray:
-    """A random odd 64-bit code per byte; A-Z count as a-z, separators as 0."""
+def _byte_codes(seed: int, separators: bytes, fold: bool = True) -> np.ndarray:
+    """A random odd 64-bit code per byte, separators 0; with ``fold`` A-Z count as a-z."""
     t = np.random.Generator(np.random.PCG64(seed)).integers(1, 1 << 63, 256, dtype=np.uint64)
     t = t * np.uint64(2) + np.uint64(1)
-    t[65:91] = t[97:123]
+    if fold:
+        t[65:91] = t[97:123]
     t[list(separators)] = 0
     return t
 
@@ -108,12 +109,12 @@ def segments(mask: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return starts, ends
 
 
-_CODES: dict[tuple[int, bytes], np.ndarray] = {}
+_CODES: dict[tuple[int, bytes, bool], np.ndarray] = {}
 
 
-def words(data: np.ndarray, off: np.ndarray, separators: bytes = WHITESPACE, seed: int = 1) -> Words:
-    """Split texts at ``separators`` and hash each word, A-Z lower-cased."""
-    codes = _CODES.setdefault((seed, separators), _byte_codes(seed, separators))
+def words(data: np.ndarray, off: np.ndarray, separators: bytes = WHITESPACE, seed: int = 1, fold: bool = True) -> Words:
+    """Split texts at ``separators`` and hash each word, A-Z lower-cased unless ``fold`` is off."""
+    codes = _CODES.setdefault((seed, separators, fold), _byte_codes(seed, separators, fold))
     off = off - off[0]
     value = codes[data]
     start, end = segments(value != 0, off)

@@ -154,3 +154,25 @@ def pagerank(edges, seeds, damping, rounds):
                 new[b] = new.get(b, 0) + damping * w / total[a] * rank[a]
         rank = new
     return rank
+
+
+def ascii_words(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", text or "")
+
+
+def runs(words, least=24, times=3):
+    """(start, length, period) of every periodic run, by lag and place."""
+    n, out = len(words), []
+    for q in range(1, n // times + 1):
+        i = 0
+        while i + q < n:
+            start = i
+            while i + q < n and words[i] == words[i + q]:
+                i += 1
+            length = i - start + q
+            if i > start and length >= max(least, times * q):
+                x = words[start:start + length]
+                if not any(x[d:] == x[:length - d] for d in range(1, q)):
+                    out.append((start, length, q))
+            i += 1
+    return sorted(out, key=lambda r: (r[0], r[2]))
