@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import decontam, fingerprint, jaccard, licenses, linededup, mixing, periodic, quality, secrets, toxicity, urls
+from . import decontam, fingerprint, jaccard, licenses, linededup, mixing, periodic, quality, secrets, toxicity, urls, whitening
 from .shared import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -220,6 +220,14 @@ FROM f GROUP BY doc_id
 ORACLES["op10_licenses"] = _license_oracle()
 
 
+@query("op11_whitening")
+def op11_whitening(spark, d):
+    vectors = read_table(spark, d, "embeddings")
+    rows = whitening.components(vectors, whitening.fit(vectors))
+    return rows.select("vec_id", "component", "n", F.col("deviation").try_cast("long").alias("deviation"), "whitened",
+                       "explained", "identity_error")
+
+
 @query("op12_periodic_runs")
 def op12_periodic_runs(spark, d):
     docs = read_table(spark, d, "documents")
