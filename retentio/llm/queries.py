@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import decontam, fingerprint, jaccard, licenses, linededup, mixing, periodic, quality, secrets, toxicity, urls, whitening
+from . import decontam, fingerprint, jaccard, licenses, linededup, minhash, mixing, periodic, quality, secrets, toxicity, urls, whitening
 from .shared import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -163,23 +163,30 @@ def op9_ngram_jaccard(spark, d):
     return jaccard.groups(read_table(spark, d, "documents"))
 
 
-ORACLES["op9_ngram_jaccard"] = r"""
+def _groups_sql(shingle: int, percent: int, more: str = "") -> str:
+    """Components of documents linked by the Jaccard similarity of their shingles."""
+    return rf"""
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                                     '[^\x20\x09-\x0D]+') AS w FROM documents),
-s AS (SELECT doc_id, list_distinct([array_to_string(w[k : k + 3], ' ') FOR k IN range(1, greatest(len(w) - 3, 1) + 1)]) AS s
+s AS (SELECT doc_id, list_distinct([array_to_string(w[k : k + {shingle - 1}], ' ') FOR k IN range(1, greatest(len(w) - {shingle - 1}, 1) + 1)]) AS s
       FROM w WHERE len(w) > 0),
 n AS (SELECT doc_id, len(s) AS n FROM s),
 t AS (SELECT doc_id, unnest(s) AS t FROM s),
 i AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM t a JOIN t b ON a.t = b.t AND a.doc_id <> b.doc_id GROUP BY 1, 2),
-link AS (SELECT a, b FROM i JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * i >= 85 * (x.n + y.n - i)),
-reach AS (SELECT a, b FROM link UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a)
-SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles,
-       least(w.doc_id, coalesce((SELECT min(b) FROM reach WHERE reach.a = w.doc_id), w.doc_id)) AS component_id
-FROM w LEFT JOIN n USING (doc_id)
+link AS (SELECT a, b FROM i JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * i >= {percent} * (x.n + y.n - i)),
+reach AS (SELECT a, b FROM link UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a),
+g AS (
+  SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles,
+         least(w.doc_id, coalesce((SELECT min(b) FROM reach WHERE reach.a = w.doc_id), w.doc_id)) AS component_id
+  FROM w LEFT JOIN n USING (doc_id))
+SELECT doc_id, n_shingles, component_id{more} FROM g
 """
 
 
+ORACLES["op9_ngram_jaccard"] = _groups_sql(4, 85)
+
+
 @query("op10_licenses")
 def op10_licenses(spark, d):
     return licenses.scan(read_table(spark, d, "documents"), licenses.known_texts(spark))
@@ -303,3 +310,11 @@ FROM s LEFT JOIN listed USING (doc_id) LEFT JOIN best USING (doc_id) LEFT JOIN k
 
 
 ORACLES["op12_periodic_runs"] = _periodic_oracle()
+
+
+@query("op13_minhash_dedup")
+def op13_minhash_dedup(spark, d):
+    return minhash.groups(read_table(spark, d, "documents"))
+
+
+ORACLES["op13_minhash_dedup"] = _groups_sql(3, 85, ", doc_id = component_id AS kept")

@@ -27,12 +27,18 @@ def held_out(id_col: str = "doc_id"):
 FILTER_BITS = 26
 
 
-def passing(df: DataFrame, ids: DataFrame, col: str) -> DataFrame:
+def text_key(id_col: str, text_col: str):
+    """What tells texts apart where ids repeat or are null: a 64-bit hash of id and text."""
+    return F.xxhash64(F.col(id_col), F.col(text_col).cast("string"))
+
+
+def passing(df: DataFrame, ids: DataFrame, col: str, *, once: bool = False) -> DataFrame:
     """The rows of ``df`` whose ``col`` may be among those of ``ids``.
 
     A bitmap of hashed ids, of fixed size, is summed in Spark and broadcast;
     rows that surely have no partner are left out before a join on ``col``,
-    which must follow.  Null ids are left out.
+    which must follow.  Null ids are left out.  With ``once`` a task lets the
+    first row of a hashed id pass only, so copies of a row don't meet in a join.
     """
     h = F.pmod(F.xxhash64(F.lit("filter"), F.col(col)), F.lit(1 << FILTER_BITS))
     words = (ids.where(F.col(col).isNotNull()).select(h.alias("h"))
@@ -41,12 +47,23 @@ def passing(df: DataFrame, ids: DataFrame, col: str) -> DataFrame:
     bits = np.zeros(1 << (FILTER_BITS - 6), np.int64)
     bits[words.column(0).to_numpy()] = words.column(1).to_numpy()
     shared = df.sparkSession.sparkContext.broadcast(bits)
-    q = df.where(F.col(col).isNotNull()).withColumn("_h", h)
+    whole = F.xxhash64(F.lit("once"), F.col(col))
+    q = df.where(F.col(col).isNotNull()).withColumn("_h", h).withColumn("_w", whole)
+    schema = q.schema
 
     def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = shared.value
+        table, seen = shared.value, set()
         for batch in batches:
-            x = batch.column(batch.num_columns - 1).to_numpy()
-            yield batch.filter(pa.array((table[x >> 6] >> (x & 63) & 1).astype(bool)))
+            x = batch.column(batch.num_columns - 2).to_numpy()
+            ok = (table[x >> 6] >> (x & 63) & 1).astype(bool)
+            if once:
+                whole = batch.column(batch.num_columns - 1).to_numpy()
+                for k in np.flatnonzero(ok).tolist():
+                    w = whole[k]
+                    if w in seen:
+                        ok[k] = False
+                    else:
+                        seen.add(w)
+            yield batch.filter(pa.array(ok))
 
-    return q.mapInArrow(test, q.schema).drop("_h")
+    return q.mapInArrow(test, schema).drop("_h", "_w")
