@@ -1,27 +1,36 @@
-"""Line dedup: fuzzy lines by a prefix join on rare words and edit similarity.
+"""Line dedup: SimHash blocks, edit similarity, and exact lists for what they miss.
 
 A line is normalised to its words (A-Z lower-cased; digits, a-z and non-ASCII
 characters); lines without words stay where they are.  Equal normalised lines
 are one class.  Two classes are near where the word-level edit similarity,
-1 - distance / words of the longer, is at least ``similarity``.  Of every
-connected group of lines one occurrence stays, the one of the least (id, line
-number).  A ``distance`` under ``BITS`` asks besides that the 80-bit SimHashes of
-the words, longer words weighing more, differ in at most so many bits.
-
-No near pair is missed: of a line of n words at most k = (1 - similarity) n are
-edited, so two near lines share a word among the k + 1 that come first in any
-order of all words (the i-th occurrence of a word in a line counts as a word of
-its own).  The order is by frequency, rare words first; frequencies are counted
-in a table of fixed size, and whatever they are changes only the cost.  Classes
-meet in the lists of those words.  The most frequent class of a list is its
-leader and is compared with all others first, in the lists of the ``STAR``
-rarest words; only classes that are not yet in one group are compared then, in
-all lists.  Lists are never put into one task whole (leaders are greatest
-values, summed map-side; joins on a list's key may be split), and no list
-writes out all its pairs: lengths and word parities are compared in the join.
-
-Null and empty texts have no lines.  Rows that repeat an id are one document:
-they keep the same lines.
+1 - distance / words of the longer, is at least ``similarity``; edits count whole
+words, so lines of under five words have no near ones but a line of five that has one
+word more.  Of every connected group of lines one occurrence stays, the one of the
+least (id, line number), rows without id last.
+
+1. Every class has a 64-bit SimHash of its words, longer words weighing more.  It is
+   cut into ``BLOCKS`` blocks; classes of one length class that agree in a block
+   (by the pigeonhole all within ``BLOCKS`` - 1 bits, and many that are farther
+   apart) meet in its list.  The most frequent class of a list leads it; members
+   within the distance that the similarity makes likely, and whose lengths and
+   word parities allow it, are compared with the leader by edit distance.
+2. Where one edit is allowed, near lines are equal but for one word: each class posts
+   itself with each word left out, and a shorter one itself.  All members of such
+   a list are near each other, so each is linked with the least one.
+3. Where more are allowed, of a line of n words at most k = (1 - similarity) n are
+   edited, so two near lines share a word among the k + 1 that come first in any
+   order of all words (the i-th occurrence of a word in a line counts as a word of
+   its own), here rare words first by counts in a table of fixed size.  Classes
+   that steps 1 and 2 have not joined are compared in the lists of those words.
+
+Steps 2 and 3 find every near pair that step 1 misses; with them the groups are
+exact, which the tests hold against brute force.  No list is put into one task
+whole: leaders and least members are summed map-side, and joins on a list's key may
+be split.  Members of one component are not paired: the classes of large ones
+(``LARGE``) are kept apart from the others, and meet those only.
+
+Null and empty texts have no lines.  Documents are told apart by id and text, so rows
+that repeat both are one document and keep the same lines; null ids are allowed.
 """
 
 from __future__ import annotations
@@ -35,18 +44,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import cut, passing
+from .shared import cut, passing, text_key
 from .text import NOT_ALNUM, batches_of, mix, segments, words
 
 SIMILARITY = 0.8
-#: Bits of the SimHash: a long and an int.
-BITS = 64 + 16
-#: Bits by which SimHashes may differ: any, edit similarity alone decides.
-DISTANCE = BITS
+#: SimHash blocks of 16 bits.
+BLOCKS = 4
+#: Bits beside the expected ones by which SimHashes of near lines may differ.
+SLACK = 10
 #: Address bits of the table of word frequencies, a byte each whatever the data.
-LEVEL_BITS = 21
-#: Words of a class in whose lists it is compared with leaders.
-STAR = 4
+LEVEL_BITS = 18
+#: Classes of a component that is kept apart.
+LARGE = 64
 #: Word parities of a line: bits of so many longs.
 PARITIES = ("par", "par2", "par3", "par4")
 #: What tells classes apart.
@@ -58,10 +67,18 @@ _WEIGHT = np.array([1, 1, 1, 1, 2, 2, 2, 3], np.uint64)
 _CHUNK = 85
 #: Bit i of a byte in lane i of eight.
 _LANES = np.array([sum((b >> i & 1) << (8 * i) for i in range(8)) for b in range(256)], np.uint64)
+_PLACE, _LENGTH = np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 
 
-def _bits_apart() -> Column:
-    return (F.bit_count(F.col("sim_a").bitwiseXOR(F.col("sim_b"))) + F.bit_count(F.col("sim2_a").bitwiseXOR(F.col("sim2_b"))))
+def edits(n: int, similarity: float) -> int:
+    """Words of a line of n that may be edited."""
+    return int(n * (1 - similarity) + 1e-9)
+
+
+def _one_edit(similarity: float) -> tuple[int, int]:
+    """Least number of words that allows one edit, and least that allows two (0 if none does)."""
+    at = [next((n for n in range(1, 10 ** 6) if edits(n, similarity) >= k), 0) for k in (1, 2)]
+    return at[0], at[1]
 
 
 class Lines:
@@ -112,7 +129,8 @@ class Lines:
         return [np.bitwise_xor.reduceat(np.where(side == np.uint64(k), bit, np.uint64(0)), line).view(np.int64) for k in range(len(PARITIES))]
 
     def prefixes(self, levels: np.ndarray, similarity: float) -> pa.ListArray:
-        """The words, rarest first, of which a near line must have one: 32 bits each."""
+        """The words, rarest first, of which a near line must have one: 32 bits each.
+        None for lines whose longest near ones allow one edit or none."""
         h, _, line, n = self._words()
         if not len(n):
             return pa.array([], pa.list_(pa.int32()))
@@ -124,31 +142,60 @@ class Lines:
         occurrence[order] = place - np.maximum.accumulate(np.where(same, 0, place))
         token = mix(h + occurrence * np.uint64(0x9E3779B97F4A7C15))
         order = np.lexsort((token, levels[h >> np.uint64(64 - LEVEL_BITS)], of))
-        least = np.floor(n * (1 - similarity) + 1e-9).astype(np.int64) + 1
+        two = _one_edit(similarity)[1]
+        reach = n >= two - edits(two, similarity) if two else np.zeros(len(n), bool)
+        least = np.where(reach, np.floor(n * (1 - similarity) + 1e-9).astype(np.int64) + 1, 0)
         token = token[order[place - np.repeat(line, n) < np.repeat(least, n)]]
         off = np.concatenate(([0], np.cumsum(np.minimum(least, n))))
         return pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), pa.array(token.astype(np.uint32).view(np.int32)))
 
-    def identities(self) -> tuple[np.ndarray, ...]:
-        """64-bit hash, SimHash (64 bits), words, word parities and SimHash (16 bits) of each line."""
+    def simhashes(self) -> np.ndarray:
+        """64-bit SimHash of each line: bit by bit the weighted majority of its words' hashes."""
         h, at, line, n = self._words()
         if not len(n):
-            return np.empty(0, np.int64), np.empty(0, np.int64), n, np.empty(0, np.int64), np.empty(0, np.int32)
+            return np.empty(0, np.int64)
         weight = _WEIGHT[np.minimum(self.word_len[self.first[0]:self.last[-1]], 7)]
         chunk = np.flatnonzero(at % _CHUNK == 0)
         per_line = np.searchsorted(chunk, line)
         total = np.add.reduceat(weight.astype(np.int64), line)
-        sim, more = np.zeros(len(n), np.uint64), np.zeros(len(n), np.uint64)
+        sim = np.zeros(len(n), np.uint64)
         voters = mix(h ^ np.uint64(0x5851F42D4C957F2D))
-        others = mix(h ^ np.uint64(0x14057B7EF767814F))
-        for k in range(BITS // 8):
-            side, at8 = (sim, k) if k < 8 else (more, k - 8)
-            lanes = _LANES[((voters if k < 8 else others) >> np.uint64(8 * at8) & np.uint64(255)).astype(np.int64)] * weight
+        for k in range(8):
+            lanes = _LANES[(voters >> np.uint64(8 * k) & np.uint64(255)).astype(np.int64)] * weight
             votes = np.add.reduceat(lanes, chunk).view(np.uint8).reshape(-1, 8).astype(np.int64)
             votes = np.add.reduceat(votes, per_line, axis=0)
             for i in range(8):
-                side |= (2 * votes[:, i] > total).astype(np.uint64) << np.uint64(8 * at8 + i)
-        return self.hashes(), sim.view(np.int64), n, self.parities()[0], more.astype(np.int32)
+                sim |= (2 * votes[:, i] > total).astype(np.uint64) << np.uint64(8 * k + i)
+        return sim.view(np.int64)
+
+    def left_out(self, similarity: float) -> pa.ListArray:
+        """Hashes of each line with each word left out, and of the whole line as such
+        a rest, where one edit is allowed; none for other lines."""
+        _, _, _, n = self._words()
+        least, end = _one_edit(similarity)
+        end = end if end or not least else 10 ** 6
+        held = [np.empty((0, 0), np.uint64)] * len(n)
+        for size in np.unique(n[(n >= least - 1) & (n < end)]).tolist():
+            which = np.flatnonzero(n == size)
+            if not len(which):
+                continue
+            w = self.hash[self.first[which][:, None] + np.arange(size)]
+            m = mix(np.arange(size, dtype=np.uint64) + np.uint64(1)) | np.uint64(1)
+            before = np.cumsum(w * m, axis=1)
+            keys = np.empty((len(which), 0), np.uint64)
+            rest = lambda total, k, words: mix(total + mix(k + np.uint64(1)) * _PLACE + np.uint64(words) * _LENGTH)
+            if size >= least:
+                moved = np.cumsum(w[:, 1:] * m[:-1], axis=1)
+                moved = np.concatenate([np.zeros((len(which), 1), np.uint64), moved], axis=1)
+                total = before - w * m + (moved[:, -1:] - moved)
+                keys = rest(total, np.arange(size, dtype=np.uint64), size)
+            if size + 1 < end:
+                keys = np.concatenate([keys, rest(before[:, -1:], np.arange(size + 1, dtype=np.uint64), size + 1)], axis=1)
+            for k, row in zip(which, keys):
+                held[k] = row
+        off = np.concatenate(([0], np.cumsum([len(x) if x.ndim == 1 else 0 for x in held]))).astype(np.int32)
+        flat = [x for x in held if x.ndim == 1]
+        return pa.ListArray.from_arrays(pa.array(off), pa.array((np.concatenate(flat) if flat else np.empty(0, np.uint64)).view(np.int64)))
 
     def codes(self) -> list[str]:
         """Each line as a string with one code point per word."""
@@ -173,13 +220,14 @@ def word_levels(docs: DataFrame, text_col: str) -> np.ndarray:
     return levels
 
 
-def line_table(docs: DataFrame, id_col: str, text_col: str, *, more: bool = False, similarity: float = SIMILARITY, sims: bool = False) -> DataFrame:
-    """(doc_id, line, h, n, par) of every line with words; with ``more``, also the
-    other parities, ``pre``, its rarest words, and with ``sims`` sim and sim2."""
-    q = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    extra = [(c, "long") for c in PARITIES[1:]] + [("pre", "array<int>")] + [("sim", "long"), ("sim2", "int")] * sims
+def line_table(docs: DataFrame, id_col: str, text_col: str, *, more: bool = False, similarity: float = SIMILARITY) -> DataFrame:
+    """(doc_id, key, line, h, n, par) of every line with words, ``key`` telling documents apart;
+    with ``more`` also the other parities, ``sim``, ``pre``, its rarest words, and ``rest``, what is
+    left of it without a word."""
+    q = docs.select(F.col(id_col).alias("doc_id"), text_key(id_col, text_col).alias("key"), F.col(text_col).cast("string").alias("text"))
+    extra = [(c, "long") for c in PARITIES[1:]] + [("sim", "long"), ("pre", "array<int>"), ("rest", "array<long>")]
     kinds = [("line", "int"), ("h", "long"), ("n", "int"), ("par", "long")] + extra * more
-    schema = q.select("doc_id", *[F.lit(None).cast(t).alias(c) for c, t in kinds]).schema
+    schema = q.select("doc_id", "key", *[F.lit(None).cast(t).alias(c) for c, t in kinds]).schema
     shared = docs.sparkSession.sparkContext.broadcast(word_levels(docs, text_col)) if more else None
 
     def one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,51 +235,56 @@ def line_table(docs: DataFrame, id_col: str, text_col: str, *, more: bool = Fals
             for part, data, off in batches_of(batch, "text"):
                 lines = Lines(data, off)
                 par = [pa.array(x) for x in lines.parities()]
-                out = [part.column(0).take(pa.array(lines.text, pa.int64())), pa.array(lines.number.astype(np.int32)), pa.array(lines.hashes()),
+                at = pa.array(lines.text, pa.int64())
+                out = [part.column(0).take(at), part.column(1).take(at), pa.array(lines.number.astype(np.int32)), pa.array(lines.hashes()),
                        pa.array((lines.last - lines.first).astype(np.int32)), par[0]]
                 if more:
-                    out += [*par[1:], lines.prefixes(shared.value, similarity)]
-                    if sims:
-                        _, sim, _, _, sim2 = lines.identities()
-                        out += [pa.array(sim), pa.array(sim2)]
-                yield pa.RecordBatch.from_arrays(out, names=["doc_id", *[c for c, _ in kinds]])
+                    out += [*par[1:], pa.array(lines.simhashes()), lines.prefixes(shared.value, similarity), lines.left_out(similarity)]
+                yield pa.RecordBatch.from_arrays(out, names=["doc_id", "key", *[c for c, _ in kinds]])
 
     return q.mapInArrow(one, schema)
 
 
-def _near(a: DataFrame, b: DataFrame, extra, distance: int, similarity: float) -> DataFrame:
-    """Distinct pairs (a, b) of one list whose lengths, words and SimHashes allow it.
+def _suffixed(df: DataFrame, suffix: str) -> DataFrame:
+    return df.toDF(*[c + suffix for c in df.columns])
 
-    An edit changes the parity of two words at most, so pairs whose parities
-    differ in more places need no comparison.
-    """
-    most = F.floor(F.greatest("n_a", "n_b") * F.lit(1 - similarity) + 1e-9)
-    odd = [F.bit_count(F.col(c + "_a").bitwiseXOR(F.col(c + "_b"))) for c in PARITIES]
-    ok = ((F.col("key_a") == F.col("key_b")) & (F.col("h_a") != F.col("h_b"))
-          & (F.abs(F.col("n_a") - F.col("n_b")) <= most) & (sum(odd[1:], odd[0]) <= 2 * most))
-    if distance < BITS:
-        ok = ok & (_bits_apart() <= distance)
-    if extra is not None:
-        ok = ok & extra
-    return a.join(b, ok).select(F.least("h_a", "h_b").alias("a"), F.greatest("h_a", "h_b").alias("b")).distinct()
 
+def _allowed(similarity: float) -> Column:
+    """Words of the longer of _a and _b that may be edited."""
+    return F.floor(F.greatest("n_a", "n_b") * F.lit(1 - similarity) + 1e-9)
 
-def _suffixed(df: DataFrame, suffix: str) -> DataFrame:
-    return df.toDF(*[c + suffix for c in df.columns])
 
+def _possible(similarity: float, parities: tuple[str, ...]) -> Column:
+    """Lengths and parities allow it: an edit changes the parity of two words at most."""
+    odd = [F.bit_count(F.col(c + "_a").bitwiseXOR(F.col(c + "_b"))) for c in parities]
+    return (F.abs(F.col("n_a") - F.col("n_b")) <= _allowed(similarity)) & (sum(odd[1:], odd[0]) <= 2 * _allowed(similarity))
 
-def _verified(pairs: DataFrame, codes: DataFrame, similarity: float) -> DataFrame:
-    """The pairs whose word-level edit similarity is high enough."""
-    q = (pairs.join(_suffixed(codes, "_1"), F.col("a") == F.col("h_1")).join(_suffixed(codes, "_2"), F.col("b") == F.col("h_2"))
-         .withColumn("most", F.floor(F.greatest(F.length("code_1"), F.length("code_2")) * F.lit(1 - similarity) + 1e-9).cast("int")))
+
+def _pairs(q: DataFrame) -> DataFrame:
+    return q.select(F.least("h_a", "h_b").alias("a"), F.greatest("h_a", "h_b").alias("b")).distinct()
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("h")).unionByName(pairs.select(F.col("b").alias("h"))).distinct()
+
+
+def _near(pairs: DataFrame, docs: DataFrame, classes: DataFrame, similarity: float, id_col: str, text_col: str) -> DataFrame:
+    """The pairs whose word-level edit similarity is high enough, by all parities and then by the words."""
+    shape = classes.select("h", "n", *PARITIES)
+    q = cut(pairs.join(_suffixed(shape, "_a"), F.col("a") == F.col("h_a")).join(_suffixed(shape, "_b"), F.col("b") == F.col("h_b"))
+            .where(_possible(similarity, PARITIES)).select("a", "b"))
+    nodes = cut(_ends(q).join(classes.select("h", "first.key", "first.line"), "h"))
+    codes = cut(_codes(docs, nodes, id_col, text_col))
+    q = q.join(_suffixed(codes, "_1"), F.col("a") == F.col("h_1")).join(_suffixed(codes, "_2"), F.col("b") == F.col("h_2"))
+    q = q.withColumn("most", F.floor(F.greatest(F.length("code_1"), F.length("code_2")) * F.lit(1 - similarity) + 1e-9).cast("int"))
     return q.where(F.expr("levenshtein(code_1, code_2, most) >= 0")).select("a", "b")
 
 
 def _codes(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(h, code) of the classes (h, doc_id, line), read from their first texts."""
-    wanted = nodes.groupBy("doc_id").agg(F.collect_set("line").alias("lines"))
-    q = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    q = passing(q, nodes, "doc_id").join(wanted, "doc_id").select("lines", "text")
+    """(h, code) of the classes (h, key, line), read from their first texts."""
+    wanted = nodes.groupBy("key").agg(F.collect_set("line").alias("lines"))
+    q = docs.select(text_key(id_col, text_col).alias("key"), F.col(text_col).cast("string").alias("text"))
+    q = passing(q, nodes, "key", once=True).join(wanted, "key").select("lines", "text")
 
     def one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -246,59 +299,88 @@ def _codes(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str) -> Dat
     return q.mapInArrow(one, "h long, code string").dropDuplicates(["h"])
 
 
-def line_groups(docs: DataFrame, *, distance: int = DISTANCE, similarity: float = SIMILARITY, id_col: str = "doc_id",
-                text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """The lines (doc_id, line, h, n, par), and of each class that occurs more
+def simhash_pairs(classes: DataFrame, similarity: float) -> DataFrame:
+    """Candidates (a, b): classes that share a SimHash block, with its leader."""
+    bits = int(np.ceil(64 * np.arccos(min(1.0, similarity)) / np.pi)) + SLACK
+    size = F.floor(F.log(F.col("n").cast("double")) / float(np.log(1.25)))
+    block = F.posexplode(F.array(*[F.shiftrightunsigned("sim", 64 // BLOCKS * k).bitwiseAND(F.lit((1 << 64 // BLOCKS) - 1)) for k in range(BLOCKS)]))
+    least = _one_edit(similarity)[0]
+    entries = classes.where(F.col("n") >= max(1, least - 1)).select(block.alias("k", "block"), "h", "n", "par", "sim", "c")
+    entries = entries.select(F.xxhash64("k", "block", size).alias("list"), "h", "n", "par", "sim", "c")
+    lead = entries.groupBy("list").agg(F.max(F.struct("c", "h", "n", "par", "sim")).alias("x"), F.count("*").alias("m")).where("m > 1")
+    lead = lead.select("list", *[F.col(f"x.{c}").alias(c) for c in ("h", "n", "par", "sim")])
+    ok = ((F.col("list_a") == F.col("list_b")) & (F.col("h_a") != F.col("h_b")) & _possible(similarity, PARITIES[:1])
+          & (F.bit_count(F.col("sim_a").bitwiseXOR(F.col("sim_b"))) <= bits))
+    return _pairs(_suffixed(lead, "_a").join(_suffixed(entries.drop("c"), "_b"), ok))
+
+
+def one_word_apart(classes: DataFrame) -> DataFrame:
+    """Links (a, b) that join all classes which are equal but for one word, where that is allowed."""
+    entries = classes.select(F.explode("rest").alias("list"), "h")
+    least = entries.groupBy("list").agg(F.min("h").alias("a"), F.max("h").alias("z")).where("a < z").select("list", "a")
+    return entries.join(least, "list").where("a < h").select("a", F.col("h").alias("b")).distinct()
+
+
+def rare_word_pairs(classes: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
+    """Candidates (a, b) of different roots that share one of their rarest words."""
+    two = _one_edit(similarity)[1]
+    shape = ["h", "n", "par", "par2"]
+    large = roots.groupBy("root").agg(F.count("*").alias("size")).where(F.col("size") >= LARGE).select(F.col("root").alias("large"))
+    marked = (classes.where(F.size("pre") > 0).select(*shape, "pre").join(roots, F.col("h") == F.col("node"), "left")
+              .join(large, F.col("root") == F.col("large"), "left"))
+    marked = marked.select(F.explode("pre").alias("list"), *shape, F.coalesce("root", "h").alias("root"), F.col("large").isNotNull().alias("large"))
+
+    def met(a: DataFrame, b: DataFrame, *more: Column) -> DataFrame:
+        ok = (F.col("list_a") == F.col("list_b")) & (F.col("root_a") != F.col("root_b")) & (F.greatest("n_a", "n_b") >= two)
+        for x in (*more, _possible(similarity, PARITIES[:2])):
+            ok = ok & x
+        return _pairs(_suffixed(a, "_a").join(_suffixed(b, "_b"), ok))
+
+    few, many = marked.where("not large").drop("large"), cut(marked.where("large").drop("large"))
+    # Large components meet each other only in lists that hold two of them.
+    shared = many.groupBy("list").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("list")
+    both = many.join(shared, "list").select(many.columns)
+    order = F.col("h_a") < F.col("h_b")
+    return met(few, few, order).unionByName(met(many, few)).unionByName(met(both, both, order))
+
+
+def line_groups(docs: DataFrame, *, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """The lines (doc_id, key, line, h, n, par), and of each class that occurs more
     than once or is near another: (h, n, par, root, keep), ``keep`` being the
-    (doc_id, line) that stays of its group."""
+    (key, line) that stays of its group."""
     lines = line_table(docs, id_col, text_col)
-    sims = ("sim", "sim2") if distance < BITS else ()
-    table = line_table(docs, id_col, text_col, more=True, similarity=similarity, sims=bool(sims))
-    held = ("doc_id", "line", *PARITIES[1:], *sims, "pre")
-    classes = table.groupBy(*CLASS).agg(F.min(F.struct(*held)).alias("x"), F.count("*").alias("c"))
-    classes = cut(classes.select(*CLASS, F.struct("x.doc_id", "x.line").alias("first"), *[F.col(f"x.{c}").alias(c) for c in held[2:]], "c"))
-    # An edit more than the similarity allows is one word of few: skip those lines.
-    least = next(n for n in range(1, 1000) if int(n * (1 - similarity) + 1e-9) or int((n + 1) * (1 - similarity) + 1e-9))
-    long = classes.where(F.col("n") >= least).drop("first")
-    shape = ["key", "h", "n", *PARITIES, *sims]
-
-    entries = long.select(F.explode(F.slice("pre", 1, STAR)).alias("key"), *shape[1:], "c")
-    lead = entries.groupBy("key").agg(F.max(F.struct("c", *shape[1:])).alias("x"), F.count("*").alias("m")).where("m > 1")
-    lead = lead.select("key", *[F.col(f"x.{c}").alias(c) for c in shape[1:]])
-    star = cut(_near(_suffixed(lead, "_a"), _suffixed(entries.select(shape), "_b"), None, distance, similarity))
-    place = classes.select("h", "first.doc_id", "first.line")
-
-    def codes(pairs: DataFrame) -> DataFrame:
-        nodes = pairs.select("a").unionByName(pairs.select(F.col("b").alias("a"))).distinct()
-        return cut(_codes(docs, nodes.join(place, F.col("a") == F.col("h")).select("h", "doc_id", "line"), id_col, text_col))
-
-    roots = cut(components(_verified(star, codes(star), similarity)))
-    marked = (long.join(roots, F.col("h") == F.col("node"), "left").withColumn("root", F.coalesce("root", "h"))
-              .select(F.explode("pre").alias("key"), *shape[1:], "root"))
-    rest = _near(_suffixed(marked, "_a"), _suffixed(marked, "_b"),
-                 (F.col("h_a") < F.col("h_b")) & (F.col("root_a") != F.col("root_b")), distance, similarity)
-    rest = cut(rest.join(star, ["a", "b"], "left_anti"))
-    more = _verified(rest, codes(rest), similarity)
-    r = lambda s: _suffixed(roots, s)
-    more = (more.join(r("_1"), F.col("a") == F.col("node_1"), "left").join(r("_2"), F.col("b") == F.col("node_2"), "left")
-            .select(F.coalesce("root_1", "a").alias("a"), F.coalesce("root_2", "b").alias("b")))
-    top = components(more)
-    roots = (roots.withColumnRenamed("root", "r").join(top.withColumnsRenamed({"node": "_n"}), F.col("r") == F.col("_n"), "left")
-             .select("node", F.coalesce("root", "r").alias("root"))
-             .unionByName(top.join(roots.select("node"), "node", "left_anti")))
+    table = line_table(docs, id_col, text_col, more=True, similarity=similarity)
+    place = [F.col("doc_id").isNull().alias("none"), "doc_id", "key", "line"]
+    held = [*PARITIES[1:], "sim", "pre", "rest"]
+    classes = table.groupBy(*CLASS).agg(F.min(F.struct(*place, *held)).alias("x"), F.count("*").alias("c"))
+    classes = cut(classes.select(*CLASS, F.struct(*[F.col(f"x.{c}").alias(c) for c in ("none", "doc_id", "key", "line")]).alias("first"),
+                                 *[F.col(f"x.{c}").alias(c) for c in held], "c"))
+    if similarity < 1:
+        links = _near(cut(simhash_pairs(classes, similarity)), docs, classes, similarity, id_col, text_col)
+        roots = cut(components(cut(links.unionByName(one_word_apart(classes)))))
+        more = _near(cut(rare_word_pairs(classes, roots, similarity)), docs, classes, similarity, id_col, text_col)
+        r = lambda s: _suffixed(roots, s)
+        more = (more.join(r("_1"), F.col("a") == F.col("node_1"), "left").join(r("_2"), F.col("b") == F.col("node_2"), "left")
+                .select(F.coalesce("root_1", "a").alias("a"), F.coalesce("root_2", "b").alias("b")))
+        top = components(more)
+        roots = (roots.withColumnRenamed("root", "r").join(top.withColumnsRenamed({"node": "_n"}), F.col("r") == F.col("_n"), "left")
+                 .select("node", F.coalesce("root", "r").alias("root"))
+                 .unionByName(top.join(roots.select("node"), "node", "left_anti")))
+    else:
+        roots = classes.where("false").select(F.col("h").alias("node"), F.col("h").alias("root"))
     grouped = classes.join(roots, F.col("h") == F.col("node"), "left").where("c > 1 or node is not null")
     grouped = grouped.select(*CLASS, "first", F.coalesce("root", "h").alias("root"), F.col("node").isNotNull().alias("fuzzy"))
     keep = grouped.where("fuzzy").groupBy("root").agg(F.min("first").alias("keep"))
     near = grouped.where("fuzzy").join(keep, "root").select(*CLASS, "root", "keep")
     alone = grouped.where("not fuzzy").select(*CLASS, "root", F.col("first").alias("keep"))
-    return lines, near.unionByName(alone)
+    return lines, near.unionByName(alone).withColumn("keep", F.struct("keep.key", "keep.line"))
 
 
 def dropped_lines(docs: DataFrame, **options) -> DataFrame:
-    """(doc_id, lines): numbers of the lines to drop, of documents with any."""
+    """(doc_id, key, lines): numbers of the lines to drop, of documents with any."""
     lines, groups = line_groups(docs, **options)
-    gone = lines.join(groups, list(CLASS)).where(~F.struct("doc_id", "line").eqNullSafe(F.col("keep")))
-    return gone.groupBy("doc_id").agg(F.array_sort(F.collect_set("line")).alias("lines"))
+    gone = lines.join(groups, list(CLASS)).where(F.struct("key", "line") != F.col("keep"))
+    return gone.groupBy("key").agg(F.first("doc_id").alias("doc_id"), F.array_sort(F.collect_set("line")).alias("lines")).select("doc_id", "key", "lines")
 
 
 def without_lines(text: str | None, gone: set[int]) -> str | None:
@@ -308,7 +390,13 @@ def without_lines(text: str | None, gone: set[int]) -> str | None:
     return "\n".join(x for k, x in enumerate(text.split("\n")) if k not in gone)
 
 
-def dedup(docs: DataFrame, *, distance: int = DISTANCE, similarity: float = SIMILARITY, id_col: str = "doc_id",
+def _with_gone(docs: DataFrame, gone: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(row, lines): every row of ``docs`` with the lines that it loses."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), text_key(id_col, text_col).alias("key"))
+    return rows.join(gone.select("key", "lines"), "key", "left").select("row", "lines")
+
+
+def dedup(docs: DataFrame, *, similarity: float = SIMILARITY, id_col: str = "doc_id",
           text_col: str = "text", n_chars_col: str | None = "n_chars", drop_emptied: bool = True) -> DataFrame:
     """``docs`` with repeated lines dropped from the texts.
 
@@ -317,34 +405,33 @@ def dedup(docs: DataFrame, *, distance: int = DISTANCE, similarity: float = SIMI
     repeat: it goes, unless ``drop_emptied`` is off.  Documents that had no
     words before stay as they were.
     """
-    gone = dropped_lines(docs, distance=distance, similarity=similarity, id_col=id_col, text_col=text_col)
+    gone = dropped_lines(docs, similarity=similarity, id_col=id_col, text_col=text_col)
     cols, at = docs.columns, docs.columns.index(text_col)
-    q = docs.join(gone.toDF("_id", "_gone"), F.col(id_col) == F.col("_id"), "left").select(*cols, "_gone")
     count = cols.index(n_chars_col) if n_chars_col in cols else None
 
     def one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            old, lines = batch.column(at).to_pylist(), batch.column(len(cols)).to_pylist()
+            out = list(batch.column(0).flatten())
+            kinds = [f.type for f in batch.schema.field(0).type]
+            old, lines = out[at].to_pylist(), batch.column(1).to_pylist()
             new = [without_lines(t, set(g)) if g else t for t, g in zip(old, lines)]
-            out = list(batch.columns[:-1])
-            out[at] = pa.array(new, batch.schema.field(at).type)
+            out[at] = pa.array(new, kinds[at])
             if count is not None:
-                out[count] = pa.array([len(n) if g and n is not None else c for n, g, c in zip(new, lines, out[count].to_pylist())],
-                                      batch.schema.field(count).type)
+                out[count] = pa.array([len(n) if g and n is not None else c for n, g, c in zip(new, lines, out[count].to_pylist())], kinds[count])
             rows = pa.RecordBatch.from_arrays(out, names=cols)
             if drop_emptied:
                 rows = rows.filter(pa.array([not g or bool(n and n.strip()) for n, g in zip(new, lines)], pa.bool_()))
             yield rows
 
-    return q.mapInArrow(one, docs.schema)
+    return _with_gone(docs, gone, id_col, text_col).mapInArrow(one, docs.schema)
 
 
 def report(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``id_col``, n_lines, n_dropped, dropped (line numbers), n_chars, text_sha256
     (of the text that stays) of every row."""
     gone = dropped_lines(docs, id_col=id_col, text_col=text_col, **options)
-    q = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    q = q.join(gone.toDF("_id", "_gone"), F.col("doc_id") == F.col("_id"), "left").select("doc_id", "text", "_gone")
+    q = _with_gone(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")), gone, "doc_id", "text")
+    q = q.select("row.doc_id", "row.text", "lines")
     schema = q.select(F.col("doc_id").alias(id_col), *[F.lit(None).cast(t).alias(c) for c, t in (
         ("n_lines", "long"), ("n_dropped", "long"), ("dropped", "string"), ("n_chars", "long"), ("text_sha256", "string"))]).schema
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import itertools
 import re
+from collections import Counter
 
 
 def components(nodes, linked):
@@ -119,17 +120,34 @@ def edit_distance(a, b):
     return row[-1]
 
 
-def dropped_lines(docs, sims, distance, similarity):
-    """{id: dropped line numbers} of (id, text); ``sims`` maps a line's words to its SimHash."""
-    at = [(i, k, tuple(simhash_words(x))) for i, t in docs for k, x in enumerate((t or "").split("\n"))]
-    at = [x for x in at if x[2]]
+def line_components(lines, similarity):
+    """Least member of the component of each of the lines (tuples of words)."""
+    by_size = sorted(lines, key=len)
+    root = {x: x for x in by_size}
 
-    def near(a, b):
-        if bin((sims[a] ^ sims[b]) & (1 << 80) - 1).count("1") > distance:
-            return False
-        return edit_distance(a, b) <= int(max(len(a), len(b)) * (1 - similarity) + 1e-9)
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
 
-    comp = components({w for _, _, w in at}, near)
+    bags = [Counter(x) for x in by_size]
+    for i, a in enumerate(by_size):
+        for j in range(i + 1, len(by_size)):
+            b = by_size[j]
+            most = int(len(b) * (1 - similarity) + 1e-9)
+            if len(b) - len(a) > most:
+                break  # longer ones differ by more: the gap grows faster than what is allowed
+            lack = len(b) - sum(min(n, bags[j][w]) for w, n in bags[i].items() if w in bags[j])
+            if lack <= most and edit_distance(a, b) <= most:
+                root[max(find(a), find(b))] = min(find(a), find(b))
+    return {x: find(x) for x in by_size}
+
+
+def dropped_lines(docs, similarity):
+    """{id: dropped line numbers} of (id, text) with distinct ids."""
+    at = [(i, k, tuple(simhash_words(x))) for i, t in docs for k, x in enumerate((t or "").split("\n"))]
+    at = [x for x in at if x[2]]
+    comp = line_components({w for _, _, w in at}, similarity)
     first = {}
     for i, k, w in at:
         first[comp[w]] = min(first.get(comp[w], (i, k)), (i, k))

@@ -2,6 +2,8 @@ import random
 
 import numpy as np
 import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
 
 from retentio.llm import linededup as L
 from retentio.llm.text import utf8
@@ -9,17 +11,6 @@ from retentio.llm.text import utf8
 from . import brute
 
 
-def sims_of(docs):
-    out = {}
-    for _, t in docs:
-        for x in (t or "").split("\n"):
-            w = tuple(brute.simhash_words(x))
-            if w:
-                _, sim, _, _, sim2 = L.Lines(*utf8(pa.array([x]))).identities()
-                out[w] = int(sim[0]) & (1 << 64) - 1 | (int(sim2[0]) & 0xFFFF) << 64
-    return out
-
-
 def texts(seed=5, n=30):
     rng = random.Random(seed)
     vocab = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 9))) for _ in range(120)]
@@ -36,32 +27,79 @@ def texts(seed=5, n=30):
     return out
 
 
-def test_matches_brute_force(spark):
-    docs = texts()
-    got = L.dropped_lines(spark.createDataFrame(docs, "doc_id long, text string").repartition(4))
-    want = brute.dropped_lines(docs, sims_of(docs), L.DISTANCE, L.SIMILARITY)
-    assert {r.doc_id: list(r.lines) for r in got.collect()} == want
-    assert any(want.values())
+def dropped(spark, docs, parts=4, **options):
+    got = L.dropped_lines(spark.createDataFrame(docs, "doc_id long, text string").repartition(parts), **options)
+    return {r.doc_id: list(r.lines) for r in got.collect()}
+
+
+@pytest.mark.parametrize("seed,similarity", [(5, 0.8), (8, 0.9), (9, 0.6), (10, 0.97), (11, 1.0)])
+def test_matches_brute_force(spark, seed, similarity):
+    docs = texts(seed)
+    want = brute.dropped_lines(docs, similarity)
+    assert dropped(spark, docs, similarity=similarity) == want and any(want.values())
 
 
-def test_wider_distance(spark):
-    docs = texts(8)
-    got = L.dropped_lines(spark.createDataFrame(docs, "doc_id long, text string"), distance=8, similarity=0.9)
-    want = brute.dropped_lines(docs, sims_of(docs), 8, 0.9)
-    assert {r.doc_id: list(r.lines) for r in got.collect()} == want
+def test_large_components_are_compared_with_others(spark, monkeypatch):
+    """With every component of two counted as large the groups stay the same."""
+    docs = texts(21, 60)
+    want = brute.dropped_lines(docs, 0.8)
+    monkeypatch.setattr(L, "LARGE", 2)
+    assert dropped(spark, docs) == want
+    monkeypatch.setattr(L, "simhash_pairs", lambda classes, similarity: classes.where("false").selectExpr("h a", "h b"))
+    assert dropped(spark, docs) == want  # the exact lists alone find as much
 
 
 def test_simhash_is_a_weighted_majority():
     rng = random.Random(1)
     line = " ".join("".join(rng.choice("abc") for _ in range(rng.randint(1, 12))) for _ in range(400))
     lines = L.Lines(*utf8(pa.array([line])))
-    h, sim, n, *_ = lines.identities()
     voters = L.mix(lines.hash ^ np.uint64(0x5851F42D4C957F2D))
     votes = [0] * 64
     for v, w in zip(voters.tolist(), brute.simhash_words(line)):
         for i in range(64):
             votes[i] += (1 if len(w) <= 3 else 2 if len(w) <= 6 else 3) * (1 if v >> i & 1 else -1)
-    assert int(sim[0]) & (1 << 64) - 1 == sum(1 << i for i in range(64) if votes[i] > 0) and n[0] == 400
+    assert int(lines.simhashes()[0]) & (1 << 64) - 1 == sum(1 << i for i in range(64) if votes[i] > 0)
+
+
+def test_simhash_blocks_bring_near_lines_together(spark):
+    """Long lines with one or two words changed mostly share a block with their group's leader."""
+    rng = random.Random(4)
+    docs = []
+    for k in range(40):
+        x = [f"w{rng.randrange(5000)}" for _ in range(60)]
+        y = list(x)
+        y[rng.randrange(60)] = "other"
+        docs += [(2 * k, " ".join(x)), (2 * k + 1, " ".join(y))]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    classes = L.line_table(frame, "doc_id", "text", more=True).withColumn("c", F.lit(1))
+    assert L.simhash_pairs(classes, 0.8).count() >= 30
+
+
+def test_left_out_words_meet():
+    """Lines of 5 to 9 words share a rest exactly when they are one word apart."""
+    rng = random.Random(6)
+    lines = [" ".join(rng.choice("abc") for _ in range(rng.randint(3, 11))) for _ in range(300)]
+    rest = L.Lines(*utf8(pa.array(lines))).left_out(0.8).to_pylist()
+    for i, a in enumerate(lines):
+        for j in range(i):
+            x, y = a.split(), lines[j].split()
+            if x != y and 5 <= max(len(x), len(y)) <= 9:
+                assert bool(set(rest[i]) & set(rest[j])) == (brute.edit_distance(x, y) <= 1)
+
+
+def test_documents_are_told_apart_by_id_and_text(spark):
+    """Repeated and null ids lose only lines that stay elsewhere; columns may have any name."""
+    docs = [(1, "common line of five words"), (5, "common line of five words\nunique beta text that is long enough"),
+            (5, "unique alpha text that stays too\ncommon line of five words"), (None, "common line of five words\nonly here without id now"),
+            (None, "a line that null holds here"), (9, "a line that null holds there")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").withColumns(
+        {c: F.lit(1) for c in ("_id", "_gone", "row", "lines", "key", "h")})
+    out = L.dedup(frame)
+    assert out.schema == frame.schema
+    got = sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
+    assert got == sorted([(1, "common line of five words"), (5, "unique beta text that is long enough"), (5, "unique alpha text that stays too"),
+                          (None, "only here without id now"), (9, "a line that null holds there")], key=str)
+    assert L.report(frame).count() == len(docs)
 
 
 def test_edges(spark):
@@ -94,7 +132,6 @@ def test_edit_similarity_alone_decides(spark):
             at = rng.randrange(len(y))
             y[at:at + 1] = rng.choice([[rng.choice(vocab)], [], [y[at], rng.choice(vocab)]])
         docs += [(2 * k, " ".join(x)), (2 * k + 1, " ".join(y) + "\nown %d" % k)]
-    got = L.dropped_lines(spark.createDataFrame(docs, "doc_id long, text string"))
-    got = {r.doc_id: list(r.lines) for r in got.collect()}
-    assert got == brute.dropped_lines(docs, dict.fromkeys(sims_of(docs), 0), 0, 0.8)
+    got = dropped(spark, docs)
+    assert got == brute.dropped_lines(docs, 0.8)
     assert len(got) >= 50

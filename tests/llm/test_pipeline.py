@@ -8,7 +8,6 @@ from retentio.llm.queries import learnable
 
 from ..conftest import SF001
 from . import brute
-from .test_linededup import sims_of
 
 
 @pytest.fixture(scope="module")
@@ -43,7 +42,7 @@ def test_toxicity(spark, stages):
 def test_line_dedup(stages):
     before, after = rows(stages[1]), rows(stages[2])
     docs = [(i, r.text) for i, r in before.items()]
-    gone = brute.dropped_lines(docs, sims_of(docs), linededup.DISTANCE, linededup.SIMILARITY)
+    gone = brute.dropped_lines(docs, linededup.SIMILARITY)
     want = {i: linededup.without_lines(t, set(gone.get(i, []))) for i, t in docs}
     want = {i: t for i, t in want.items() if i not in gone or t.strip()}
     assert {i: r.text for i, r in after.items()} == want
