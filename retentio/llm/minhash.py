@@ -13,12 +13,13 @@ without words has an empty set and is linked with nothing.  Two sets link where
    Two sets of similarity J share a key unless all halves of one collection
    differ; at J = 0.85 that is 2 * (1 - 0.85 ** 2) ** 8, 7 in 100,000, at 0.9 it
    is 3 in a million (:func:`recall` gives the figure).
-3. Classes that share a key with another are the members of its list.  The
-   least class of a list is its leader and is compared with the members first.
-   Then only members outside the leader's component are compared with the
-   others of their list, and only where sizes, two bits of each minhash (``APART``
-   may differ; a link fails this about 3 times in a million) and the overlaps with
-   the common leader leave the link possible.
+3. Classes that share a key with another are the members of its list.  Each list has
+   a leader, chosen by one of HALVES orders of the classes, which is compared with
+   the members first; a class of a large group so meets several leaders.  Then only
+   members outside the component of their list's leader are compared with the
+   others of the list, and only where sizes, two bits of each minhash (``APART`` may
+   differ; a link fails this about 3 times in a million) and the overlaps with the
+   common leader leave the link possible.
 4. Pairs are pruned by bucket counts (an exact bound) and confirmed on full sets.
 
 A list is never put into one task whole: leaders are least values (summed
@@ -43,7 +44,7 @@ from .text import batches_of, mix, words
 
 SHINGLE = 3
 PERCENT = 85
-#: Half keys of a collection, and minhashes of a half key.
+#: Half keys of a collection (a power of two), and minhashes of a half key.
 HALVES, WIDTH = 8, 2
 #: Minhashes of which two bits may differ in a pair that is compared.
 APART = 13
@@ -51,6 +52,8 @@ APART = 13
 SKETCH = 64
 
 _random = np.random.Generator(np.random.PCG64(13))
+#: The orders by which leaders are chosen: ids with some bits turned.
+_ORDERS = [int(x) for x in _random.integers(-1 << 63, (1 << 63) - 1, HALVES, dtype=np.int64)]
 _FLIP, _TURN = (_random.integers(1, 1 << 63, 2 * HALVES * WIDTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1) for _ in range(2))
 
 
@@ -118,11 +121,15 @@ def _need(na: Column, nb: Column, percent: int) -> Column:
     return F.lit(percent) * (na + nb)
 
 
-def _possible(percent: int) -> Column:
-    """Sizes and minhashes of _a and _b leave the link possible."""
+def _sizes(percent: int) -> Column:
+    """Sizes of _a and _b leave the link possible."""
+    return 100 * F.least("n_a", "n_b") >= F.lit(percent) * F.greatest("n_a", "n_b")
+
+
+def _agree() -> Column:
+    """Two bits of the minhashes of _a and _b agree as often as those of linked sets do."""
     x = F.col("bits_a").bitwiseXOR(F.col("bits_b"))
-    apart = F.bit_count(x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(0x5555555555555555)))
-    return (100 * F.least("n_a", "n_b") >= F.lit(percent) * F.greatest("n_a", "n_b")) & (apart <= APART)
+    return F.bit_count(x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(0x5555555555555555))) <= APART
 
 
 def _pairs(q: DataFrame) -> DataFrame:
@@ -140,12 +147,13 @@ class _Compare:
         self.docs = docs.select(text_key(id_col, text_col).alias("key"), F.col(text_col).cast("string").alias("text"))
         self.classes, self.size, self.percent = classes, size, percent
 
-    def _pruned(self, pairs: DataFrame) -> DataFrame:
+    def _bounded(self, pairs: DataFrame) -> DataFrame:
+        """The pairs with the greatest overlap that their bucket counts allow."""
         counts = self.classes.select("sid", "sketch")
         q = (pairs.join(_suffixed(counts, "_1"), F.col("a") == F.col("sid_1"))
              .join(_suffixed(counts, "_2"), F.col("b") == F.col("sid_2")))
         most = F.aggregate(F.zip_with("sketch_1", "sketch_2", lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
-        return cut(q.where(F.lit(100 + self.percent) * most >= _need(F.col("na"), F.col("nb"), self.percent)).select(*pairs.columns))
+        return cut(q.select(*pairs.columns, most.cast("long").alias("upper")))
 
     def _sets(self, pairs: DataFrame) -> DataFrame:
         both = pairs.select(F.col("a").alias("sid")).unionByName(pairs.select(F.col("b").alias("sid"))).distinct()
@@ -163,15 +171,22 @@ class _Compare:
         # Tasks that hold copies of a text give its set once each.
         return cut(texts.mapInArrow(one, "sid long, set array<long>").dropDuplicates(["sid"]))
 
+    def _enough(self, overlap: str) -> Column:
+        return F.lit(100 + self.percent) * F.col(overlap) >= _need(F.col("na"), F.col("nb"), self.percent)
+
     def overlaps(self, pairs: DataFrame) -> DataFrame:
-        """The pairs that bucket counts leave, with their overlap ``i``."""
-        pairs = self._pruned(pairs)
-        sets = self._sets(pairs)
-        return cut(pairs.join(_suffixed(sets, "_1"), F.col("a") == F.col("sid_1")).join(_suffixed(sets, "_2"), F.col("b") == F.col("sid_2"))
-                   .select(*pairs.columns, F.size(F.array_intersect("set_1", "set_2")).cast("long").alias("i")))
+        """The pairs with bounds of their overlap, ``lower`` and ``upper``: both the
+        overlap itself where bucket counts leave the link possible."""
+        pairs = self._bounded(pairs)
+        left = pairs.where(self._enough("upper")).drop("upper")
+        sets = self._sets(left)
+        i = F.size(F.array_intersect("set_1", "set_2")).cast("long")
+        exact = (left.join(_suffixed(sets, "_1"), F.col("a") == F.col("sid_1")).join(_suffixed(sets, "_2"), F.col("b") == F.col("sid_2"))
+                 .select(*left.columns, i.alias("lower")).withColumn("upper", F.col("lower")))
+        return cut(exact.unionByName(pairs.where(~self._enough("upper")).withColumn("lower", F.lit(0).cast("long"))))
 
     def links(self, overlaps: DataFrame) -> DataFrame:
-        return overlaps.where(F.lit(100 + self.percent) * F.col("i") >= _need(F.col("na"), F.col("nb"), self.percent)).select("a", "b")
+        return overlaps.where(self._enough("lower")).select("a", "b")
 
 
 def groups(docs: DataFrame, *, shingle: int = SHINGLE, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -188,31 +203,37 @@ def _rows(docs: DataFrame, shingle: int, percent: int, id_col: str, text_col: st
     classes = cut(classes.select("sid", F.col("n"), *[F.col(f"x.{c}").alias(c) for c in held]))
     compare = _Compare(docs, classes, id_col, text_col, shingle, percent)
 
-    # A key for each pair of halves; the lists of two classes or more.
+    # A key for each pair of halves, its last digits telling the first one's number;
+    # of the ids, turned by that number's order, the least leads the list.
+    digits = F.lit(HALVES - 1)
+    order = F.get(F.array(*[F.lit(x).cast("long") for x in _ORDERS]), F.col("list").bitwiseAND(digits).cast("int"))
     entries = (classes.select("sid", F.posexplode("left").alias("i", "l"), "right").select("sid", "i", "l", F.posexplode("right").alias("j", "r"))
-               .select(F.xxhash64("i", "l", "j", "r").alias("list"), "sid"))
-    lead = entries.groupBy("list").agg(F.min("sid").alias("leader"), F.max("sid").alias("last")).where("leader < last").select("list", "leader")
+               .select(F.xxhash64("i", "l", "j", "r").bitwiseAND(F.lit(-HALVES)).bitwiseOR(F.col("i")).alias("list"), "sid")
+               .select("list", F.col("sid").bitwiseXOR(order).alias("turned")))
+    lead = entries.groupBy("list").agg(F.min("turned").alias("first"), F.max("turned").alias("last")).where("first < last").select("list", "first")
+    members = cut(entries.join(lead, "list").select("list", F.col("turned").bitwiseXOR(order).alias("sid"), F.col("first").bitwiseXOR(order).alias("leader")))
     shape = classes.select("sid", "n", "bits")
-    members = cut(entries.join(lead, "list"))
-    star = members.where("sid <> leader").select("leader", "sid").distinct()
-    star = (star.join(_suffixed(shape, "_a"), F.col("leader") == F.col("sid_a")).join(_suffixed(shape, "_b"), F.col("sid") == F.col("sid_b"))
-            .where(_possible(percent)))
+    star = members.where("sid <> leader").select(F.col("leader").alias("sid_a"), F.col("sid").alias("sid_b")).distinct()
+    size = classes.select("sid", "n")
+    star = (star.join(size.toDF("sid_a", "n_a"), "sid_a").join(size.toDF("sid_b", "n_b"), "sid_b").where(_sizes(percent)))
     answers = compare.overlaps(cut(_pairs(star)))
     roots = cut(components(compare.links(answers)))
 
     # Members outside their leader's component, against the others of their list.
-    known = answers.select(F.col("a").alias("p"), F.col("b").alias("s"), "i").unionByName(answers.select(F.col("b").alias("p"), F.col("a").alias("s"), "i"))
+    known = answers.select(F.col("a").alias("p"), F.col("b").alias("s"), "lower", "upper").unionByName(
+        answers.select(F.col("b").alias("p"), F.col("a").alias("s"), "lower", "upper"))
     root = lambda c: F.coalesce("root", c)
     marked = (members.join(shape, "sid").join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", root("sid"))
               .join(roots.toDF("leader", "top"), "leader", "left").withColumn("outside", F.col("root") != F.coalesce("top", "leader")))
     lists = marked.groupBy("list").agg(F.max("outside").alias("mixed")).where("mixed").select("list")
-    marked = cut(marked.join(lists, "list").join(known.toDF("leader", "sid", "i"), ["leader", "sid"], "left")
-                 .select("list", "sid", "leader", "n", "bits", "root", "outside", "i"))
+    marked = cut(marked.join(lists, "list").join(known.toDF("leader", "sid", "lower", "upper"), ["leader", "sid"], "left")
+                 .select("list", "sid", "leader", "n", "bits", "root", "outside", "lower", "upper"))
     a, b = _suffixed(marked.where("outside"), "_a"), _suffixed(marked.where("sid <> leader"), "_b")
-    most = F.least("i_a", "i_b") + F.least(F.col("n_a") - F.col("i_a"), F.col("n_b") - F.col("i_b"))
+    # What two sets share lies in the leader's set or outside it.
+    most = F.least("upper_a", "upper_b") + F.least(F.col("n_a") - F.col("lower_a"), F.col("n_b") - F.col("lower_b"))
     open_ = F.coalesce(F.lit(100 + percent) * most >= _need(F.col("n_a"), F.col("n_b"), percent), F.lit(True))
     rest = a.join(b, (F.col("list_a") == F.col("list_b")) & (F.col("root_a") != F.col("root_b"))
-                  & (~F.col("outside_b") | (F.col("sid_a") < F.col("sid_b"))) & _possible(percent) & open_)
+                  & (~F.col("outside_b") | (F.col("sid_a") < F.col("sid_b"))) & _sizes(percent) & _agree() & open_)
     rest = _pairs(rest).join(answers.select("a", "b"), ["a", "b"], "left_anti")
     more = compare.links(compare.overlaps(cut(rest)))
     r = lambda s: _suffixed(roots, s)
