@@ -8,20 +8,21 @@ words, so lines of under five words have no near ones but a line of five that ha
 word more.  Of every connected group of lines one occurrence stays, the one of the
 least (id, line number), rows without id last.
 
-1. Every class has a 64-bit SimHash of its words, longer words weighing more.  It is
-   cut into ``BLOCKS`` blocks; classes of one length class that agree in a block
-   (by the pigeonhole all within ``BLOCKS`` - 1 bits, and many that are farther
-   apart) meet in its list.  The most frequent class of a list leads it; members
-   within the distance that the similarity makes likely, and whose lengths and
-   word parities allow it, are compared with the leader by edit distance.
+1. Every class has a SimHash of its words, longer words weighing more, cut into
+   ``BLOCKS`` blocks; classes of one length class that agree in a block (by the
+   pigeonhole all within ``BLOCKS`` - 1 bits, and many that are farther apart)
+   meet in its list and are compared with the list's leader: by lengths and word
+   parities first, then by edit distance.
 2. Where one edit is allowed, near lines are equal but for one word: each class posts
    itself with each word left out, and a shorter one itself.  All members of such
    a list are near each other, so each is linked with the least one.
 3. Where more are allowed, of a line of n words at most k = (1 - similarity) n are
    edited, so two near lines share a word among the k + 1 that come first in any
    order of all words (the i-th occurrence of a word in a line counts as a word of
-   its own), here rare words first by counts in a table of fixed size.  Classes
-   that steps 1 and 2 have not joined are compared in the lists of those words.
+   its own), here rare words first by counts in a table of fixed size.  Lines of
+   ``LONG`` words and more, of which chance would bring too many together, meet
+   by 2 k + 2 pairs of adjacent words in the same way.  Lists of one class are
+   dropped; classes that steps 1 and 2 have not joined are compared in the others.
 
 Steps 2 and 3 find every near pair that step 1 misses; with them the groups are
 exact, which the tests hold against brute force.  No list is put into one task
@@ -48,12 +49,15 @@ from .shared import cut, passing, text_key
 from .text import NOT_ALNUM, batches_of, mix, segments, words
 
 SIMILARITY = 0.8
-#: SimHash blocks of 16 bits.
-BLOCKS = 4
-#: Bits beside the expected ones by which SimHashes of near lines may differ.
-SLACK = 10
-#: Address bits of the table of word frequencies, a byte each whatever the data.
-LEVEL_BITS = 18
+#: SimHash blocks, and bits of each.
+BLOCKS, BLOCK_BITS = 4, 20
+#: Address bits of the table of word frequencies, a byte each whatever the data, and
+#: what it holds for words that occur once.
+LEVEL_BITS, ONCE = 21, 6
+#: Lines of so many words meet by pairs of adjacent words, if the similarity is at least this.
+LONG, LEAST_FOR_PAIRS = 100, 0.6
+#: Address bits of the filter of lists that hold two classes or more.
+FILTER_BITS = 26
 #: Classes of a component that is kept apart.
 LARGE = 64
 #: Word parities of a line: bits of so many longs.
@@ -61,6 +65,8 @@ PARITIES = ("par", "par2", "par3", "par4")
 #: What tells classes apart.
 CLASS = ("h", "n", "par")
 
+#: The orders by which leaders of SimHash lists are chosen: ids with some bits turned.
+_ORDERS = [int(x) for x in np.random.Generator(np.random.PCG64(7)).integers(-1 << 63, (1 << 63) - 1, BLOCKS, dtype=np.int64)]
 #: Weight of a word by its bytes: 1 up to three, 2 up to six, else 3.
 _WEIGHT = np.array([1, 1, 1, 1, 2, 2, 2, 3], np.uint64)
 #: Words whose weights surely fit one byte.
@@ -81,6 +87,31 @@ def _one_edit(similarity: float) -> tuple[int, int]:
     return at[0], at[1]
 
 
+def _numbered(h: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """Hashes by which the i-th occurrence in a line is a word of its own."""
+    order = np.argsort(_packed(of, h >> np.uint64(24)), kind="stable")
+    same = np.append(False, (h[order][1:] == h[order][:-1]) & (of[order][1:] == of[order][:-1])) if len(h) else np.empty(0, bool)
+    place = np.arange(len(h))
+    occurrence = np.empty(len(h), np.uint64)
+    occurrence[order] = place - np.maximum.accumulate(np.where(same, 0, place)) if len(h) else 0
+    return mix(h + occurrence * np.uint64(0x9E3779B97F4A7C15))
+
+
+def _packed(of: np.ndarray, low: np.ndarray) -> np.ndarray:
+    """Sort keys by line, then by 40 bits; a slice has fewer than 2 ** 24 lines."""
+    return of.astype(np.uint64) << np.uint64(40) | low
+
+
+def _rarest(token: np.ndarray, level: np.ndarray, of: np.ndarray, most: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``most[line]`` tokens of each line by level and hash, and their lines; those surely alone are left out."""
+    short = (token >> np.uint64(32)).astype(np.uint32)
+    order = np.argsort(_packed(of, level.astype(np.uint64) << np.uint64(32) | short), kind="stable")
+    line = of[order]
+    first = np.searchsorted(line, np.arange(len(most)))
+    use = (np.arange(len(order)) - first[line] < most[line]) & (level[order] != ONCE)
+    return short[order][use].view(np.int32), line[use]
+
+
 class Lines:
     """Lines with words of a slice of texts."""
 
@@ -129,44 +160,54 @@ class Lines:
         return [np.bitwise_xor.reduceat(np.where(side == np.uint64(k), bit, np.uint64(0)), line).view(np.int64) for k in range(len(PARITIES))]
 
     def prefixes(self, levels: np.ndarray, similarity: float) -> pa.ListArray:
-        """The words, rarest first, of which a near line must have one: 32 bits each.
-        None for lines whose longest near ones allow one edit or none."""
-        h, _, line, n = self._words()
+        """The words of which a near line must have one: the rarest, 32 bits each.
+
+        Lines of ``LONG`` words and their possible partners post pairs of adjacent words instead.
+        Words that occur once in all texts are left out, for nobody else has them.  Lines
+        whose longest near ones allow one edit or none post nothing.
+        """
+        h, at, line, n = self._words()
         if not len(n):
             return pa.array([], pa.list_(pa.int32()))
         of = np.repeat(np.arange(len(n)), n)
-        order = np.lexsort((h, of))
-        same = np.append(False, (h[order][1:] == h[order][:-1]) & (of[order][1:] == of[order][:-1]))
-        place = np.arange(len(h))
-        occurrence = np.empty(len(h), np.uint64)
-        occurrence[order] = place - np.maximum.accumulate(np.where(same, 0, place))
-        token = mix(h + occurrence * np.uint64(0x9E3779B97F4A7C15))
-        order = np.lexsort((token, levels[h >> np.uint64(64 - LEVEL_BITS)], of))
-        two = _one_edit(similarity)[1]
-        reach = n >= two - edits(two, similarity) if two else np.zeros(len(n), bool)
-        least = np.where(reach, np.floor(n * (1 - similarity) + 1e-9).astype(np.int64) + 1, 0)
-        token = token[order[place - np.repeat(line, n) < np.repeat(least, n)]]
-        off = np.concatenate(([0], np.cumsum(np.minimum(least, n))))
-        return pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), pa.array(token.astype(np.uint32).view(np.int32)))
-
-    def simhashes(self) -> np.ndarray:
-        """64-bit SimHash of each line: bit by bit the weighted majority of its words' hashes."""
+        level = levels[h >> np.uint64(64 - LEVEL_BITS)]
+        allowed = np.floor(n * (1 - similarity) + 1e-9).astype(np.int64)
+        two, pairs = _one_edit(similarity)[1], similarity >= LEAST_FOR_PAIRS
+        few = (n >= two - edits(two, similarity)) & (n < LONG if pairs else True) if two else np.zeros(len(n), bool)
+        single = few[of]
+        out = [_rarest(_numbered(h[single], of[single]), level[single], of[single], np.where(few, allowed + 1, 0))]
+        if pairs and two:
+            both = np.append((n >= LONG - edits(LONG, similarity))[of[1:]] & (of[1:] == of[:-1]), False)
+            k = np.flatnonzero(both)
+            # An edit spoils two pairs; one more is posted for partners of other lengths.
+            pair = mix(h[k] * _PLACE ^ h[k + 1] + _LENGTH)
+            out.append(_rarest(_numbered(pair, of[k]), np.minimum(level[k], level[k + 1]), of[k], 2 * allowed + 2))
+        token, where = (np.concatenate(x) for x in zip(*out))
+        order = np.argsort(where, kind="stable")
+        off = np.concatenate(([0], np.cumsum(np.bincount(where, minlength=len(n)))))
+        return pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), pa.array(token[order]))
+
+    def simhashes(self) -> list[np.ndarray]:
+        """The SimHash blocks of each line: bit by bit the weighted majority of its words' hashes."""
         h, at, line, n = self._words()
+        blocks = [np.zeros(len(n), np.int32) for _ in range(BLOCKS)]
         if not len(n):
-            return np.empty(0, np.int64)
+            return blocks
         weight = _WEIGHT[np.minimum(self.word_len[self.first[0]:self.last[-1]], 7)]
         chunk = np.flatnonzero(at % _CHUNK == 0)
         per_line = np.searchsorted(chunk, line)
         total = np.add.reduceat(weight.astype(np.int64), line)
-        sim = np.zeros(len(n), np.uint64)
-        voters = mix(h ^ np.uint64(0x5851F42D4C957F2D))
-        for k in range(8):
-            lanes = _LANES[(voters >> np.uint64(8 * k) & np.uint64(255)).astype(np.int64)] * weight
+        voters, more = mix(h ^ np.uint64(0x5851F42D4C957F2D)), mix(h ^ np.uint64(0x14057B7EF767814F))
+        for k in range(-(-BLOCKS * BLOCK_BITS // 8)):
+            side = voters >> np.uint64(8 * k) if k < 8 else more >> np.uint64(8 * (k - 8))
+            lanes = _LANES[(side & np.uint64(255)).astype(np.int64)] * weight
             votes = np.add.reduceat(lanes, chunk).view(np.uint8).reshape(-1, 8).astype(np.int64)
             votes = np.add.reduceat(votes, per_line, axis=0)
             for i in range(8):
-                sim |= (2 * votes[:, i] > total).astype(np.uint64) << np.uint64(8 * k + i)
-        return sim.view(np.int64)
+                bit = 8 * k + i
+                if bit < BLOCKS * BLOCK_BITS:
+                    blocks[bit // BLOCK_BITS] |= (2 * votes[:, i] > total).astype(np.int32) << (bit % BLOCK_BITS)
+        return blocks
 
     def left_out(self, similarity: float) -> pa.ListArray:
         """Hashes of each line with each word left out, and of the whole line as such
@@ -225,7 +266,7 @@ def line_table(docs: DataFrame, id_col: str, text_col: str, *, more: bool = Fals
     with ``more`` also the other parities, ``sim``, ``pre``, its rarest words, and ``rest``, what is
     left of it without a word."""
     q = docs.select(F.col(id_col).alias("doc_id"), text_key(id_col, text_col).alias("key"), F.col(text_col).cast("string").alias("text"))
-    extra = [(c, "long") for c in PARITIES[1:]] + [("sim", "long"), ("pre", "array<int>"), ("rest", "array<long>")]
+    extra = [(c, "long") for c in PARITIES[1:]] + [("sim", "array<int>"), ("pre", "array<int>"), ("rest", "array<long>")]
     kinds = [("line", "int"), ("h", "long"), ("n", "int"), ("par", "long")] + extra * more
     schema = q.select("doc_id", "key", *[F.lit(None).cast(t).alias(c) for c, t in kinds]).schema
     shared = docs.sparkSession.sparkContext.broadcast(word_levels(docs, text_col)) if more else None
@@ -239,7 +280,8 @@ def line_table(docs: DataFrame, id_col: str, text_col: str, *, more: bool = Fals
                 out = [part.column(0).take(at), part.column(1).take(at), pa.array(lines.number.astype(np.int32)), pa.array(lines.hashes()),
                        pa.array((lines.last - lines.first).astype(np.int32)), par[0]]
                 if more:
-                    out += [*par[1:], pa.array(lines.simhashes()), lines.prefixes(shared.value, similarity), lines.left_out(similarity)]
+                    sim = pa.ListArray.from_arrays(pa.array(np.arange(len(lines) + 1, dtype=np.int32) * BLOCKS), pa.array(np.stack(lines.simhashes(), 1).ravel()))
+                    out += [*par[1:], sim, lines.prefixes(shared.value, similarity), lines.left_out(similarity)]
                 yield pa.RecordBatch.from_arrays(out, names=["doc_id", "key", *[c for c, _ in kinds]])
 
     return q.mapInArrow(one, schema)
@@ -300,18 +342,20 @@ def _codes(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str) -> Dat
 
 
 def simhash_pairs(classes: DataFrame, similarity: float) -> DataFrame:
-    """Candidates (a, b): classes that share a SimHash block, with its leader."""
-    bits = int(np.ceil(64 * np.arccos(min(1.0, similarity)) / np.pi)) + SLACK
+    """Candidates (a, b): classes of a length class that share a SimHash block, with its list's leader.
+
+    The leader is the least id in an order of the block's own, so a group meets several leaders.
+    """
     size = F.floor(F.log(F.col("n").cast("double")) / float(np.log(1.25)))
-    block = F.posexplode(F.array(*[F.shiftrightunsigned("sim", 64 // BLOCKS * k).bitwiseAND(F.lit((1 << 64 // BLOCKS) - 1)) for k in range(BLOCKS)]))
+    digits = F.lit(BLOCKS - 1)
+    order = F.get(F.array(*[F.lit(x).cast("long") for x in _ORDERS]), F.col("list").bitwiseAND(digits).cast("int"))
     least = _one_edit(similarity)[0]
-    entries = classes.where(F.col("n") >= max(1, least - 1)).select(block.alias("k", "block"), "h", "n", "par", "sim", "c")
-    entries = entries.select(F.xxhash64("k", "block", size).alias("list"), "h", "n", "par", "sim", "c")
-    lead = entries.groupBy("list").agg(F.max(F.struct("c", "h", "n", "par", "sim")).alias("x"), F.count("*").alias("m")).where("m > 1")
-    lead = lead.select("list", *[F.col(f"x.{c}").alias(c) for c in ("h", "n", "par", "sim")])
-    ok = ((F.col("list_a") == F.col("list_b")) & (F.col("h_a") != F.col("h_b")) & _possible(similarity, PARITIES[:1])
-          & (F.bit_count(F.col("sim_a").bitwiseXOR(F.col("sim_b"))) <= bits))
-    return _pairs(_suffixed(lead, "_a").join(_suffixed(entries.drop("c"), "_b"), ok))
+    entries = classes.where(F.col("n") >= max(1, least - 1)).select(F.posexplode("sim").alias("k", "block"), "h", size.alias("size"))
+    entries = (entries.select(F.xxhash64("k", "block", "size").bitwiseAND(F.lit(-BLOCKS)).bitwiseOR(F.col("k")).alias("list"), "h")
+               .select("list", F.col("h").bitwiseXOR(order).alias("turned")))
+    lead = entries.groupBy("list").agg(F.min("turned").alias("first"), F.max("turned").alias("last")).where("first < last").select("list", "first")
+    return _pairs(entries.join(lead, "list").where("turned <> first")
+                  .select(F.col("first").bitwiseXOR(order).alias("h_a"), F.col("turned").bitwiseXOR(order).alias("h_b")))
 
 
 def one_word_apart(classes: DataFrame) -> DataFrame:
@@ -321,12 +365,37 @@ def one_word_apart(classes: DataFrame) -> DataFrame:
     return entries.join(least, "list").where("a < h").select("a", F.col("h").alias("b")).distinct()
 
 
+def _shared_lists(classes: DataFrame) -> DataFrame:
+    """``classes`` without the entries of lists that hold one class, by a filter of fixed size."""
+    q = classes.where(F.size("pre") > 0).select("h", "n", "par", "par2", "pre")
+    mask = (1 << FILTER_BITS) - 1
+    lists = q.select(F.explode("pre").alias("list")).groupBy("list").agg(F.count("*").alias("m")).where("m > 1")
+    at = F.col("list").bitwiseAND(F.lit(mask))
+    rows = (lists.select(F.shiftright(at, 6).alias("w"), at.bitwiseAND(F.lit(63)).alias("k")).groupBy("w")
+            .agg(F.bit_or(F.expr("shiftleft(1L, k)")).alias("v")).toArrow())
+    bits = np.zeros(1 << (FILTER_BITS - 6), np.int64)
+    bits[rows.column(0).to_numpy()] = rows.column(1).to_numpy()
+    shared = classes.sparkSession.sparkContext.broadcast(bits)
+
+    def one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = shared.value
+        for batch in batches:
+            lists = batch.column(4)
+            x, off = lists.flatten().to_numpy().astype(np.int64) & mask, np.concatenate(([0], np.cumsum(lists.value_lengths().to_numpy())))
+            ok = (table[x >> 6] >> (x & 63) & 1).astype(bool)
+            kept = np.concatenate(([0], np.cumsum(ok)))[off].astype(np.int32)
+            pre = pa.ListArray.from_arrays(pa.array(kept), lists.flatten().filter(pa.array(ok)))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pre], names=batch.schema.names)
+
+    return q.mapInArrow(one, q.schema)
+
+
 def rare_word_pairs(classes: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
     """Candidates (a, b) of different roots that share one of their rarest words."""
     two = _one_edit(similarity)[1]
     shape = ["h", "n", "par", "par2"]
     large = roots.groupBy("root").agg(F.count("*").alias("size")).where(F.col("size") >= LARGE).select(F.col("root").alias("large"))
-    marked = (classes.where(F.size("pre") > 0).select(*shape, "pre").join(roots, F.col("h") == F.col("node"), "left")
+    marked = (_shared_lists(classes).select(*shape, "pre").join(roots, F.col("h") == F.col("node"), "left")
               .join(large, F.col("root") == F.col("large"), "left"))
     marked = marked.select(F.explode("pre").alias("list"), *shape, F.coalesce("root", "h").alias("root"), F.col("large").isNotNull().alias("large"))
 

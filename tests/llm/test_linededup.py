@@ -53,12 +53,12 @@ def test_simhash_is_a_weighted_majority():
     rng = random.Random(1)
     line = " ".join("".join(rng.choice("abc") for _ in range(rng.randint(1, 12))) for _ in range(400))
     lines = L.Lines(*utf8(pa.array([line])))
-    voters = L.mix(lines.hash ^ np.uint64(0x5851F42D4C957F2D))
-    votes = [0] * 64
-    for v, w in zip(voters.tolist(), brute.simhash_words(line)):
-        for i in range(64):
-            votes[i] += (1 if len(w) <= 3 else 2 if len(w) <= 6 else 3) * (1 if v >> i & 1 else -1)
-    assert int(lines.simhashes()[0]) & (1 << 64) - 1 == sum(1 << i for i in range(64) if votes[i] > 0)
+    voters = [L.mix(lines.hash ^ np.uint64(x)).tolist() for x in (0x5851F42D4C957F2D, 0x14057B7EF767814F)]
+    votes = [0] * 80
+    for v, m, w in zip(*voters, brute.simhash_words(line)):
+        for i in range(80):
+            votes[i] += (1 if len(w) <= 3 else 2 if len(w) <= 6 else 3) * (1 if (v | m << 64) >> i & 1 else -1)
+    assert sum(int(b[0]) << 20 * k for k, b in enumerate(lines.simhashes())) == sum(1 << i for i in range(80) if votes[i] > 0)
 
 
 def test_simhash_blocks_bring_near_lines_together(spark):
@@ -72,7 +72,26 @@ def test_simhash_blocks_bring_near_lines_together(spark):
         docs += [(2 * k, " ".join(x)), (2 * k + 1, " ".join(y))]
     frame = spark.createDataFrame(docs, "doc_id long, text string")
     classes = L.line_table(frame, "doc_id", "text", more=True).withColumn("c", F.lit(1))
-    assert L.simhash_pairs(classes, 0.8).count() >= 30
+    assert L.simhash_pairs(classes, 0.8).count() >= 25
+
+
+@pytest.mark.parametrize("similarity", [0.6, 0.8, 0.9])
+def test_near_lines_share_a_posted_word(similarity):
+    """Any two near lines that allow two edits post a common word or pair of words, long ones too."""
+    rng = random.Random(12)
+    levels = np.random.default_rng(1).integers(7, 60, 1 << L.LEVEL_BITS).astype(np.uint8)
+    for _ in range(300):
+        n = rng.choice([8, 10, 13, 40, 79, 85, 95, 99, 100, 105, 130, 260])
+        x = [f"w{rng.randrange(400)}" for _ in range(n)]
+        y = list(x)
+        for _ in range(rng.randint(0, L.edits(n, similarity))):
+            at = rng.randrange(len(y))
+            y[at:at + 1] = rng.choice([[f"v{rng.randrange(400)}"], [], [y[at], "v"]])
+        m = max(len(x), len(y))
+        if L.edits(m, similarity) < 2 or brute.edit_distance(x, y) > L.edits(m, similarity):
+            continue
+        a, b = L.Lines(*utf8(pa.array([" ".join(x), " ".join(y)]))).prefixes(levels, similarity).to_pylist()
+        assert set(a) & set(b), (len(x), len(y))
 
 
 def test_left_out_words_meet():
