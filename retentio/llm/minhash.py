@@ -17,10 +17,13 @@ without words has an empty set and is linked with nothing.  Two sets link where
    a leader, chosen by one of HALVES orders of the classes, which is compared with
    the members first; a class of a large group so meets several leaders.  Then only
    members outside the component of their list's leader are compared with the
-   others of the list, and only where sizes, two bits of each minhash (``APART`` may
-   differ; a link fails this about 3 times in a million) and the overlaps with the
-   common leader leave the link possible.
-4. Pairs are pruned by bucket counts (an exact bound) and confirmed on full sets.
+   others of the list, in the first list that a pair shares, and only where sizes,
+   bucket counts and the overlaps with the common leader leave the link possible.
+4. Bucket counts bound the overlap: shingles are dealt to ``BUCKETS`` buckets, and
+   what two sets share is at most the sum of the lesser counts.  The counts are
+   held up to ``LEVELS`` as bits, so the sum is that of set bits in both; what is
+   above counts in full.  The bound is exact (it prunes little of very large sets).
+   What it leaves is confirmed on full sets.
 
 A list is never put into one task whole: leaders are least values (summed
 map-side), joins on a list's key may be split, and members of one component are not
@@ -46,10 +49,8 @@ SHINGLE = 3
 PERCENT = 85
 #: Half keys of a collection (a power of two), and minhashes of a half key.
 HALVES, WIDTH = 8, 2
-#: Minhashes of which two bits may differ in a pair that is compared.
-APART = 13
-#: Buckets of the counts that prune pairs.
-SKETCH = 64
+#: Buckets of the counts that prune pairs, and counts that are told apart.
+BUCKETS, LEVELS = 256, 4
 
 _random = np.random.Generator(np.random.PCG64(13))
 #: The orders by which leaders are chosen: ids with some bits turned.
@@ -78,16 +79,22 @@ def half_keys(m: np.ndarray) -> np.ndarray:
     return (key >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
-def two_bits(m: np.ndarray) -> np.ndarray:
-    """Two bits of each minhash, 32 of them in a long."""
-    bits = mix(m) & np.uint64(3)
-    return (bits << (np.uint64(2) * np.arange(m.shape[1], dtype=np.uint64))).sum(1, dtype=np.uint64).view(np.int64)
+def bucket_counts(sets: list[np.ndarray]) -> np.ndarray:
+    """A row for each set: bits telling which buckets hold 1, 2, ... LEVELS shingles or more."""
+    out = np.zeros((len(sets), LEVELS * BUCKETS // 64), np.int64)
+    for k in range(0, len(sets), 2048):
+        part = sets[k:k + 2048]
+        which = np.repeat(np.arange(len(part)), [len(s) for s in part])
+        bucket = (np.concatenate(part) >> np.uint64(20)).astype(np.int64) % BUCKETS
+        n = np.bincount(which * BUCKETS + bucket, minlength=len(part) * BUCKETS).reshape(len(part), BUCKETS)
+        out[k:k + 2048] = np.concatenate([np.packbits(n > t, axis=1, bitorder="little").view(np.int64) for t in range(LEVELS)], 1)
+    return out
 
 
 def _signatures(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
-    """(doc_id, key, n, sid, left, right, bits, sketch) of every document."""
+    """(doc_id, key, n, sid, left, right, counts) of every document."""
     q = docs.select(F.col(id_col).alias("doc_id"), text_key(id_col, text_col).alias("key"), F.col(text_col).cast("string").alias("text"))
-    kinds = {"n": "long", "sid": "long", "left": "array<int>", "right": "array<int>", "bits": "long", "sketch": "array<int>"}
+    kinds = {"n": "long", "sid": "long", "left": "array<int>", "right": "array<int>", "counts": "array<long>"}
     schema = q.select("doc_id", "key", *[F.lit(None).cast(t).alias(c) for c, t in kinds.items()]).schema
 
     def one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -97,16 +104,14 @@ def _signatures(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataF
                 sets = list(shingle_hashes(w.hash, w.off, size))
                 n = np.array([len(s) for s in sets], np.int64)
                 full = np.flatnonzero(n)
-                halves, bits = np.zeros((len(sets), 2 * HALVES), np.int32), np.zeros(len(sets), np.int64)
+                halves = np.zeros((len(sets), 2 * HALVES), np.int32)
                 if len(full):
-                    m = minhashes([sets[k] for k in full])
-                    halves[full], bits[full] = half_keys(m), two_bits(m)
-                counts = [np.bincount((s >> np.uint64(20)).astype(np.int64) % SKETCH, minlength=SKETCH) for s in sets]
+                    halves[full] = half_keys(minhashes([sets[k] for k in full]))
                 lists = lambda x: pa.ListArray.from_arrays(
                     pa.array(np.arange(len(sets) + 1, dtype=np.int32) * x.shape[1]), pa.array(np.ascontiguousarray(x).ravel()))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), pa.array(n), pa.array([set_id(s) for s in sets], pa.int64()), lists(halves[:, :HALVES]),
-                     lists(halves[:, HALVES:]), pa.array(bits), lists(np.array(counts, np.int32).reshape(len(sets), SKETCH))],
+                     lists(halves[:, HALVES:]), lists(bucket_counts(sets))],
                     names=["doc_id", "key", *kinds])
 
     return cut(q.mapInArrow(one, schema))
@@ -126,10 +131,24 @@ def _sizes(percent: int) -> Column:
     return 100 * F.least("n_a", "n_b") >= F.lit(percent) * F.greatest("n_a", "n_b")
 
 
-def _agree() -> Column:
-    """Two bits of the minhashes of _a and _b agree as often as those of linked sets do."""
-    x = F.col("bits_a").bitwiseXOR(F.col("bits_b"))
-    return F.bit_count(x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(0x5555555555555555))) <= APART
+def _most_shared(counts_a: str, counts_b: str, na: str, nb: str) -> Column:
+    """The greatest overlap that two sets' bucket counts allow."""
+    words = range(LEVELS * BUCKETS // 64)
+    both = sum((F.bit_count(F.col(counts_a)[k].bitwiseAND(F.col(counts_b)[k])) for k in words), F.lit(0))
+    above = [F.col(n) - sum((F.bit_count(F.col(c)[k]) for k in words), F.lit(0)) for n, c in ((na, counts_a), (nb, counts_b))]
+    return both + F.least(*above)
+
+
+def _first_shared() -> Column:
+    """This list is that of the first equal halves of _a and _b."""
+    def first(side: str) -> Column:
+        at = F.lit(HALVES)
+        for k in reversed(range(HALVES)):
+            at = F.when(F.col(f"{side}_a")[k] == F.col(f"{side}_b")[k], F.lit(k)).otherwise(at)
+        return at
+
+    digits = F.col("list_a").bitwiseAND(F.lit(HALVES * HALVES - 1))
+    return digits == first("left") + HALVES * first("right")
 
 
 def _pairs(q: DataFrame) -> DataFrame:
@@ -149,11 +168,10 @@ class _Compare:
 
     def _bounded(self, pairs: DataFrame) -> DataFrame:
         """The pairs with the greatest overlap that their bucket counts allow."""
-        counts = self.classes.select("sid", "sketch")
+        counts = self.classes.select("sid", "counts")
         q = (pairs.join(_suffixed(counts, "_1"), F.col("a") == F.col("sid_1"))
              .join(_suffixed(counts, "_2"), F.col("b") == F.col("sid_2")))
-        most = F.aggregate(F.zip_with("sketch_1", "sketch_2", lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
-        return cut(q.select(*pairs.columns, most.cast("long").alias("upper")))
+        return cut(q.select(*pairs.columns, _most_shared("counts_1", "counts_2", "na", "nb").cast("long").alias("upper")))
 
     def _sets(self, pairs: DataFrame) -> DataFrame:
         both = pairs.select(F.col("a").alias("sid")).unionByName(pairs.select(F.col("b").alias("sid"))).distinct()
@@ -198,21 +216,21 @@ def groups(docs: DataFrame, *, shingle: int = SHINGLE, percent: int = PERCENT, i
 def _rows(docs: DataFrame, shingle: int, percent: int, id_col: str, text_col: str) -> DataFrame:
     """(doc_id, key, n_shingles, component_id, kept) of every row."""
     table = _signatures(docs, id_col, text_col, shingle)
-    held = ["doc_id", "key", "left", "right", "bits", "sketch"]
+    held = ["doc_id", "key", "left", "right", "counts"]
     classes = table.where("n > 0").groupBy("sid", "n").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), *held)).alias("x"))
     classes = cut(classes.select("sid", F.col("n"), *[F.col(f"x.{c}").alias(c) for c in held]))
     compare = _Compare(docs, classes, id_col, text_col, shingle, percent)
 
-    # A key for each pair of halves, its last digits telling the first one's number;
-    # of the ids, turned by that number's order, the least leads the list.
+    # A key for each pair of halves, its last digits telling their numbers; of the
+    # ids, turned by the order of the first one's number, the least leads the list.
     digits = F.lit(HALVES - 1)
     order = F.get(F.array(*[F.lit(x).cast("long") for x in _ORDERS]), F.col("list").bitwiseAND(digits).cast("int"))
     entries = (classes.select("sid", F.posexplode("left").alias("i", "l"), "right").select("sid", "i", "l", F.posexplode("right").alias("j", "r"))
-               .select(F.xxhash64("i", "l", "j", "r").bitwiseAND(F.lit(-HALVES)).bitwiseOR(F.col("i")).alias("list"), "sid")
+               .select(F.xxhash64("i", "l", "j", "r").bitwiseAND(F.lit(-HALVES * HALVES)).bitwiseOR(F.col("i") + HALVES * F.col("j")).alias("list"), "sid")
                .select("list", F.col("sid").bitwiseXOR(order).alias("turned")))
     lead = entries.groupBy("list").agg(F.min("turned").alias("first"), F.max("turned").alias("last")).where("first < last").select("list", "first")
     members = cut(entries.join(lead, "list").select("list", F.col("turned").bitwiseXOR(order).alias("sid"), F.col("first").bitwiseXOR(order).alias("leader")))
-    shape = classes.select("sid", "n", "bits")
+    shape = classes.select("sid", "n", "left", "right", "counts")
     star = members.where("sid <> leader").select(F.col("leader").alias("sid_a"), F.col("sid").alias("sid_b")).distinct()
     size = classes.select("sid", "n")
     star = (star.join(size.toDF("sid_a", "n_a"), "sid_a").join(size.toDF("sid_b", "n_b"), "sid_b").where(_sizes(percent)))
@@ -227,13 +245,14 @@ def _rows(docs: DataFrame, shingle: int, percent: int, id_col: str, text_col: st
               .join(roots.toDF("leader", "top"), "leader", "left").withColumn("outside", F.col("root") != F.coalesce("top", "leader")))
     lists = marked.groupBy("list").agg(F.max("outside").alias("mixed")).where("mixed").select("list")
     marked = cut(marked.join(lists, "list").join(known.toDF("leader", "sid", "lower", "upper"), ["leader", "sid"], "left")
-                 .select("list", "sid", "leader", "n", "bits", "root", "outside", "lower", "upper"))
+                 .select("list", "sid", "leader", "n", "left", "right", "counts", "root", "outside", "lower", "upper"))
     a, b = _suffixed(marked.where("outside"), "_a"), _suffixed(marked.where("sid <> leader"), "_b")
     # What two sets share lies in the leader's set or outside it.
     most = F.least("upper_a", "upper_b") + F.least(F.col("n_a") - F.col("lower_a"), F.col("n_b") - F.col("lower_b"))
-    open_ = F.coalesce(F.lit(100 + percent) * most >= _need(F.col("n_a"), F.col("n_b"), percent), F.lit(True))
+    enough = lambda x: F.lit(100 + percent) * x >= _need(F.col("n_a"), F.col("n_b"), percent)
     rest = a.join(b, (F.col("list_a") == F.col("list_b")) & (F.col("root_a") != F.col("root_b"))
-                  & (~F.col("outside_b") | (F.col("sid_a") < F.col("sid_b"))) & _sizes(percent) & _agree() & open_)
+                  & (~F.col("outside_b") | (F.col("sid_a") < F.col("sid_b"))) & _sizes(percent)
+                  & _first_shared() & F.coalesce(enough(most), F.lit(True)) & enough(_most_shared("counts_a", "counts_b", "n_a", "n_b")))
     rest = _pairs(rest).join(answers.select("a", "b"), ["a", "b"], "left_anti")
     more = compare.links(compare.overlaps(cut(rest)))
     r = lambda s: _suffixed(roots, s)
