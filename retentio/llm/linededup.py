@@ -55,7 +55,7 @@ BLOCKS, BLOCK_BITS = 4, 20
 #: what it holds for words that occur once.
 LEVEL_BITS, ONCE = 21, 6
 #: Lines of so many words meet by pairs of adjacent words, if the similarity is at least this.
-LONG, LEAST_FOR_PAIRS = 100, 0.6
+LONG, LEAST_FOR_PAIRS = 50, 0.6
 #: Address bits of the filter of lists that hold two classes or more.
 FILTER_BITS = 26
 #: Classes of a component that is kept apart.
@@ -296,9 +296,9 @@ def _allowed(similarity: float) -> Column:
     return F.floor(F.greatest("n_a", "n_b") * F.lit(1 - similarity) + 1e-9)
 
 
-def _possible(similarity: float, parities: tuple[str, ...]) -> Column:
+def _possible(similarity: float) -> Column:
     """Lengths and parities allow it: an edit changes the parity of two words at most."""
-    odd = [F.bit_count(F.col(c + "_a").bitwiseXOR(F.col(c + "_b"))) for c in parities]
+    odd = [F.bit_count(F.col(c + "_a").bitwiseXOR(F.col(c + "_b"))) for c in PARITIES]
     return (F.abs(F.col("n_a") - F.col("n_b")) <= _allowed(similarity)) & (sum(odd[1:], odd[0]) <= 2 * _allowed(similarity))
 
 
@@ -310,11 +310,15 @@ def _ends(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.col("a").alias("h")).unionByName(pairs.select(F.col("b").alias("h"))).distinct()
 
 
-def _near(pairs: DataFrame, docs: DataFrame, classes: DataFrame, similarity: float, id_col: str, text_col: str) -> DataFrame:
-    """The pairs whose word-level edit similarity is high enough, by all parities and then by the words."""
+def _likely(pairs: DataFrame, classes: DataFrame, similarity: float) -> DataFrame:
+    """The pairs that lengths and word parities allow."""
     shape = classes.select("h", "n", *PARITIES)
-    q = cut(pairs.join(_suffixed(shape, "_a"), F.col("a") == F.col("h_a")).join(_suffixed(shape, "_b"), F.col("b") == F.col("h_b"))
-            .where(_possible(similarity, PARITIES)).select("a", "b"))
+    return (pairs.join(_suffixed(shape, "_a"), F.col("a") == F.col("h_a")).join(_suffixed(shape, "_b"), F.col("b") == F.col("h_b"))
+            .where(_possible(similarity)).select("a", "b"))
+
+
+def _near(q: DataFrame, docs: DataFrame, classes: DataFrame, similarity: float, id_col: str, text_col: str) -> DataFrame:
+    """The pairs whose word-level edit similarity is high enough."""
     nodes = cut(_ends(q).join(classes.select("h", "first.key", "first.line"), "h"))
     codes = cut(_codes(docs, nodes, id_col, text_col))
     q = q.join(_suffixed(codes, "_1"), F.col("a") == F.col("h_1")).join(_suffixed(codes, "_2"), F.col("b") == F.col("h_2"))
@@ -367,7 +371,7 @@ def one_word_apart(classes: DataFrame) -> DataFrame:
 
 def _shared_lists(classes: DataFrame) -> DataFrame:
     """``classes`` without the entries of lists that hold one class, by a filter of fixed size."""
-    q = classes.where(F.size("pre") > 0).select("h", "n", "par", "par2", "pre")
+    q = classes.where(F.size("pre") > 0).select("h", "n", *PARITIES, "pre")
     mask = (1 << FILTER_BITS) - 1
     lists = q.select(F.explode("pre").alias("list")).groupBy("list").agg(F.count("*").alias("m")).where("m > 1")
     at = F.col("list").bitwiseAND(F.lit(mask))
@@ -380,12 +384,12 @@ def _shared_lists(classes: DataFrame) -> DataFrame:
     def one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = shared.value
         for batch in batches:
-            lists = batch.column(4)
+            lists = batch.column(batch.num_columns - 1)
             x, off = lists.flatten().to_numpy().astype(np.int64) & mask, np.concatenate(([0], np.cumsum(lists.value_lengths().to_numpy())))
             ok = (table[x >> 6] >> (x & 63) & 1).astype(bool)
             kept = np.concatenate(([0], np.cumsum(ok)))[off].astype(np.int32)
             pre = pa.ListArray.from_arrays(pa.array(kept), lists.flatten().filter(pa.array(ok)))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pre], names=batch.schema.names)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pre], names=batch.schema.names)
 
     return q.mapInArrow(one, q.schema)
 
@@ -393,15 +397,17 @@ def _shared_lists(classes: DataFrame) -> DataFrame:
 def rare_word_pairs(classes: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
     """Candidates (a, b) of different roots that share one of their rarest words."""
     two = _one_edit(similarity)[1]
-    shape = ["h", "n", "par", "par2"]
+    shape = ["h", "n", *PARITIES]
     large = roots.groupBy("root").agg(F.count("*").alias("size")).where(F.col("size") >= LARGE).select(F.col("root").alias("large"))
-    marked = (_shared_lists(classes).select(*shape, "pre").join(roots, F.col("h") == F.col("node"), "left")
-              .join(large, F.col("root") == F.col("large"), "left"))
-    marked = marked.select(F.explode("pre").alias("list"), *shape, F.coalesce("root", "h").alias("root"), F.col("large").isNotNull().alias("large"))
+    held = (_shared_lists(classes).where(F.size("pre") > 0).join(roots, F.col("h") == F.col("node"), "left")
+            .join(large, F.col("root") == F.col("large"), "left"))
+    # Written once, so the two sides of the joins below share one shuffle.
+    held = cut(held.select(*shape, "pre", F.coalesce("root", "h").alias("root"), F.col("large").isNotNull().alias("large")))
+    marked = held.select(F.explode("pre").alias("list"), *shape, "root", "large")
 
     def met(a: DataFrame, b: DataFrame, *more: Column) -> DataFrame:
         ok = (F.col("list_a") == F.col("list_b")) & (F.col("root_a") != F.col("root_b")) & (F.greatest("n_a", "n_b") >= two)
-        for x in (*more, _possible(similarity, PARITIES[:2])):
+        for x in (*more, _possible(similarity)):
             ok = ok & x
         return _pairs(_suffixed(a, "_a").join(_suffixed(b, "_b"), ok))
 
@@ -425,7 +431,7 @@ def line_groups(docs: DataFrame, *, similarity: float = SIMILARITY, id_col: str
     classes = cut(classes.select(*CLASS, F.struct(*[F.col(f"x.{c}").alias(c) for c in ("none", "doc_id", "key", "line")]).alias("first"),
                                  *[F.col(f"x.{c}").alias(c) for c in held], "c"))
     if similarity < 1:
-        links = _near(cut(simhash_pairs(classes, similarity)), docs, classes, similarity, id_col, text_col)
+        links = _near(cut(_likely(simhash_pairs(classes, similarity), classes, similarity)), docs, classes, similarity, id_col, text_col)
         roots = cut(components(cut(links.unionByName(one_word_apart(classes)))))
         more = _near(cut(rare_word_pairs(classes, roots, similarity)), docs, classes, similarity, id_col, text_col)
         r = lambda s: _suffixed(roots, s)
