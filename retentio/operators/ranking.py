@@ -1,68 +1,60 @@
 """Exact global ranks, running sums, neighbours and fills without a hot task.
 
 A window over a whole table, or over a key that holds a third of all rows, is
-one task.  The functions here cut the order into range buckets first: bounds
-are chosen over (group, order) from a bounded sample of the keys, every row's
-bucket follows by comparison, and ordinary Spark windows run within (group,
-bucket).  What crosses a bucket's border comes from a small table of bucket
-totals or edges.  Rows are shuffled once and stay in the JVM; where the bounds
-fall has no bearing on the result.
+one task.  The functions here shuffle the rows by range first: Spark's range
+partitioner deals (group, order) out to buckets of about equal size, so a hot group
+is split, and each bucket is sorted.  The result is written once to the checkpoint
+folder together with every row's place (bucket and position in one long); ordinary
+Spark windows then run within (group, bucket), and what crosses a bucket's border
+comes from a small table of bucket totals or edges.  The cost of a row does not
+depend on the number of buckets, rows stay in the JVM, and where the borders fall
+has no bearing on the result.
 
 ``order`` lists ascending Columns or names (negate numbers for descending
 order); it must end with a unique key where ties matter.  Nulls come first.  A
-null group is a group of its own.
+null group is a group of its own.  The range shuffle runs when a function is called.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 
-#: Sampled keys per bucket.
-SAMPLE = 32
+#: Bits of a row's position within its bucket in ``monotonically_increasing_id``.
+POSITION_BITS = 33
 
 
 def _columns(cols) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in (cols or [])]
 
 
-def _bucketed(df: DataFrame, order: list, partition_by: list | None, buckets: int | None) -> DataFrame:
-    """Adds ``_g`` (group), ``_o`` (order), ``_b`` (bucket) and ``_split``:
-    whether the row's group may lie in several buckets.
+def _ranged(df: DataFrame, order: list, partition_by: list | None, buckets: int | None) -> DataFrame:
+    """Adds ``_g`` (group), ``_m`` (place in the whole order, with gaps) and ``_b`` (bucket).
 
-    The sample is the rows of least key hash, so it is bounded by
-    ``SAMPLE * buckets`` and needs no count.  Comparison takes two steps over
-    about the square root of the number of buckets each.
+    The rows are range-partitioned and sorted by (group, order) and written once:
+    bounds that Spark draws again for another read would be others.
     """
     spark = df.sparkSession
     n = buckets or max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
     g = F.struct(*_columns(partition_by)) if partition_by else F.struct(F.lit(0).alias("all"))
-    df = df.withColumn("_g", g).withColumn("_o", F.struct(*_columns(order)))
-    key = F.struct("_g", "_o")
-    sample = df.select(key.alias("k")).orderBy(F.xxhash64("k"), "k").limit(SAMPLE * n)
-    rn = F.row_number().over(Window.orderBy("k"))  # at most SAMPLE * n rows
-    # One row, written at once: the rows below are not read again for it.
     ensure_checkpoint_dir(spark)
-    bounds = (sample.withColumn("r", rn).where(F.col("r") % SAMPLE == 0)
-              .agg(F.array_sort(F.collect_list("k")).alias("b")).checkpoint().select("b").scalar())
-    step = max(1, math.isqrt(n))
-    df = df.withColumn("_bounds", bounds).withColumn("_k", key)
-    coarse = F.filter("_bounds", lambda b, i: (i % step == step - 1) & (b < F.col("_k")))
-    df = df.withColumn("_c", F.size(coarse) * step)
-    fine = F.filter(F.slice("_bounds", F.col("_c") + 1, F.lit(step)), lambda b: b < F.col("_k"))
-    split = F.exists("_bounds", lambda b: b["_g"] == F.col("_g"))
-    return df.withColumn("_b", F.col("_c") + F.size(fine)).withColumn("_split", split).drop("_bounds", "_k", "_c")
+    keyed = df.withColumns({"_g": g, "_o": F.struct(*_columns(order))})
+    ranged = keyed.repartitionByRange(n, "_g", "_o").sortWithinPartitions("_g", "_o").drop("_o")
+    placed = ranged.withColumn("_m", F.monotonically_increasing_id()).checkpoint()
+    return placed.withColumn("_b", F.shiftright("_m", POSITION_BITS))
 
 
 _INNER = ["_g", "_b"]
 
 
 def _inside():
-    return Window.partitionBy(*_INNER).orderBy("_o")
+    return Window.partitionBy(*_INNER).orderBy("_m")
+
+
+def _before():
+    return Window.partitionBy("_g").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
 
 
 def prefix_sums(df: DataFrame, order: list, weights: dict | None = None,
@@ -76,11 +68,9 @@ def prefix_sums(df: DataFrame, order: list, weights: dict | None = None,
     """
     weights = weights or {"rows": F.lit(1)}
     base = df.withColumns({f"_w_{n}": w.cast("long") for n, w in weights.items()})
-    base = _bucketed(base, order, partition_by, num_partitions)
+    base = _ranged(base, order, partition_by, num_partitions)
     totals = base.groupBy(*_INNER).agg(*[F.sum(f"_w_{n}").alias(f"_t_{n}") for n in weights])
-    w = Window.partitionBy("_g").orderBy("_b")
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*_INNER, *[F.coalesce(F.sum(f"_t_{n}").over(before), F.lit(0)).alias(f"_off_{n}") for n in weights],
+    offsets = totals.select(*_INNER, *[F.coalesce(F.sum(f"_t_{n}").over(_before()), F.lit(0)).alias(f"_off_{n}") for n in weights],
                             *[F.sum(f"_t_{n}").over(Window.partitionBy("_g")).alias(f"_group_total_{n}") for n in weights])
     # Without groups the offsets are one row per bucket, a bound that is known.
     offsets = offsets if partition_by else F.broadcast(offsets)
@@ -92,9 +82,18 @@ def prefix_sums(df: DataFrame, order: list, weights: dict | None = None,
 
 def row_number_global(df: DataFrame, order: list, partition_by: list | None = None,
                       name: str = "rn", num_partitions: int | None = None) -> DataFrame:
-    """Exact ``row_number()`` plus the group size ``n_in_group``."""
-    r = prefix_sums(df, order, {"rows": F.lit(1)}, partition_by, num_partitions)
-    return r.withColumnsRenamed({"cum_rows": name, "_group_total_rows": "n_in_group"})
+    """Exact ``row_number()`` plus the group size ``n_in_group``.
+
+    A row's number follows from its place and its bucket's offset, without a window
+    over the rows.
+    """
+    base = _ranged(df, order, partition_by, num_partitions)
+    starts = base.groupBy(*_INNER).agg(F.min("_m").alias("_start"), F.count("*").alias("_n"))
+    offsets = starts.select(*_INNER, (F.coalesce(F.sum("_n").over(_before()), F.lit(0)) - F.col("_start") + 1).alias("_shift"),
+                            F.sum("_n").over(Window.partitionBy("_g")).alias("n_in_group"))
+    offsets = offsets if partition_by else F.broadcast(offsets)
+    out = base.join(offsets, _INNER).withColumn(name, F.col("_m") + F.col("_shift"))
+    return out.select(*df.columns, name, "n_in_group")
 
 
 def ntile_from_rank(rank: Column, n: Column, tiles: int) -> Column:
@@ -110,12 +109,14 @@ def ntile_from_rank(rank: Column, n: Column, tiles: int) -> Column:
 
 
 def _edges(base: DataFrame, *aggs: Column) -> DataFrame:
-    """Aggregates per bucket of the groups that lie in several.
+    """Aggregates per bucket of the groups that may lie in several: each bucket's first and last.
 
-    Each bound splits one group at most, so there are at most two rows per
-    bucket: the table may be broadcast.
+    There are at most two rows per bucket: the tables may be broadcast.
     """
-    return base.where("_split").groupBy(*_INNER).agg(*aggs)
+    ends = base.groupBy("_b").agg(F.min("_m").alias("lo"), F.max("_m").alias("hi"))
+    ends = ends.select(F.explode(F.array_distinct(F.array("lo", "hi"))).alias("_m"))
+    groups = base.join(F.broadcast(ends), "_m").select(*_INNER).distinct()
+    return base.join(F.broadcast(groups), _INNER, "left_semi").groupBy(*_INNER).agg(*aggs)
 
 
 def neighbours(df: DataFrame, order: list, cols, partition_by: list | None = None,
@@ -127,10 +128,10 @@ def neighbours(df: DataFrame, order: list, cols, partition_by: list | None = Non
     the 1-based ``row_number()`` within the group.
     """
     cols = [cols] if isinstance(cols, str) else list(cols)
-    base = _bucketed(df, order, partition_by, num_partitions)
+    base = _ranged(df, order, partition_by, num_partitions)
     payload = F.struct(*[F.col(c) for c in cols])
     w = Window.partitionBy("_g").orderBy("_b")
-    edges = _edges(base, F.min_by(payload, F.col("_o")).alias("first"), F.max_by(payload, F.col("_o")).alias("last"),
+    edges = _edges(base, F.min_by(payload, F.col("_m")).alias("first"), F.max_by(payload, F.col("_m")).alias("last"),
                    F.count("*").alias("n"))
     edges = edges.select(*_INNER, F.lag("last").over(w).alias("_before"), F.lead("first").over(w).alias("_after"),
                          F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_rows"))
@@ -145,7 +146,7 @@ def neighbours(df: DataFrame, order: list, cols, partition_by: list | None = Non
         out = out.withColumns({f"next_{c}": F.when(F.col("_end"), F.col("_after")[c]).otherwise(F.col(f"next_{c}")) for c in cols})
     if number:
         out = out.withColumn(number, (F.col("_rn") + F.coalesce("_rows", F.lit(0))).cast("long"))
-    return out.drop("_g", "_o", "_b", "_split", "_rn", "_end", "_before", "_after", "_rows")
+    return out.drop("_g", "_m", "_b", "_rn", "_end", "_before", "_after", "_rows")
 
 
 def forward_fill(df: DataFrame, order: list, cols, partition_by: list | None = None,
@@ -153,10 +154,9 @@ def forward_fill(df: DataFrame, order: list, cols, partition_by: list | None = N
     """``last(c, ignorenulls) OVER (PARTITION BY p ORDER BY o ROWS UNBOUNDED
     PRECEDING)`` for each of ``cols``, exactly."""
     cols = [cols] if isinstance(cols, str) else list(cols)
-    base = _bucketed(df, order, partition_by, num_partitions)
-    edges = _edges(base, *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col("_o"))).alias(f"_last_{c}") for c in cols])
-    before = Window.partitionBy("_g").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    edges = edges.select(*_INNER, *[F.last(f"_last_{c}", ignorenulls=True).over(before).alias(f"_carry_{c}") for c in cols])
+    base = _ranged(df, order, partition_by, num_partitions)
+    edges = _edges(base, *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col("_m"))).alias(f"_last_{c}") for c in cols])
+    edges = edges.select(*_INNER, *[F.last(f"_last_{c}", ignorenulls=True).over(_before()).alias(f"_carry_{c}") for c in cols])
     run = _inside().rowsBetween(Window.unboundedPreceding, 0)
     out = base.withColumns({c: F.last(c, ignorenulls=True).over(run) for c in cols}).join(F.broadcast(edges), _INNER, "left")
     return out.withColumns({c: F.coalesce(c, f"_carry_{c}") for c in cols}).select(*df.columns)
