@@ -9,8 +9,6 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
@@ -20,6 +18,7 @@ from pyspark.sql import functions as F
 from ..functions import rules as R
 from ..functions.numeric import np_round
 from ..session import ensure_checkpoint_dir
+from . import clustering as CL
 from .features import FEATURE_COLUMNS, model_matrix
 from .segments import segment_names, zscore
 
@@ -105,31 +104,31 @@ def kmeans_segments(df: DataFrame, key: str, features, ks=K_RANGE, seed: int = 4
     """M6 + M7 + P31: z-scored features, k chosen by silhouette, clusters
     ordered by mean ``value_col`` (descending) and named.
 
-    For each k, ``restarts`` seeds are fitted and the lowest training cost
-    kept (the reference's 10 initialisations); the winner per k is scored by
-    silhouette.  The scaled frame is checkpointed once (it is scanned per fit).
+    For each k, ``restarts`` starts are fitted (the reference's 10 initialisations), all
+    of them together (:mod:`.clustering`); the one of lowest cost is scored by
+    silhouette.  The scaled frame is written once and scanned once an iteration.
+    An empty frame gives no rows; nulls count as 0.
     """
-    z = zscore(df.select(key, value_col, *features), list(features))
-    zc = [f"{c}_z" for c in features]
-    v = _assembler(zc).transform(z).select(key, value_col, "features").checkpoint(eager=True)
-    ev = ClusteringEvaluator(featuresCol="features", predictionCol="cluster")
-    best = None
-    for k in ks:
-        fits = [KMeans(k=k, seed=seed + r, featuresCol="features", predictionCol="cluster",
-                       maxIter=max_iter).fit(v) for r in range(max(1, restarts))]
-        m = min(fits, key=lambda f: f.summary.trainingCost)
-        s = ev.evaluate(m.transform(v))
-        if best is None or s > best[0]:
-            best = (s, k, m)
-    sil, k, model = best
-    out = model.transform(v).select(key, value_col, "cluster")
-    order = out.groupBy("cluster").agg(F.avg(value_col).alias("_v"))
+    held = df.select(F.col(key).alias("_key"), F.col(value_col).cast("double").alias("_value"), CL.numbered(df, key).alias("_n"),
+                     *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in features])
+    z = zscore(held, list(features))
+    points = z.select("_key", "_value", "_n", F.array(*[F.col(f"{c}_z") for c in features]).alias("_x")).checkpoint(eager=True)
+    fits = CL.fit_many(points, "_n", "_x", ks, restarts, seed, max_iter)
+    best = [min((f for f in fits if f.k == k), key=lambda f: (round(f.cost, 6), f.restart)) for k in ks if any(f.k == k for f in fits)]
+    scores = [round(s, 6) for s in CL.silhouettes(points, "_x", best)] if best else []
+    if not best:
+        sil, model = 0.0, None
+        out = points.where("false").withColumn("cluster", F.lit(0))
+    else:
+        sil, model = max(zip(scores, best), key=lambda t: (t[0], -t[1].k))
+        out = CL.assign(points, "_x", model.centroids)
+    order = out.groupBy("cluster").agg(F.avg("_value").alias("_v"))
     rank = order.withColumn("cluster_rank", F.row_number().over(
         Window.orderBy(F.desc("_v"), "cluster")) - 1)  # ≤ 7 rows
     res = out.join(F.broadcast(rank.select("cluster", "cluster_rank")), "cluster")
-    return res.select(key, "cluster", "cluster_rank",
+    return res.select(F.col("_key").alias(key), "cluster", "cluster_rank",
                       segment_names("cluster_rank").alias("segment_name"),
-                      F.lit(k).alias("k"), F.lit(float(sil)).alias("silhouette"))
+                      F.lit(model.k if model else 0).alias("k"), F.lit(float(sil)).alias("silhouette"))
 
 
 def fit_revenue(train: DataFrame, features, rounds: int = REVENUE_ROUNDS, seed: int = 42) -> PipelineModel:

@@ -59,6 +59,45 @@ def test_isolation_forest_flags_outliers(spark):
     assert r.loc[r.id >= 5000, "anomaly_score"].min() > r.loc[r.id < 5000, "anomaly_score"].median()
 
 
+def test_forest_is_a_function_of_its_rows(spark):
+    """Partitioning and order have no bearing; every inner node has two children whose sizes add up."""
+    from retentio.operators.anomaly import fit_isolation_forest, mix32, path_length, score_isolation_forest, _mix32_column
+    df = spark.range(3000).select("id", (F.col("id") * 37 % 101).cast("double").alias("a"), F.when(F.col("id") % 9 > 0, F.col("id") % 7).cast("double").alias("b"))
+    fit = lambda d: fit_isolation_forest(d, "id", ["a", "b"], 20, 100, 5).toPandas().sort_values(["tree", "node"]).reset_index(drop=True)
+    a, b = fit(df.repartition(3)), fit(df.orderBy(F.desc("id")).repartition(7))
+    assert a.equals(b) and a["tree"].nunique() == 20
+    at = {(r.tree, r.node): r for r in a.itertuples()}
+    for (t, n), r in at.items():
+        if r.feature >= 0:
+            assert at[t, 2 * n].size + at[t, 2 * n + 1].size == r.size and at[t, 2 * n].depth == r.depth + 1
+        else:
+            assert (t, 2 * n) not in at
+    # One row's score, walked by hand.
+    row = df.where("id = 77").first()
+    total = 0
+    for t in range(20):
+        n = 1
+        while at[t, n].feature >= 0:
+            n = 2 * n + ((row.a, row.b or 0.0)[at[t, n].feature] >= at[t, n].split)
+        total += at[t, n].depth + path_length(at[t, n].size)
+    psi = sum(at[t, 1].size for t in range(20)) / 20
+    got = score_isolation_forest(df.where("id = 77"), a, "id", ["a", "b"], keep=["a"]).first()
+    assert abs(got.anomaly_score - 2 ** (-total / 20 / path_length(psi))) < 1e-9 and got.a == row.a
+    numbers = [0, 1, 2 ** 32 - 1, 123456789, 2654435761]
+    cols = spark.createDataFrame([(x,) for x in numbers], "x long").select(_mix32_column(F.col("x")).alias("m")).collect()
+    assert [r.m for r in cols] == [mix32(x) for x in numbers]
+
+
+def test_forest_of_few_rows_and_other_keys(spark):
+    from retentio.operators.anomaly import fit_isolation_forest, isolation_forest, score_isolation_forest
+    one = spark.createDataFrame([("x", 1.0)], "id string, a double")
+    nodes = fit_isolation_forest(one, "id", ["a"], 3, 16).toPandas()
+    assert (nodes["feature"] == -1).all()
+    assert 0.0 < score_isolation_forest(one, nodes, "id", ["a"]).first().anomaly_score <= 1.0
+    same = spark.createDataFrame([(str(k), 4.0) for k in range(50)], "id string, a double")
+    assert isolation_forest(same, "id", ["a"], n_trees=5, sample_size=16).agg(F.sum("is_anomaly")).first()[0] == 0
+
+
 def test_feature_importances_and_saved_forest(spark, tmp_path):
     from retentio.operators.anomaly import fit_isolation_forest, save_forest, score_with_saved_forest
     df = _train(spark)
