@@ -246,11 +246,29 @@ def request_rules(names: dict | None = None, charges: bool = True) -> dict:
                     "is_senior_citizen_domain": c("is_senior_citizen").isin(0, 1)}
 
 
+# What the summary and revenue requests may ask for, and their defaults.
+REPORT_TYPES = ["executive", "churn", "revenue", "risk"]
+DATE_RANGES = ["last_7_days", "last_30_days", "last_90_days"]
+GRANULARITIES = ["monthly"]
+SUMMARY_DEFAULTS = {"report_type": "executive", "date_range": "last_30_days"}
+REVENUE_DEFAULTS = {"periods": 6, "granularity": "monthly"}
+
+
 def periods_rule(periods) -> Column:
     """A forecast request asks for 1 to 24 periods."""
     return _c(periods).between(*PERIODS_RANGE)
 
 
+def summary_rules(report_type="report_type", date_range="date_range") -> dict:
+    """The summary request's rules, ``{rule: ok_condition}``."""
+    return {"report_type_domain": _c(report_type).isin(*REPORT_TYPES), "date_range_domain": _c(date_range).isin(*DATE_RANGES)}
+
+
+def revenue_rules(periods="periods", granularity="granularity") -> dict:
+    """The revenue request's rules, ``{rule: ok_condition}``."""
+    return {"periods_range": periods_rule(periods), "granularity_domain": _c(granularity).isin(*GRANULARITIES)}
+
+
 def risk_response(prob, anomaly_score, factors_col=None, contract="contract_type",
                   security="online_security", support="tech_support") -> Column:
     """P25: nested risk response.

@@ -141,3 +141,31 @@ def staged_orders(orders: DataFrame) -> DataFrame:
         flag(F.col("o_orderstatus") == "P").alias("is_pending"),
         flag(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")).alias("is_priority"),
     )
+
+
+def staged_customers(customer: DataFrame, nation: DataFrame) -> DataFrame:
+    """Typed customers with lower-case categories and flags."""
+    j = customer.join(nation.select("n_nationkey", "n_name"), customer.c_nationkey == nation.n_nationkey, "left")
+    return j.select(
+        F.col("c_custkey").alias("customer_id"), F.trim("c_name").alias("customer_name"), F.lower("c_mktsegment").alias("segment"),
+        F.col("c_nationkey").alias("nation_key"), F.lower("n_name").alias("nation"), F.col("c_acctbal").cast("double").alias("balance"),
+        flag(F.col("c_acctbal") < 0).alias("is_indebted"),
+        flag(F.col("c_custkey").isNotNull() & F.col("c_acctbal").isNotNull()).alias("is_complete"))
+
+
+# The codes of the reference's ticket sentiments.
+SENTIMENT_CODES = {"positive": 1, "neutral": 0, "negative": -1}
+
+
+def staged_tickets(tickets: DataFrame, ticket_id: str, customer: str, created: str, sentiment: Column, resolved: Column) -> DataFrame:
+    """Typed tickets with a sentiment code and a resolution flag.
+
+    Sentiments beside the three known ones get a null code; a null ``resolved`` counts as open.
+    """
+    s = F.lower(F.trim(sentiment))
+    code = F.create_map(*[x for kv in SENTIMENT_CODES.items() for x in map(F.lit, kv)])[s]
+    done = F.coalesce(resolved, F.lit(False))
+    return tickets.select(
+        F.col(ticket_id).alias("ticket_id"), F.col(customer).alias("customer_id"), F.to_date(created).alias("created_date"),
+        F.date_trunc("month", F.col(created)).cast("date").alias("created_month"), s.alias("sentiment"), code.alias("sentiment_code"),
+        flag(s == "negative").alias("is_negative"), flag(done).alias("is_resolved"), flag((s == "negative") & ~done).alias("needs_action"))

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..session import ensure_checkpoint_dir
 from .ranking import forward_fill, neighbours
 
 
@@ -63,6 +65,61 @@ def as_of_lookup(history: DataFrame, points: DataFrame, key: str, at: str) -> Da
     return hit.select(key, at, *extra, *[F.when(ok, F.col(f"_v.{c}")).alias(c) for c in vcols])
 
 
+#: Buckets that keys of a stored history are dealt to; a merge rewrites those it touches.
+BUCKETS = 64
+#: Tasks that write one bucket.
+SPREAD = 4
+
+
+def _same(a: DataFrame, b: DataFrame, key: str, how: str) -> DataFrame:
+    """Semi or anti join on ``key`` in which null equals null."""
+    return a.join(b.select(F.struct(F.col(key)).alias("_same")), F.struct(F.col(key)) == F.col("_same"), how)
+
+
+def _dealt(df: DataFrame, ts: str) -> DataFrame:
+    """Rows of a bucket in a few tasks (and files), so a hot key's bucket is not one task's."""
+    return df.repartition("bucket", F.pmod(F.xxhash64(F.col(ts)), F.lit(SPREAD)))
+
+
+def read_history(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The stored history, with ``scd2``'s columns; ``schema`` is theirs."""
+    stored = T.StructType([*schema.fields, T.StructField("bucket", T.IntegerType()), T.StructField("open", T.IntegerType())])
+    return spark.read.schema(stored).parquet(f"{path}/history").select(*schema.names, "bucket")
+
+
+def merge_history(spark: SparkSession, path: str, batch_id: str, changes: DataFrame, key: str, ts: str, tracked,
+                  order_tiebreak: str | None = None, buckets: int = BUCKETS) -> DataFrame:
+    """Take a batch of changes, late ones included, into a stored type-2 history; returns it.
+
+    ``path/log`` keeps the changes by batch and key bucket, ``path/history`` the versions by bucket and
+    whether they are open.  The versions of the batch's keys are built anew from the log's
+    buckets they lie in and replace the old ones; other buckets are neither read nor
+    written.  A batch that is run again replaces itself, so a job restarted after a failure
+    gives the same table.
+    """
+    tracked = [tracked] if isinstance(tracked, str) else list(tracked)
+    cols = [key, ts, *tracked, *([order_tiebreak] if order_tiebreak else [])]
+    bucket = F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")
+    ensure_checkpoint_dir(spark)
+    new = changes.select(*cols).withColumn("bucket", bucket)
+    _dealt(new, ts).write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/log/batch={batch_id}")
+    held = T.StructType([*new.schema.fields[:-1], T.StructField("batch", T.StringType()), T.StructField("bucket", T.IntegerType())])
+    log = spark.read.schema(held).option("basePath", f"{path}/log").parquet(f"{path}/log")
+    touched = log.where(F.col("batch") == batch_id).select(key, "bucket").distinct().checkpoint()
+    parts = [r.bucket for r in touched.select("bucket").distinct().collect()]  # at most ``buckets``
+    events = _same(log.where(F.col("bucket").isin(parts)), touched, key, "left_semi").select(*cols)
+    built = scd2(events, key, ts, tracked, order_tiebreak)
+    shape = built.schema
+    stored = built.withColumn("bucket", bucket).withColumn("open", F.col("is_current").cast("int"))
+    spark.createDataFrame([], stored.schema).write.mode("append").partitionBy("bucket", "open").parquet(f"{path}/history")
+    old = read_history(spark, path, shape).where(F.col("bucket").isin(parts))
+    old = _same(old, touched, key, "left_anti").withColumn("open", F.col("is_current").cast("int"))
+    # Versions of a key never become fewer, so no stored partition is left without rows.
+    out = stored.unionByName(old).checkpoint()
+    _dealt(out, "valid_from").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket", "open").parquet(f"{path}/history")
+    return read_history(spark, path, shape).drop("bucket")
+
+
 def run_log(metrics: DataFrame, experiment: str, run_col: str, metric_cols) -> DataFrame:
     """S10 + W8: runs as (experiment, run_id, metric, value) with the change
     against the previous run of the same experiment and metric."""

@@ -75,17 +75,24 @@ def require(report: DataFrame, name: str = "check") -> DataFrame:
     return report
 
 
+def row_digest(cols) -> Column:
+    """60 bits of the MD5 of a row's values as text.
+
+    Every value stands with its length and nulls are marked, so different rows have different
+    texts, and any engine can compute them.
+    """
+    part = lambda c: F.when(F.col(c).isNull(), "n").otherwise(
+        F.concat(F.length(F.col(c).cast("string")).cast("string"), F.lit(":"), F.col(c).cast("string")))
+    return F.conv(F.substring(F.md5(F.concat_ws("|", *[part(c) for c in cols]).cast("binary")), 1, 15), 16, 10).cast("long")
+
+
 def fingerprint(df: DataFrame, cols=None) -> DataFrame:
     """Order-free content hash: count, xor and sum of row digests.
 
     Equal multisets of rows give equal fingerprints whatever the file
     layout or partitioning; a partial aggregate per task, one tiny merge.
-    A row's digest is the MD5 of its values as text, each marked null or not,
-    so any engine can compute it.
     """
-    cols = cols or df.columns
-    text = F.concat_ws("|", *[F.when(F.col(c).isNull(), "n").otherwise(F.concat(F.lit("v"), F.col(c).cast("string"))) for c in cols])
-    h = F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
+    h = row_digest(cols or df.columns)
     return df.agg(F.count(F.lit(1)).alias("n_rows"),
                   F.bit_xor(h).alias("xor_hash"),
                   F.sum(F.pmod(h, F.lit(1000003))).alias("mod_sum_hash"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from .sqlbase import _flag
 from .sqlbase import np_round_sql as npr
 from .sqlbase import with_base
+from .oracle_models import isolation_ctes, kmeans_ctes
 
 ORACLES: dict[str, str] = {}
 
@@ -277,6 +278,8 @@ ORACLES["scd2_history"] = (
     "lead(o_orderdate) OVER (PARTITION BY customer_id ORDER BY o_orderdate, o_orderkey) IS NULL AS is_current "
     "FROM s")
 
+ORACLES["scd2_incremental"] = ORACLES["scd2_history"]
+
 ORACLES["value_distribution"] = (
     "SELECT o_orderstatus, CAST(count(*) AS BIGINT) AS n, "
     "CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / count(o_totalprice) AS mean_price, "
@@ -302,6 +305,46 @@ ORACLES["staged_orders"] = (
     "CASE WHEN o_orderstatus = 'P' THEN 1 ELSE 0 END AS is_pending, "
     "CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 1 ELSE 0 END AS is_priority FROM orders")
 
+ORACLES["validate_service_requests"] = """
+WITH r AS (
+  SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events),
+q AS (
+  SELECT event_id, coalesce(['executive', 'churn', 'revenue', 'risk', 'weekly', NULL][k % 6 + 1], 'executive') AS report_type,
+         ['last_7_days', 'last_30_days', 'last_90_days', 'last_year'][k % 4 + 1] AS date_range, k - 2 AS periods,
+         coalesce(['monthly', 'daily', NULL][k % 3 + 1], 'monthly') AS granularity FROM r)
+SELECT *, array_to_string(list_filter([
+    CASE WHEN report_type = 'weekly' THEN 'report_type_domain' END, CASE WHEN date_range = 'last_year' THEN 'date_range_domain' END,
+    CASE WHEN periods NOT BETWEEN 1 AND 24 THEN 'periods_range' END, CASE WHEN granularity <> 'monthly' THEN 'granularity_domain' END],
+    lambda x: x IS NOT NULL), ',') AS violations FROM q"""
+
+ORACLES["cutoff_features"] = """
+WITH m AS (SELECT CAST(max(o_orderdate) AS DATE) AS last FROM orders),
+c AS (SELECT CAST(last - (12 + 6 * k) * INTERVAL 1 MONTH AS DATE) AS cutoff FROM m, range(6) r(k)),
+o AS (SELECT o_custkey, CAST(o_orderdate AS DATE) AS day, CAST(o_totalprice AS DECIMAL(18,2)) AS amount FROM orders)
+SELECT o_custkey, cutoff, CAST(count_if(day < cutoff) AS BIGINT) AS n_before,
+       CAST(sum(CASE WHEN day < cutoff THEN amount END) AS DOUBLE) AS spend_before,
+       CAST(count_if(day < cutoff AND day >= cutoff - INTERVAL 12 MONTH) AS BIGINT) AS n_trailing,
+       CAST(coalesce(sum(CASE WHEN day < cutoff AND day >= cutoff - INTERVAL 12 MONTH THEN amount END), 0) AS DOUBLE) AS spend_trailing,
+       CAST(date_diff('day', max(CASE WHEN day < cutoff THEN day END), cutoff) AS INTEGER) AS recency_days,
+       CASE WHEN count_if(day >= cutoff AND day < cutoff + INTERVAL 12 MONTH) > 0 THEN 0 ELSE 1 END AS label
+FROM o, c GROUP BY o_custkey, cutoff HAVING count_if(day < cutoff) > 0"""
+
+ORACLES["staged_customers"] = (
+    "SELECT c_custkey AS customer_id, trim(c_name) AS customer_name, lower(c_mktsegment) AS segment, c_nationkey AS nation_key, "
+    "lower(n_name) AS nation, CAST(c_acctbal AS DOUBLE) AS balance, CASE WHEN c_acctbal < 0 THEN 1 ELSE 0 END AS is_indebted, "
+    "CASE WHEN c_custkey IS NOT NULL AND c_acctbal IS NOT NULL THEN 1 ELSE 0 END AS is_complete "
+    "FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey")
+
+ORACLES["staged_tickets"] = (
+    "SELECT event_id AS ticket_id, user_id AS customer_id, CAST(ts AS DATE) AS created_date, "
+    "CAST(date_trunc('month', ts) AS DATE) AS created_month, sentiment, "
+    "CASE sentiment WHEN 'positive' THEN 1 WHEN 'neutral' THEN 0 WHEN 'negative' THEN -1 END AS sentiment_code, "
+    "CASE WHEN sentiment = 'negative' THEN 1 ELSE 0 END AS is_negative, "
+    "CASE WHEN k % 5 <> 0 THEN 1 ELSE 0 END AS is_resolved, "
+    "CASE WHEN sentiment = 'negative' AND NOT (k % 5 <> 0) THEN 1 ELSE 0 END AS needs_action "
+    "FROM (SELECT *, CASE event_type WHEN 'error' THEN 'negative' WHEN 'purchase' THEN 'positive' ELSE 'neutral' END AS sentiment, "
+    "CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events) e")
+
 ORACLES["period_summary"] = (
     "WITH r AS (SELECT * FROM (VALUES ('last_7_days', 7, 1), ('last_30_days', 30, 2), "
     "('last_90_days', 90, 3)) t(date_range, days, k)), "
@@ -493,6 +536,29 @@ ORACLES["psi_by_feature"] = (
     f"SELECT feature, {npr('psi', 6)} AS psi, CASE WHEN psi > 0.2::DOUBLE THEN 'DRIFT' "
     "WHEN psi > 0.1::DOUBLE THEN 'WARNING' ELSE 'STABLE' END AS status FROM p")
 
+ORACLES["drift_by_profile"] = (
+    "WITH " + _DRIFT_CTES.strip() + "\n"
+    "lng AS (" + _LONG.replace("{side}", "base").replace("{tbl}", "base") + " UNION ALL "
+    + _LONG.replace("{side}", "cur").replace("{tbl}", "cur") + "),\n"
+    "o AS (SELECT feature, side, x, row_number() OVER (PARTITION BY feature, side ORDER BY x) AS r, "
+    "count(*) OVER (PARTITION BY feature, side) AS n FROM lng),\n"
+    "pts AS (SELECT feature, side, i, min(x) AS v FROM o, range(1, 201) p(i) WHERE r >= ceil(round(i * n / 200.0::DOUBLE, 7)) "
+    "GROUP BY feature, side, i),\n"
+    "cum AS (SELECT feature, x, sum(nb) OVER w / sum(nb) OVER t AS fb, sum(nc) OVER w / sum(nc) OVER t AS fc FROM "
+    "(SELECT feature, x, count_if(side = 'base') AS nb, count_if(side = 'cur') AS nc FROM lng GROUP BY feature, x) "
+    "WINDOW w AS (PARTITION BY feature ORDER BY x ROWS UNBOUNDED PRECEDING), t AS (PARTITION BY feature)),\n"
+    "ks AS (SELECT a.feature, max(abs(fb - fc)) AS ks FROM (SELECT DISTINCT feature, v FROM pts) a JOIN cum c ON c.feature = a.feature AND c.x = a.v "
+    "GROUP BY a.feature),\n"
+    "e AS (SELECT a.feature, i / 20 AS b, fb, fc FROM pts a JOIN cum c ON c.feature = a.feature AND c.x = a.v "
+    "WHERE a.side = 'base' AND i % 20 = 0 AND i < 200 "
+    "UNION ALL SELECT DISTINCT feature, 0, 0.0::DOUBLE, 0.0::DOUBLE FROM lng UNION ALL SELECT DISTINCT feature, 10, 1.0::DOUBLE, 1.0::DOUBLE FROM lng),\n"
+    "sh AS (SELECT feature, lead(fb) OVER w - fb AS e, lead(fc) OVER w - fc AS a FROM e WINDOW w AS (PARTITION BY feature ORDER BY b)),\n"
+    "fl AS (SELECT feature, CASE WHEN e <= 0 THEN 0.0001::DOUBLE ELSE e END AS e, CASE WHEN a <= 0 THEN 0.0001::DOUBLE ELSE a END AS a "
+    "FROM sh WHERE e IS NOT NULL),\n"
+    "p AS (SELECT feature, sum((a - e) * ln(a / e)) AS psi FROM fl GROUP BY feature)\n"
+    f"SELECT feature, {npr('psi', 6)} AS psi, {npr('ks', 6)} AS ks, 0.0::DOUBLE AS missing_base, 0.0::DOUBLE AS missing_cur, "
+    "CASE WHEN psi > 0.2::DOUBLE THEN 'DRIFT' WHEN psi > 0.1::DOUBLE THEN 'WARNING' ELSE 'STABLE' END AS status FROM p JOIN ks USING (feature)")
+
 ORACLES["mean_drift"] = (
     "WITH " + _DRIFT_CTES.strip().rstrip(",") + "\n"
     "SELECT *, abs(current_mean - baseline_mean) * 100.0::DOUBLE / nullif(baseline_mean, 0) AS drift_pct, "
@@ -614,13 +680,16 @@ ORACLES["monitoring_report"] = (
     f"(SELECT ks_statistic FROM ({ORACLES['ks_statistic']}) u) k")
 
 _PER = ORACLES["period_summary"]
-_RNG = "replace(date_range, '_', ' ')"
+_RNG = "replace(p.date_range, '_', ' ')"
 _REVK = "format('{:,}', CAST(" + npr("revenue / 1000.0::DOUBLE", 0) + " AS BIGINT))"
 _CUST = "format('{:,}', total_customers)"
 _RATE = "CAST(churn_rate_pct AS VARCHAR) || '%'"
+ORACLES["period_summary_cube"] = "SELECT date_range, n_orders, n_customers, revenue FROM (" + _PER + ") p"
+
 ORACLES["summary_report"] = with_base(
-    "SELECT report_type, date_range, n_orders, n_customers, revenue, total_customers, churn_rate_pct, "
-    "high_risk_customers, CASE report_type "
+    "SELECT report_type, p.date_range, n_orders, n_customers, revenue, total_customers, churn_rate_pct, "
+    "high_risk_customers, k.mrr, k.avg_tenure_months, k.avg_monthly_charges, "
+    f"(SELECT {npr('mape * 100.0::DOUBLE', 2)} FROM ({ORACLES['forecast_errors']}) fe) AS forecast_mape_pct, CASE report_type "
     f"WHEN 'executive' THEN 'Platform overview (' || {_RNG} || '): ' || {_CUST} || ' customers monitored, churn rate ' "
     f"|| {_RATE} || ', ' || CAST(n_orders AS VARCHAR) || ' orders worth ' || {_REVK} || ' thousand; ' "
     "|| CAST(high_risk_customers AS VARCHAR) || ' customers at high risk need retention action.' "
@@ -630,7 +699,12 @@ ORACLES["summary_report"] = with_base(
     "|| CAST(n_orders AS VARCHAR) || ' orders placed by ' || CAST(n_customers AS VARCHAR) || ' customers.' "
     f"ELSE 'Risk assessment (' || {_RNG} || '): ' || CAST(high_risk_customers AS VARCHAR) || ' of ' || {_CUST} "
     "|| ' customers are HIGH risk; ' || CAST(n_customers AS VARCHAR) || ' customers ordered in the period.' END AS summary "
-    f"FROM (SELECT date_range, n_orders, n_customers, revenue FROM ({_PER}) p0) p CROSS JOIN "
+    f"FROM (SELECT date_range, n_orders, n_customers, revenue FROM ({_PER}) p0) p JOIN "
+    "(SELECT r.date_range, "
+    f"{npr('coalesce(sum(monthly_charges), 0.0::DOUBLE)', 2)} AS mrr, {npr('avg(CAST(tenure_months AS DOUBLE))', 2)} AS avg_tenure_months, "
+    f"{npr('avg(monthly_charges)', 2)} AS avg_monthly_charges "
+    "FROM (VALUES ('last_7_days', 7), ('last_30_days', 30), ('last_90_days', 90)) r(date_range, days) CROSS JOIN ref "
+    "LEFT JOIN sc ON sc.last_order >= ref.as_of - r.days * INTERVAL 1 DAY GROUP BY r.date_range) k ON k.date_range = p.date_range CROSS JOIN "
     "(SELECT CAST(count(*) AS BIGINT) AS total_customers, "
     f"{npr('CAST(sum(label) AS DOUBLE) / count(*) * 100.0::DOUBLE', 1)} AS churn_rate_pct, "
     "CAST(count_if(risk_tier = 'HIGH') AS BIGINT) AS high_risk_customers FROM sc) s "
@@ -669,22 +743,49 @@ _MODEL = ["is_male", "is_senior_citizen", "has_partner", "has_dependents", "tenu
 ORACLES["telco_features"] = with_base(
     "SELECT customer_id, " + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in _MODEL) + ", label FROM eng")
 
+_ANOMALY = ["monthly_charges", "total_charges", "total_support_tickets", "negative_support_tickets",
+            "total_cancellations_6mo", "revenue_volatility_6mo", "charge_gap", "tickets_last_6mo",
+            "negative_ticket_ratio"]
+ISOLATION_CTES = isolation_ctes("eng", "customer_id", _ANOMALY, "monthly_charges, total_support_tickets, negative_support_tickets, ")
+
+ORACLES["isolation_scores"] = with_base("SELECT customer_id, anomaly_score, is_anomaly FROM iso", ctes=ISOLATION_CTES)
+
+_TOP_ANOMALIES = "SELECT * FROM iso WHERE is_anomaly = 1 ORDER BY score DESC, customer_id LIMIT 10"
+
+ORACLES["top_anomalies"] = with_base(
+    "SELECT customer_id, anomaly_score, monthly_charges, total_support_tickets, negative_support_tickets "
+    f"FROM ({_TOP_ANOMALIES}) t", ctes=ISOLATION_CTES)
+
+ORACLES["anomaly_summary"] = with_base(
+    "SELECT count(*) AS n, CAST(sum(is_anomaly) AS BIGINT) AS n_anomalies, "
+    f"{npr('avg(CAST(is_anomaly AS DOUBLE))', 6)} AS anomaly_rate, {npr('avg(score)', 6)} AS score_mean, "
+    f"{npr('stddev_pop(score)', 6)} AS score_std, "
+    f"(SELECT string_agg(CAST(customer_id AS VARCHAR), ',' ORDER BY customer_id) FROM ({_TOP_ANOMALIES}) t) AS top_customers FROM iso", ctes=ISOLATION_CTES)
+
+_SEGMENT = ["tenure_months", "monthly_charges", "total_charges", "lifetime_value", "avg_order_value", "total_orders",
+            "active_months_6mo", "total_revenue_6mo", "total_support_tickets", "services_count"]
+_KMEANS_CTES, _KMEANS = kmeans_ctes("eng", "customer_id", "lifetime_value", _SEGMENT, range(3, 8))
+ORACLES["kmeans_segments"] = with_base(_KMEANS, ctes=_KMEANS_CTES).replace("WITH", "WITH RECURSIVE", 1)
+
 ORACLES["risk_response"] = with_base(
     f"SELECT customer_id, {npr(f'{_P4} * 100.0::DOUBLE', 1)} AS score, risk_tier AS tier, "
-    f"{_P4} AS churn_probability, {npr('churn_prob', 3)} AS anomaly_score, "
+    f"{_P4} AS churn_probability, {npr('iso.score', 3)} AS anomaly_score, "
     "['Champions', 'Loyal Customers', 'At Risk', 'Hibernating', 'Lost']"
     f"[least(CAST(trunc({_P4} * 5.0::DOUBLE) AS INTEGER), 4) + 1] AS segment, "
     "r.recommendation AS recommendations FROM sc JOIN (SELECT customer_id, recommendation FROM "
-    f"({ORACLES['recommendation']}) x) r USING (customer_id)", scored=True)
-
-ORACLES["dataset_fingerprint"] = """
-WITH t AS (SELECT concat_ws('|',
-    CASE WHEN o_orderkey IS NULL THEN 'n' ELSE 'v' || CAST(o_orderkey AS VARCHAR) END,
-    CASE WHEN o_custkey IS NULL THEN 'n' ELSE 'v' || CAST(o_custkey AS VARCHAR) END,
-    CASE WHEN o_orderstatus IS NULL THEN 'n' ELSE 'v' || o_orderstatus END,
-    CASE WHEN o_totalprice IS NULL THEN 'n' ELSE 'v' || printf('%.2f', o_totalprice) END,
-    CASE WHEN o_orderdate IS NULL THEN 'n' ELSE 'v' || strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END,
-    CASE WHEN o_orderpriority IS NULL THEN 'n' ELSE 'v' || o_orderpriority END) AS text FROM orders),
-h AS (SELECT CAST('0x' || substr(md5(text), 1, 15) AS BIGINT) AS h FROM t)
-SELECT CAST(count(*) AS BIGINT) AS n_rows, bit_xor(h) AS xor_hash, CAST(sum(h % 1000003) AS BIGINT) AS mod_sum_hash FROM h
-"""
+    f"({ORACLES['recommendation']}) x) r USING (customer_id) JOIN iso USING (customer_id)", scored=True, ctes=ISOLATION_CTES)
+
+_ORDER_TEXTS = ["CAST(o_orderkey AS VARCHAR)", "CAST(o_custkey AS VARCHAR)", "o_orderstatus", "printf('%.2f', o_totalprice)",
+                "strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')", "o_orderpriority"]
+_DIGESTS = """t AS (SELECT o_orderdate, concat_ws('|', """ + ", ".join(
+    f"CASE WHEN {t} IS NULL THEN 'n' ELSE CAST(length({t}) AS VARCHAR) || ':' || {t} END" for t in _ORDER_TEXTS) + """) AS text FROM orders),
+h AS (SELECT o_orderdate, CAST('0x' || substr(md5(text), 1, 15) AS BIGINT) AS h FROM t)"""
+_SUMS = "CAST(count(*) AS BIGINT) AS n_rows, bit_xor(h) AS xor_hash, CAST(sum(h % 1000003) AS BIGINT) AS mod_sum_hash"
+
+ORACLES["dataset_fingerprint"] = f"WITH {_DIGESTS} SELECT {_SUMS} FROM h"
+
+ORACLES["partition_digests"] = f"""WITH {_DIGESTS},
+d AS (SELECT year(o_orderdate) AS y, month(o_orderdate) AS m, h FROM h)
+SELECT 2 AS level, CAST(y AS VARCHAR) || '/' || CAST(m AS VARCHAR) AS unit, {_SUMS} FROM d GROUP BY y, m
+UNION ALL SELECT 1, CAST(y AS VARCHAR), {_SUMS} FROM d GROUP BY y
+UNION ALL SELECT 0, '', {_SUMS} FROM d"""
