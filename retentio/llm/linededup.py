@@ -45,7 +45,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import cut, passing, text_key
+from .shared import cut, passing, shared_lists, stored, text_key
 from .text import NOT_ALNUM, batches_of, mix, segments, words
 
 SIMILARITY = 0.8
@@ -56,8 +56,6 @@ BLOCKS, BLOCK_BITS = 4, 20
 LEVEL_BITS, ONCE = 21, 6
 #: Lines of so many words meet by pairs of adjacent words, if the similarity is at least this.
 LONG, LEAST_FOR_PAIRS = 50, 0.6
-#: Address bits of the filter of lists that hold two classes or more.
-FILTER_BITS = 26
 #: Classes of a component that is kept apart.
 LARGE = 64
 #: Word parities of a line: bits of so many longs.
@@ -209,6 +207,18 @@ class Lines:
                     blocks[bit // BLOCK_BITS] |= (2 * votes[:, i] > total).astype(np.int32) << (bit % BLOCK_BITS)
         return blocks
 
+    def block_lists(self, similarity: float) -> pa.ListArray:
+        """The SimHash lists of each line, 32 bits each: block, its number (the last digits) and the
+        line's length class; none for lines too short for an edit."""
+        n = self.last - self.first
+        size = np.floor(np.log(np.maximum(n, 1)) / np.log(1.25)).astype(np.uint64)
+        keys = [mix(b.astype(np.uint64) << np.uint64(32) | size << np.uint64(8) | np.uint64(k)) >> np.uint64(32) & np.uint64(~(BLOCKS - 1) & 0xFFFFFFFF) | np.uint64(k)
+                for k, b in enumerate(self.simhashes())]
+        use = n >= max(1, _one_edit(similarity)[0] - 1)
+        flat = np.stack(keys, 1).astype(np.uint32).view(np.int32)[use].ravel()
+        off = np.concatenate(([0], np.cumsum(use * BLOCKS))).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(off), pa.array(flat))
+
     def left_out(self, similarity: float) -> pa.ListArray:
         """Hashes of each line with each word left out, and of the whole line as such
         a rest, where one edit is allowed; none for other lines."""
@@ -263,8 +273,8 @@ def word_levels(docs: DataFrame, text_col: str) -> np.ndarray:
 
 def line_table(docs: DataFrame, id_col: str, text_col: str, *, more: bool = False, similarity: float = SIMILARITY) -> DataFrame:
     """(doc_id, key, line, h, n, par) of every line with words, ``key`` telling documents apart;
-    with ``more`` also the other parities, ``sim``, ``pre``, its rarest words, and ``rest``, what is
-    left of it without a word."""
+    with ``more`` also the other parities, ``sim``, its SimHash lists, ``pre``, those of its rarest
+    words, and ``rest``, what is left of it without a word."""
     q = docs.select(F.col(id_col).alias("doc_id"), text_key(id_col, text_col).alias("key"), F.col(text_col).cast("string").alias("text"))
     extra = [(c, "long") for c in PARITIES[1:]] + [("sim", "array<int>"), ("pre", "array<int>"), ("rest", "array<long>")]
     kinds = [("line", "int"), ("h", "long"), ("n", "int"), ("par", "long")] + extra * more
@@ -280,8 +290,7 @@ def line_table(docs: DataFrame, id_col: str, text_col: str, *, more: bool = Fals
                 out = [part.column(0).take(at), part.column(1).take(at), pa.array(lines.number.astype(np.int32)), pa.array(lines.hashes()),
                        pa.array((lines.last - lines.first).astype(np.int32)), par[0]]
                 if more:
-                    sim = pa.ListArray.from_arrays(pa.array(np.arange(len(lines) + 1, dtype=np.int32) * BLOCKS), pa.array(np.stack(lines.simhashes(), 1).ravel()))
-                    out += [*par[1:], sim, lines.prefixes(shared.value, similarity), lines.left_out(similarity)]
+                    out += [*par[1:], lines.block_lists(similarity), lines.prefixes(shared.value, similarity), lines.left_out(similarity)]
                 yield pa.RecordBatch.from_arrays(out, names=["doc_id", "key", *[c for c, _ in kinds]])
 
     return q.mapInArrow(one, schema)
@@ -312,14 +321,15 @@ def _ends(pairs: DataFrame) -> DataFrame:
 
 def _likely(pairs: DataFrame, classes: DataFrame, similarity: float) -> DataFrame:
     """The pairs that lengths and word parities allow."""
-    shape = classes.select("h", "n", *PARITIES)
+    shape = cut(passing(classes.select("h", "n", *PARITIES), _ends(pairs), "h"))
     return (pairs.join(_suffixed(shape, "_a"), F.col("a") == F.col("h_a")).join(_suffixed(shape, "_b"), F.col("b") == F.col("h_b"))
             .where(_possible(similarity)).select("a", "b"))
 
 
 def _near(q: DataFrame, docs: DataFrame, classes: DataFrame, similarity: float, id_col: str, text_col: str) -> DataFrame:
     """The pairs whose word-level edit similarity is high enough."""
-    nodes = cut(_ends(q).join(classes.select("h", "first.key", "first.line"), "h"))
+    ends = _ends(q)
+    nodes = cut(passing(classes.select("h", "key", "line"), ends, "h").join(ends, "h"))
     codes = cut(_codes(docs, nodes, id_col, text_col))
     q = q.join(_suffixed(codes, "_1"), F.col("a") == F.col("h_1")).join(_suffixed(codes, "_2"), F.col("b") == F.col("h_2"))
     q = q.withColumn("most", F.floor(F.greatest(F.length("code_1"), F.length("code_2")) * F.lit(1 - similarity) + 1e-9).cast("int"))
@@ -345,18 +355,15 @@ def _codes(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str) -> Dat
     return q.mapInArrow(one, "h long, code string").dropDuplicates(["h"])
 
 
-def simhash_pairs(classes: DataFrame, similarity: float) -> DataFrame:
+def simhash_pairs(classes: DataFrame) -> DataFrame:
     """Candidates (a, b): classes of a length class that share a SimHash block, with its list's leader.
 
     The leader is the least id in an order of the block's own, so a group meets several leaders.
     """
-    size = F.floor(F.log(F.col("n").cast("double")) / float(np.log(1.25)))
     digits = F.lit(BLOCKS - 1)
-    order = F.get(F.array(*[F.lit(x).cast("long") for x in _ORDERS]), F.col("list").bitwiseAND(digits).cast("int"))
-    least = _one_edit(similarity)[0]
-    entries = classes.where(F.col("n") >= max(1, least - 1)).select(F.posexplode("sim").alias("k", "block"), "h", size.alias("size"))
-    entries = (entries.select(F.xxhash64("k", "block", "size").bitwiseAND(F.lit(-BLOCKS)).bitwiseOR(F.col("k")).alias("list"), "h")
-               .select("list", F.col("h").bitwiseXOR(order).alias("turned")))
+    order = F.get(F.array(*[F.lit(x).cast("long") for x in _ORDERS]), F.col("list").bitwiseAND(digits))
+    entries = cut(shared_lists(classes.select("h", "sim"), "sim").select(F.explode("sim").alias("list"), "h")
+                  .select("list", F.col("h").bitwiseXOR(order).alias("turned")))
     lead = entries.groupBy("list").agg(F.min("turned").alias("first"), F.max("turned").alias("last")).where("first < last").select("list", "first")
     return _pairs(entries.join(lead, "list").where("turned <> first")
                   .select(F.col("first").bitwiseXOR(order).alias("h_a"), F.col("turned").bitwiseXOR(order).alias("h_b")))
@@ -369,40 +376,16 @@ def one_word_apart(classes: DataFrame) -> DataFrame:
     return entries.join(least, "list").where("a < h").select("a", F.col("h").alias("b")).distinct()
 
 
-def _shared_lists(classes: DataFrame) -> DataFrame:
-    """``classes`` without the entries of lists that hold one class, by a filter of fixed size."""
-    q = classes.where(F.size("pre") > 0).select("h", "n", *PARITIES, "pre")
-    mask = (1 << FILTER_BITS) - 1
-    lists = q.select(F.explode("pre").alias("list")).groupBy("list").agg(F.count("*").alias("m")).where("m > 1")
-    at = F.col("list").bitwiseAND(F.lit(mask))
-    rows = (lists.select(F.shiftright(at, 6).alias("w"), at.bitwiseAND(F.lit(63)).alias("k")).groupBy("w")
-            .agg(F.bit_or(F.expr("shiftleft(1L, k)")).alias("v")).toArrow())
-    bits = np.zeros(1 << (FILTER_BITS - 6), np.int64)
-    bits[rows.column(0).to_numpy()] = rows.column(1).to_numpy()
-    shared = classes.sparkSession.sparkContext.broadcast(bits)
-
-    def one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = shared.value
-        for batch in batches:
-            lists = batch.column(batch.num_columns - 1)
-            x, off = lists.flatten().to_numpy().astype(np.int64) & mask, np.concatenate(([0], np.cumsum(lists.value_lengths().to_numpy())))
-            ok = (table[x >> 6] >> (x & 63) & 1).astype(bool)
-            kept = np.concatenate(([0], np.cumsum(ok)))[off].astype(np.int32)
-            pre = pa.ListArray.from_arrays(pa.array(kept), lists.flatten().filter(pa.array(ok)))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pre], names=batch.schema.names)
-
-    return q.mapInArrow(one, q.schema)
-
-
 def rare_word_pairs(classes: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
     """Candidates (a, b) of different roots that share one of their rarest words."""
     two = _one_edit(similarity)[1]
     shape = ["h", "n", *PARITIES]
     large = roots.groupBy("root").agg(F.count("*").alias("size")).where(F.col("size") >= LARGE).select(F.col("root").alias("large"))
-    held = (_shared_lists(classes).where(F.size("pre") > 0).join(roots, F.col("h") == F.col("node"), "left")
-            .join(large, F.col("root") == F.col("large"), "left"))
-    # Written once, so the two sides of the joins below share one shuffle.
-    held = cut(held.select(*shape, "pre", F.coalesce("root", "h").alias("root"), F.col("large").isNotNull().alias("large")))
+    # Written once, so the sides of the joins below share what they read.
+    held = stored(shared_lists(classes.select(*shape, "pre"), "pre", roots.select(F.col("node").alias("h"))))
+    known = (held.where("maybe").join(roots, F.col("h") == F.col("node"), "left").join(large, F.col("root") == F.col("large"), "left")
+             .select(*shape, "pre", F.coalesce("root", "h").alias("root"), F.col("large").isNotNull().alias("large")))
+    held = held.where("not maybe").select(*shape, "pre", F.col("h").alias("root"), F.lit(False).alias("large")).unionByName(cut(known))
     marked = held.select(F.explode("pre").alias("list"), *shape, "root", "large")
 
     def met(a: DataFrame, b: DataFrame, *more: Column) -> DataFrame:
@@ -425,13 +408,12 @@ def line_groups(docs: DataFrame, *, similarity: float = SIMILARITY, id_col: str
     (key, line) that stays of its group."""
     lines = line_table(docs, id_col, text_col)
     table = line_table(docs, id_col, text_col, more=True, similarity=similarity)
-    place = [F.col("doc_id").isNull().alias("none"), "doc_id", "key", "line"]
-    held = [*PARITIES[1:], "sim", "pre", "rest"]
+    place, held = ["none", "doc_id", "key", "line"], [*PARITIES[1:], "sim", "pre", "rest"]
+    table = table.withColumn("none", F.col("doc_id").isNull())
     classes = table.groupBy(*CLASS).agg(F.min(F.struct(*place, *held)).alias("x"), F.count("*").alias("c"))
-    classes = cut(classes.select(*CLASS, F.struct(*[F.col(f"x.{c}").alias(c) for c in ("none", "doc_id", "key", "line")]).alias("first"),
-                                 *[F.col(f"x.{c}").alias(c) for c in held], "c"))
+    classes = stored(classes.select(*CLASS, *[F.col(f"x.{c}").alias(c) for c in place + held], "c"))
     if similarity < 1:
-        links = _near(cut(_likely(simhash_pairs(classes, similarity), classes, similarity)), docs, classes, similarity, id_col, text_col)
+        links = _near(cut(_likely(cut(simhash_pairs(classes)), classes, similarity)), docs, classes, similarity, id_col, text_col)
         roots = cut(components(cut(links.unionByName(one_word_apart(classes)))))
         more = _near(cut(rare_word_pairs(classes, roots, similarity)), docs, classes, similarity, id_col, text_col)
         r = lambda s: _suffixed(roots, s)
@@ -443,18 +425,20 @@ def line_groups(docs: DataFrame, *, similarity: float = SIMILARITY, id_col: str
                  .unionByName(top.join(roots.select("node"), "node", "left_anti")))
     else:
         roots = classes.where("false").select(F.col("h").alias("node"), F.col("h").alias("root"))
-    grouped = classes.join(roots, F.col("h") == F.col("node"), "left").where("c > 1 or node is not null")
-    grouped = grouped.select(*CLASS, "first", F.coalesce("root", "h").alias("root"), F.col("node").isNotNull().alias("fuzzy"))
-    keep = grouped.where("fuzzy").groupBy("root").agg(F.min("first").alias("keep"))
-    near = grouped.where("fuzzy").join(keep, "root").select(*CLASS, "root", "keep")
-    alone = grouped.where("not fuzzy").select(*CLASS, "root", F.col("first").alias("keep"))
+    slim = classes.select(*CLASS, F.struct(*place).alias("first"), "c")
+    roots = cut(roots)
+    near = cut(passing(slim, roots.select(F.col("node").alias("h")), "h").join(roots, F.col("h") == F.col("node")).drop("node", "c"))
+    keep = near.groupBy("root").agg(F.min("first").alias("keep"))
+    near = near.join(keep, "root").select(*CLASS, "root", "keep")
+    alone = slim.where("c > 1").join(roots, F.col("h") == F.col("node"), "left_anti").select(*CLASS, F.col("h").alias("root"), F.col("first").alias("keep"))
     return lines, near.unionByName(alone).withColumn("keep", F.struct("keep.key", "keep.line"))
 
 
 def dropped_lines(docs: DataFrame, **options) -> DataFrame:
     """(doc_id, key, lines): numbers of the lines to drop, of documents with any."""
     lines, groups = line_groups(docs, **options)
-    gone = lines.join(groups, list(CLASS)).where(F.struct("key", "line") != F.col("keep"))
+    groups = cut(groups)
+    gone = passing(lines, groups, "h").join(groups, list(CLASS)).where(F.struct("key", "line") != F.col("keep"))
     return gone.groupBy("key").agg(F.first("doc_id").alias("doc_id"), F.array_sort(F.collect_set("line")).alias("lines")).select("doc_id", "key", "lines")
 
 

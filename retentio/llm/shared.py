@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -9,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, scratch_path
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -18,6 +19,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Write the frame as a Parquet table in the shared checkpoint folder and go on from
+    there: for wide frames of which later steps read a few columns each."""
+    path = scratch_path(df.sparkSession, f"tables/{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def held_out(id_col: str = "doc_id"):
     """Rows whose labels are never learnt from: crc32 of the id mod 4 is 2."""
     return F.coalesce(F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
@@ -32,6 +41,24 @@ def text_key(id_col: str, text_col: str):
     return F.xxhash64(F.col(id_col), F.col(text_col).cast("string"))
 
 
+def _bitmap(ids: DataFrame, at) -> np.ndarray:
+    """Bits at the addresses ``at`` (below 2 ** FILTER_BITS) of all rows, summed in Spark."""
+    words = (ids.select(at.cast("long").alias("h")).where("h is not null")
+             .select(F.shiftright("h", 6).alias("w"), F.col("h").bitwiseAND(F.lit(63)).cast("int").alias("k"))
+             .groupBy("w").agg(F.bit_or(F.expr("shiftleft(1L, k)")).alias("v")).toArrow())
+    bits = np.zeros(1 << (FILTER_BITS - 6), np.int64)
+    bits[words.column(0).to_numpy()] = words.column(1).to_numpy()
+    return bits
+
+
+def _held(bits: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return (bits[at >> 6] >> (at & 63) & 1).astype(bool)
+
+
+def _address(col: str):
+    return F.pmod(F.xxhash64(F.lit("filter"), F.col(col)), F.lit(1 << FILTER_BITS))
+
+
 def passing(df: DataFrame, ids: DataFrame, col: str, *, once: bool = False) -> DataFrame:
     """The rows of ``df`` whose ``col`` may be among those of ``ids``.
 
@@ -40,22 +67,15 @@ def passing(df: DataFrame, ids: DataFrame, col: str, *, once: bool = False) -> D
     which must follow.  Null ids are left out.  With ``once`` a task lets the
     first row of a hashed id pass only, so copies of a row don't meet in a join.
     """
-    h = F.pmod(F.xxhash64(F.lit("filter"), F.col(col)), F.lit(1 << FILTER_BITS))
-    words = (ids.where(F.col(col).isNotNull()).select(h.alias("h"))
-             .select(F.shiftright("h", 6).alias("w"), F.col("h").bitwiseAND(F.lit(63)).cast("int").alias("k"))
-             .groupBy("w").agg(F.bit_or(F.expr("shiftleft(1L, k)")).alias("v")).toArrow())
-    bits = np.zeros(1 << (FILTER_BITS - 6), np.int64)
-    bits[words.column(0).to_numpy()] = words.column(1).to_numpy()
-    shared = df.sparkSession.sparkContext.broadcast(bits)
+    shared = df.sparkSession.sparkContext.broadcast(_bitmap(ids.where(F.col(col).isNotNull()), _address(col)))
     whole = F.xxhash64(F.lit("once"), F.col(col))
-    q = df.where(F.col(col).isNotNull()).withColumn("_h", h).withColumn("_w", whole)
+    q = df.where(F.col(col).isNotNull()).withColumn("_h", _address(col)).withColumn("_w", whole)
     schema = q.schema
 
     def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, seen = shared.value, set()
         for batch in batches:
-            x = batch.column(batch.num_columns - 2).to_numpy()
-            ok = (table[x >> 6] >> (x & 63) & 1).astype(bool)
+            ok = _held(table, batch.column(batch.num_columns - 2).to_numpy())
             if once:
                 whole = batch.column(batch.num_columns - 1).to_numpy()
                 for k in np.flatnonzero(ok).tolist():
@@ -67,3 +87,37 @@ def passing(df: DataFrame, ids: DataFrame, col: str, *, once: bool = False) -> D
             yield batch.filter(pa.array(ok))
 
     return q.mapInArrow(test, schema).drop("_h", "_w")
+
+
+def shared_lists(df: DataFrame, lists: str, nodes: DataFrame | None = None, col: str = "h") -> DataFrame:
+    """``df`` with the array column ``lists`` (32-bit list numbers) cut down to lists that more than one
+    row holds; a filter of fixed size, so others may stay.
+
+    With ``nodes`` a column ``maybe`` tells whether ``col`` may be among theirs (surely not, if
+    false): the other rows need no join with them.
+    """
+    mask = (1 << FILTER_BITS) - 1
+    more = df.select(F.explode(lists).alias("list")).groupBy("list").agg(F.count("*").alias("m")).where("m > 1")
+    spark = df.sparkSession
+    bits = _bitmap(more, F.col("list").bitwiseAND(F.lit(mask)))
+    known = None if nodes is None else _bitmap(nodes, _address(col))
+    held = spark.sparkContext.broadcast((bits, known))
+    q = df.withColumn("_a", F.lit(0).cast("long") if nodes is None else _address(col))
+    schema = df.withColumn("maybe", F.lit(False)).schema
+    at = df.columns.index(lists)
+
+    def one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits, known = held.value
+        for batch in batches:
+            column = batch.column(at)
+            flat = column.flatten()
+            ok = _held(bits, flat.to_numpy(zero_copy_only=False).astype(np.int64) & mask)
+            off = np.concatenate(([0], np.cumsum(column.value_lengths().fill_null(0).to_numpy())))
+            kept = np.concatenate(([0], np.cumsum(ok)))[off].astype(np.int32)
+            out = list(batch.columns[:-1])
+            out[at] = pa.ListArray.from_arrays(pa.array(kept), flat.filter(pa.array(ok)))
+            address = batch.column(batch.num_columns - 1).to_numpy()
+            maybe = np.ones(len(address), bool) if known is None else _held(known, address)
+            yield pa.RecordBatch.from_arrays([*out, pa.array(maybe)], names=schema.names)
+
+    return q.mapInArrow(one, schema).where(F.size(lists) > 0)

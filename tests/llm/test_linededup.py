@@ -45,7 +45,7 @@ def test_large_components_are_compared_with_others(spark, monkeypatch):
     want = brute.dropped_lines(docs, 0.8)
     monkeypatch.setattr(L, "LARGE", 2)
     assert dropped(spark, docs) == want
-    monkeypatch.setattr(L, "simhash_pairs", lambda classes, similarity: classes.where("false").selectExpr("h a", "h b"))
+    monkeypatch.setattr(L, "simhash_pairs", lambda classes: classes.where("false").selectExpr("h a", "h b"))
     assert dropped(spark, docs) == want  # the exact lists alone find as much
 
 
@@ -72,7 +72,7 @@ def test_simhash_blocks_bring_near_lines_together(spark):
         docs += [(2 * k, " ".join(x)), (2 * k + 1, " ".join(y))]
     frame = spark.createDataFrame(docs, "doc_id long, text string")
     classes = L.line_table(frame, "doc_id", "text", more=True).withColumn("c", F.lit(1))
-    assert L.simhash_pairs(classes, 0.8).count() >= 25
+    assert L.simhash_pairs(classes).count() >= 25
 
 
 @pytest.mark.parametrize("similarity", [0.6, 0.8, 0.9])
