@@ -23,9 +23,14 @@ link where 100 * intersection >= ``percent`` * union.
 5. What is left is pruned by bucket counts of the sets and then compared in
    full.
 
-No list is ever put into one task whole: leaders are least values (summed
-map-side), and joins on a list's key may be split.  Rows that repeat an id are
-documents of their own.  An empty table gives an empty result.
+No list is ever put into one task whole: sizes and leaders are counts and least values
+(summed map-side), and joins on a list's key may be split.  A shingle that no chunk
+holds twice is not known to be frequent, however many chunks hold it once; of N
+documents dealt at random, M to a chunk, that leaves lists of up to about
+sqrt(8 N / M) in the rare part.  They cost comparisons, not results.
+
+Rows are told apart by id and text, so rows that repeat an id are documents of their
+own and null ids are compared as others are.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -34,11 +39,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import cut, passing
+from .shared import cut, passing, stored, text_key
 from .text import batches_of, mix, words
 
 SHINGLE = 4
@@ -134,12 +139,12 @@ class _Frequency:
 
 
 def _sets(docs: DataFrame, id_col: str, text_col: str, size: int, percent: int) -> DataFrame:
-    """(doc_id, n, sid, sketch, rare, common) of every document: its set's size,
+    """(doc_id, key, n, sid, sketch, rare, common) of every document: its set's size,
     id and bucket counts, and the prefix in two parts, the shingles known to
     be frequent last."""
     shared = docs.sparkSession.sparkContext.broadcast(_frequent(docs, text_col, size))
-    q = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    schema = q.select("doc_id", F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("sid"),
+    q = docs.select(F.col(id_col).alias("doc_id"), text_key(id_col, text_col).alias("key"), F.col(text_col).cast("string").alias("text"))
+    schema = q.select("doc_id", "key", F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("sid"),
                       F.array().cast("array<int>").alias("sketch"),
                       *[F.array().cast("array<long>").alias(c) for c in ("rare", "common")]).schema
 
@@ -161,29 +166,31 @@ def _sets(docs: DataFrame, id_col: str, text_col: str, size: int, percent: int)
                     common.append(s[order[r:]])
                 kind = pa.list_(pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(n, pa.int64()), pa.array(sid, pa.int64()), pa.array(sketch, pa.list_(pa.int32())),
-                     pa.array(rare, kind), pa.array(common, kind)], names=["doc_id", "n", "sid", "sketch", "rare", "common"])
+                    [part.column(0), part.column(1), pa.array(n, pa.int64()), pa.array(sid, pa.int64()), pa.array(sketch, pa.list_(pa.int32())),
+                     pa.array(rare, kind), pa.array(common, kind)], names=["doc_id", "key", "n", "sid", "sketch", "rare", "common"])
 
-    return cut(q.mapInArrow(one, schema))
+    return stored(q.mapInArrow(one, schema))
 
 
-def _postings(sets: DataFrame, percent: int) -> DataFrame:
+def _classes(sets: DataFrame) -> DataFrame:
+    """(sid, n, doc_id, key, sketch, rare, common) of each different set, from its document of least id (null last)."""
+    held = ["doc_id", "key", "sketch", "rare", "common"]
+    q = sets.where("n > 0").groupBy("sid", "n").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), *held)).alias("x"))
+    return stored(q.select("sid", "n", *[F.col(f"x.{c}").alias(c) for c in held]))
+
+
+def _postings(classes: DataFrame, percent: int) -> DataFrame:
     """Entries (token, blk, n, pos, sid) of the lists that hold two sets or more."""
-    # Equal sets have equal entries; those of frequent shingles become one in
-    # distinct(), most of them before anything is shuffled.
     blk = F.floor(F.log(F.col("n").cast("double")) / float(-np.log(percent / 100))).cast("int")
-    rare = sets.select("sid", "n", F.posexplode("rare").alias("pos", "token"))
-    common = sets.select("sid", "n", F.size("rare").alias("r"), F.posexplode("common").alias("p", "token"))
-    # Shingles counted as frequent are in several sets; of the others, lists
-    # of one set (nearly all) are dropped, in one shuffle.  A shingle that
-    # is in a large part of the documents is frequent, so no such list is long.
-    by_set = Window.partitionBy("token").orderBy("sid")
-    whole = by_set.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    shared = (rare.withColumn("new", F.coalesce(F.lag("sid").over(by_set) != F.col("sid"), F.lit(True)))
-              .withColumn("m", F.sum(F.col("new").cast("int")).over(whole)).where("new and m > 1")
-              .select("token", "sid", "n", "pos", F.when(F.col("m") > 2, blk).otherwise(F.lit(PAIR)).alias("blk")))
-    common = common.select("token", "sid", "n", (F.col("r") + F.col("p")).alias("pos"), blk.alias("blk")).distinct()
-    return cut(shared.unionByName(common))
+    rare = classes.select("sid", "n", F.posexplode("rare").alias("pos", "token"))
+    common = classes.select("sid", "n", F.size("rare").alias("r"), F.posexplode("common").alias("p", "token"))
+    # Shingles counted as frequent are in several sets; of the others, lists of one set
+    # (nearly all) are dropped by a filter before the entries are shuffled.
+    lists = cut(rare.groupBy("token").agg(F.count("*").alias("m")).where("m > 1"))
+    shared = passing(rare, lists, "token").join(lists, "token").select(
+        "token", "sid", "n", "pos", F.when(F.col("m") > 2, blk).otherwise(F.lit(PAIR)).alias("blk"))
+    common = common.select("token", "sid", "n", (F.col("r") + F.col("p")).alias("pos"), blk.alias("blk"))
+    return stored(shared.unionByName(common))
 
 
 def _needed(na: Column, nb: Column, percent: int) -> Column:
@@ -212,10 +219,10 @@ def _suffixed(df: DataFrame, suffix: str) -> DataFrame:
     return df.toDF(*[c + suffix for c in df.columns])
 
 
-def _pruned(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _pruned(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """The pairs whose bucket counts leave room for the overlap they need."""
     both = pairs.select("a").unionByName(pairs.select(F.col("b").alias("a"))).distinct()
-    counts = passing(sets.select("sid", "sketch"), both.withColumnRenamed("a", "sid"), "sid").dropDuplicates(["sid"])
+    counts = passing(classes.select("sid", "sketch"), both.withColumnRenamed("a", "sid"), "sid")
     p = (pairs.join(_suffixed(counts, "_1"), F.col("a") == F.col("sid_1"))
          .join(_suffixed(counts, "_2"), F.col("b") == F.col("sid_2")))
     most = F.aggregate(F.zip_with("sketch_1", "sketch_2", lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
@@ -223,13 +230,13 @@ def _pruned(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _full_sets(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
-    """(sid, set) of the nodes (sid, doc_id).
+    """(sid, set) of the nodes (sid, key).
 
-    Only texts whose ids pass a filter reach the join, so little text is
-    shuffled; the join is exact.  Repeated rows give repeated sets.
+    Only texts whose keys pass a filter reach the join, once a task, so little text
+    is shuffled; the join is exact.
     """
-    kept = passing(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")), nodes, "doc_id")
-    pairs = nodes.select("doc_id", "sid").join(kept, "doc_id").select("sid", "text")
+    q = docs.select(text_key(id_col, text_col).alias("key"), F.col(text_col).cast("string").alias("text"))
+    pairs = passing(q, nodes, "key", once=True).join(nodes, "key").select("sid", "text")
 
     def one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -242,14 +249,14 @@ def _full_sets(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, si
                         sets.append(s.view(np.int64))
                 yield pa.RecordBatch.from_arrays([pa.array(sid, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], names=["sid", "set"])
 
-    return cut(pairs.mapInArrow(one, "sid long, set array<long>"))
+    return cut(pairs.mapInArrow(one, "sid long, set array<long>").dropDuplicates(["sid"]))
 
 
 def _overlaps(pairs: DataFrame, full: DataFrame) -> DataFrame:
     """``pairs`` with their overlap ``i``."""
     return (pairs.join(_suffixed(full, "_1"), F.col("a") == F.col("sid_1"))
             .join(_suffixed(full, "_2"), F.col("b") == F.col("sid_2"))
-            .withColumn("i", F.size(F.array_intersect("set_1", "set_2")).cast("long")).select(*pairs.columns, "i").distinct())
+            .withColumn("i", F.size(F.array_intersect("set_1", "set_2")).cast("long")).select(*pairs.columns, "i"))
 
 
 def _links(overlaps: DataFrame, percent: int) -> DataFrame:
@@ -263,14 +270,20 @@ def groups(docs: DataFrame, *, shingle: int = SHINGLE, percent: int = PERCENT, i
     ``component_id`` is the least id reachable by links, the row's own id for
     empty sets.  A null id counts only where its component has no other.
     """
+    rows = _rows(docs, shingle, percent, id_col, text_col)
+    return rows.select(F.col("doc_id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
+
+
+def _rows(docs: DataFrame, shingle: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, key, n, component_id) of every row."""
     sets = _sets(docs, id_col, text_col, shingle, percent)
-    entries = _postings(sets, percent)
-    first = cut(sets.where("n > 0").groupBy("sid", "n").agg(F.min("doc_id").alias("doc_id")))
+    first = _classes(sets)
+    entries = _postings(first, percent)
 
     def overlaps(pairs: DataFrame) -> DataFrame:
-        pairs = _pruned(pairs, sets, percent)
+        pairs = _pruned(pairs, first, percent)
         both = pairs.select("a").unionByName(pairs.select(F.col("b").alias("a"))).distinct()
-        nodes = first.join(both, F.col("sid") == F.col("a")).select("sid", "doc_id")
+        nodes = cut(passing(first.select("sid", "key"), both.withColumnRenamed("a", "sid"), "sid").join(both, F.col("sid") == F.col("a")).select("sid", "key"))
         return _overlaps(pairs, _full_sets(docs, nodes, id_col, text_col, shingle))
 
     # Leaders: the entry of least position in each block of each list.
@@ -298,13 +311,19 @@ def groups(docs: DataFrame, *, shingle: int = SHINGLE, percent: int = PERCENT, i
               .select(F.coalesce("root_1", "a").alias("a"), F.coalesce("root_2", "b").alias("b")))
     top = components(second)
 
-    classes = (first.join(roots, F.col("sid") == F.col("node"), "left").withColumn("r", F.coalesce("root", "sid")).drop("node", "root")
-               .join(top, F.col("r") == F.col("node"), "left").withColumn("r", F.coalesce("root", "r")).select("sid", "n", "doc_id", "r"))
+    top = cut(top)
+    # Sets without links are components of their own; few others meet the roots.
+    linked = (roots.withColumn("r", F.col("root")).drop("root").unionByName(top.join(roots.select("node"), "node", "left_anti").select("node", F.col("node").alias("r")))
+              .join(top.withColumnsRenamed({"node": "_t"}), F.col("r") == F.col("_t"), "left").select("node", F.coalesce("root", "r").alias("r")))
+    linked = cut(linked)
+    classes = (passing(first.select("sid", "n", "doc_id"), linked.select(F.col("node").alias("sid")), "sid")
+               .join(linked, F.col("sid") == F.col("node")).select("sid", "n", "doc_id", "r"))
     least = classes.groupBy("r").agg(F.min("doc_id").alias("component_id"))
-    classes = classes.join(least, "r").select(F.col("sid").alias("_sid"), F.col("n").alias("_n"), "component_id")
-    out = sets.select("doc_id", "n", "sid").join(classes, (F.col("sid") == F.col("_sid")) & (F.col("n") == F.col("_n")), "left")
-    return out.select(F.col("doc_id").alias(id_col), F.col("n").alias("n_shingles"),
-                      F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    classes = classes.join(least, "r").select("sid", "n", "component_id")
+    alone = first.select("sid", "n", "doc_id").join(linked, F.col("sid") == F.col("node"), "left_anti").select("sid", "n", F.col("doc_id").alias("component_id"))
+    named = classes.unionByName(alone).select(F.col("sid").alias("_sid"), F.col("n").alias("_n"), "component_id")
+    out = sets.select("doc_id", "key", "n", "sid").join(named, (F.col("sid") == F.col("_sid")) & (F.col("n") == F.col("_n")), "left")
+    return out.select("doc_id", "key", "n", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
 def _derive(pairs: DataFrame, answers: DataFrame, percent: int) -> DataFrame:
@@ -332,8 +351,9 @@ def keep_one(docs: DataFrame, *, shingle: int = 5, percent: int = 80, id_col: st
              text_col: str = "text") -> DataFrame:
     """One document of each group of linked documents: the least id.
 
-    Rows with an empty set stay, and so do all rows that repeat a kept id.
+    Rows are told apart by id and text: repeats of a kept row stay, as do rows
+    with an empty set; of a component without ids all rows stay.
     """
-    g = groups(docs, shingle=shingle, percent=percent, id_col=id_col, text_col=text_col)
-    gone = (g.where(~F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("_gone")).distinct())
-    return docs.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")
+    rows = _rows(docs, shingle, percent, id_col, text_col)
+    gone = rows.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("key").alias("_near_copy")).distinct()
+    return docs.join(gone, text_key(id_col, text_col) == gone["_near_copy"], "left_anti")

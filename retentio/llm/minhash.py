@@ -276,4 +276,4 @@ def dedup(docs: DataFrame, *, shingle: int = 5, percent: int = 80, id_col: str =
     as do documents without words; of a component without ids all rows stay.
     """
     gone = _rows(docs, shingle, percent, id_col, text_col).where("not kept").select(F.col("key").alias("_near_copy")).distinct()
-    return docs.join(gone, text_key(id_col, text_col) == F.col("_near_copy"), "left_anti")
+    return docs.join(gone, text_key(id_col, text_col) == gone["_near_copy"], "left_anti")

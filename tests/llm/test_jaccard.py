@@ -62,3 +62,31 @@ def test_keep_one(spark):
     want = {c for _, c in brute.jaccard_groups(docs, 5, 80).values()} | {999}
     assert kept.columns == frame.columns
     assert sorted(r.doc_id for r in kept.collect()) == sorted(want)
+
+
+def test_links_through_a_null_id(spark):
+    """A text that only a row without id has still joins its neighbours."""
+    words = [f"w{k}" for k in range(120)]
+    docs = [(5, " ".join(words[:90])), (None, " ".join(words[5:95])), (2, " ".join(words[10:100])), (3, " ".join(words[60:]))]
+    got = jaccard.groups(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert {r.doc_id: r.component_id for r in got.collect()} == {5: 2, None: 2, 2: 2, 3: 3}
+
+
+def test_keep_one_tells_rows_apart(spark):
+    """Repeated ids lose only the row that is a copy; columns may have any name."""
+    docs = [(1, "a b c d e f g"), (14, "one two three four five six"), (14, "a b c d e f g"), (None, "a b c d e f g"), (20, "x")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").selectExpr("*", "1 _gone", "2 _near_copy", "3 sid", "4 key", "5 _h")
+    out = jaccard.keep_one(frame)
+    assert out.schema == frame.schema
+    assert sorted((r.doc_id, r.text) for r in out.collect()) == [(1, "a b c d e f g"), (14, "one two three four five six"), (20, "x")]
+
+
+def test_passage_once_in_every_chunk(spark, monkeypatch):
+    """A passage that no chunk holds twice is not known as frequent; its long list gives the same groups."""
+    monkeypatch.setattr(jaccard, "CHUNK", 1)
+    rng = random.Random(8)
+    shared = " ".join(f"s{k}" for k in range(30))
+    docs = [(k, shared + " " + " ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(rng.randint(20, 30)))) for k in range(150)]
+    docs += [(1000 + k, docs[k][1] + " more") for k in range(0, 150, 10)]
+    got = jaccard.groups(spark.createDataFrame(docs, "doc_id long, text string").repartition(40))
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == brute.jaccard_groups(docs, 4, 85)
