@@ -110,6 +110,16 @@ def _rarest(token: np.ndarray, level: np.ndarray, of: np.ndarray, most: np.ndarr
     return short[order][use].view(np.int32), line[use]
 
 
+def _length_class(n: np.ndarray) -> np.ndarray:
+    """Doublings of the length, 0 from ``LONG`` words on."""
+    return np.floor(np.log2(np.maximum(n, 1) / LONG)).astype(np.int64)
+
+
+def _in_class(token: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """List numbers of tokens among lines of a length class."""
+    return (mix(token.view(np.uint32).astype(np.uint64) << np.uint64(8) ^ (size + 64).astype(np.uint64)) >> np.uint64(32)).astype(np.uint32).view(np.int32)
+
+
 class Lines:
     """Lines with words of a slice of texts."""
 
@@ -165,8 +175,8 @@ class Lines:
         whose longest near ones allow one edit or none post nothing.
         """
         h, at, line, n = self._words()
-        if not len(n):
-            return pa.array([], pa.list_(pa.int32()))
+        if not len(n) or similarity <= 0:
+            return pa.array([[]] * len(n), pa.list_(pa.int32()))
         of = np.repeat(np.arange(len(n)), n)
         level = levels[h >> np.uint64(64 - LEVEL_BITS)]
         allowed = np.floor(n * (1 - similarity) + 1e-9).astype(np.int64)
@@ -180,7 +190,17 @@ class Lines:
             # An edit spoils two pairs; one more is posted for partners of other lengths.
             pair = mix(h[k] * _PLACE ^ h[k + 1] + _LENGTH)
             out.append(_rarest(_numbered(pair, of[k]), np.minimum(level[k], level[k + 1]), of[k], 2 * allowed + 2))
-        token, where = (np.concatenate(x) for x in zip(*out))
+        # Lists are split by length class: a line posts to its own and to those of longer partners.
+        longest = np.floor(n / similarity + 1e-9).astype(np.int64)
+        first = _length_class(n)
+        spans = [(first, _length_class(np.minimum(longest, LONG - 1) if pairs else longest)), (np.maximum(first, 0), _length_class(longest))]
+        token, where = [], []
+        for (t, of_line), (low, high) in zip(out, spans):
+            for k in range(int((high - low).max(initial=-1)) + 1):
+                use = low[of_line] + k <= high[of_line]
+                where.append(of_line[use])
+                token.append(_in_class(t[use], low[of_line[use]] + k))
+        token, where = np.concatenate(token), np.concatenate(where)
         order = np.argsort(where, kind="stable")
         off = np.concatenate(([0], np.cumsum(np.bincount(where, minlength=len(n)))))
         return pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), pa.array(token[order]))
@@ -384,13 +404,14 @@ def rare_word_pairs(classes: DataFrame, roots: DataFrame, similarity: float) ->
     # Written once, so the sides of the joins below share what they read.
     held = stored(shared_lists(classes.select(*shape, "pre"), "pre", roots.select(F.col("node").alias("h"))))
     known = (held.where("maybe").join(roots, F.col("h") == F.col("node"), "left").join(large, F.col("root") == F.col("large"), "left")
-             .select(*shape, "pre", F.coalesce("root", "h").alias("root"), F.col("large").isNotNull().alias("large")))
-    held = held.where("not maybe").select(*shape, "pre", F.col("h").alias("root"), F.lit(False).alias("large")).unionByName(cut(known))
+             .select(*shape, "pre", "root", F.col("large").isNotNull().alias("large")))
+    # Classes that are linked with none have no root.
+    held = held.where("not maybe").select(*shape, "pre", F.lit(None).cast("long").alias("root"), F.lit(False).alias("large")).unionByName(cut(known))
     marked = held.select(F.explode("pre").alias("list"), *shape, "root", "large")
 
     def met(a: DataFrame, b: DataFrame, *more: Column) -> DataFrame:
-        ok = (F.col("list_a") == F.col("list_b")) & (F.col("root_a") != F.col("root_b")) & (F.greatest("n_a", "n_b") >= two)
-        for x in (*more, _possible(similarity)):
+        ok = (F.col("list_a") == F.col("list_b")) & (F.greatest("n_a", "n_b") >= two)
+        for x in (*more, F.coalesce(F.col("root_a") != F.col("root_b"), F.lit(True)), _possible(similarity)):
             ok = ok & x
         return _pairs(_suffixed(a, "_a").join(_suffixed(b, "_b"), ok))
 
