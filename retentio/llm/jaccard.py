@@ -173,24 +173,25 @@ def _sets(docs: DataFrame, id_col: str, text_col: str, size: int, percent: int)
 
 
 def _classes(sets: DataFrame) -> DataFrame:
-    """(sid, n, doc_id, key, sketch, rare, common) of each different set, from its document of least id (null last)."""
-    held = ["doc_id", "key", "sketch", "rare", "common"]
-    q = sets.where("n > 0").groupBy("sid", "n").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), *held)).alias("x"))
-    return stored(q.select("sid", "n", *[F.col(f"x.{c}").alias(c) for c in held]))
+    """(sid, n, doc_id, key) of each different set, from its document of least id (null last)."""
+    q = sets.where("n > 0").groupBy("sid", "n").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("x"))
+    return cut(q.select("sid", "n", "x.doc_id", "x.key"))
 
 
-def _postings(classes: DataFrame, percent: int) -> DataFrame:
+def _postings(sets: DataFrame, percent: int) -> DataFrame:
     """Entries (token, blk, n, pos, sid) of the lists that hold two sets or more."""
     blk = F.floor(F.log(F.col("n").cast("double")) / float(-np.log(percent / 100))).cast("int")
-    rare = classes.select("sid", "n", F.posexplode("rare").alias("pos", "token"))
-    common = classes.select("sid", "n", F.size("rare").alias("r"), F.posexplode("common").alias("p", "token"))
+    rare = sets.select("sid", "n", F.posexplode("rare").alias("pos", "token"))
+    common = sets.select("sid", "n", F.size("rare").alias("r"), F.posexplode("common").alias("p", "token"))
     # Shingles counted as frequent are in several sets; of the others, lists of one set
     # (nearly all) are dropped by a filter before the entries are shuffled.
-    lists = cut(rare.groupBy("token").agg(F.count("*").alias("m")).where("m > 1"))
+    lists = rare.groupBy("token").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi"), F.count("*").alias("m"))
+    lists = cut(lists.where("lo < hi").select("token", "m"))
     shared = passing(rare, lists, "token").join(lists, "token").select(
         "token", "sid", "n", "pos", F.when(F.col("m") > 2, blk).otherwise(F.lit(PAIR)).alias("blk"))
     common = common.select("token", "sid", "n", (F.col("r") + F.col("p")).alias("pos"), blk.alias("blk"))
-    return stored(shared.unionByName(common))
+    # Equal sets have equal entries: one each stays, most of them before the shuffle.
+    return stored(shared.unionByName(common).distinct())
 
 
 def _needed(na: Column, nb: Column, percent: int) -> Column:
@@ -219,10 +220,10 @@ def _suffixed(df: DataFrame, suffix: str) -> DataFrame:
     return df.toDF(*[c + suffix for c in df.columns])
 
 
-def _pruned(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+def _pruned(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs whose bucket counts leave room for the overlap they need."""
     both = pairs.select("a").unionByName(pairs.select(F.col("b").alias("a"))).distinct()
-    counts = passing(classes.select("sid", "sketch"), both.withColumnRenamed("a", "sid"), "sid")
+    counts = passing(sets.select("sid", "sketch"), both.withColumnRenamed("a", "sid"), "sid", once=True).dropDuplicates(["sid"])
     p = (pairs.join(_suffixed(counts, "_1"), F.col("a") == F.col("sid_1"))
          .join(_suffixed(counts, "_2"), F.col("b") == F.col("sid_2")))
     most = F.aggregate(F.zip_with("sketch_1", "sketch_2", lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
@@ -249,14 +250,14 @@ def _full_sets(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, si
                         sets.append(s.view(np.int64))
                 yield pa.RecordBatch.from_arrays([pa.array(sid, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], names=["sid", "set"])
 
-    return cut(pairs.mapInArrow(one, "sid long, set array<long>").dropDuplicates(["sid"]))
+    return cut(pairs.mapInArrow(one, "sid long, set array<long>"))
 
 
 def _overlaps(pairs: DataFrame, full: DataFrame) -> DataFrame:
     """``pairs`` with their overlap ``i``."""
     return (pairs.join(_suffixed(full, "_1"), F.col("a") == F.col("sid_1"))
             .join(_suffixed(full, "_2"), F.col("b") == F.col("sid_2"))
-            .withColumn("i", F.size(F.array_intersect("set_1", "set_2")).cast("long")).select(*pairs.columns, "i"))
+            .withColumn("i", F.size(F.array_intersect("set_1", "set_2")).cast("long")).select(*pairs.columns, "i").distinct())
 
 
 def _links(overlaps: DataFrame, percent: int) -> DataFrame:
@@ -278,10 +279,10 @@ def _rows(docs: DataFrame, shingle: int, percent: int, id_col: str, text_col: st
     """(doc_id, key, n, component_id) of every row."""
     sets = _sets(docs, id_col, text_col, shingle, percent)
     first = _classes(sets)
-    entries = _postings(first, percent)
+    entries = _postings(sets, percent)
 
     def overlaps(pairs: DataFrame) -> DataFrame:
-        pairs = _pruned(pairs, first, percent)
+        pairs = _pruned(pairs, sets, percent)
         both = pairs.select("a").unionByName(pairs.select(F.col("b").alias("a"))).distinct()
         nodes = cut(passing(first.select("sid", "key"), both.withColumnRenamed("a", "sid"), "sid").join(both, F.col("sid") == F.col("a")).select("sid", "key"))
         return _overlaps(pairs, _full_sets(docs, nodes, id_col, text_col, shingle))
