@@ -18,9 +18,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .shared import cut
 from .text import slices, utf8
 
 BUCKETS = 256
@@ -118,35 +120,18 @@ def add_fingerprint(docs: DataFrame, text_col: str = "text", out_col: str = "fin
     return docs.mapInArrow(one, schema)
 
 
-#: Rows of one bucket of consecutive documents (see ``edit_likeness``).
-BUCKET_ROWS = 2_000
 _CHUNK = 256
+_RESULT = {"n_chars": "long", "edited_sha256": "string", "fingerprint": "string", "edited_fingerprint": "string",
+           "near_edited": "double", "near_next": "double"}
 
 
-def _with_next(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Documents by descending id in buckets, each followed by its successor.
-
-    The table is cut into ranges of about ``BUCKET_ROWS`` rows.  The first
-    document of a range is copied to the end of the range before it (that of
-    the first range to the last), so every document meets its successor in
-    its own bucket.  Text is shuffled once.
-    """
-    d = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    n = d.count()
-    k = max(1, -(-n // BUCKET_ROWS))
-    cuts = sorted(set(d.approxQuantile("id", [i / k for i in range(1, k)], 0.2 / k))) if k > 1 else []
-    above = F.size(F.filter(F.array(*[F.lit(int(c)) for c in cuts]), lambda c: c > F.col("id"))) if cuts else F.lit(0)
-    d = d.withColumn("b", F.when(F.col("id").isNull(), F.lit(len(cuts) + 1)).otherwise(above))
-    heads = d.groupBy("b").agg(F.max("id").alias("head"))
-    w = Window.orderBy("b")
-    heads = heads.withColumn("to", F.coalesce(F.lag("b").over(w), F.max("b").over(
-        w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))))
-    # One row per bucket: n / BUCKET_ROWS rows of 24 bytes bound the broadcast.
-    heads = F.broadcast(heads.select(F.col("b").alias("hb"), "head", "to"))
-    tails = (d.join(heads, (d["b"] == F.col("hb")) & d["id"].eqNullSafe(F.col("head")))
-             .select("id", "text", F.col("to").alias("b"), F.lit(True).alias("tail")))
-    return (d.select("id", "text", "b", F.lit(False).alias("tail")).unionByName(tails)
-            .repartition("b").sortWithinPartitions("b", "tail", F.col("id").desc_nulls_last(), "text"))
+def _ordered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, text) in partitions by descending id, sorted; equal ids go by a hash of the text, so
+    neither many null ids nor repeated ones fall into one partition."""
+    d = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).withColumn("tie", F.xxhash64("text"))
+    n = max(2, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    order = [F.col("id").desc_nulls_last(), F.col("tie")]
+    return d.repartitionByRange(n, *order).sortWithinPartitions(*order, "text").select("id", "text")
 
 
 def edit(text: str, following: str) -> str:
@@ -158,40 +143,62 @@ def edit(text: str, following: str) -> str:
 def edit_likeness(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Fingerprints of every document and of its edited text, and two likenesses.
 
-    The next document is the next lower id (after the last, the first); ties
-    go by text.  Null counts as the empty text.  Returns ``id_col``, n_chars,
-    edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
-    """
-    schema = (f"`{id_col}` long, n_chars long, edited_sha256 string, fingerprint string, "
-              "edited_fingerprint string, near_edited double, near_next double")
+    The next document is the next lower id, whatever the ids' type (after the last,
+    the first); null ids come last, ties go by a hash of the text.  Null counts as the empty
+    text.  Returns ``id_col``, n_chars, edited_sha256, fingerprint, edited_fingerprint,
+    near_edited, near_next.
 
-    def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        for batch in batches:
-            yield from zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(3).to_pylist())
+    The rows are range-partitioned by id.  A task answers for all rows but its last, and hands
+    on its first and last text; these, two a partition, are joined with those of the next
+    partition in a second, small step.
+    """
+    extra = {"part": "int", "first": "string", "last": "string"}
+    schema = docs.select(F.col(id_col).alias("id"), *[F.lit(None).cast(t).alias(c) for c, t in {**_RESULT, **extra}.items()]).schema
+    kinds = {"long": pa.int64(), "string": pa.string(), "double": pa.float64(), "int": pa.int32()}
 
-    def emit(rows: list[tuple]) -> pa.RecordBatch:
-        own = [t or "" for _, t, _ in rows]
-        prints = fingerprints(pa.array(own, pa.string()))
-        at = [k for k in range(len(rows) - 1) if not rows[k][2]]
-        edited = [edit(own[k], own[k + 1]) for k in at]
+    def answers(own: list[str], following: list[str], mine: list[str], others: list[str]) -> list[pa.Array]:
+        edited = [edit(a, b) for a, b in zip(own, following)]
         changed = fingerprints(pa.array(edited, pa.string()))
-        mine = [prints[k] for k in at]
-        return pa.RecordBatch.from_arrays([
-            pa.array([rows[k][0] for k in at], pa.int64()), pa.array([len(own[k]) for k in at], pa.int64()),
-            pa.array([hashlib.sha256(e.encode()).hexdigest() for e in edited], pa.string()),
-            pa.array(mine, pa.string()), pa.array(changed, pa.string()),
-            pa.array(likeness(mine, changed), pa.float64()),
-            pa.array(likeness(mine, [prints[k + 1] for k in at]), pa.float64())],
-            names=[id_col, "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
+        values = [[len(t) for t in own], [hashlib.sha256(e.encode()).hexdigest() for e in edited], mine, changed,
+                  likeness(mine, changed), likeness(mine, others)]
+        return [pa.array(v, kinds[t]) for v, t in zip(values, _RESULT.values())]
+
+    def emit(ids: pa.Array, texts: list[str]) -> pa.RecordBatch:
+        prints = fingerprints(pa.array(texts, pa.string()))
+        cols = [ids, *answers(texts[:-1], texts[1:], prints[:-1], prints[1:]), *[pa.nulls(len(ids), kinds[t]) for t in extra.values()]]
+        return pa.RecordBatch.from_arrays(cols, names=schema.names)
 
     def one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-        for row in rows_of(batches):
-            held.append(row)
-            if len(held) > _CHUNK:
-                yield emit(held)
-                held = held[-1:]
-        if len(held) > 1:
-            yield emit(held)
-
-    return _with_next(docs, id_col, text_col).mapInArrow(one, schema)
+        first, last, last_id = None, None, None
+        for batch in batches:
+            for k in range(0, batch.num_rows, _CHUNK):
+                part = batch.slice(k, _CHUNK)
+                texts = [t or "" for t in part.column(1).to_pylist()]
+                ids = part.column(0)
+                if last_id is not None:
+                    texts, ids = [last, *texts], pa.concat_arrays([last_id, ids])
+                else:
+                    first = texts[0]
+                if len(texts) > 1:
+                    yield emit(ids[:-1], texts)
+                last, last_id = texts[-1], ids[-1:]
+        if last_id is not None:
+            edge = [pa.array([v], kinds[t]) for v, t in zip((TaskContext.get().partitionId(), first, last), extra.values())]
+            yield pa.RecordBatch.from_arrays([last_id, *[pa.nulls(1, kinds[t]) for t in _RESULT.values()], *edge], names=schema.names)
+
+    done = cut(_ordered(docs, id_col, text_col).mapInArrow(one, schema))
+    edges = done.where("part is not null")
+    w = Window.orderBy("part")  # a number for each partition
+    follow = edges.select("part", F.coalesce(F.lead("part").over(w), F.min("part").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("to"))
+    pairs = (edges.select("id", "part", "last").join(follow, "part").join(edges.select(F.col("part").alias("to"), F.col("first").alias("following")), "to")
+             .select("id", "last", "following"))
+    rest = docs.select(F.col(id_col).alias("id"), *[F.lit(None).cast(t).alias(c) for c, t in _RESULT.items()]).schema
+
+    def border(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own, following = ([t or "" for t in batch.column(k).to_pylist()] for k in (1, 2))
+            prints = [fingerprints(pa.array(x, pa.string())) for x in (own, following)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *answers(own, following, *prints)], names=rest.names)
+
+    out = done.where("part is null").select("id", *_RESULT).unionByName(pairs.mapInArrow(border, rest))
+    return out.withColumnRenamed("id", id_col)

@@ -12,10 +12,9 @@ Targets: the sources' weights share the budget, but a target stops at
 weight until no target is above that.
 
 Everything is DataFrame code.  Running totals never put a source or the whole
-table into one task: rows are dealt to buckets of about ``BUCKET_ROWS`` rows
-(by digest within a source, by range of finish time for the global order),
-the buckets' totals are summed up in a small table, and windows run within a
-bucket.
+table into one task: rows are dealt to buckets (by digest within a source, of about
+``BUCKET_ROWS`` rows; by Spark's range partitioner for the global order), the
+buckets' totals are summed up in a small table, and windows run within a bucket.
 
 Null or empty texts have size 0: they take none of the budget.  A null source
 is a source of its own, ordered last.  Repeated rows are separate documents.
@@ -109,13 +108,12 @@ def _fair_queue(sized: DataFrame, weights: tuple[int, ...], max_epochs: int, see
                  .join(targets, F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
                  .withColumn("epoch", F.explode(F.array(*[F.lit(e) for e in range(max_epochs)])))
                  .withColumn("finish", F.when(F.col("target") > 0, finish).otherwise(F.lit(0.0))))
-    # Global order by finish time: ranges of about BUCKET_ROWS copies each.
-    # Where the cuts fall has no bearing on the result.
-    n_buckets = max(1, math.ceil(max_epochs * n_rows / BUCKET_ROWS))
-    at = [k / n_buckets for k in range(1, n_buckets)]
-    cuts = sorted(set(copies.approxQuantile("finish", at, 0.2 / n_buckets))) if at else []
-    bucket = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c < F.col("finish"))) if cuts else F.lit(0)
-    merged = _running(copies.withColumn("g", bucket.cast("long")), [], "g", ["finish", "source", "h", "epoch", "twin"])
+    # Global order by finish time: a range shuffle, written once with every row's place, so
+    # the buckets' borders stay the same for totals and rows.
+    order = ["finish", "source", "h", "epoch", "twin"]
+    n_buckets = max(2, int(sized.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    ranged = cut(copies.repartitionByRange(n_buckets, *order).sortWithinPartitions(*order).withColumn("place", F.monotonically_increasing_id()))
+    merged = _running(ranged.withColumn("g", F.shiftright("place", 33)), [], "g", ["place"])
     kept = F.col("upto") <= F.lit(budget)
     return (merged.groupBy("id", "source", "size", "source_size", "target", "b", "twin")
             .agg(F.sum(kept.cast("long")).alias("copies"))
@@ -150,5 +148,5 @@ def mix(docs: DataFrame, *, weights: tuple[int, ...] = WEIGHTS, max_epochs: int
     taken = (_fair_queue(sized, weights, max_epochs, seed).where("copies > 0")
              .select(F.col("id").alias("_id"), F.col("source").alias("_source"), F.col("copies").alias("_copies")))
     docs = docs.drop("copies")
-    return (docs.join(taken, i.eqNullSafe(F.col("_id")) & s.eqNullSafe(F.col("_source")))
-            .withColumn("copies", F.col("_copies")).drop("_id", "_source", "_copies"))
+    same = docs[id_col].eqNullSafe(taken["_id"]) & docs[source_col].cast("string").eqNullSafe(taken["_source"])
+    return docs.join(taken, same).select(*[docs[c] for c in docs.columns], taken["_copies"].alias("copies"))

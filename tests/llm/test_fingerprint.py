@@ -15,11 +15,18 @@ def corpus(n=300, seed=1):
     return docs
 
 
-@pytest.mark.parametrize("rows", [7, 10 ** 6])
-def test_next_and_edited_match_brute_force(spark, monkeypatch, rows):
-    monkeypatch.setattr(FP, "BUCKET_ROWS", rows)
-    docs = corpus()
-    got = {r.doc_id: r for r in FP.edit_likeness(spark.createDataFrame([(*d, "x") for d in docs], "doc_id long, text string, fingerprint string")).collect()}
+@pytest.fixture
+def partitions(spark, request):
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(request.param))
+    yield request.param
+    spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+@pytest.mark.parametrize("partitions,kind", [(2, "long"), (60, "long"), (7, "string")], indirect=["partitions"])
+def test_next_and_edited_match_brute_force(spark, partitions, kind):
+    docs = [(i if kind == "long" else f"id {i}", t) for i, t in corpus()]
+    got = {r.doc_id: r for r in FP.edit_likeness(spark.createDataFrame([(*d, "x") for d in docs], f"doc_id {kind}, text string, fingerprint string")).collect()}
     order = sorted(((i, t or "") for i, t in docs), reverse=True)
     prints = {t: FP.fingerprints(FP.pa.array([t]))[0] for _, t in order}
     assert len(got) == len(docs)
@@ -64,6 +71,9 @@ def test_edges(spark):
     twice = FP.edit_likeness(spark.createDataFrame([(5, "abc"), (5, "abc"), (None, "x"), (6, None)], "doc_id long, text string")).collect()
     assert sorted(str(r.doc_id) for r in twice) == ["5", "5", "6", "None"]
     assert FP.edit_likeness(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+    long = "Long text, é. " * 60_000
+    nulls = FP.edit_likeness(spark.createDataFrame([(None, f"text {k}") for k in range(50)] + [(1, long), (0, "end")], "doc_id long, text string")).collect()
+    assert len(nulls) == 52 and {r.n_chars for r in nulls if r.doc_id == 1} == {len(long)}
     frame = spark.createDataFrame([(1, None, 2), (2, "", 3)], "doc_id long, text string, fingerprint int")
     got = FP.add_fingerprint(frame).collect()
     assert got[0].fingerprint == got[1].fingerprint and FP.add_fingerprint(frame.limit(0)).collect() == []

@@ -56,3 +56,24 @@ def test_edges(spark):
 def test_all_empty(spark):
     got = mixing.take(spark.createDataFrame([(1, "", "a"), (2, None, "b")], "doc_id long, text string, source string")).collect()
     assert [(r.taken, r.target) for r in got] == [(0, 0.0)] * 2
+
+
+def test_columns_of_any_name(spark):
+    docs = spark.createDataFrame([(k, f"w{k} " * (k % 7 + 1), f"s{k % 3}") for k in range(60)] + [(None, "a b", None)], "doc_id long, text string, source string")
+    clash = docs.selectExpr("*", "1 _id", "'x' _source", "7 _copies", "2 copies", "3 size", "4 h")
+    out = mixing.mix(clash)
+    assert out.columns == [c for c in clash.columns if c != "copies"] + ["copies"]
+    plain = {(r.doc_id, r.copies) for r in mixing.mix(docs).collect()}
+    assert {(r.doc_id, r.copies) for r in out.collect()} == plain and {(r._id, r._source, r._copies) for r in out.collect()} == {(1, "x", 7)}
+
+
+def test_number_of_ranges_has_no_bearing(spark):
+    docs = spark.createDataFrame([(k, f"w{k} " * (k * 37 % 11), f"s{k * k % 4}") for k in range(400)], "doc_id long, text string, source string")
+    old, got = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for n in (2, 50):
+            spark.conf.set("spark.sql.shuffle.partitions", str(n))
+            got.append(sorted((r.doc_id, r.taken) for r in mixing.take(docs).collect()))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert got[0] == got[1] and any(t for _, t in got[0])
