@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import cut
 from .text import NOT_ALNUM
 
 WINDOW = 10
@@ -120,14 +121,35 @@ def _matcher(items: list[tuple[str, str | None]], window: int) -> Matcher:
     return _MATCHERS[key]
 
 
-def item_blocks(items: DataFrame, id_col: str, text_col: str) -> list[list[tuple[str, str | None]]]:
-    """The items in blocks of bounded size, each small enough to broadcast."""
-    q = items.select(F.col(id_col).cast("string").alias("i"), F.col(text_col).alias("t"))
+def item_blocks(items: DataFrame, id_col: str, text_col: str) -> Iterator[list[tuple[str, str | None]]]:
+    """The items in blocks of bounded size, each small enough to broadcast; one at a time is read."""
+    q = items.select(F.col(id_col).cast("string").alias("i"), F.col(text_col).cast("string").alias("t"))
     total = q.agg(F.sum(F.length("t") / 2)).first()[0] or 0
     n = max(1, math.ceil(total / BLOCK_WORDS))
-    blocks = ([(r.i, r.t) for r in q.where(F.pmod(F.xxhash64("i"), F.lit(n)) == k).collect()]
-              for k in range(n))
-    return [sorted(b, key=repr) for b in blocks if b]
+    if n > 1:  # written by block, so that reading one does not read the others' texts again and again
+        q = cut(q.repartition(n, F.pmod(F.xxhash64("i"), F.lit(n))))
+    for k in range(n):
+        block = sorted(((r.i, r.t) for r in q.where(F.pmod(F.xxhash64("i"), F.lit(n)) == k).collect()), key=repr)
+        if block:
+            yield block
+
+
+def _each_block(df: DataFrame, items: DataFrame, item_id: str, item_text: str, step) -> DataFrame:
+    """``step(df, shared block)`` for one block of items after the other.
+
+    After ``PASSES`` blocks the frame is written and their broadcasts are given back, so the driver and the
+    executors hold a bounded part of the items at any time.
+    """
+    held, some = [], False
+    for block in item_blocks(items, item_id, item_text):
+        if len(held) == PASSES:
+            df = cut(df)
+            for old in held:
+                old.unpersist()
+            held = []
+        held.append(df.sparkSession.sparkContext.broadcast(block))
+        df, some = step(df, held[-1]), True
+    return df if some else step(df, df.sparkSession.sparkContext.broadcast([]))
 
 
 def scan(docs: DataFrame, items: DataFrame, *, window: int = WINDOW, id_col: str = "doc_id",
@@ -138,17 +160,14 @@ def scan(docs: DataFrame, items: DataFrame, *, window: int = WINDOW, id_col: str
     original, by item (as string) and start.  n_hit counts the words inside
     any passage of any item.
     """
-    blocks = item_blocks(items, item_id, item_text) or [[]]
-    sc = docs.sparkSession.sparkContext
     out = docs.select(F.col(id_col), F.col(text_col).cast("string").alias("text"),
                       F.lit(0).cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_hit"),
                       F.lit(None).cast("binary").alias("mask"),
                       F.array().cast(f"array<{HIT}>").alias("hits"))
     schema = out.schema
-    for k, block in enumerate(blocks):
-        shared = sc.broadcast(block)
 
-        def one(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+    def step(df: DataFrame, shared) -> DataFrame:
+        def one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             m = _matcher(shared.value, window)
             for batch in batches:
                 n, n_hit, masks, hits = [], [], [], []
@@ -168,9 +187,9 @@ def scan(docs: DataFrame, items: DataFrame, *, window: int = WINDOW, id_col: str
                     [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(n_hit, pa.int64()),
                      pa.array(masks, s.field(4).type), pa.array(hits, s.field(5).type)], schema=s)
 
-        out = out.mapInArrow(one, schema)
-        if k % PASSES == PASSES - 1 and k + 1 < len(blocks):
-            out = out.checkpoint()
+        return df.mapInArrow(one, schema)
+
+    out = _each_block(out, items, item_id, item_text, step)
     return out.select(id_col, "n_words", "n_hit", F.array_sort("hits").alias("hits"))
 
 
@@ -178,18 +197,15 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, *, window: int = WINDOW
                       text_col: str = "text", item_id: str = "item_id",
                       item_text: str = "text") -> DataFrame:
     """The documents without any occurring window, all columns and rows as they were."""
-    sc = docs.sparkSession.sparkContext
     at = docs.columns.index(text_col)
-    for k, block in enumerate(item_blocks(items, item_id, item_text)):
-        shared = sc.broadcast(block)
 
-        def keep(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+    def step(df: DataFrame, shared) -> DataFrame:
+        def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             m = _matcher(shared.value, window)
             for batch in batches:
                 yield batch.filter(pa.array([not m.find(normal_words(t))
                                              for t in batch.column(at).to_pylist()], pa.bool_()))
 
-        docs = docs.mapInArrow(keep, docs.schema)
-        if k % PASSES == PASSES - 1:
-            docs = docs.checkpoint()
-    return docs
+        return df.mapInArrow(keep, docs.schema)
+
+    return _each_block(docs, items, item_id, item_text, step)

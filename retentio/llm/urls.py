@@ -28,9 +28,12 @@ from .shared import cut
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 DAMPING = 0.85
-ROUNDS = 12
-#: Rounds between two checkpoints.
-CUT_EVERY = 4
+#: Share of the seeds' mass that may be left to spread at the end.
+TOLERANCE = 1e-6
+#: Rounds between two checkpoints, after which the mass left is looked at.
+CUT_EVERY = 8
+#: Share of trust and distrust within which they count as equal.
+EQUAL = 1e-9
 MARGIN = 0.0
 #: Host and path of absolute links in a page.
 LINK = r"""(?i)href\s*=\s*["']?https?://([^/"'?#\s>]+)"""
@@ -94,25 +97,34 @@ def host_edges(pages: DataFrame) -> DataFrame:
     return links.unionByName(both).groupBy("src", "dst").agg(F.sum("w").alias("w"))
 
 
-def pagerank(edges: DataFrame, seeds: DataFrame, *, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
+def pagerank(edges: DataFrame, seeds: DataFrame, *, damping: float = DAMPING, tolerance: float = TOLERANCE) -> DataFrame:
     """Personalised PageRank per kind: (kind, host, rank).
 
-    ``edges``: (kind, src, dst, w); ``seeds``: (kind, host, s), s summing to 1
-    per kind.  A fixed number of rounds from the seeds; rank that reaches a
-    host without links ends there.
+    ``edges``: (kind, src, dst, w); ``seeds``: (kind, host, s).  The seeds' mass is spread along the
+    links round by round, losing ``1 - damping`` of it each time and all of it at hosts without
+    links, until the mass still under way is under ``tolerance`` of the seeds'.  Ranks are
+    proportional to the seeds at any scale: nothing is rounded.
     """
     out = edges.groupBy("kind", "src").agg(F.sum("w").alias("total"))
     step = cut(edges.join(out, ["kind", "src"]).select("kind", "src", "dst", (F.col("w") / F.col("total")).alias("p")))
-    start = cut(seeds.select("kind", "host", ((1 - damping) * F.col("s")).alias("rank")))
-    rank = start
-    for k in range(rounds):
-        moved = (step.join(rank.withColumnRenamed("host", "src"), ["kind", "src"])
-                 .select("kind", F.col("dst").alias("host"), (damping * F.col("p") * F.col("rank")).alias("rank")))
-        rank = (moved.unionByName(start).groupBy("kind", "host")
-                .agg(F.round(F.sum("rank"), 15).alias("rank")))
-        if k % CUT_EVERY == CUT_EVERY - 1:
-            rank = cut(rank)
-    return rank
+    moved = cut(seeds.select("kind", "host", ((1 - damping) * F.col("s")).alias("rank")))
+    first = moved.agg(F.sum("rank")).first()[0] or 0.0
+    rank = moved
+    while True:
+        parts = [rank]
+        for _ in range(CUT_EVERY):
+            moved = (step.join(moved.withColumnRenamed("host", "src"), ["kind", "src"])
+                     .groupBy("kind", F.col("dst").alias("host")).agg(F.sum(damping * F.col("p") * F.col("rank")).alias("rank")))
+            parts.append(moved)
+        # One table holds what each of the rounds brought; the last round goes on.
+        rounds = parts[0].withColumn("round", F.lit(0))
+        for k, part in enumerate(parts[1:], 1):
+            rounds = rounds.unionByName(part.withColumn("round", F.lit(k)))
+        rounds = cut(rounds)
+        moved = rounds.where(F.col("round") == CUT_EVERY).drop("round")
+        rank = cut(rounds.groupBy("kind", "host").agg(F.sum("rank").alias("rank")))
+        if (moved.agg(F.sum("rank")).first()[0] or 0.0) <= tolerance * first:
+            return rank
 
 
 def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, *, margin: float = MARGIN, id_col: str = "page_id",
@@ -134,6 +146,7 @@ def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, *, margin: float =
     zero = lambda c: F.coalesce(F.col(c), F.lit(0.0)).alias(c)
     out = ruled.drop("html").join(rank.withColumnRenamed("host", "_host"), F.col("host") == F.col("_host"), "left")
     out = out.select("id", "host", "path", "r", zero("trust"), zero("distrust"))
-    method = F.when(F.col("distrust") - F.col("trust") > margin, F.lit("block")).otherwise(F.lit("allow"))
+    more = F.col("distrust") - F.col("trust")
+    method = F.when((more > margin) & (more > EQUAL * (F.col("distrust") + F.col("trust"))), F.lit("block")).otherwise(F.lit("allow"))
     return out.select(F.col("id").alias(id_col), "host", "path", F.col("r.text").alias("rule"),
                       F.coalesce(F.col("r.verdict"), method).alias("verdict"), "trust", "distrust")
