@@ -1,10 +1,10 @@
 """Toxicity scores: a weighted lexicon matched by Aho-Corasick.
 
-Texts are folded code point by code point: capitals, wide forms and look-alike
-letters of other scripts become small Latin letters, digits and signs that
+Texts are folded code point by code point: capitals, accented, wide and styled forms
+and look-alike letters of other scripts become small Latin letters, digits and signs that
 stand for letters inside a word are undone, everything but letters is a space.  Folding
 keeps the length, so matches have the original's offsets.  A term matches at
-the start of a word; one automaton holds all terms and all exception phrases,
+the start of a word, one of under four letters a whole word only; one automaton holds all terms and all exception phrases,
 and a match inside an exception phrase does not count.
 
 The lexicon is learnt from labels: words and word beginnings that are far more
@@ -38,8 +38,8 @@ from pyspark.sql import functions as F
 THRESHOLD = 0.3
 #: Bounds of the training sample.
 MAX_TOXIC, MAX_CLEAN = 3_000, 4_500
-#: Lengths of word beginnings tried as terms.
-STEMS = range(4, 11)
+#: Lengths of word beginnings tried as terms, and least length of a whole word.
+STEMS, SHORT = range(4, 11), 2
 #: Least documents, log-likelihood ratio and log odds of a term.
 MIN_DOCS, MIN_G2, MIN_ODDS = 3, 20.0, 3.0
 
@@ -54,17 +54,28 @@ HOMOGLYPHS = dict(zip(
 SUBSTITUTES = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "@": "a", "$": "s", "!": "i"}
 
 
+#: Code points that are folded: the first two planes hold all styled and accented Latin letters.
+FOLDED = 0x20000
+
+
+def _base(c: str) -> str:
+    """The letter under accents, where it is Latin or looks Latin."""
+    base = unicodedata.normalize("NFKD", c)[:1]
+    return base if base != c and (base.isascii() and base.isalpha() or base in HOMOGLYPHS) else c
+
+
 def _fold_table() -> str:
-    """Folded character of every code point of the basic plane."""
+    """Folded character of every code point below ``FOLDED``."""
     out = []
-    for i in range(0x10000):
+    for i in range(FOLDED):
         c = chr(i)
         if c in SUBSTITUTES or "0" <= c <= "9":
             out.append(c)
             continue
+        c = _base(c)
         low = HOMOGLYPHS.get(c) or c.lower()
         low = HOMOGLYPHS.get(low, low)
-        low = unicodedata.normalize("NFKC", low)[:1].lower()[:1]
+        low = _base(unicodedata.normalize("NFKC", low)[:1].lower()[:1])
         out.append(low if low.isalpha() else c if 0xD800 <= i < 0xE000 else " ")
     return "".join(out)
 
@@ -103,10 +114,12 @@ class Lexicon:
         if self._automaton is None:
             a = ahocorasick.Automaton()
             for term, weight in self.terms.items():
-                a.add_word(" " + fold(term), (len(term), weight, term))
+                # A short term ends with its word: the space after it belongs to the key.
+                short = len(term) < STEMS[0]
+                a.add_word(" " + fold(term) + " " * short, (len(term), weight, term, int(short)))
             for phrase in self.exceptions:
                 key = " ".join(fold(phrase).split())
-                a.add_word(f" {key} ", (len(key), None, phrase))
+                a.add_word(f" {key} ", (len(key), None, phrase, 1))
             if len(a):
                 a.make_automaton()
             self._automaton = a
@@ -124,9 +137,10 @@ class Lexicon:
         if not found:
             return []
         best: dict[int, tuple[int, int, str, float]] = {}
-        # A phrase ends before its closing space.
-        calm = [(e - 1 - n, e - 1) for e, (n, w, _) in found if w is None]
-        for e, (n, w, term) in found:
+        # Phrases and short terms end before their closing space.
+        calm = [(e - 1 - n, e - 1) for e, (n, w, _, _) in found if w is None]
+        for e, (n, w, term, closed) in found:
+            e -= closed
             s = e - n
             if w is None or any(x <= s and e <= y for x, y in calm):
                 continue
@@ -167,7 +181,7 @@ _WORD = re.compile(r"[^ ]+")
 
 def _terms_of(text: str) -> set[str]:
     words = set(fold(text).split())
-    out = {w for w in words if len(w) >= STEMS[0]}
+    out = {w for w in words if len(w) >= SHORT}
     for n in STEMS:
         out |= {w[:n] for w in words if len(w) > n}
     return out

@@ -194,3 +194,117 @@ def runs(words, least=24, times=3):
                     out.append((start, length, q))
             i += 1
     return sorted(out, key=lambda r: (r[0], r[2]))
+
+
+def toxic_hits(text, terms, exceptions, fold):
+    """(start, end, weight) by looking at every word of the folded text; ``fold`` keeps the length."""
+    folded = " " + fold(text or "") + " "
+    calm = set()
+    for phrase in exceptions:
+        key = " " + " ".join(fold(phrase).split()) + " "
+        at = folded.find(key)
+        while at >= 0:
+            calm.add((at + 1, at + len(key) - 1))
+            at = folded.find(key, at + 1)
+    out = []
+    for s in range(1, len(folded)):
+        if folded[s - 1] != " ":
+            continue
+        fits = [(w, len(t)) for t, w in terms.items() if folded.startswith(fold(t), s) and (len(t) >= 4 or folded[s + len(t)] == " ")]
+        fits = [(w, n) for w, n in fits if not any(a <= s and s + n <= b for a, b in calm)]
+        if fits:
+            w, n = max(fits, key=lambda f: f[0])
+            out.append((s - 1, s - 1 + n, w))
+    return out
+
+
+def toxic_score(text, lexicon, fold):
+    """The logistic curve of the hits' weights over the square root of the length."""
+    import math
+    hits = toxic_hits(text, lexicon.terms, lexicon.exceptions, fold)
+    x = sum(w for _, _, w in hits) / math.sqrt(1 + len(text) / 100) if hits else 0.0
+    return 1 / (1 + math.exp(-max(-30.0, min(30.0, lexicon.offset + lexicon.slope * x))))
+
+
+SECRET_CHARS = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
+
+
+def random_spans(text, base, ratio, threshold, total, shortest=8, least=16):
+    """Spans of kind random: runs less the base spans, then whole pieces or their best stretches.
+
+    ``ratio(before, char)`` is the log-likelihood ratio of one transition (before is None at a border).
+    """
+    out = []
+    for m in re.finditer(r"[A-Za-z0-9+/_=-]+", text):
+        a, b = m.span()
+        if b - a < shortest:
+            continue
+        pieces, at = [], a
+        for x, y, _ in sorted(s for s in base if s[0] < b and a < s[1]):
+            pieces.append((at, x))
+            at = max(at, y)
+        for p, q in [*pieces, (at, b)]:
+            if q - p < shortest:
+                continue
+            score = [ratio(text[k - 1] if k > p else None, text[k]) for k in range(p, q)]
+            if q - p >= least and sum(score) >= threshold * (q - p):
+                out.append((p, q))
+                continue
+            k = 0
+            while k < len(score):
+                upto = best = 0.0
+                end = k
+                j = k
+                while j < len(score):
+                    upto += score[j]
+                    j += 1
+                    if upto > best:
+                        best, end = upto, j
+                    if upto <= 0 or upto <= best - total:
+                        break
+                if best >= total:
+                    x, y = p + k, p + end
+                    while x > p and text[x - 1] not in "/=_-":
+                        x -= 1
+                    while y < q and text[y] not in "/=_-":
+                        y += 1
+                    parts = [(w.start() + x, w.end() + x) for w in re.finditer(r"[^/=_-]+", text[x:y])]
+                    told = [(i, j2) for i, j2 in parts if sum(score[i - p:j2 - p]) > 0]
+                    if told:
+                        x, y = told[0][0], told[-1][1]
+                    if out and x < out[-1][1]:
+                        x = out.pop()[0]
+                    if y - x >= shortest:
+                        out.append((x, y))
+                k = j
+    return out
+
+
+def quality_statistics(text):
+    """The document statistics by their definitions."""
+    import math
+    raw = lower(text or "").encode()
+    data, words_ = (text or "").encode(), raw.split()
+    n, size = len(words_), len(data)
+    per = lambda k: k / max(1, size)
+    lens = [len(w) for w in words_]
+    mean = sum(lens) / max(1, n)
+    lines = [x for x in data.split(b"\n") if x]
+    share = lambda xs: 1 - len(set(xs)) / len(xs) if xs else 0.0
+    triples = list(zip(words_, words_[1:], words_[2:]))
+    worded = [tuple(x.lower().split()) for x in lines if x.split()]
+    signs, stops = b"#$%&*+/<=>@[\\]^_`{|}~!", b".,;:?'\"()-"
+    return [math.log1p(size), math.log1p(n), mean, math.sqrt(max(0.0, sum(x * x for x in lens) / max(1, n) - mean * mean)),
+            per(sum(65 <= b <= 90 for b in data)), per(sum(48 <= b <= 57 for b in data)), per(sum(b in signs for b in data)),
+            per(sum(b in stops for b in data)), per(sum(b >= 128 for b in data)), len(lines) / max(1, n),
+            sum(w[-1] in signs for w in words_) / n if n else 0.0, len(set(words_)) / n if n else 0.0,
+            max(Counter(words_).values()) / n if n else 0.0, share(triples), share(worded) if len(worded) > 1 else 0.0,
+            sum(x <= 3 for x in lens) / n if n else 0.0, per(data.count(b"!")), per(data.count(b"|")), math.log1p(n / max(1, len(lines)))]
+
+
+def isotonic(points):
+    """Isotonic regression of (x, y, weight) with distinct ascending x, by the min-max formula."""
+    y, w = [p[1] for p in points], [p[2] for p in points]
+    mean = lambda a, b: sum(y[k] * w[k] for k in range(a, b)) / sum(w[a:b])
+    n = len(points)
+    return [max(min(mean(a, b) for b in range(k + 1, n + 1)) for a in range(k + 1)) for k in range(n)]

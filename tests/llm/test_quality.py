@@ -80,3 +80,34 @@ def test_held_out_accuracy(spark):
     t = df.join(spark.read.parquet(f"{SF01}/labels.parquet"), "doc_id").where("held_out").toPandas()
     assert df.count() == 1000 and df.where("score is null or score < 0 or score > 1").count() == 0
     assert (t.predicted == t.quality).mean() > 0.93
+
+
+def test_scores_match_brute_force(spark):
+    """Statistics by definition, the exact kernel features, and the min-max formula of isotonic regression."""
+    from . import brute
+    docs, labels = training(spark, 240)
+    rows = Q.training_rows(docs, labels)
+    model = Q.fit(rows)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    want = {r.doc_id: r.quality for r in labels.collect()}
+    x = np.array([brute.quality_statistics(texts[k]) for k in sorted(texts)])
+    y = np.array([want[k] for k in sorted(texts)], float)
+    assert np.allclose(x, np.vstack([Q.statistics(*utf8(pa.array([texts[k]], pa.string()))) for k in sorted(texts)]))
+    assert np.allclose(model.mean, x.mean(0)) and np.allclose(model.scale, np.where(x.std(0) == 0, 1, x.std(0)))
+    z = model.features(x)
+    r = z @ np.linalg.solve(z.T @ z + Q.RIDGE * np.eye(z.shape[1]), z.T @ y)
+    bins = {}
+    for a, b in zip(r, y):
+        bins.setdefault(np.floor(abs(a) * Q.BINS + 0.5) * np.sign(a), []).append((a, b))
+    points = [(np.mean([a for a, _ in v]), np.mean([b for _, b in v]), len(v)) for _, v in sorted(bins.items())]
+    level = brute.isotonic(points)
+    got = {d.doc_id: d.score for d in Q.scan(docs, model).collect()}
+    exact = np.clip(np.interp(r, [p[0] for p in points], level), 0, 1)
+    assert np.abs(np.array([got[k] for k in sorted(texts)]) - exact).max() < 0.02
+
+
+def test_statistics_match_brute_force(spark):
+    from . import brute
+    texts = [r.text for r in spark.read.parquet(f"{SF01}/documents.parquet").limit(150).collect()] + [None, "", "a", "\n\n", "é! |\n|", "A a\nA a\n"]
+    x = Q.statistics(*utf8(pa.array(texts, pa.string())))
+    assert np.allclose(x, [brute.quality_statistics(t) for t in texts])

@@ -5,6 +5,9 @@ import numpy as np
 
 from retentio.llm import secrets as S
 
+from ..conftest import SF01
+from . import brute
+
 
 def plain_spans(text):
     """The three rules as stated, without any shortcut."""
@@ -81,3 +84,23 @@ def test_short_pieces_count_by_their_sum():
     ratios = np.full(S._SIZE * S._SIZE, 1.5)
     assert S.added_spans("see aB3dE6gH9 and", [], ratios, S.THRESHOLD) == [(4, 13, "random")]
     assert S.added_spans("see aB3dE6gH9 and", [], ratios / 2, S.THRESHOLD) == []
+
+
+def test_random_spans_match_brute_force(spark):
+    """Spans of the models over all documents, run by run and stretch by stretch."""
+    docs = spark.read.parquet(f"{SF01}/documents.parquet")
+    ratios = S.fit(S.labelled_samples(docs))
+    size = len(brute.SECRET_CHARS) + 1
+    code = {c: k for k, c in enumerate(brute.SECRET_CHARS)}
+    ratio = lambda before, c: ratios[(size - 1 if before is None else code[before]) * size + code[c]]
+    rng = random.Random(4)
+    made = ["/".join(["word", "path", "list"][k % 3] for k in range(rng.randint(0, 8))) + "/" + "".join(rng.choice(brute.SECRET_CHARS[:62]) for _ in range(rng.randint(6, 40)))
+            for _ in range(120)] + ["token=abcdef/" + "Zq8Xv2Lk9TpW" * 2, "AKIA" + "Q7" * 10 + "_kd83hsKq9zPw2LmX", ""]
+    texts = [r.text or "" for r in docs.select("text").collect() if len(r.text or "") < 6000] + made
+    found = 0
+    for text in texts:
+        base = S.base_spans(text)
+        want = brute.random_spans(text, base, ratio, S.THRESHOLD, S.TOTAL)
+        assert [s[:2] for s in S.added_spans(text, base, ratios, S.THRESHOLD)] == want, text[:200]
+        found += len(want)
+    assert found > 60

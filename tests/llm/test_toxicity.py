@@ -7,6 +7,7 @@ import __spark_entry__ as E
 from retentio.llm import toxicity as T
 
 from ..conftest import SF01
+from . import brute
 
 LEX = T.Lexicon({"idiot": 5.0, "trash": 4.0, "scum": 3.0})
 
@@ -81,3 +82,29 @@ def test_held_out_accuracy(spark, scored):
     assert df.where(F.col("predicted") != (F.col("score") >= 0.3).cast("int")).count() == 0
     clean = t[t.toxic == 0]
     assert (clean.predicted == 0).mean() > 0.97 and t[t.toxic == 1].predicted.mean() > 0.6
+
+
+def test_folding_of_styled_and_accented_letters():
+    for text in ("𝐢𝐝𝐢𝐨𝐭", "ídiot", "ÌDIÓT", "𝓲𝓭𝓲𝓸𝓽", "ⓘⓓⓘⓞⓣ", "idïöt"):
+        assert T.fold(text) == "idiot" and len(T.fold(text)) == len(text), text
+    assert T.fold("日本 한국어 мир") == "日本 한국어 " + T.fold("мир") and "\U00020000"  # other scripts stay letters
+
+
+def test_short_terms_are_whole_words():
+    lex = T.Lexicon({"kys": 6.0, "git": 4.0, "stupid": 3.0})
+    hits = lambda t: [(t[a:b], w) for a, b, w, _ in lex.matches(t)]
+    assert hits("KYS you git") == [("KYS", "kys"), ("git", "git")] and hits("gitar kysh digit") == []
+    assert hits("git git stupidly") == [("git", "git"), ("git", "git"), ("stupid", "stupid")]
+
+
+def test_scores_match_brute_force(spark):
+    """A learnt lexicon over all documents, every word looked at."""
+    docs = spark.read.parquet(f"{SF01}/documents.parquet")
+    lex = T.fit(T.training_sample(docs, spark.read.parquet(f"{SF01}/labels.parquet")))
+    lex.terms.update({"the": 0.5, "and": 0.25, "wor": 0.125})
+    lex._automaton = None
+    got = {r.doc_id: r.score for r in T.scan(docs, lex).collect()}
+    assert any(len(t) < 4 for t in lex.terms) and len(lex.terms) > 5
+    for r in docs.select("doc_id", "text").collect():
+        if len(r.text or "") < 20_000:
+            assert math.isclose(got[r.doc_id], brute.toxic_score(r.text, lex, T.fold), rel_tol=1e-9), r.doc_id
