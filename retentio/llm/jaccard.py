@@ -39,7 +39,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
@@ -178,19 +178,19 @@ def _classes(sets: DataFrame) -> DataFrame:
     return cut(q.select("sid", "n", "x.doc_id", "x.key"))
 
 
-def _postings(sets: DataFrame, percent: int) -> DataFrame:
+def _postings(sets: DataFrame, first: DataFrame, percent: int) -> DataFrame:
     """Entries (token, blk, n, pos, sid) of the lists that hold two sets or more."""
     blk = F.floor(F.log(F.col("n").cast("double")) / float(-np.log(percent / 100))).cast("int")
-    rare = sets.select("sid", "n", F.posexplode("rare").alias("pos", "token"))
+    # One document of each set posts (the filter lets few others through).
+    sets = stored(passing(sets.select("key", "sid", "n", "rare", "common"), first, "key").drop("key"))
+    rare = sets.select("sid", "n", F.posexplode("rare").alias("pos", "token")).withColumn("t", F.shiftright("token", 32).cast("int"))
     common = sets.select("sid", "n", F.size("rare").alias("r"), F.posexplode("common").alias("p", "token"))
     # Shingles counted as frequent are in several sets; of the others, lists of one set
     # (nearly all) are dropped by a filter before the entries are shuffled.
-    lists = rare.groupBy("token").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi"), F.count("*").alias("m"))
-    lists = cut(lists.where("lo < hi").select("token", "m"))
-    shared = passing(rare, lists, "token").join(lists, "token").select(
+    lists = cut(rare.groupBy("t").agg(F.count("*").alias("m")).where("m > 1"))
+    shared = passing(rare, lists, "t").join(lists, "t").select(
         "token", "sid", "n", "pos", F.when(F.col("m") > 2, blk).otherwise(F.lit(PAIR)).alias("blk"))
     common = common.select("token", "sid", "n", (F.col("r") + F.col("p")).alias("pos"), blk.alias("blk"))
-    # Equal sets have equal entries: one each stays, most of them before the shuffle.
     return stored(shared.unionByName(common).distinct())
 
 
@@ -230,34 +230,50 @@ def _pruned(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return cut(p.where(F.lit(100 + percent) * most >= _needed(F.col("na"), F.col("nb"), percent)).select(*pairs.columns))
 
 
-def _full_sets(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
-    """(sid, set) of the nodes (sid, key).
+#: Sets that are compared with one set in a task; more go to further tasks.
+TOGETHER = 500
 
-    Only texts whose keys pass a filter reach the join, once a task, so little text
-    is shuffled; the join is exact.
+
+def _overlaps(pairs: DataFrame, docs: DataFrame, first: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
+    """``pairs`` with their overlap ``i``, on full sets.
+
+    A set is computed from its text and sent once to each partner ``a``, whose own set goes to as many
+    tasks as its partners fill.  Only texts whose keys pass a filter are shuffled before that.
     """
+    tasks = pairs.groupBy("a").agg(F.ceil(F.count("*") / TOGETHER).alias("tasks"))
+    sends = pairs.join(tasks, "a").select(F.col("b").alias("sid"), F.col("a").alias("to"), F.pmod(F.xxhash64("b"), F.col("tasks")).alias("task"), "na", "nb")
+    none = F.lit(None).cast("long")
+    sends = cut(sends.unionByName(tasks.select(F.col("a").alias("sid"), F.col("a").alias("to"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("tasks") - 1)).alias("task"),
+                                               none.alias("na"), none.alias("nb"))))
+    keys = cut(passing(first.select("sid", "key"), sends, "sid"))
+    sends = sends.join(keys, "sid")
     q = docs.select(text_key(id_col, text_col).alias("key"), F.col(text_col).cast("string").alias("text"))
-    pairs = passing(q, nodes, "key", once=True).join(nodes, "key").select("sid", "text")
+    rows = passing(q, keys, "key", once=True).join(sends, "key").select("sid", "to", "task", "na", "nb", "text")
+    schema = rows.select("sid", "to", "task", "na", "nb", F.lit(None).cast("array<long>").alias("set")).schema
 
     def one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: tuple[int | None, np.ndarray | None] = (None, None)
         for batch in batches:
             for part, data, off in batches_of(batch, "text"):
-                w = words(data, off)
-                sid, sets = [], []
-                for want, s in zip(part.column(0).to_pylist(), shingle_hashes(w.hash, w.off, size)):
-                    if set_id(s) == want:  # else another text of a repeated id
-                        sid.append(want)
-                        sets.append(s.view(np.int64))
-                yield pa.RecordBatch.from_arrays([pa.array(sid, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], names=["sid", "set"])
-
-    return cut(pairs.mapInArrow(one, "sid long, set array<long>"))
-
-
-def _overlaps(pairs: DataFrame, full: DataFrame) -> DataFrame:
-    """``pairs`` with their overlap ``i``."""
-    return (pairs.join(_suffixed(full, "_1"), F.col("a") == F.col("sid_1"))
-            .join(_suffixed(full, "_2"), F.col("b") == F.col("sid_2"))
-            .withColumn("i", F.size(F.array_intersect("set_1", "set_2")).cast("long")).select(*pairs.columns, "i").distinct())
+                sid, sets, at = part.column(0).to_pylist(), [], 0
+                while at < len(sid):
+                    # A text's rows follow one another: its set is computed once.
+                    end = at + 1
+                    while end < len(sid) and sid[end] == sid[at]:
+                        end += 1
+                    if held[0] != sid[at]:
+                        w = words(data[off[at]:off[at + 1]], off[at:at + 2])
+                        s = next(shingle_hashes(w.hash, w.off, size))
+                        held = (sid[at], s.view(np.int64) if set_id(s) == sid[at] else None)
+                    sets += [held[1]] * (end - at)
+                    at = end
+                out = pa.RecordBatch.from_arrays([*part.columns[:5], pa.array(sets, pa.list_(pa.int64()))], names=schema.names)
+                yield out.filter(out.column(5).is_valid())
+
+    w = Window.partitionBy("to", "task").orderBy(F.col("na").isNotNull())
+    met = rows.mapInArrow(one, schema).withColumn("head", F.first("set").over(w)).where("na is not null")
+    i = F.size(F.array_intersect("head", "set")).cast("long")
+    return met.select(F.col("to").alias("a"), F.col("sid").alias("b"), "na", "nb", i.alias("i")).distinct()
 
 
 def _links(overlaps: DataFrame, percent: int) -> DataFrame:
@@ -279,13 +295,11 @@ def _rows(docs: DataFrame, shingle: int, percent: int, id_col: str, text_col: st
     """(doc_id, key, n, component_id) of every row."""
     sets = _sets(docs, id_col, text_col, shingle, percent)
     first = _classes(sets)
-    entries = _postings(sets, percent)
+    entries = _postings(sets, first, percent)
 
     def overlaps(pairs: DataFrame) -> DataFrame:
         pairs = _pruned(pairs, sets, percent)
-        both = pairs.select("a").unionByName(pairs.select(F.col("b").alias("a"))).distinct()
-        nodes = cut(passing(first.select("sid", "key"), both.withColumnRenamed("a", "sid"), "sid").join(both, F.col("sid") == F.col("a")).select("sid", "key"))
-        return _overlaps(pairs, _full_sets(docs, nodes, id_col, text_col, shingle))
+        return _overlaps(pairs, docs, first, id_col, text_col, shingle)
 
     # Leaders: the entry of least position in each block of each list.
     lead = (entries.groupBy("token", "blk").agg(F.min(F.struct("pos", "n", "sid")).alias("x"))
