@@ -8,6 +8,7 @@ projection.
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .numeric import _c, flag
@@ -73,3 +74,8 @@ def serving_columns(tenure="tenure_months", monthly="monthly_charges", total="to
         "negative_ticket_ratio": F.when(k > 0, neg / k).otherwise(F.lit(0.0)),
         "charge_to_ltv_ratio": F.when(tot > 0, m / tot).otherwise(F.lit(0.0)),
     }
+
+
+def with_serving_features(requests: DataFrame, keep=(), key: str = "customer_id") -> DataFrame:
+    """Request rows as feature rows: ``key``, the columns of ``keep`` and the 44 features."""
+    return requests.select(key, *keep, *[c.alias(n) for n, c in serving_columns().items()])

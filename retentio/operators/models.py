@@ -7,16 +7,20 @@ are ``PipelineModel``s (S8); feature names live in the assembler stage.
 
 from __future__ import annotations
 
+from multiprocessing.pool import ThreadPool
+
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import rules as R
 from ..functions.numeric import np_round
+from ..functions.serving import with_serving_features
 from ..session import ensure_checkpoint_dir
 from . import clustering as CL
 from .features import FEATURE_COLUMNS, model_matrix
@@ -39,19 +43,16 @@ def _assembler(features, out: str = "features") -> VectorAssembler:
     return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="keep")
 
 
-def churn_members(features=FEATURE_COLUMNS, rounds: int = CHURN_ROUNDS, seed: int = 42):
-    """M1 and M2: two boosted classifiers with different weighting and seed."""
-    a = GBTClassifier(featuresCol="features", labelCol="label", weightCol="w_a",
-                      maxIter=rounds, maxDepth=CHURN_DEPTH, stepSize=CHURN_STEP,
-                      subsamplingRate=CHURN_SUBSAMPLE, featureSubsetStrategy="0.8",
-                      seed=seed, predictionCol="pred_a")
-    a.setProbabilityCol("prob_a").setRawPredictionCol("raw_a")
-    b = GBTClassifier(featuresCol="features", labelCol="label", weightCol="w_b",
-                      maxIter=rounds, maxDepth=CHURN_DEPTH, stepSize=CHURN_STEP,
-                      subsamplingRate=CHURN_SUBSAMPLE, featureSubsetStrategy="0.8",
-                      seed=seed + 1, predictionCol="pred_b")
-    b.setProbabilityCol("prob_b").setRawPredictionCol("raw_b")
-    return Pipeline(stages=[_assembler(features), a, b])
+def churn_members(features=FEATURE_COLUMNS, rounds: int = CHURN_ROUNDS, seed: int = 42) -> list:
+    """M1 and M2: two boosted classifiers with different weighting and seed, after the assembler."""
+    members = []
+    for k, name in enumerate("ab"):
+        m = GBTClassifier(featuresCol="features", labelCol="label", weightCol=f"w_{name}",
+                          maxIter=rounds, maxDepth=CHURN_DEPTH, stepSize=CHURN_STEP,
+                          subsamplingRate=CHURN_SUBSAMPLE, featureSubsetStrategy="0.8",
+                          seed=seed + k, predictionCol=f"pred_{name}")
+        members.append(m.setProbabilityCol(f"prob_{name}").setRawPredictionCol(f"raw_{name}"))
+    return [_assembler(features), *members]
 
 
 def with_weights(df: DataFrame, label: str = "label") -> DataFrame:
@@ -77,9 +78,17 @@ def _sized(train: DataFrame) -> DataFrame:
 
 def fit_churn(train: DataFrame, features=FEATURE_COLUMNS, rounds: int = CHURN_ROUNDS,
               seed: int = 42, strict: bool = False) -> PipelineModel:
-    """M1–M3: both members; ``strict`` raises where a feature is missing."""
+    """M1–M3: both members, fitted side by side; ``strict`` raises where a feature is missing.
+
+    A round of boosting is a few jobs that leave most of a cluster idle, so the two members' jobs
+    are submitted from two threads, as the cross validator does with its models.
+    """
     m = _sized(with_weights(model_matrix(train, features, strict=strict)))
-    return churn_members(features, rounds, seed).fit(m)
+    assembler, *members = churn_members(features, rounds, seed)
+    vectors = assembler.transform(m)
+    with ThreadPool(len(members)) as pool:
+        fitted = pool.map(inheritable_thread_target(train.sparkSession)(lambda e: e.fit(vectors)), members)
+    return PipelineModel([assembler, *fitted])
 
 
 def score_churn(model: PipelineModel, df: DataFrame, features=FEATURE_COLUMNS,
@@ -98,6 +107,17 @@ def score_churn(model: PipelineModel, df: DataFrame, features=FEATURE_COLUMNS,
     })
 
 
+def score_requests(model: PipelineModel, requests: DataFrame, key: str = "customer_id") -> DataFrame:
+    """P17 + M14 + P19–P21: request rows of 15 fields to probability, prediction, tier, factors and
+    recommendation; the request's fields stay.  One narrow pass: features, both members, texts.
+    """
+    held = requests.withColumn("_request", F.struct(*requests.columns))
+    rows = with_serving_features(held, keep=["_request"], key=key).withColumn("label", F.lit(0))
+    s = score_churn(model, rows, model_features(model), keep=["_request"], strict=True)
+    s = s.select("_request.*", "churn_prob_raw", "churn_probability", "churn_prediction", "risk_tier", "model_version")
+    return s.withColumns({"top_factors": R.top_factors(), "recommendation": R.recommendation(F.col("risk_tier"))})
+
+
 def kmeans_segments(df: DataFrame, key: str, features, ks=K_RANGE, seed: int = 42,
                     value_col: str = "lifetime_value", max_iter: int = 300,
                     restarts: int = 10) -> DataFrame:
@@ -139,14 +159,34 @@ def fit_revenue(train: DataFrame, features, rounds: int = REVENUE_ROUNDS, seed:
     return Pipeline(stages=[_assembler(features), gbt]).fit(_sized(train))
 
 
-def save_model(model: PipelineModel, path: str) -> None:
-    """Overwrite-save a fitted pipeline."""
+def model_features(model: PipelineModel) -> list[str]:
+    """The feature names of a fitted pipeline, in the order of its vectors."""
+    return [c for s in model.stages if isinstance(s, VectorAssembler) for c in s.getInputCols()]
+
+
+def save_model(model: PipelineModel, path: str, features=None) -> None:
+    """Overwrite-save a fitted pipeline; its feature names lie beside it in ``path/_features``."""
+    names = list(features) if features is not None else model_features(model)
     model.write().overwrite().save(path)
+    spark = SparkSession.getActiveSession()
+    spark.createDataFrame(list(enumerate(names)), "position int, feature string").coalesce(1).write.mode("overwrite").parquet(f"{path}/_features")
+
+
+def saved_features(path: str) -> list[str]:
+    """The feature names saved beside a model, in order."""
+    rows = SparkSession.getActiveSession().read.parquet(f"{path}/_features").collect()  # one per feature
+    return [r.feature for r in sorted(rows, key=lambda r: r.position)]
 
 
-def load_model(path: str) -> PipelineModel:
-    """Load a fitted pipeline; a missing path raises."""
-    return PipelineModel.load(path)
+def load_model(path: str, features=None) -> PipelineModel:
+    """Load a fitted pipeline; a missing path raises, and so does a model whose saved feature
+    list is not its own, or not ``features`` where given."""
+    model = PipelineModel.load(path)
+    saved = saved_features(path)
+    for other in (model_features(model), features):
+        if other is not None and list(other) != saved:
+            raise ValueError(f"the model at {path} was saved with other features: " + ", ".join(sorted(set(other) ^ set(saved)) or ["their order differs"]))
+    return model
 
 
 def validate_models(paths: dict, probes: dict) -> DataFrame | None:
@@ -168,7 +208,6 @@ def feature_importances(model, features, top: int = 10):
     The vector has one entry per feature (bounded by the feature count), so
     building the small result frame on the driver is safe.
     """
-    from pyspark.sql import SparkSession
     stage = [s for s in getattr(model, "stages", [model]) if hasattr(s, "featureImportances")][0]
     imp = stage.featureImportances.toArray().tolist()
     spark = SparkSession.getActiveSession()

@@ -1,6 +1,7 @@
 """Model operators: ordering, save/load, k-means naming, isolation forest rate."""
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from retentio.operators import models as MD
@@ -119,3 +120,60 @@ def test_split_valid(spark):
     good, bad = split_valid(df, {"id_present": F.col("id").isNotNull(), "x_non_negative": F.col("x") >= 0})
     assert good.count() == 1 and bad.count() == 2
     assert {tuple(r.violations) for r in bad.collect()} == {("id_present", "x_non_negative"), ("x_non_negative",)}
+
+
+REQUEST = {"customer_id": "x", "tenure_months": 8.0, "monthly_charges": 85.0, "total_charges": 680.0, "contract_type": "Month-to-month",
+           "payment_method": "Electronic check", "internet_service": "Fiber optic", "online_security": "No", "tech_support": "No",
+           "num_support_tickets": 3, "is_senior_citizen": 0, "has_partner": "No", "has_dependents": "No", "paperless_billing": "Yes", "gender": "Male"}
+
+
+def _requests(spark, *changes):
+    from pyspark.sql import Row
+    types = ("customer_id string, tenure_months double, monthly_charges double, total_charges double, contract_type string, payment_method string, "
+             "internet_service string, online_security string, tech_support string, num_support_tickets int, is_senior_citizen int, has_partner string, "
+             "has_dependents string, paperless_billing string, gender string")
+    return spark.createDataFrame([Row(**{**REQUEST, **c}) for c in changes], types)
+
+
+@pytest.fixture(scope="module")
+def request_model(spark):
+    """An ensemble fitted on the serving features of requests whose churn follows the risk rules."""
+    from retentio.functions.serving import with_serving_features
+    rng = np.random.default_rng(5)
+    pick = lambda *v: v[int(rng.integers(len(v)))]
+    rows, labels = [], []
+    for k in range(500):
+        tenure, monthly = float(rng.integers(1, 72)), float(rng.uniform(20, 110))
+        c = {"customer_id": f"c{k}", "tenure_months": tenure, "monthly_charges": monthly, "total_charges": tenure * monthly,
+             "contract_type": pick("Month-to-month", "One year", "Two year"), "internet_service": pick("Fiber optic", "DSL", "No"),
+             "online_security": pick("Yes", "No"), "tech_support": pick("Yes", "No"), "num_support_tickets": int(rng.integers(0, 6))}
+        risk = (c["contract_type"] == "Month-to-month") * 0.42 + (tenure < 12) * 0.31 + (c["internet_service"] == "Fiber optic") * 0.24 + (c["num_support_tickets"] >= 3) * 0.19
+        rows.append(c)
+        labels.append((f"c{k}", int(risk + rng.normal(0, 0.1) > 0.6)))
+    train = with_serving_features(_requests(spark, *rows)).join(spark.createDataFrame(labels, "customer_id string, label int"), "customer_id")
+    return MD.fit_churn(train, FEATURE_COLUMNS, rounds=12, strict=True)
+
+
+def test_requests_are_scored_as_customers_are(spark, request_model):
+    """A risky customer is predicted to churn with factors and a recommendation, a safe one is not."""
+    safe = {"customer_id": "safe", "tenure_months": 60.0, "monthly_charges": 45.0, "total_charges": 2700.0, "contract_type": "Two year",
+            "internet_service": "DSL", "online_security": "Yes", "tech_support": "Yes", "num_support_tickets": 0}
+    risky = {"customer_id": "risky", "tenure_months": 2.0, "monthly_charges": 95.0, "total_charges": 190.0, "num_support_tickets": 5}
+    got = {r.customer_id: r for r in MD.score_requests(request_model, _requests(spark, safe, risky)).collect()}
+    assert got["risky"].churn_probability > 0.6 and got["risky"].churn_prediction and got["risky"].risk_tier in ("HIGH", "MEDIUM")
+    assert got["safe"].churn_probability < 0.4 and not got["safe"].churn_prediction
+    assert got["risky"].top_factors[0].feature == "contract_type" and len(got["risky"].recommendation) > 10 and got["safe"].top_factors == []
+    assert got["risky"].contract_type == "Month-to-month" and got["safe"].model_version == got["risky"].model_version
+
+
+def test_saved_model_knows_its_features(spark, request_model, tmp_path):
+    path = str(tmp_path / "m")
+    MD.save_model(request_model, path)
+    assert MD.saved_features(path) == list(FEATURE_COLUMNS) == MD.model_features(MD.load_model(path, FEATURE_COLUMNS))
+    with pytest.raises(ValueError, match="other features"):
+        MD.load_model(path, FEATURE_COLUMNS[:-1])
+    with pytest.raises(ValueError, match="order differs"):
+        MD.load_model(path, FEATURE_COLUMNS[::-1])
+    spark.createDataFrame([(0, "tenure_months")], "position int, feature string").write.mode("overwrite").parquet(f"{path}/_features")
+    with pytest.raises(ValueError, match="other features"):
+        MD.load_model(path)
