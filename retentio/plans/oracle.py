@@ -660,6 +660,13 @@ ORACLES["stream_bronze_ingest"] = (
     "SELECT event_id, user_id, event_type, value, ts, 'events' AS _source, 'batch_0001' AS _batch_id "
     "FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY ts) AS rn FROM events) e WHERE rn = 1")
 
+ORACLES["stream_quiet_users"] = """
+WITH e AS (SELECT DISTINCT user_id, epoch_us(ts) // 1000 AS t FROM events),
+n AS (SELECT *, lead(t) OVER (PARTITION BY user_id ORDER BY t) AS after FROM e),
+w AS (SELECT max(t) - 86400000 AS last FROM e)
+SELECT user_id, t + 172800000 AS quiet_since_ms FROM n, w
+WHERE (after IS NULL OR after > t + 172800000) AND t + 172800000 <= last"""
+
 ORACLES["stream_risk_scoring"] = with_base(
     "SELECT customer_id, churn_prob, churn_prob >= 0.5::DOUBLE AS churn_prediction, risk_tier, "
     f"array_to_string({_FLIST}, ',') AS factor_names, CASE "

@@ -46,6 +46,12 @@ MAX_FILES = 1_000
 DATE = "_event_date"
 
 
+def _without(rows: DataFrame, old: DataFrame, ids: list[str]) -> DataFrame:
+    """The rows whose ids (null ones too) are not among the old ones."""
+    held = old.select(F.struct(*ids).alias("_old"))
+    return rows.join(held, F.struct(*[rows[c] for c in ids]) == held["_old"], "left_anti")
+
+
 def ingest_incremental(spark: SparkSession, source: str, schema: T.StructType, sink: str,
                        checkpoint: str, id_cols, ts_col: str, watermark: str = "1 day",
                        source_name: str = "stream", batch_id: str | None = None,
@@ -53,7 +59,8 @@ def ingest_incremental(spark: SparkSession, source: str, schema: T.StructType, s
     """Merge new rows by id into a parquet table partitioned by event date.
 
     A row is new when the table holds no row of its id within ``watermark``
-    of the batch's event times; only those date partitions' ids are read.  No
+    of the batch's event times (or without a time, if the row has none); only those date
+    partitions' ids are read.  No
     row is dropped for being late, nothing is held in state, and a batch that
     is run again after a failure finds its rows and adds none.
     """
@@ -64,13 +71,18 @@ def ingest_incremental(spark: SparkSession, source: str, schema: T.StructType, s
     table = T.StructType([*s.schema.fields, T.StructField(DATE, T.DateType())])
 
     def merge(batch: DataFrame, _: int) -> None:
-        rows = batch.dropDuplicates(ids).withColumn(DATE, F.to_date(ts_col))
+        # Of unequal rows of one id the least in all columns is taken, so a batch run again takes the same.
+        whole = F.struct(F.col(ts_col).isNull().alias("_none"), *[F.col(c) for c in batch.columns if c not in ids])
+        rows = batch.groupBy(*ids).agg(F.min(whole).alias("_row")).select(*[F.col(c) if c in ids else F.col(f"_row.{c}").alias(c) for c in batch.columns])
+        rows = rows.withColumn(DATE, F.to_date(ts_col))
         span = F.expr(f"INTERVAL {watermark}")
-        low, high = batch.agg(F.to_date(F.min(ts_col) - span), F.to_date(F.max(ts_col) + span)).first()
-        if low is not None:
+        low, high, none = batch.agg(F.to_date(F.min(ts_col) - span), F.to_date(F.max(ts_col) + span), F.bool_or(F.col(ts_col).isNull())).first()
+        if low is not None or none:
             old = spark.read.schema(table).option("recursiveFileLookup", "false").parquet(sink)
-            old = old.where(F.col(DATE).between(low, high)).select(*ids)
-            rows = rows.join(old, ids, "left_anti")
+            # Rows without a time have a partition of their own, read where the batch holds such rows.
+            known = F.col(DATE).between(low, high) if low is not None else F.lit(False)
+            old = old.where((known | F.col(DATE).isNull()) if none else known).select(*ids)
+            rows = _without(rows, old, ids)
         rows.write.mode("append").partitionBy(DATE).parquet(sink)
 
     # An empty table first, so that the first batch finds one.

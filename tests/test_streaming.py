@@ -94,3 +94,19 @@ def test_saved_model_scores_a_stream(spark, tmp_path):
     q.awaitTermination()
     out = spark.read.parquet(str(tmp_path / "out"))
     assert out.count() == 200 and out.where("churn_probability is null").count() == 0
+
+
+def test_ingest_takes_rows_without_a_time_once(spark, tmp_path):
+    """Null event times and null ids don't come again with later batches; of unequal duplicates the least stays."""
+    import datetime as dt
+    from retentio.streaming.jobs import ingest_incremental
+    src, sink, ck = (str(tmp_path / x) for x in ("in", "out", "ck"))
+    schema = "event_id long, ts timestamp, value double"
+    t = dt.datetime(2024, 1, 5)
+    batches = [[(1, None, 1.0), (2, t, 2.0), (None, None, 9.0)], [(1, None, 1.0), (3, t, 3.5), (3, t, 3.0), (2, t, 2.0)], [(1, None, 1.0), (None, None, 9.0), (4, None, 4.0)]]
+    for rows in batches:
+        df = spark.createDataFrame(rows, schema)
+        df.coalesce(1).write.mode("append").parquet(src)
+        ingest_incremental(spark, src, df.schema, sink, ck, ["event_id"], "ts", batch_id="b")
+    got = sorted(((r.event_id, r.ts, r.value) for r in spark.read.parquet(sink).collect()), key=str)
+    assert got == sorted([(1, None, 1.0), (2, t, 2.0), (None, None, 9.0), (3, t, 3.0), (4, None, 4.0)], key=str)
