@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import cut
+from .shared import stored
 from .text import slices, utf8
 
 BUCKETS = 256
@@ -186,7 +186,7 @@ def edit_likeness(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
             edge = [pa.array([v], kinds[t]) for v, t in zip((TaskContext.get().partitionId(), first, last), extra.values())]
             yield pa.RecordBatch.from_arrays([last_id, *[pa.nulls(1, kinds[t]) for t in _RESULT.values()], *edge], names=schema.names)
 
-    done = cut(_ordered(docs, id_col, text_col).mapInArrow(one, schema))
+    done = stored(_ordered(docs, id_col, text_col).mapInArrow(one, schema))
     edges = done.where("part is not null")
     w = Window.orderBy("part")  # a number for each partition
     follow = edges.select("part", F.coalesce(F.lead("part").over(w), F.min("part").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("to"))
