@@ -15,7 +15,8 @@ link where 100 * intersection >= ``percent`` * union.
    where the sizes, or the positions at which they hold the shingle, leave too
    little room for the overlap.
 4. Each list block's entry of least position is its leader: the set that holds
-   least beside what the list shares.  Leaders are compared first.  A member
+   least beside what the list shares.  A set is compared with the leader of most of its
+   lists first, then with those of other components.  A member
    that links to a leader takes over the leader's answers: members of one
    component are not compared again, and the overlaps with a common leader
    bound the overlap of two members from both sides, which settles many pairs
@@ -200,7 +201,7 @@ def _needed(na: Column, nb: Column, percent: int) -> Column:
 
 
 def _candidates(a: DataFrame, b: DataFrame, extra: Column | None, percent: int) -> DataFrame:
-    """Distinct pairs of entries of one list block that sizes and positions allow.
+    """Pairs (a, b, na, nb, lists) of sets whose sizes and positions allow a link in ``lists`` list blocks.
 
     ``a`` and ``b`` have token, blk, sid, n, pos with suffixes _a and _b.
     """
@@ -213,7 +214,14 @@ def _candidates(a: DataFrame, b: DataFrame, extra: Column | None, percent: int)
     return (a.join(b, ok).select(
         F.least("sid_a", "sid_b").alias("a"), F.greatest("sid_a", "sid_b").alias("b"),
         F.when(F.col("sid_a") < F.col("sid_b"), F.col("n_a")).otherwise(F.col("n_b")).alias("na"),
-        F.when(F.col("sid_a") < F.col("sid_b"), F.col("n_b")).otherwise(F.col("n_a")).alias("nb")).distinct())
+        F.when(F.col("sid_a") < F.col("sid_b"), F.col("n_b")).otherwise(F.col("n_a")).alias("nb"))
+        .groupBy("a", "b", "na", "nb").agg(F.count("*").alias("lists")))
+
+
+def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs that are not of one component."""
+    q = (pairs.join(roots.toDF("_x", "_rx"), F.col("a") == F.col("_x"), "left").join(roots.toDF("_y", "_ry"), F.col("b") == F.col("_y"), "left"))
+    return q.where(F.coalesce(F.col("_rx") != F.col("_ry"), F.lit(True))).select(*pairs.columns)
 
 
 def _suffixed(df: DataFrame, suffix: str) -> DataFrame:
@@ -306,7 +314,16 @@ def _rows(docs: DataFrame, shingle: int, percent: int, id_col: str, text_col: st
             .select("token", "blk", "x.sid", "x.n", "x.pos"))
     shape = ["token", "blk", "sid", "n", "pos"]
     to_leader = _candidates(_suffixed(lead.select(shape), "_a"), _suffixed(entries.select(shape), "_b"), None, percent)
-    answers = cut(overlaps(cut(to_leader)))
+    to_leader = cut(to_leader)
+    # A set meets the leader of most of its lists first; the others only where that leaves it
+    # in another component.
+    ends = to_leader.select(F.col("a").alias("s"), F.col("b").alias("p"), "lists").unionByName(
+        to_leader.select(F.col("b").alias("s"), F.col("a").alias("p"), "lists"))
+    best = ends.groupBy("s").agg(F.max(F.struct("lists", "p")).alias("x")).select(F.least("s", "x.p").alias("a"), F.greatest("s", "x.p").alias("b")).distinct()
+    best = cut(to_leader.join(best, ["a", "b"], "left_semi").drop("lists"))
+    answers = cut(overlaps(best))
+    roots = cut(components(_links(answers, percent)))
+    answers = cut(answers.unionByName(overlaps(cut(_apart(to_leader.drop("lists"), roots).join(best, ["a", "b"], "left_anti")))))
     star = _links(answers, percent)
     roots = cut(components(star))
 
@@ -316,7 +333,7 @@ def _rows(docs: DataFrame, shingle: int, percent: int, id_col: str, text_col: st
     upper = marked.withColumn("blk", F.explode(F.array("blk", F.col("blk") - 1)))
     order = F.struct("n_a", "sid_a") < F.struct("n_b", "sid_b")
     rest = _candidates(_suffixed(marked, "_a"), _suffixed(upper, "_b"), order & (F.col("root_a") != F.col("root_b")), percent)
-    rest = rest.join(answers.select("a", "b"), ["a", "b"], "left_anti")
+    rest = rest.drop("lists").join(answers.select("a", "b"), ["a", "b"], "left_anti")
     derived = cut(_derive(rest, answers, percent))
     more = _links(overlaps(derived.where("settled is null").drop("settled")), percent)
     second = derived.where("settled").select("a", "b").unionByName(more)
