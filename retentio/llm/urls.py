@@ -29,9 +29,9 @@ from .shared import cut
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 DAMPING = 0.85
 #: Share of the seeds' mass that may be left to spread at the end.
-TOLERANCE = 1e-6
-#: Rounds between two checkpoints, after which the mass left is looked at.
-CUT_EVERY = 8
+TOLERANCE = 1e-5
+#: Rounds that are added up together, after which the mass left is looked at.
+SUM_EVERY = 8
 #: Share of trust and distrust within which they count as equal.
 EQUAL = 1e-9
 MARGIN = 0.0
@@ -109,22 +109,18 @@ def pagerank(edges: DataFrame, seeds: DataFrame, *, damping: float = DAMPING, to
     step = cut(edges.join(out, ["kind", "src"]).select("kind", "src", "dst", (F.col("w") / F.col("total")).alias("p")))
     moved = cut(seeds.select("kind", "host", ((1 - damping) * F.col("s")).alias("rank")))
     first = moved.agg(F.sum("rank")).first()[0] or 0.0
-    rank = moved
+    rank, rounds = moved, []
     while True:
-        parts = [rank]
-        for _ in range(CUT_EVERY):
-            moved = (step.join(moved.withColumnRenamed("host", "src"), ["kind", "src"])
-                     .groupBy("kind", F.col("dst").alias("host")).agg(F.sum(damping * F.col("p") * F.col("rank")).alias("rank")))
-            parts.append(moved)
-        # One table holds what each of the rounds brought; the last round goes on.
-        rounds = parts[0].withColumn("round", F.lit(0))
-        for k, part in enumerate(parts[1:], 1):
-            rounds = rounds.unionByName(part.withColumn("round", F.lit(k)))
-        rounds = cut(rounds)
-        moved = rounds.where(F.col("round") == CUT_EVERY).drop("round")
-        rank = cut(rounds.groupBy("kind", "host").agg(F.sum("rank").alias("rank")))
-        if (moved.agg(F.sum("rank")).first()[0] or 0.0) <= tolerance * first:
-            return rank
+        # Every round is written, so no plan grows with the number of rounds.
+        moved = cut(step.join(moved.withColumnRenamed("host", "src"), ["kind", "src"])
+                    .groupBy("kind", F.col("dst").alias("host")).agg(F.sum(damping * F.col("p") * F.col("rank")).alias("rank")))
+        rounds.append(moved)
+        if len(rounds) == SUM_EVERY:
+            for part in rounds:
+                rank = rank.unionByName(part)
+            rank, rounds = cut(rank.groupBy("kind", "host").agg(F.sum("rank").alias("rank"))), []
+            if (moved.agg(F.sum("rank")).first()[0] or 0.0) <= tolerance * first:
+                return rank
 
 
 def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, *, margin: float = MARGIN, id_col: str = "page_id",

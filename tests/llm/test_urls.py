@@ -95,4 +95,4 @@ def test_ranks_scale_with_the_seeds(spark, scale):
     edges = spark.createDataFrame([("t", "a", "b", 1), ("t", "b", "c", 1), ("t", "a", "c", 3), ("t", "c", "a", 1)], "kind string, src string, dst string, w long")
     rank = {r.host: r.rank / scale for r in U.pagerank(edges, spark.createDataFrame([("t", "a", scale)], "kind string, host string, s double")).collect()}
     want = brute.pagerank({("a", "b"): 1, ("b", "c"): 1, ("a", "c"): 3, ("c", "a"): 1}, {"a": 1.0}, U.DAMPING, 150)
-    assert all(rank[h] == pytest.approx(want[h], abs=1e-5) and rank[h] > 0 for h in want)
+    assert all(rank[h] == pytest.approx(want[h], abs=1e-4) and rank[h] > 0 for h in want)
