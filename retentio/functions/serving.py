@@ -8,72 +8,63 @@ projection.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .numeric import _c, flag
+from ..operators.features import (CASE_INSENSITIVE_FLAGS, CASE_SENSITIVE_FLAGS, FEATURE_COLUMNS, HIGH_VALUE_CHARGE, LONG_TENURE_MONTHS,
+                                  NEW_CUSTOMER_MONTHS)
+from .numeric import _c, flag, flag_eq
 
-# Fixed imputation constants of the scoring service.
+# ---------------------------------------------------------------------------
+# What the scoring service puts where a request says nothing.
+# ---------------------------------------------------------------------------
 IMPUTED_ORDERS_6MO = 5
 REVENUE_MONTHS = 6
 VOLATILITY_SHARE = 0.1
 ACTIVE_MONTHS_CAP = 6
+ALWAYS = {"has_phone": 1, "services_count": 0, "total_cancellations_6mo": 0, "total_orders_6mo": IMPUTED_ORDERS_6MO}
+#: The request's field for a column of the customer table.
+FIELDS = {"gender": "gender", "partner": "has_partner", "dependents": "has_dependents", "paperlessbilling": "paperless_billing",
+          "contract": "contract_type", "paymentmethod": "payment_method", "internetservice": "internet_service",
+          "onlinesecurity": "online_security", "techsupport": "tech_support"}
+# ---------------------------------------------------------------------------
 
 
-def serving_columns(tenure="tenure_months", monthly="monthly_charges", total="total_charges",
-                    tickets="num_support_tickets", contract="contract_type",
-                    payment="payment_method", internet="internet_service",
-                    security="online_security", support="tech_support", gender="gender",
-                    senior="is_senior_citizen", partner="has_partner", dependents="has_dependents",
-                    paperless="paperless_billing") -> dict:
-    """The model's 44 features, in model order, from the request's 15 fields."""
-    t, m, tot = _c(tenure).cast("double"), _c(monthly).cast("double"), _c(total).cast("double")
-    k = _c(tickets).cast("int")
-    neg = F.greatest(k - 1, F.lit(0))
-    is_ = lambda c, v: flag(_c(c) == v)
-    return {
-        "is_male": is_(gender, "Male"),
-        "is_senior_citizen": _c(senior).cast("int"),
-        "has_partner": is_(partner, "Yes"),
-        "has_dependents": is_(dependents, "Yes"),
-        "tenure_months": t,
-        "monthly_charges": m,
-        "total_charges": tot,
-        "implied_tenure": F.when(m > 0, tot / m).otherwise(F.lit(0.0)),
-        "is_monthly_contract": is_(contract, "Month-to-month"),
-        "is_annual_contract": is_(contract, "One year"),
-        "is_biannual_contract": is_(contract, "Two year"),
-        "uses_electronic_check": is_(payment, "Electronic check"),
-        "has_paperless_billing": is_(paperless, "Yes"),
-        "has_fiber_optic": is_(internet, "Fiber optic"),
-        "has_dsl": is_(internet, "DSL"),
-        "no_internet": is_(internet, "No"),
-        "has_online_security": is_(security, "Yes"),
-        "has_tech_support": is_(support, "Yes"),
-        "has_phone": F.lit(1),
-        **{c: F.lit(0) for c in ("has_multiple_lines", "has_online_backup", "has_device_protect",
-                                 "has_streaming_tv", "has_streaming_movies")},
-        "is_new_customer": flag(t < 12),
-        "is_long_tenure": flag(t > 48),
-        "charge_gap": m * t - tot,
-        "services_count": F.lit(0),
-        "is_high_value": flag(m > 70),
-        "is_at_risk": flag((_c(contract) == "Month-to-month") & (t < 12)),
-        "total_support_tickets": k,
-        "negative_support_tickets": neg,
-        "tickets_last_6mo": k,
-        "total_orders_6mo": F.lit(IMPUTED_ORDERS_6MO),
-        "total_revenue_6mo": m * F.lit(float(REVENUE_MONTHS)),
-        "avg_monthly_revenue_6mo": m,
-        "revenue_volatility_6mo": m * F.lit(VOLATILITY_SHARE),
-        "total_cancellations_6mo": F.lit(0),
-        "active_months_6mo": F.least(F.lit(ACTIVE_MONTHS_CAP), t.cast("int")),
-        "lifetime_value": tot,
-        "avg_order_value": m,
-        "total_orders": F.greatest(F.lit(1), t.cast("int")),
-        "negative_ticket_ratio": F.when(k > 0, neg / k).otherwise(F.lit(0.0)),
-        "charge_to_ltv_ratio": F.when(tot > 0, m / tot).otherwise(F.lit(0.0)),
-    }
+def _flags(names: dict[str, str]) -> dict[str, Column]:
+    """The flags of the feature builder over request fields; services that a request doesn't name are 0."""
+    out = {}
+    for table, fold in ((CASE_INSENSITIVE_FLAGS, True), (CASE_SENSITIVE_FLAGS, False)):
+        for name, (source, value) in table.items():
+            field = FIELDS.get(source)
+            out[name] = flag_eq(names.get(field, field), value, case_insensitive=fold) if field else F.lit(0)
+    return out
+
+
+def serving_columns(**names: str) -> dict[str, Column]:
+    """The model's 44 features, in model order, from the request's 15 fields.
+
+    ``names`` maps a field to another column name.
+    """
+    column = lambda field: _c(names.get(field, field))
+    tenure, monthly, total = (column(c).cast("double") for c in ("tenure_months", "monthly_charges", "total_charges"))
+    tickets, months = column("num_support_tickets").cast("int"), tenure.cast("int")
+    negative = F.greatest(tickets - 1, F.lit(0))
+    over = lambda a, b: F.when(b > 0, a / b).otherwise(F.lit(0.0))
+    flags = _flags(names)
+    new = tenure < NEW_CUSTOMER_MONTHS
+    told = {"is_senior_citizen": column("is_senior_citizen").cast("int"), "tenure_months": tenure, "monthly_charges": monthly, "total_charges": total}
+    derived = {"implied_tenure": over(total, monthly), "is_new_customer": flag(new), "is_long_tenure": flag(tenure > LONG_TENURE_MONTHS),
+               "charge_gap": monthly * tenure - total, "is_high_value": flag(monthly > HIGH_VALUE_CHARGE),
+               "is_at_risk": flag((flags["is_monthly_contract"] == 1) & new)}
+    # Engagement is not in a request: it follows from charges, tenure and tickets.
+    imputed = {**{c: F.lit(v) for c, v in ALWAYS.items()},
+               **dict.fromkeys(["total_support_tickets", "tickets_last_6mo"], tickets), "negative_support_tickets": negative,
+               "negative_ticket_ratio": over(negative, tickets),
+               **dict.fromkeys(["avg_monthly_revenue_6mo", "avg_order_value"], monthly), "total_revenue_6mo": monthly * F.lit(float(REVENUE_MONTHS)),
+               "revenue_volatility_6mo": monthly * F.lit(VOLATILITY_SHARE), "lifetime_value": total, "charge_to_ltv_ratio": over(monthly, total),
+               "active_months_6mo": F.least(F.lit(ACTIVE_MONTHS_CAP), months), "total_orders": F.greatest(F.lit(1), months)}
+    every = {**flags, **told, **derived, **imputed}
+    return {c: every[c] for c in FEATURE_COLUMNS}
 
 
 def with_serving_features(requests: DataFrame, keep=(), key: str = "customer_id") -> DataFrame:

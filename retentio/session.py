@@ -57,14 +57,21 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the session's ``spark.checkpoint.dir``; set one only when unset.
 
-    The fallback lies in the warehouse folder, which all executors share.
+    The fallback lies in the warehouse folder.  On a cluster that folder must name a shared store
+    (a path with a scheme other than ``file``): a folder of the driver's machine would be
+    lost to the executors, so it is refused.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    folder = spark.conf.get("spark.checkpoint.dir", None) or os.path.join(
-        spark.conf.get("spark.sql.warehouse.dir"), "_checkpoints")
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        warehouse = spark.conf.get("spark.sql.warehouse.dir")
+        shared = "://" in warehouse or warehouse.split(":")[0] not in ("file", warehouse)
+        if not sc.master.startswith("local[") and sc.master != "local" and not shared:
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        folder = os.path.join(warehouse, "_checkpoints")
     sc.setCheckpointDir(folder)
     return sc.getCheckpointDir() or folder
 

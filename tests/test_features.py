@@ -138,7 +138,7 @@ def test_bronze_to_score(spark):
     assert set(FE.FEATURE_COLUMNS) <= set(m.columns)
     model = MD.fit_churn(m, rounds=2, strict=True)
     e = A.engineered(spark, SF001)
-    row = e.select("customer_id", *[c.alias(n) for n, c in serving_columns(partner="partner", dependents="dependents").items()])
+    row = e.select("customer_id", *[c.alias(n) for n, c in serving_columns(has_partner="partner", has_dependents="dependents").items()])
     assert [c for c in row.columns if c != "customer_id"] == FE.FEATURE_COLUMNS
     s = MD.score_churn(model, row, strict=True)
     assert s.count() == 150 and s.where("churn_probability between 0 and 1").count() == 150
