@@ -667,6 +667,15 @@ w AS (SELECT max(t) - 86400000 AS last FROM e)
 SELECT user_id, t + 172800000 AS quiet_since_ms FROM n, w
 WHERE (after IS NULL OR after > t + 172800000) AND t + 172800000 <= last"""
 
+ORACLES["stream_order_tickets"] = """
+WITH m AS (SELECT (SELECT CAST(max(ts) AS DATE) FROM events) AS newest, (SELECT CAST(max(o_orderdate) AS DATE) FROM orders) AS last),
+o AS (SELECT o_orderkey AS order_id, o_custkey AS customer_id, o_orderdate + date_diff('day', last, newest) * INTERVAL 1 DAY AS ordered_at, newest
+      FROM orders, m),
+t AS (SELECT event_id AS ticket_id, user_id, ts FROM events WHERE event_type = 'error')
+SELECT order_id, customer_id, CAST(ordered_at AS DATE) AS ordered_on, ticket_id, epoch_us(ts) AS opened_us
+FROM o LEFT JOIN t ON t.user_id = o.customer_id AND t.ts >= o.ordered_at AND t.ts <= o.ordered_at + INTERVAL 7 DAY
+WHERE ordered_at < newest - INTERVAL 9 DAY"""
+
 ORACLES["stream_risk_scoring"] = with_base(
     "SELECT customer_id, churn_prob, churn_prob >= 0.5::DOUBLE AS churn_prediction, risk_tier, "
     f"array_to_string({_FLIST}, ',') AS factor_names, CASE "
