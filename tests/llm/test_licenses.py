@@ -66,3 +66,61 @@ def test_full_texts_and_runs_of_lines(spark):
     assert got[2].n_license_lines == 15 and got[5].n_license_lines == 2 and got[8].n_license_lines == 30
     assert (got[6].license, got[6].line_licenses, got[6].n_license_lines) == ("", "", 0)
     assert (got[7].line_licenses, got[7].n_license_lines) == ("Apache-2.0", 2)
+
+
+def plain_canonical(text, dropped):
+    """Canonical lines by plain Python."""
+    import re
+    t = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    t = re.sub(dropped, "\n", t)
+    out = []
+    for line in t.split("\n"):
+        words = re.sub(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", " ", line).split()
+        out.append([dict(L.SPELLINGS).get(w, w) for w in words])
+    return [x for x in out if x]
+
+
+def plain_scan(text, known):
+    """(license, line_licenses, n_license_lines) by comparing the whole text, each line and every run of lines."""
+    forms = {}
+    for name, t in known:
+        for dropped in (L.COPYRIGHT_LINE, L.HOLDER_LINE):
+            words = tuple(w for x in plain_canonical(t, dropped) for w in x)
+            if words:
+                forms.setdefault(words, set()).add(name)
+    lines, body = plain_canonical(text, L.COPYRIGHT_LINE), plain_canonical(text, L.HOLDER_LINE)
+    join = lambda xs: tuple(w for x in xs for w in x)
+    whole = forms.get(join(lines), set()) | forms.get(join(body), set())
+    parts, count, inside = set(), 0, set()
+    for x in lines:
+        parts |= forms.get(tuple(x), set())
+        count += len(forms.get(tuple(x), ()))  # a line under two names counts for each
+    holder = "copyright" in (text or "").lower() or "(c)" in (text or "").lower()
+    runs = body if holder else lines
+    for i in range(len(runs)):
+        for j in range(i + 2, len(runs) + 1):
+            if j - i < len(runs) and join(runs[i:j]) in forms and join(runs[i:j]) != join(lines):
+                parts |= forms[join(runs[i:j])]
+                inside |= set(range(i, j))
+    return ",".join(sorted(whole)), ",".join(sorted(parts)), count + len(inside)
+
+
+def test_scan_matches_brute_force(spark):
+    import random
+    rng = random.Random(9)
+    known = [("A", "Permission is granted to use this licence, version 2."), ("A", "Use this licence."), ("B", "Released to all\nwithout any favour"),
+             ("C", "Copyright holders give v 3 of this to you"), ("D", "all rights reserved"), ("E", "use this license")]
+    texts = []
+    for _ in range(150):
+        parts = []
+        for _ in range(rng.randint(1, 4)):
+            words = rng.choice(known)[1].split() if rng.random() < 0.7 else [rng.choice(["use", "this", "license", "all", "plain", "words"]) for _ in range(rng.randint(0, 5))]
+            cut = rng.choice([2, 3, 5, 50])
+            parts.append("\n".join(rng.choice(["", "# ", " * "]) + " ".join(words[k:k + cut]).upper() for k in range(0, len(words), cut)))
+            if rng.random() < 0.3:
+                parts.append(rng.choice(["Copyright 2020 A. Person", "(c) 2021 B", "", "---", "Copyright text goes on"]))
+        texts.append("\n".join(parts))
+    got = scan(spark, list(enumerate(texts)), spark.createDataFrame(known, "license string, text string"))
+    want = {k: plain_scan(t, known) for k, t in enumerate(texts)}
+    assert {k: (r.license, r.line_licenses, r.n_license_lines) for k, r in got.items()} == want
+    assert sum(bool(w[0]) for w in want.values()) > 5 and sum(w[2] > 1 for w in want.values()) > 30
