@@ -410,7 +410,8 @@ def rare_word_pairs(classes: DataFrame, roots: DataFrame, similarity: float) ->
     marked = held.select(F.explode("pre").alias("list"), *shape, "root", "large")
 
     def met(a: DataFrame, b: DataFrame, *more: Column) -> DataFrame:
-        ok = (F.col("list_a") == F.col("list_b")) & (F.greatest("n_a", "n_b") >= two)
+        # Every join asks the same of a side's rows, so they share the shuffle of the lists.
+        ok = (F.col("list_a") == F.col("list_b")) & (F.col("h_a") != F.col("h_b")) & (F.greatest("n_a", "n_b") >= two)
         for x in (*more, F.coalesce(F.col("root_a") != F.col("root_b"), F.lit(True)), _possible(similarity)):
             ok = ok & x
         return _pairs(_suffixed(a, "_a").join(_suffixed(b, "_b"), ok))
