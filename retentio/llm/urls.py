@@ -32,6 +32,8 @@ DAMPING = 0.85
 TOLERANCE = 1e-5
 #: Rounds that are added up together, after which the mass left is looked at.
 SUM_EVERY = 8
+#: Links of one part of the tables that the rounds read and write.
+LINKS_A_PART = 200_000
 #: Share of trust and distrust within which they count as equal.
 EQUAL = 1e-9
 MARGIN = 0.0
@@ -109,16 +111,20 @@ def pagerank(edges: DataFrame, seeds: DataFrame, *, damping: float = DAMPING, to
     step = cut(edges.join(out, ["kind", "src"]).select("kind", "src", "dst", (F.col("w") / F.col("total")).alias("p")))
     moved = cut(seeds.select("kind", "host", ((1 - damping) * F.col("s")).alias("rank")))
     first = moved.agg(F.sum("rank")).first()[0] or 0.0
+    # A round's table has as many parts as the links fill: many rounds of tiny files would cost more than their rows.
+    parts = max(1, -(-step.count() // LINKS_A_PART))
+    step = cut(step.repartition(parts, "kind", "src"))
+    moved = cut(moved.coalesce(parts))
     rank, rounds = moved, []
     while True:
         # Every round is written, so no plan grows with the number of rounds.
         moved = cut(step.join(moved.withColumnRenamed("host", "src"), ["kind", "src"])
-                    .groupBy("kind", F.col("dst").alias("host")).agg(F.sum(damping * F.col("p") * F.col("rank")).alias("rank")))
+                    .groupBy("kind", F.col("dst").alias("host")).agg(F.sum(damping * F.col("p") * F.col("rank")).alias("rank")).coalesce(parts))
         rounds.append(moved)
         if len(rounds) == SUM_EVERY:
             for part in rounds:
                 rank = rank.unionByName(part)
-            rank, rounds = cut(rank.groupBy("kind", "host").agg(F.sum("rank").alias("rank"))), []
+            rank, rounds = cut(rank.groupBy("kind", "host").agg(F.sum("rank").alias("rank")).coalesce(parts)), []
             if (moved.agg(F.sum("rank")).first()[0] or 0.0) <= tolerance * first:
                 return rank
 
