@@ -19,11 +19,18 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+#: Bytes of a row group of stored tables.
+ROW_GROUP = 8 << 20
+
+
 def stored(df: DataFrame) -> DataFrame:
     """Write the frame as a Parquet table in the shared checkpoint folder and go on from
-    there: for wide frames of which later steps read a few columns each."""
+    there: for wide frames of which later steps read a few columns each.
+
+    Row groups are small, so that a writing task holds little of its rows at a time.
+    """
     path = scratch_path(df.sparkSession, f"tables/{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    df.write.option("parquet.block.size", ROW_GROUP).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
