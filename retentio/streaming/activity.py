@@ -1,10 +1,11 @@
 """Keyed state and timers (R1, R3): duplicate events dropped and quiet users flagged as the stream runs.
 
-Every user has state of their own: the ids of recent events and the times of those that may still be
-followed.  An event is passed on when its id is seen first.  Each event time sets a timer one
-``quiet`` span later; when the watermark passes it, every event up to then has come or is
-late for good, so a user without a later event in that span is flagged once, whatever the order or the
-batches in which events came.  The timer also gives the event's state back, so
+Every user has state of their own: the ids and times of the events that may still be followed.  An
+event is passed on when its id is seen first.  The earliest open event sets a timer one ``quiet``
+span later; when the watermark passes it, every event up to then has come or is late for good, so a
+user without a later event in that span is flagged once, whatever the order or the
+batches in which events came.  The timer also gives the state of all events up to the watermark less
+``quiet`` back and is set anew for the next, so
 state holds the events of about ``quiet`` plus the watermark's delay.  Ids of events without a time
 are kept: nothing ever makes them late.
 
@@ -27,46 +28,68 @@ from .jobs import _stream
 
 STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 EVENT, QUIET = "event", "quiet"
+#: Events of one element of a user's state.
+CHUNK = 4096
 
 
 class QuietUsers(StatefulProcessor):
-    """Passes on each event once and flags users that stay without events for ``quiet_ms``."""
+    """Passes on each event once and flags users that stay without events for ``quiet_ms``.
+
+    Every call to the state costs a round trip to the executor's JVM, so a user's open events are read
+    and written as a few chunks, and one timer, that of the earliest open event, closes all that are due.
+    """
 
     def __init__(self, quiet_ms: int) -> None:
         self.quiet = quiet_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.ids = handle.getMapState("ids", "id string", "at long")
-        self.times = handle.getMapState("times", "at long", "ids string")
+        self.open = handle.getListState("open", "at array<long>, ids array<string>")
+        self.untimed = handle.getMapState("untimed", "id string", "seen boolean")
+
+    def _held(self) -> list[tuple[int, str]]:
+        """The open events (time, id) of the user at hand."""
+        return [event for at, ids in self.open.get() for event in zip(at, ids)]
+
+    def _chunks(self, events: list[tuple[int, str]]) -> list[tuple[list[int], list[str]]]:
+        parts = [events[k:k + CHUNK] for k in range(0, len(events), CHUNK)]
+        return [([at for at, _ in part], [i for _, i in part]) for part in parts]
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        times: dict[int, list[str]] = {}
+        held = self._held()
+        seen, first = {i for _, i in held}, min((at for at, _ in held), default=None)
+        kept, new = self.untimed.exists(), []
         for row in rows:
             event, at = str(row.event_id), row.at_ms
-            if self.ids.containsKey((event,)):
+            if event in seen or kept and self.untimed.containsKey((event,)):
                 continue
-            self.ids.updateValue((event,), (-1 if at is None else at,))
-            if at is not None:
-                times.setdefault(at, []).append(event)
-            yield Row(user_id=key[0], kind=EVENT, event_id=event, at_ms=at)
-        for at, events in times.items():
-            if self.times.containsKey((at,)):
-                events = self.times.getValue((at,))[0].split("\n") + events
+            seen.add(event)
+            if at is None:
+                self.untimed.updateValue((event,), (True,))
             else:
-                self.handle.registerTimer(at + self.quiet)
-            self.times.updateValue((at,), ("\n".join(events),))
+                new.append((at, event))
+            yield Row(user_id=key[0], kind=EVENT, event_id=event, at_ms=at)
+        if new:
+            self.open.appendList(self._chunks(new))
+            earliest = min(at for at, _ in new)
+            if first is None or earliest < first:
+                self.handle.registerTimer(earliest + self.quiet)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        until = expiredTimerInfo.getExpiryTimeInMs()
-        at = until - self.quiet
-        followed = any(at < t <= until for (t,) in self.times.keys())
-        if self.times.containsKey((at,)):
-            for event in self.times.getValue((at,))[0].split("\n"):
-                self.ids.removeKey((event,))
-            self.times.removeKey((at,))
-        if not followed:
-            yield Row(user_id=key[0], kind=QUIET, event_id=None, at_ms=until)
+        due = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs()) - self.quiet
+        held = self._held()
+        left = [event for event in held if event[0] > due]
+        if len(left) == len(held):  # closed by an earlier timer
+            return
+        if left:
+            self.open.put(self._chunks(left))
+            self.handle.registerTimer(min(at for at, _ in left) + self.quiet)
+        else:
+            self.open.clear()
+        times = sorted({at for at, _ in held})
+        for at, after in zip(times, [*times[1:], None]):
+            if at <= due and (after is None or after > at + self.quiet):
+                yield Row(user_id=key[0], kind=QUIET, event_id=None, at_ms=at + self.quiet)
 
     def close(self) -> None:
         pass

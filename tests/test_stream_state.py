@@ -56,3 +56,59 @@ def test_batches_restarts_and_duplicates_have_no_bearing(spark, tmp_path, files)
     assert found(got) == want and len(want[1]) > 3
     again = quiet_users_job(spark, src, quiet, work_dir=work, schema=spark.read.parquet(src).schema)
     assert found(again) == want
+
+
+class Held:
+    """State of one user in memory, counting the calls to it."""
+
+    def __init__(self, calls=None):
+        self.calls, self.timers, self.items, self.map = [] if calls is None else calls, set(), [], {}
+
+    def __getattr__(self, name):
+        def call(*a):
+            self.calls.append(name)
+            return getattr(self, f"do_{name}")(*a)
+        return call
+
+    def do_getListState(self, *a): return Held(self.calls)
+    def do_getMapState(self, *a): return Held(self.calls)
+    def do_registerTimer(self, at): self.timers.add(at)
+    def do_get(self): return iter(list(self.items))
+    def do_put(self, rows): self.items = list(rows)
+    def do_appendList(self, rows): self.items += rows
+    def do_clear(self): self.items = []
+    def do_exists(self): return bool(self.map)
+    def do_containsKey(self, key): return key in self.map
+    def do_updateValue(self, key, value): self.map[key] = value
+    def do_getValue(self, key): return self.map[key]
+    def do_removeKey(self, key): del self.map[key]
+    def do_keys(self): return iter(list(self.map))
+
+
+def test_state_calls_do_not_grow_with_a_users_events(monkeypatch):
+    """Every call is a round trip: a batch takes a few, however many events a user has."""
+    from types import SimpleNamespace as N
+
+    from retentio.streaming import activity
+    monkeypatch.setattr(activity, "CHUNK", 100, raising=False)
+    held, quiet = Held(), 2 * DAY
+    user = activity.QuietUsers(quiet)
+    user.init(held)
+    rng = random.Random(5)
+    times = [rng.randrange(6000) * DAY // 4 + rng.randrange(3) for _ in range(1200)]
+    now = N(getCurrentWatermarkInMs=lambda: 0)
+    for half in (times[:700], times[600:]):
+        list(user.handleInputRows((1,), iter([N(event_id=t, at_ms=t) for t in half]), now))
+    end, got = 1000 * DAY, set()
+    late = N(getCurrentWatermarkInMs=lambda: end)
+    while held.timers and min(held.timers) <= end:
+        at = min(held.timers)
+        held.timers.discard(at)
+        rows = [r.at_ms for r in user.handleExpiredTimer((1,), late, N(getExpiryTimeInMs=lambda at=at: at))]
+        assert not got & set(rows)
+        got |= set(rows)
+    every = sorted(set(times))
+    want = {a + quiet for a, b in zip(every, [*every[1:], None]) if (b is None or b > a + quiet) and a + quiet <= end}
+    assert got == want and want
+    assert len(held.calls) < 40
+    assert min(at for chunk, _ in user.open.items for at in chunk) + quiet > end
