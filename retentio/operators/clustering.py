@@ -30,7 +30,7 @@ from .anomaly import mix32
 #: Integer parts of one unit of a scaled feature.
 UNITS = 1 << 30
 #: Rows whose distances are held at once.
-CHUNK = 4096
+CHUNK = 1024
 #: Squared distance up to which a row counts as equal to a centroid.
 FLAT = 1e-9
 
@@ -61,7 +61,43 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
 
 def _distances(x: np.ndarray, c: np.ndarray) -> np.ndarray:
     """Squared distances of rows to centroids."""
-    return np.maximum((x * x).sum(1)[:, None] - 2.0 * (x @ c.T) + (c * c).sum(1)[None, :], 0.0)
+    return _apart(x, c).T
+
+
+def _apart(x: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """Squared distances, a line of rows per centroid, computed in place."""
+    out = c @ x.T
+    out *= -2.0
+    out += (x * x).sum(1)[None, :]
+    out += (c * c).sum(1)[:, None]
+    return np.maximum(out, 0.0, out=out)
+
+
+def _owners(apart: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """1.0 where a centroid (line) is its model's nearest to a row (column), the first on a tie."""
+    own = np.empty(apart.shape)
+    for a, b in zip(start[:-1], start[1:]):
+        least, free = apart[a:b].min(0), np.ones(apart.shape[1], bool)
+        for j in range(a, b):
+            nearest = (apart[j] == least) & free
+            own[j] = nearest
+            free &= ~nearest
+    return own
+
+
+#: Bits of the low part of an integer: sums of the parts of CHUNK rows are exact as doubles.
+LOW = 26
+
+
+def _sums(own: np.ndarray, whole: np.ndarray) -> np.ndarray:
+    """Exact sums of integer rows by owner, and the rows' number as last column.
+
+    Both parts of each integer are summed by a matrix product of doubles, below 2**53 each.
+    """
+    d = whole.shape[1]
+    parts = np.column_stack([whole >> LOW, whole & ((1 << LOW) - 1), np.ones(len(whole), np.int64)]).astype(float)
+    got = (own @ parts).astype(np.int64)
+    return np.column_stack([(got[:, :d] << LOW) + got[:, d:2 * d], got[:, 2 * d]])
 
 
 def _mix32(x: np.ndarray) -> np.ndarray:
@@ -137,11 +173,9 @@ def _moments(points: DataFrame, vector: str, fits: list[Fit]) -> tuple[np.ndarra
         n, total = np.zeros(len(c), np.int64), np.zeros((len(c), d + 1), np.int64)
         for x in _chunks(batches):
             whole = np.rint(np.column_stack([x, (x * x).sum(1)]) * UNITS).astype(np.int64)
-            apart = _distances(x, c)
-            for a, b in zip(start[:-1], start[1:]):
-                label = a + apart[:, a:b].argmin(1)
-                n += np.bincount(label, minlength=len(c))
-                np.add.at(total, label, whole)
+            got = _sums(_owners(_apart(x, c), start), whole)
+            total += got[:, :-1]
+            n += got[:, -1]
         i, j = np.indices(total.shape)
         yield pa.RecordBatch.from_arrays([pa.array(i.ravel().astype(np.int32)), pa.array(j.ravel().astype(np.int32)),
                                           pa.array(total.ravel()), pa.array(np.repeat(n, d + 1))], names=["i", "j", "v", "n"])

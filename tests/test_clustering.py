@@ -83,3 +83,21 @@ def test_few_and_equal_rows(spark, rows):
     got = MD.kmeans_segments(df, "key", ["a", "b"], ks=range(2, 4), restarts=2).collect()
     assert len(got) == (rows if rows >= 2 else 0)
     assert not got or {r.k for r in got} == {2} and len({r.cluster for r in got}) == 2
+
+
+def test_sums_by_owner_are_exact_and_ties_go_to_the_first():
+    """The matrix products give the integers' sums, whatever their size, and one owner a row and model."""
+    import numpy as np
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(CL.CHUNK, 3)) * 100
+    c = np.concatenate([x[:2], x[:1], rng.normal(size=(4, 3)) * 100])  # centroids 0 and 2 are equal
+    start = np.array([0, 3, 7])
+    own = CL._owners(CL._apart(x, c), start)
+    whole = np.rint(np.column_stack([x, (x * x).sum(1)]) * CL.UNITS).astype(np.int64)
+    got = CL._sums(own, whole)
+    want = [[0] * 5 for _ in c]
+    for row, d in zip(whole.tolist(), CL._distances(x, c)):
+        for a, b in zip(start[:-1], start[1:]):
+            k = a + int(d[a:b].argmin())
+            want[k] = [s + v for s, v in zip(want[k], [*row, 1])]
+    assert got.tolist() == want and want[2][-1] == 0
