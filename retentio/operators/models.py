@@ -67,13 +67,23 @@ def with_weights(df: DataFrame, label: str = "label") -> DataFrame:
 #: Rows of a training partition: boosting runs several jobs a round, and small
 #: frames in many partitions spend their time in task starts.
 TRAIN_ROWS = 50_000
+#: Most rows of a training partition, which a task's cached block holds in binned form.
+MOST_TRAIN_ROWS = 2_000_000
 
 
-def _sized(train: DataFrame) -> DataFrame:
-    """The training frame, written once, in partitions of about TRAIN_ROWS rows."""
+def _sized(train: DataFrame, members: int = 1) -> DataFrame:
+    """The training frame, written once, in even partitions of TRAIN_ROWS rows or more.
+
+    Every level of every round runs a task a partition, which sends the statistics of all its nodes, features and
+    bins, so there are no more partitions than the cores run at once with all ``members`` fitted side by side.
+    """
     ensure_checkpoint_dir(train.sparkSession)
-    train = train.checkpoint()
-    return train.coalesce(max(1, -(-train.count() // TRAIN_ROWS)))
+    rows, cores = train.count(), train.sparkSession.sparkContext.defaultParallelism
+    parts = max(1, min(-(-rows // TRAIN_ROWS), cores // members), -(-rows // MOST_TRAIN_ROWS))
+    if parts == 1:
+        return train.checkpoint().coalesce(1)
+    # The order of rows decides which are drawn, so it must not be that in which they arrived.
+    return train.repartition(parts).sortWithinPartitions(F.xxhash64(*train.columns)).checkpoint()
 
 
 def fit_churn(train: DataFrame, features=FEATURE_COLUMNS, rounds: int = CHURN_ROUNDS,
@@ -83,8 +93,8 @@ def fit_churn(train: DataFrame, features=FEATURE_COLUMNS, rounds: int = CHURN_RO
     A round of boosting is a few jobs that leave most of a cluster idle, so the two members' jobs
     are submitted from two threads, as the cross validator does with its models.
     """
-    m = _sized(with_weights(model_matrix(train, features, strict=strict)))
     assembler, *members = churn_members(features, rounds, seed)
+    m = _sized(with_weights(model_matrix(train, features, strict=strict)), len(members))
     vectors = assembler.transform(m)
     with ThreadPool(len(members)) as pool:
         fitted = pool.map(inheritable_thread_target(train.sparkSession)(lambda e: e.fit(vectors)), members)

@@ -177,3 +177,20 @@ def test_saved_model_knows_its_features(spark, request_model, tmp_path):
     spark.createDataFrame([(0, "tenure_months")], "position int, feature string").write.mode("overwrite").parquet(f"{path}/_features")
     with pytest.raises(ValueError, match="other features"):
         MD.load_model(path)
+
+
+def test_training_partitions_are_even_and_no_more_than_run_at_once(spark, monkeypatch):
+    """Members fitted side by side share the cores; a task beyond them only adds statistics to send."""
+    monkeypatch.setattr(MD, "TRAIN_ROWS", 10)
+    df = spark.range(0, 4000, 1, 40).select(F.col("id").alias("customer_id"), (F.col("id") % 2).cast("int").alias("label"))
+    df = df.where("customer_id % 4 = 0 or customer_id < 1000")  # uneven partitions
+    got = MD._sized(df, 2)
+    cores = spark.sparkContext.defaultParallelism
+    sizes = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    assert got.rdd.getNumPartitions() == max(1, cores // 2)
+    assert max(sizes) <= min(sizes) + 40 and got.distinct().count() == df.count()
+    monkeypatch.setattr(MD, "MOST_TRAIN_ROWS", 100)
+    assert MD._sized(df, 2).rdd.getNumPartitions() == -(-df.count() // 100)
+    monkeypatch.setattr(MD, "TRAIN_ROWS", 10_000)
+    monkeypatch.setattr(MD, "MOST_TRAIN_ROWS", 10_000)
+    assert MD._sized(df, 2).rdd.getNumPartitions() == 1
