@@ -113,7 +113,8 @@ def pagerank(edges: DataFrame, seeds: DataFrame, *, damping: float = DAMPING, to
     first = moved.agg(F.sum("rank")).first()[0] or 0.0
     # A round's table has as many parts as the links fill: many rounds of tiny files would cost more than their rows.
     parts = max(1, -(-step.count() // LINKS_A_PART))
-    step = cut(step.repartition(parts, "kind", "src"))
+    # Links that fill one part only lie together, so a round needs no shuffle; others are dealt out by source once.
+    step = cut(step.coalesce(1) if parts == 1 else step.repartition(parts, "kind", "src"))
     moved = cut(moved.coalesce(parts))
     rank, rounds = moved, []
     while True:

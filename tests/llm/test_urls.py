@@ -96,3 +96,20 @@ def test_ranks_scale_with_the_seeds(spark, scale):
     rank = {r.host: r.rank / scale for r in U.pagerank(edges, spark.createDataFrame([("t", "a", scale)], "kind string, host string, s double")).collect()}
     want = brute.pagerank({("a", "b"): 1, ("b", "c"): 1, ("a", "c"): 3, ("c", "a"): 1}, {"a": 1.0}, U.DAMPING, 150)
     assert all(rank[h] == pytest.approx(want[h], abs=1e-4) and rank[h] > 0 for h in want)
+
+
+def test_links_of_one_part_are_not_dealt_out(spark, monkeypatch):
+    """A round over few links is one task, whatever the least number of parts a deal by key may have."""
+    edges = spark.createDataFrame([("t", "a", "b", 1), ("t", "b", "c", 1), ("t", "c", "a", 1)], "kind string, src string, dst string, w long")
+    deal, cut, parts = type(edges).repartition, U.cut, []
+    monkeypatch.setattr(type(edges), "repartition", lambda self, n, *by: deal(self, max(n, 211), *by))
+
+    def seen(df):
+        out = cut(df)
+        if "p" in out.columns:
+            parts.append(out.rdd.getNumPartitions())
+        return out
+
+    monkeypatch.setattr(U, "cut", seen)
+    got = {r.host: r["rank"] for r in U.pagerank(edges, spark.createDataFrame([("t", "a", 1.0)], "kind string, host string, s double")).collect()}
+    assert set(got) == {"a", "b", "c"} and got["a"] > got["b"] > got["c"] and parts[-1] == 1
