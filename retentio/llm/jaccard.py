@@ -44,7 +44,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import cut, passing, stored, text_key
+from .shared import cut, passing, shuffles_deleted, stored, text_key
 from .text import batches_of, mix, words
 
 SHINGLE = 4
@@ -113,9 +113,10 @@ def _frequent(docs: DataFrame, text_col: str, size: int) -> tuple[np.ndarray, np
                     held, n = [], 0
         yield counted()
 
-    table = (docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(repeated, "token long, n long")
-             .groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= FREQUENT_MIN)
-             .orderBy(F.col("n").desc(), "token").limit(FREQUENT).toArrow())
+    with shuffles_deleted(docs.sparkSession):
+        table = (docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(repeated, "token long, n long")
+                 .groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= FREQUENT_MIN)
+                 .orderBy(F.col("n").desc(), "token").limit(FREQUENT).toArrow())
     token, n = (table.column(k).to_numpy() for k in (0, 1))
     order = np.argsort(token.view(np.uint64))
     return token[order].view(np.uint64), n[order]

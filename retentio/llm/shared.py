@@ -4,19 +4,36 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir, scratch_path
 
 
+#: With this setting Spark deletes a frame's shuffle files when its job has ended.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_deleted(spark: SparkSession) -> Iterator[None]:
+    """Frames made in here leave no shuffle files behind: for frames that are run once."""
+    old = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(CLEANUP) if old is None else spark.conf.set(CLEANUP, old)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write the frame to the shared checkpoint folder and go on from there."""
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    with shuffles_deleted(df.sparkSession):
+        return df.select("*").checkpoint()
 
 
 #: Bytes of a row group of stored tables.
@@ -30,7 +47,8 @@ def stored(df: DataFrame) -> DataFrame:
     Row groups are small, so that a writing task holds little of its rows at a time.
     """
     path = scratch_path(df.sparkSession, f"tables/{uuid.uuid4().hex}")
-    df.write.option("parquet.block.size", ROW_GROUP).parquet(path)
+    with shuffles_deleted(df.sparkSession):
+        df.write.option("parquet.block.size", ROW_GROUP).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -50,9 +68,10 @@ def text_key(id_col: str, text_col: str):
 
 def _bitmap(ids: DataFrame, at) -> np.ndarray:
     """Bits at the addresses ``at`` (below 2 ** FILTER_BITS) of all rows, summed in Spark."""
-    words = (ids.select(at.cast("long").alias("h")).where("h is not null")
-             .select(F.shiftright("h", 6).alias("w"), F.col("h").bitwiseAND(F.lit(63)).cast("int").alias("k"))
-             .groupBy("w").agg(F.bit_or(F.expr("shiftleft(1L, k)")).alias("v")).toArrow())
+    with shuffles_deleted(ids.sparkSession):
+        words = (ids.select(at.cast("long").alias("h")).where("h is not null")
+                 .select(F.shiftright("h", 6).alias("w"), F.col("h").bitwiseAND(F.lit(63)).cast("int").alias("k"))
+                 .groupBy("w").agg(F.bit_or(F.expr("shiftleft(1L, k)")).alias("v")).toArrow())
     bits = np.zeros(1 << (FILTER_BITS - 6), np.int64)
     bits[words.column(0).to_numpy()] = words.column(1).to_numpy()
     return bits
@@ -98,15 +117,21 @@ def passing(df: DataFrame, ids: DataFrame, col: str, *, once: bool = False) -> D
 
 def shared_lists(df: DataFrame, lists: str, nodes: DataFrame | None = None, col: str = "h") -> DataFrame:
     """``df`` with the array column ``lists`` (32-bit list numbers) cut down to lists that more than one
-    row holds; a filter of fixed size, so others may stay.
+    row holds, and ``maybe``, as by ``in_lists``."""
+    more = df.select(F.explode(lists).alias("list")).groupBy("list").agg(F.count("*").alias("m")).where("m > 1")
+    return in_lists(df, lists, more, nodes, col)
+
+
+def in_lists(df: DataFrame, lists: str, wanted: DataFrame, nodes: DataFrame | None = None, col: str = "h") -> DataFrame:
+    """``df`` with the array column ``lists`` (32-bit list numbers) cut down to those that ``wanted`` has
+    in ``list``; a filter of fixed size, so others may stay.
 
     With ``nodes`` a column ``maybe`` tells whether ``col`` may be among theirs (surely not, if
     false): the other rows need no join with them.
     """
     mask = (1 << FILTER_BITS) - 1
-    more = df.select(F.explode(lists).alias("list")).groupBy("list").agg(F.count("*").alias("m")).where("m > 1")
     spark = df.sparkSession
-    bits = _bitmap(more, F.col("list").bitwiseAND(F.lit(mask)))
+    bits = _bitmap(wanted, F.col("list").bitwiseAND(F.lit(mask)))
     known = None if nodes is None else _bitmap(nodes, _address(col))
     held = spark.sparkContext.broadcast((bits, known))
     q = df.withColumn("_a", F.lit(0).cast("long") if nodes is None else _address(col))
