@@ -22,13 +22,15 @@ least (id, line number), rows without id last.
    its own), here rare words first by counts in a table of fixed size.  Lines of
    ``LONG`` words and more, of which chance would bring too many together, meet
    by 2 k + 2 pairs of adjacent words in the same way.  Lists of one class are
-   dropped; classes that steps 1 and 2 have not joined are compared in the others.
+   dropped.  First all classes of a list are compared with two members of each large
+   component (``LARGE``) in it, which joins most of what belongs to it; classes that
+   are still not joined are compared with each other.
 
 Steps 2 and 3 find every near pair that step 1 misses; with them the groups are
 exact, which the tests hold against brute force.  No list is put into one task
 whole: leaders and least members are summed map-side, and joins on a list's key may
 be split.  Members of one component are not paired: the classes of large ones
-(``LARGE``) are kept apart from the others, and meet those only.
+are kept apart from the others, and meet those only.
 
 Null and empty texts have no lines.  Documents are told apart by id and text, so rows
 that repeat both are one document and keep the same lines; null ids are allowed.
@@ -45,7 +47,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import cut, passing, shared_lists, stored, text_key
+from .shared import cut, in_lists, passing, shared_lists, shuffles_deleted, stored, text_key
 from .text import NOT_ALNUM, batches_of, mix, segments, words
 
 SIMILARITY = 0.8
@@ -58,6 +60,8 @@ LEVEL_BITS, ONCE = 21, 6
 LONG, LEAST_FOR_PAIRS = 50, 0.6
 #: Classes of a component that is kept apart.
 LARGE = 64
+#: Parts of the lists of rare words that are joined one after the other: only one lies on disk.
+ROUNDS = 1
 #: Word parities of a line: bits of so many longs.
 PARITIES = ("par", "par2", "par3", "par4")
 #: What tells classes apart.
@@ -284,8 +288,9 @@ def word_levels(docs: DataFrame, text_col: str) -> np.ndarray:
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["at", "n"])
 
-    rows = (docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(one, "at int, n long")
-            .groupBy("at").agg(F.least(F.floor(F.log2(F.sum("n") + 1) * 6), F.lit(255)).cast("short").alias("level")).toArrow())
+    with shuffles_deleted(docs.sparkSession):
+        rows = (docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(one, "at int, n long")
+                .groupBy("at").agg(F.least(F.floor(F.log2(F.sum("n") + 1) * 6), F.lit(255)).cast("short").alias("level")).toArrow())
     levels = np.zeros(1 << LEVEL_BITS, np.uint8)
     levels[rows.column(0).to_numpy()] = rows.column(1).to_numpy()
     return levels
@@ -396,32 +401,76 @@ def one_word_apart(classes: DataFrame) -> DataFrame:
     return entries.join(least, "list").where("a < h").select("a", F.col("h").alias("b")).distinct()
 
 
+def _large(roots: DataFrame) -> DataFrame:
+    """(large): the roots of large components."""
+    return cut(roots.groupBy("root").agg(F.count("*").alias("size")).where(F.col("size") >= LARGE).select(F.col("root").alias("large")))
+
+
+def _met(a: DataFrame, b: DataFrame, similarity: float, *more: Column) -> DataFrame:
+    """Pairs (a, b) of entries of one list that are of different roots, as lengths and word parities allow."""
+    ok = (F.col("list_a") == F.col("list_b")) & (F.col("h_a") != F.col("h_b")) & (F.greatest("n_a", "n_b") >= _one_edit(similarity)[1])
+    for x in (*more, F.coalesce(F.col("root_a") != F.col("root_b"), F.lit(True)), _possible(similarity)):
+        ok = ok & x
+    return _pairs(_suffixed(a, "_a").join(_suffixed(b, "_b"), ok))
+
+
+def large_component_pairs(classes: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
+    """Candidates (a, b) of different roots: the classes of a list of rare words that holds a large
+    component, with the two of its members there that have the least and the greatest id."""
+    shape = ["h", "n", *PARITIES]
+    large = _large(roots)
+    if large.isEmpty():
+        return roots.where("false").select(F.col("node").alias("a"), F.col("node").alias("b"))
+    members = cut(roots.join(large, F.col("root") == F.col("large")).select(F.col("node").alias("h"), "root"))
+    many = cut(passing(classes.select(*shape, "pre"), members, "h").join(members, "h").select(F.explode("pre").alias("list"), *shape, "root"))
+    ends = many.groupBy("list", "root").agg(F.min(F.struct(*shape)).alias("x"), F.max(F.struct(*shape)).alias("y"))
+    lead = ends.select("list", F.explode(F.array_distinct(F.array("x", "y"))).alias("x"), "root").select("list", "x.*", "root")
+    beside = in_lists(classes.select(*shape, "pre"), "pre", many, roots.select(F.col("node").alias("h")))
+    beside = cut(beside.select(F.explode("pre").alias("list"), *shape, "maybe"))
+    known = beside.where("maybe").join(roots, F.col("h") == F.col("node"), "left").select("list", *shape, "root")
+    beside = known.unionByName(beside.where("not maybe").select("list", *shape, F.lit(None).cast("long").alias("root")))
+    return _met(lead, beside, similarity)
+
+
 def rare_word_pairs(classes: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
     """Candidates (a, b) of different roots that share one of their rarest words."""
-    two = _one_edit(similarity)[1]
     shape = ["h", "n", *PARITIES]
-    large = roots.groupBy("root").agg(F.count("*").alias("size")).where(F.col("size") >= LARGE).select(F.col("root").alias("large"))
-    # Written once, so the sides of the joins below share what they read.
+    large = _large(roots)
+    # Written once, so the joins below share what they read.
     held = stored(shared_lists(classes.select(*shape, "pre"), "pre", roots.select(F.col("node").alias("h"))))
-    known = (held.where("maybe").join(roots, F.col("h") == F.col("node"), "left").join(large, F.col("root") == F.col("large"), "left")
-             .select(*shape, "pre", "root", F.col("large").isNotNull().alias("large")))
+    known = cut(held.where("maybe").join(roots, F.col("h") == F.col("node"), "left").join(large, F.col("root") == F.col("large"), "left")
+                .select(*shape, "pre", "root", F.col("large").isNotNull().alias("large")))
     # Classes that are linked with none have no root.
-    held = held.where("not maybe").select(*shape, "pre", F.lit(None).cast("long").alias("root"), F.lit(False).alias("large")).unionByName(cut(known))
-    marked = held.select(F.explode("pre").alias("list"), *shape, "root", "large")
-
-    def met(a: DataFrame, b: DataFrame, *more: Column) -> DataFrame:
-        # Every join asks the same of a side's rows, so they share the shuffle of the lists.
-        ok = (F.col("list_a") == F.col("list_b")) & (F.col("h_a") != F.col("h_b")) & (F.greatest("n_a", "n_b") >= two)
-        for x in (*more, F.coalesce(F.col("root_a") != F.col("root_b"), F.lit(True)), _possible(similarity)):
-            ok = ok & x
-        return _pairs(_suffixed(a, "_a").join(_suffixed(b, "_b"), ok))
-
-    few, many = marked.where("not large").drop("large"), cut(marked.where("large").drop("large"))
-    # Large components meet each other only in lists that hold two of them.
-    shared = many.groupBy("list").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("list")
-    both = many.join(shared, "list").select(many.columns)
+    few = held.where("not maybe").select(*shape, "pre", F.lit(None).cast("long").alias("root")).unionByName(known.where("not large").drop("large"))
+    entries = lambda q: q.select(F.explode("pre").alias("list"), *shape, "root")
     order = F.col("h_a") < F.col("h_b")
-    return met(few, few, order).unionByName(met(many, few)).unionByName(met(both, both, order))
+    found = []
+    for k in range(ROUNDS):
+        part = entries(few).where(F.pmod("list", F.lit(ROUNDS)) == k)
+        found.append(cut(_met(part, part, similarity, order)))
+    if not large.isEmpty():
+        many = cut(entries(known.where("large")))
+        beside = cut(entries(in_lists(few, "pre", many)))
+        found.append(cut(_met(many, beside, similarity)))
+        # Large components meet each other only in lists that hold two of them.
+        shared = many.groupBy("list").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("list")
+        both = many.join(shared, "list").select(many.columns)
+        found.append(_met(both, both, similarity, order))
+    pairs = found[0]
+    for q in found[1:]:
+        pairs = pairs.unionByName(q)
+    return pairs.distinct()
+
+
+def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """``roots`` (node, root) after further ``links`` (a, b)."""
+    r = lambda s: _suffixed(roots, s)
+    links = (links.join(r("_1"), F.col("a") == F.col("node_1"), "left").join(r("_2"), F.col("b") == F.col("node_2"), "left")
+             .select(F.coalesce("root_1", "a").alias("a"), F.coalesce("root_2", "b").alias("b")))
+    top = components(links)
+    return (roots.withColumnRenamed("root", "r").join(top.withColumnsRenamed({"node": "_n"}), F.col("r") == F.col("_n"), "left")
+            .select("node", F.coalesce("root", "r").alias("root"))
+            .unionByName(top.join(roots.select("node"), "node", "left_anti")))
 
 
 def line_groups(docs: DataFrame, *, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -437,18 +486,12 @@ def line_groups(docs: DataFrame, *, similarity: float = SIMILARITY, id_col: str
     if similarity < 1:
         links = _near(cut(_likely(cut(simhash_pairs(classes)), classes, similarity)), docs, classes, similarity, id_col, text_col)
         roots = cut(components(cut(links.unionByName(one_word_apart(classes)))))
-        more = _near(cut(rare_word_pairs(classes, roots, similarity)), docs, classes, similarity, id_col, text_col)
-        r = lambda s: _suffixed(roots, s)
-        more = (more.join(r("_1"), F.col("a") == F.col("node_1"), "left").join(r("_2"), F.col("b") == F.col("node_2"), "left")
-                .select(F.coalesce("root_1", "a").alias("a"), F.coalesce("root_2", "b").alias("b")))
-        top = components(more)
-        roots = (roots.withColumnRenamed("root", "r").join(top.withColumnsRenamed({"node": "_n"}), F.col("r") == F.col("_n"), "left")
-                 .select("node", F.coalesce("root", "r").alias("root"))
-                 .unionByName(top.join(roots.select("node"), "node", "left_anti")))
+        for candidates in (large_component_pairs, rare_word_pairs):
+            more = _near(cut(candidates(classes, roots, similarity)), docs, classes, similarity, id_col, text_col)
+            roots = cut(_joined(roots, more))
     else:
         roots = classes.where("false").select(F.col("h").alias("node"), F.col("h").alias("root"))
     slim = classes.select(*CLASS, F.struct(*place).alias("first"), "c")
-    roots = cut(roots)
     near = cut(passing(slim, roots.select(F.col("node").alias("h")), "h").join(roots, F.col("h") == F.col("node")).drop("node", "c"))
     keep = near.groupBy("root").agg(F.min("first").alias("keep"))
     near = near.join(keep, "root").select(*CLASS, "root", "keep")

@@ -154,3 +154,22 @@ def test_edit_similarity_alone_decides(spark):
     got = dropped(spark, docs)
     assert got == brute.dropped_lines(docs, 0.8)
     assert len(got) >= 50
+
+
+def test_classes_of_large_components_are_not_all_paired(spark, monkeypatch):
+    """Two large components of near lines, which no SimHash list joins, meet by few of their members."""
+    rng = random.Random(3)
+    base = [f"w{k}" for k in range(40)]
+    docs = []
+    for k in range(100):
+        x = list(base)
+        x[rng.randrange(40)] = f"v{k}"
+        docs.append((k, " ".join(x + ["more"] * (k % 2))))
+    monkeypatch.setattr(L, "LARGE", 8)
+    monkeypatch.setattr(L, "simhash_pairs", lambda classes: classes.join(classes.groupBy("n").agg(F.min("h").alias("a")), "n")
+                        .where("a < h").selectExpr("a", "h b"))
+    found, old = [], L.rare_word_pairs
+    monkeypatch.setattr(L, "rare_word_pairs", lambda *a: (found.append(old(*a).count()), old(*a))[1])
+    got = dropped(spark, docs)
+    assert got == {k: [0] for k in range(1, 100)}
+    assert found == [0]
