@@ -61,7 +61,7 @@ LONG, LEAST_FOR_PAIRS = 50, 0.6
 #: Classes of a component that is kept apart.
 LARGE = 64
 #: Parts of the lists of rare words that are joined one after the other: only one lies on disk.
-ROUNDS = 1
+ROUNDS = 2
 #: Word parities of a line: bits of so many longs.
 PARITIES = ("par", "par2", "par3", "par4")
 #: What tells classes apart.
