@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shared import cut
-from .text import NOT_ALNUM
+from .text import NOT_ALNUM, pieces
 
 WINDOW = 10
 BLOCK_WORDS = 200_000
@@ -169,7 +169,7 @@ def scan(docs: DataFrame, items: DataFrame, *, window: int = WINDOW, id_col: str
     def step(df: DataFrame, shared) -> DataFrame:
         def one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             m = _matcher(shared.value, window)
-            for batch in batches:
+            for batch in pieces(batches):
                 n, n_hit, masks, hits = [], [], [], []
                 for text, old, has in zip(*(batch.column(c).to_pylist() for c in (1, 4, 5))):
                     words = normal_words(text)
@@ -202,7 +202,7 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, *, window: int = WINDOW
     def step(df: DataFrame, shared) -> DataFrame:
         def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             m = _matcher(shared.value, window)
-            for batch in batches:
+            for batch in pieces(batches):
                 yield batch.filter(pa.array([not m.find(normal_words(t))
                                              for t in batch.column(at).to_pylist()], pa.bool_()))
 

@@ -48,7 +48,7 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .shared import cut, in_lists, passing, shared_lists, shuffles_deleted, stored, text_key
-from .text import NOT_ALNUM, batches_of, mix, segments, words
+from .text import NOT_ALNUM, batches_of, mix, pieces, segments, words
 
 SIMILARITY = 0.8
 #: SimHash blocks, and bits of each.
@@ -284,7 +284,7 @@ def word_levels(docs: DataFrame, text_col: str) -> np.ndarray:
         total = np.zeros(1 << LEVEL_BITS, np.int64)
         for batch in batches:
             for _, data, off in batches_of(batch, "text"):
-                total += np.bincount((words(data, off, NOT_ALNUM).hash >> np.uint64(64 - LEVEL_BITS)).astype(np.int64), minlength=1 << LEVEL_BITS)
+                np.add.at(total, (words(data, off, NOT_ALNUM).hash >> np.uint64(64 - LEVEL_BITS)).astype(np.int64), 1)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["at", "n"])
 
@@ -534,7 +534,7 @@ def dedup(docs: DataFrame, *, similarity: float = SIMILARITY, id_col: str = "doc
     count = cols.index(n_chars_col) if n_chars_col in cols else None
 
     def one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             out = list(batch.column(0).flatten())
             kinds = [f.type for f in batch.schema.field(0).type]
             old, lines = out[at].to_pylist(), batch.column(1).to_pylist()
@@ -560,7 +560,7 @@ def report(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", *
         ("n_lines", "long"), ("n_dropped", "long"), ("dropped", "string"), ("n_chars", "long"), ("text_sha256", "string"))]).schema
 
     def one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             old, lines = batch.column(1).to_pylist(), [x or [] for x in batch.column(2).to_pylist()]
             new = [without_lines(t, set(g)) or "" for t, g in zip(old, lines)]
             yield pa.RecordBatch.from_arrays([

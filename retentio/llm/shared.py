@@ -16,17 +16,23 @@ from ..session import ensure_checkpoint_dir, scratch_path
 
 #: With this setting Spark deletes a frame's shuffle files when its job has ended.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Bytes of a batch that goes to a Python worker; the JVM and the worker hold a few of them each.
+BATCH, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 2 << 20
 
 
 @contextmanager
 def shuffles_deleted(spark: SparkSession) -> Iterator[None]:
-    """Frames made in here leave no shuffle files behind: for frames that are run once."""
-    old = spark.conf.get(CLEANUP, None)
-    spark.conf.set(CLEANUP, "true")
+    """Frames run in here leave no shuffle files behind and send Python workers small batches:
+    for frames that are run once."""
+    settings = {CLEANUP: "true", BATCH: str(BATCH_BYTES)}
+    old = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        spark.conf.unset(CLEANUP) if old is None else spark.conf.set(CLEANUP, old)
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def cut(df: DataFrame) -> DataFrame:

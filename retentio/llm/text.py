@@ -13,7 +13,9 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
+#: Rows of a batch that are Python objects at a time.
+PIECE_ROWS = 256
 
 #: ASCII space, tab, newline, vertical tab, form feed, carriage return.
 WHITESPACE = bytes([0x20, *range(0x09, 0x0E)])
@@ -135,6 +137,13 @@ def batches_of(table: pa.RecordBatch, column: str, limit: int = SLICE_BYTES
         yield table.slice(i, j - i), data[off[i]:off[j]], off[i:j + 1] - off[i]
 
 
+def pieces(batches: Iterator[pa.RecordBatch], rows: int = PIECE_ROWS) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of ``rows`` rows, for code that makes Python objects of all texts of a batch."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def char_starts(raw: bytes) -> np.ndarray:
     """Byte offset of each code point, and the length."""
     b = np.frombuffer(raw, np.uint8)

@@ -35,6 +35,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .text import pieces
+
 THRESHOLD = 0.3
 #: Bounds of the training sample.
 MAX_TOXIC, MAX_CLEAN = 3_000, 4_500
@@ -299,7 +301,7 @@ def scan(docs: DataFrame, lexicon: Lexicon, *, id_col: str = "doc_id", text_col:
 
     def one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lex = shared.value
-        for batch in batches:
+        for batch in pieces(batches):
             texts = batch.column(1).to_pylist()
             hits = [[dict(zip(("start", "end", "term", "weight"), h)) for h in lex.matches(t)] for t in texts]
             yield pa.RecordBatch.from_arrays(
@@ -315,7 +317,7 @@ def drop_toxic(docs: DataFrame, lexicon: Lexicon, *, threshold: float = THRESHOL
     at = docs.columns.index(text_col)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             yield batch.filter(pa.array([shared.value.score(t) < threshold for t in batch.column(at).to_pylist()], pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)

@@ -2,9 +2,10 @@ import glob
 import os
 import time
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from retentio.llm import shared
+from retentio.llm import shared, text
 
 
 def shuffle_files(spark):
@@ -24,3 +25,24 @@ def test_written_frames_leave_no_shuffle_files(spark):
     assert not shuffle_files(spark) - before
     assert q.count() == cut.count() == stored.count() == 1000
     assert spark.conf.get(shared.CLEANUP) == "false"
+
+
+def test_python_workers_get_small_batches(spark):
+    """A worker of a written frame holds few bytes at a time, however many rows a task has."""
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], names=["n", "size"])
+
+    q = spark.range(0, 20_000, 1, 1).select(F.rpad(F.col("id").cast("string"), 1000, "x").alias("text")).mapInArrow(sizes, "n long, size long")
+    before = spark.conf.get(shared.BATCH)
+    for held in (shared.cut(q), shared.stored(q)):
+        got = held.agg(F.sum("n"), F.max("size")).first()
+        assert got[0] == 20_000 and got[1] < 1.25 * shared.BATCH_BYTES
+    assert spark.conf.get(shared.BATCH) == before
+
+
+def test_pieces_hold_all_rows_in_order():
+    batches = [pa.RecordBatch.from_arrays([pa.array(range(a, b), pa.int64())], names=["x"]) for a, b in ((0, 700), (700, 700), (700, 703))]
+    got = list(text.pieces(iter(batches), 256))
+    assert [b.num_rows for b in got] == [256, 256, 188, 3]
+    assert [x for b in got for x in b.column(0).to_pylist()] == list(range(703))
