@@ -62,6 +62,8 @@ LONG, LEAST_FOR_PAIRS = 50, 0.6
 LARGE = 64
 #: Parts of the lists of rare words that are joined one after the other: only one lies on disk.
 ROUNDS = 2
+#: The same for the lists of lines less one word, of which a class has as many as words.
+REST_ROUNDS = 4
 #: Word parities of a line: bits of so many longs.
 PARITIES = ("par", "par2", "par3", "par4")
 #: What tells classes apart.
@@ -396,9 +398,15 @@ def simhash_pairs(classes: DataFrame) -> DataFrame:
 
 def one_word_apart(classes: DataFrame) -> DataFrame:
     """Links (a, b) that join all classes which are equal but for one word, where that is allowed."""
-    entries = classes.select(F.explode("rest").alias("list"), "h")
-    least = entries.groupBy("list").agg(F.min("h").alias("a"), F.max("h").alias("z")).where("a < z").select("list", "a")
-    return entries.join(least, "list").where("a < h").select("a", F.col("h").alias("b")).distinct()
+    found = []
+    for k in range(REST_ROUNDS):
+        entries = classes.select(F.explode("rest").alias("list"), "h").where(F.pmod("list", F.lit(REST_ROUNDS)) == k)
+        least = entries.groupBy("list").agg(F.min("h").alias("a"), F.max("h").alias("z")).where("a < z").select("list", "a")
+        found.append(cut(entries.join(least, "list").where("a < h").select("a", F.col("h").alias("b")).distinct()))
+    links = found[0]
+    for q in found[1:]:
+        links = links.unionByName(q)
+    return links.distinct()
 
 
 def _large(roots: DataFrame) -> DataFrame:
@@ -425,11 +433,11 @@ def large_component_pairs(classes: DataFrame, roots: DataFrame, similarity: floa
     many = cut(passing(classes.select(*shape, "pre"), members, "h").join(members, "h").select(F.explode("pre").alias("list"), *shape, "root"))
     ends = many.groupBy("list", "root").agg(F.min(F.struct(*shape)).alias("x"), F.max(F.struct(*shape)).alias("y"))
     lead = ends.select("list", F.explode(F.array_distinct(F.array("x", "y"))).alias("x"), "root").select("list", "x.*", "root")
-    beside = in_lists(classes.select(*shape, "pre"), "pre", many, roots.select(F.col("node").alias("h")))
-    beside = cut(beside.select(F.explode("pre").alias("list"), *shape, "maybe"))
-    known = beside.where("maybe").join(roots, F.col("h") == F.col("node"), "left").select("list", *shape, "root")
-    beside = known.unionByName(beside.where("not maybe").select("list", *shape, F.lit(None).cast("long").alias("root")))
-    return _met(lead, beside, similarity)
+    beside = cut(in_lists(classes.select(*shape, "pre"), "pre", many, roots.select(F.col("node").alias("h"))))
+    # A class gets its root once, not in every list.
+    known = beside.where("maybe").join(roots, F.col("h") == F.col("node"), "left").select(*shape, "pre", "root")
+    beside = known.unionByName(beside.where("not maybe").select(*shape, "pre", F.lit(None).cast("long").alias("root")))
+    return _met(lead, beside.select(F.explode("pre").alias("list"), *shape, "root"), similarity)
 
 
 def rare_word_pairs(classes: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:

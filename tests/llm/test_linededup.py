@@ -49,6 +49,32 @@ def test_large_components_are_compared_with_others(spark, monkeypatch):
     assert dropped(spark, docs) == want  # the exact lists alone find as much
 
 
+def test_a_class_gets_its_root_once(spark, monkeypatch):
+    """Classes are joined with the roots before they are dealt to their lists."""
+    monkeypatch.setattr(L, "LARGE", 2)
+    beside = []
+    met = L._met
+    monkeypatch.setattr(L, "_met", lambda a, b, *more: beside.append(b) or met(a, b, *more))
+    shape = [F.lit(0).cast("long").alias(c) for c in L.PARITIES]
+    classes = spark.range(6).select(F.col("id").alias("h"), F.lit(20).alias("n"), *shape, F.expr("array(1, 2, 3, 100 + int(id))").alias("pre"))
+    roots = spark.createDataFrame([(0, 0), (1, 0), (2, 2), (3, 2)], "node long, root long")
+    got = {(r.a, r.b) for r in L.large_component_pairs(classes, roots, 0.8).collect()}
+    assert got == {(a, b) for a in range(4) for b in range(a + 1, 6) if a // 2 != b // 2}
+    plan = beside[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate") < plan.index("Join")
+
+
+def test_lines_less_one_word_are_joined_in_parts(spark, monkeypatch):
+    """Each part is written, and its shuffle files deleted, before the next; together they have all links."""
+    parts = []
+    cut = L.cut
+    monkeypatch.setattr(L, "cut", lambda df: parts.append(cut(df)) or parts[-1])
+    classes = spark.createDataFrame([(1, [-5, 6, 7]), (2, [-5, 8]), (3, [8, 9]), (4, [6, 11]), (5, [12])], "h long, rest array<long>")
+    got = sorted((r.a, r.b) for r in L.one_word_apart(classes).collect())
+    assert got == [(1, 2), (1, 4), (2, 3)]
+    assert len(parts) == L.REST_ROUNDS and sum(x.count() for x in parts) == 3
+
+
 def test_simhash_is_a_weighted_majority():
     rng = random.Random(1)
     line = " ".join("".join(rng.choice("abc") for _ in range(rng.randint(1, 12))) for _ in range(400))
