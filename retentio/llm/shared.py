@@ -72,14 +72,27 @@ def text_key(id_col: str, text_col: str):
     return F.xxhash64(F.col(id_col), F.col(text_col).cast("string"))
 
 
-def _bitmap(ids: DataFrame, at) -> np.ndarray:
-    """Bits at the addresses ``at`` (below 2 ** FILTER_BITS) of all rows, summed in Spark."""
+def _bitmap(ids: DataFrame, at) -> tuple[np.ndarray | None, np.ndarray]:
+    """Bits at the addresses ``at`` (below 2 ** FILTER_BITS) of all rows, summed in Spark, for ``_bits``.
+
+    Broadcast values lie on the disk of the driver and of every executor, so a bitmap of few bits is
+    kept as the words that hold them and their places.
+    """
     with shuffles_deleted(ids.sparkSession):
         words = (ids.select(at.cast("long").alias("h")).where("h is not null")
                  .select(F.shiftright("h", 6).alias("w"), F.col("h").bitwiseAND(F.lit(63)).cast("int").alias("k"))
                  .groupBy("w").agg(F.bit_or(F.expr("shiftleft(1L, k)")).alias("v")).toArrow())
+    few = words.column(0).to_numpy().astype(np.int32), words.column(1).to_numpy()
+    return few if 12 * len(few[0]) < 1 << (FILTER_BITS - 3) else (None, _bits(few))
+
+
+def _bits(kept: tuple[np.ndarray | None, np.ndarray]) -> np.ndarray:
+    """The whole bitmap."""
+    at, words = kept
+    if at is None:
+        return words
     bits = np.zeros(1 << (FILTER_BITS - 6), np.int64)
-    bits[words.column(0).to_numpy()] = words.column(1).to_numpy()
+    bits[at] = words
     return bits
 
 
@@ -105,7 +118,7 @@ def passing(df: DataFrame, ids: DataFrame, col: str, *, once: bool = False) -> D
     schema = q.schema
 
     def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, seen = shared.value, set()
+        table, seen = _bits(shared.value), set()
         for batch in batches:
             ok = _held(table, batch.column(batch.num_columns - 2).to_numpy())
             if once:
@@ -145,7 +158,7 @@ def in_lists(df: DataFrame, lists: str, wanted: DataFrame, nodes: DataFrame | No
     at = df.columns.index(lists)
 
     def one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, known = held.value
+        bits, known = (None if x is None else _bits(x) for x in held.value)
         for batch in batches:
             column = batch.column(at)
             flat = column.flatten()
