@@ -46,7 +46,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .components import components
+from .components import least_of, settled
 from .shared import cut, in_lists, passing, shared_lists, shuffles_deleted, stored, text_key
 from .text import NOT_ALNUM, batches_of, mix, pieces, segments, words
 
@@ -66,6 +66,8 @@ ROUNDS = 2
 REST_ROUNDS = 4
 #: Word parities of a line: bits of so many longs.
 PARITIES = ("par", "par2", "par3", "par4")
+#: Rounds of the components that only tell which classes need not be compared any more.
+EARLY_ROUNDS = 2
 #: What tells classes apart.
 CLASS = ("h", "n", "par")
 
@@ -207,9 +209,10 @@ class Lines:
                 where.append(of_line[use])
                 token.append(_in_class(t[use], low[of_line[use]] + k))
         token, where = np.concatenate(token), np.concatenate(where)
-        order = np.argsort(where, kind="stable")
-        off = np.concatenate(([0], np.cumsum(np.bincount(where, minlength=len(n)))))
-        return pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), pa.array(token[order]))
+        # Ascending and once each, as ``_entries`` needs them.
+        both = np.unique(where.astype(np.int64) << 32 | token.astype(np.int64) + (1 << 31))
+        off = np.searchsorted(both, np.arange(len(n) + 1) << 32)
+        return pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), pa.array(((both & 0xFFFFFFFF) - (1 << 31)).astype(np.int32)))
 
     def simhashes(self) -> list[np.ndarray]:
         """The SimHash blocks of each line: bit by bit the weighted majority of its words' hashes."""
@@ -333,9 +336,10 @@ def _allowed(similarity: float) -> Column:
 
 
 def _possible(similarity: float) -> Column:
-    """Lengths and parities allow it: an edit changes the parity of two words at most."""
+    """Lengths and parities allow it: an edit changes the parity of two words at most, one that changes the length, of one."""
     odd = [F.bit_count(F.col(c + "_a").bitwiseXOR(F.col(c + "_b"))) for c in PARITIES]
-    return (F.abs(F.col("n_a") - F.col("n_b")) <= _allowed(similarity)) & (sum(odd[1:], odd[0]) <= 2 * _allowed(similarity))
+    longer = F.abs(F.col("n_a") - F.col("n_b"))
+    return (longer <= _allowed(similarity)) & (sum(odd[1:], odd[0]) <= 2 * _allowed(similarity) - longer)
 
 
 def _pairs(q: DataFrame) -> DataFrame:
@@ -414,10 +418,18 @@ def _large(roots: DataFrame) -> DataFrame:
     return cut(roots.groupBy("root").agg(F.count("*").alias("size")).where(F.col("size") >= LARGE).select(F.col("root").alias("large")))
 
 
+def _entries(q: DataFrame, *cols: str) -> DataFrame:
+    """Entries (list, below, cols) of the lists ``pre``, ascending; ``below`` has the row's lists before this one."""
+    return q.select(F.posexplode("pre").alias("_at", "list"), *cols, "pre").select("list", F.slice("pre", F.lit(1), F.col("_at")).alias("below"), *cols)
+
+
 def _met(a: DataFrame, b: DataFrame, similarity: float, *more: Column) -> DataFrame:
-    """Pairs (a, b) of entries of one list that are of different roots, as lengths and word parities allow."""
+    """Pairs (a, b) of entries of one list that are of different roots, as lengths and word parities allow.
+
+    Two classes meet in the first list that both have, so the join makes one row of a pair, not one a list.
+    """
     ok = (F.col("list_a") == F.col("list_b")) & (F.col("h_a") != F.col("h_b")) & (F.greatest("n_a", "n_b") >= _one_edit(similarity)[1])
-    for x in (*more, F.coalesce(F.col("root_a") != F.col("root_b"), F.lit(True)), _possible(similarity)):
+    for x in (*more, F.coalesce(F.col("root_a") != F.col("root_b"), F.lit(True)), _possible(similarity), ~F.arrays_overlap("below_a", "below_b")):
         ok = ok & x
     return _pairs(_suffixed(a, "_a").join(_suffixed(b, "_b"), ok))
 
@@ -433,11 +445,13 @@ def large_component_pairs(classes: DataFrame, roots: DataFrame, similarity: floa
     many = cut(passing(classes.select(*shape, "pre"), members, "h").join(members, "h").select(F.explode("pre").alias("list"), *shape, "root"))
     ends = many.groupBy("list", "root").agg(F.min(F.struct(*shape)).alias("x"), F.max(F.struct(*shape)).alias("y"))
     lead = ends.select("list", F.explode(F.array_distinct(F.array("x", "y"))).alias("x"), "root").select("list", "x.*", "root")
+    # Of each leader the lists that it leads.
+    lead = lead.groupBy(*shape, "root").agg(F.array_sort(F.collect_set("list")).alias("pre"))
     beside = cut(in_lists(classes.select(*shape, "pre"), "pre", many, roots.select(F.col("node").alias("h"))))
     # A class gets its root once, not in every list.
     known = beside.where("maybe").join(roots, F.col("h") == F.col("node"), "left").select(*shape, "pre", "root")
     beside = known.unionByName(beside.where("not maybe").select(*shape, "pre", F.lit(None).cast("long").alias("root")))
-    return _met(lead, beside.select(F.explode("pre").alias("list"), *shape, "root"), similarity)
+    return _met(_entries(lead, *shape, "root"), _entries(beside, *shape, "root"), similarity)
 
 
 def rare_word_pairs(classes: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
@@ -450,7 +464,7 @@ def rare_word_pairs(classes: DataFrame, roots: DataFrame, similarity: float) ->
                 .select(*shape, "pre", "root", F.col("large").isNotNull().alias("large")))
     # Classes that are linked with none have no root.
     few = held.where("not maybe").select(*shape, "pre", F.lit(None).cast("long").alias("root")).unionByName(known.where("not large").drop("large"))
-    entries = lambda q: q.select(F.explode("pre").alias("list"), *shape, "root")
+    entries = lambda q: _entries(q, *shape, "root")
     order = F.col("h_a") < F.col("h_b")
     found = []
     for k in range(ROUNDS):
@@ -470,17 +484,6 @@ def rare_word_pairs(classes: DataFrame, roots: DataFrame, similarity: float) ->
     return pairs.distinct()
 
 
-def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
-    """``roots`` (node, root) after further ``links`` (a, b)."""
-    r = lambda s: _suffixed(roots, s)
-    links = (links.join(r("_1"), F.col("a") == F.col("node_1"), "left").join(r("_2"), F.col("b") == F.col("node_2"), "left")
-             .select(F.coalesce("root_1", "a").alias("a"), F.coalesce("root_2", "b").alias("b")))
-    top = components(links)
-    return (roots.withColumnRenamed("root", "r").join(top.withColumnsRenamed({"node": "_n"}), F.col("r") == F.col("_n"), "left")
-            .select("node", F.coalesce("root", "r").alias("root"))
-            .unionByName(top.join(roots.select("node"), "node", "left_anti")))
-
-
 def line_groups(docs: DataFrame, *, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """The lines (doc_id, key, line, h, n, par), and of each class that occurs more
     than once or is near another: (h, n, par, root, keep), ``keep`` being the
@@ -493,10 +496,11 @@ def line_groups(docs: DataFrame, *, similarity: float = SIMILARITY, id_col: str
     classes = stored(classes.select(*CLASS, *[F.col(f"x.{c}").alias(c) for c in place + held], "c"))
     if similarity < 1:
         links = _near(cut(_likely(cut(simhash_pairs(classes)), classes, similarity)), docs, classes, similarity, id_col, text_col)
-        roots = cut(components(cut(links.unionByName(one_word_apart(classes)))))
-        for candidates in (large_component_pairs, rare_word_pairs):
-            more = _near(cut(candidates(classes, roots, similarity)), docs, classes, similarity, id_col, text_col)
-            roots = cut(_joined(roots, more))
+        links = settled(links.unionByName(one_word_apart(classes)), EARLY_ROUNDS)
+        for candidates, rounds in ((large_component_pairs, EARLY_ROUNDS), (rare_word_pairs, None)):
+            more = _near(cut(candidates(classes, cut(least_of(links)), similarity)), docs, classes, similarity, id_col, text_col)
+            links = settled(links.unionByName(more), rounds)
+        roots = cut(least_of(links))
     else:
         roots = classes.where("false").select(F.col("h").alias("node"), F.col("h").alias("root"))
     slim = classes.select(*CLASS, F.struct(*place).alias("first"), "c")

@@ -199,3 +199,34 @@ def test_classes_of_large_components_are_not_all_paired(spark, monkeypatch):
     got = dropped(spark, docs)
     assert got == {k: [0] for k in range(1, 100)}
     assert found == [0]
+
+
+def test_classes_that_share_many_lists_meet_once(spark, monkeypatch):
+    """The join of the lists makes one row of a pair, in the first list that both have, whatever they share."""
+    shape = [F.lit(0).cast("long").alias(c) for c in L.PARITIES]
+    pre = F.expr("if(id < 4, array(-7, 1, 2, 3, 4), array(3, 4, 90 + int(id)))").alias("pre")
+    classes = spark.range(6).select(F.col("id").alias("h"), F.lit(20).alias("n"), *shape, pre, F.lit(None).cast("long").alias("root"))
+    entries = L._entries(classes, "h", "n", *L.PARITIES, "root")
+    monkeypatch.setattr(L, "_pairs", lambda q: q)
+    got = sorted((r.h_a, r.h_b, r.list_a) for r in L._met(entries, entries, 0.8, F.col("h_a") < F.col("h_b")).collect())
+    assert got == [(a, b, -7 if b < 4 else 3) for a in range(6) for b in range(a + 1, 6)]
+
+
+def test_lengths_tighten_the_parity_bound(spark):
+    """Of lines that differ by d words, d edits change one parity each: one more differing pair is ruled out, real ones stay."""
+    rng = random.Random(3)
+    rows = []
+    for _ in range(200):
+        x = [f"w{rng.randrange(300)}" for _ in range(rng.randint(10, 60))]
+        y = list(x)
+        for _ in range(rng.randint(0, L.edits(len(x), 0.8))):
+            at = rng.randrange(len(y))
+            y[at:at + 1] = rng.choice([["v%d" % rng.randrange(300)], [], [y[at], "v"]])
+        if brute.edit_distance(x, y) <= L.edits(max(len(x), len(y)), 0.8):
+            lines = L.Lines(*utf8(pa.array([" ".join(x), " ".join(y)])))
+            p = [v.tolist() for v in lines.parities()]
+            rows.append((len(x), len(y), *[v[0] for v in p], *[v[1] for v in p]))
+    cols = ["n_a", "n_b"] + [c + s for s in ("_a", "_b") for c in L.PARITIES]
+    assert spark.createDataFrame(rows, cols).where(~L._possible(0.8)).count() == 0
+    far = spark.createDataFrame([(20, 24, (1 << 5) - 1, 0, 0, 0, 0, 0, 0, 0)], cols)  # 5 odd kinds may come from 4 words more and an edit less
+    assert far.where(L._possible(0.8)).count() == 0
