@@ -60,6 +60,8 @@ LEVEL_BITS, ONCE = 21, 6
 LONG, LEAST_FOR_PAIRS = 50, 0.6
 #: Classes of a component that is kept apart.
 LARGE = 64
+#: Lists that a member of a large component leads; those it leads besides are left to the full comparison.
+LED = 8
 #: Parts of the lists of rare words that are joined one after the other: only one lies on disk.
 ROUNDS = 2
 #: The same for the lists of lines less one word, of which a class has as many as words.
@@ -426,17 +428,20 @@ def _entries(q: DataFrame, *cols: str) -> DataFrame:
 def _met(a: DataFrame, b: DataFrame, similarity: float, *more: Column) -> DataFrame:
     """Pairs (a, b) of entries of one list that are of different roots, as lengths and word parities allow.
 
-    Two classes meet in the first list that both have, so the join makes one row of a pair, not one a list.
+    Where the entries have ``below``, two classes meet in the first list that both have, so the join
+    makes one row of a pair, not one a list.
     """
     ok = (F.col("list_a") == F.col("list_b")) & (F.col("h_a") != F.col("h_b")) & (F.greatest("n_a", "n_b") >= _one_edit(similarity)[1])
-    for x in (*more, F.coalesce(F.col("root_a") != F.col("root_b"), F.lit(True)), _possible(similarity), ~F.arrays_overlap("below_a", "below_b")):
+    once = [~F.arrays_overlap("below_a", "below_b")] if "below" in a.columns else []
+    for x in (*more, F.coalesce(F.col("root_a") != F.col("root_b"), F.lit(True)), _possible(similarity), *once):
         ok = ok & x
     return _pairs(_suffixed(a, "_a").join(_suffixed(b, "_b"), ok))
 
 
 def large_component_pairs(classes: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
     """Candidates (a, b) of different roots: the classes of a list of rare words that holds a large
-    component, with the two of its members there that have the least and the greatest id."""
+    component, with the two of its members there that have the least and the greatest id, in ``LED`` lists
+    of each; what they leave apart is compared in full by ``rare_word_pairs``."""
     shape = ["h", "n", *PARITIES]
     large = _large(roots)
     if large.isEmpty():
@@ -445,13 +450,14 @@ def large_component_pairs(classes: DataFrame, roots: DataFrame, similarity: floa
     many = cut(passing(classes.select(*shape, "pre"), members, "h").join(members, "h").select(F.explode("pre").alias("list"), *shape, "root"))
     ends = many.groupBy("list", "root").agg(F.min(F.struct(*shape)).alias("x"), F.max(F.struct(*shape)).alias("y"))
     lead = ends.select("list", F.explode(F.array_distinct(F.array("x", "y"))).alias("x"), "root").select("list", "x.*", "root")
-    # Of each leader the lists that it leads.
-    lead = lead.groupBy(*shape, "root").agg(F.array_sort(F.collect_set("list")).alias("pre"))
-    beside = cut(in_lists(classes.select(*shape, "pre"), "pre", many, roots.select(F.col("node").alias("h"))))
+    # A leader leads a few of its lists: near classes share more, and fewer entries meet the leaders.
+    lead = cut(lead.groupBy(*shape, "root").agg(F.array_sort(F.collect_set("list")).alias("pre"))
+               .select(F.explode(F.slice("pre", 1, LED)).alias("list"), *shape, "root"))
+    beside = cut(in_lists(classes.select(*shape, "pre"), "pre", lead, roots.select(F.col("node").alias("h"))))
     # A class gets its root once, not in every list.
     known = beside.where("maybe").join(roots, F.col("h") == F.col("node"), "left").select(*shape, "pre", "root")
     beside = known.unionByName(beside.where("not maybe").select(*shape, "pre", F.lit(None).cast("long").alias("root")))
-    return _met(_entries(lead, *shape, "root"), _entries(beside, *shape, "root"), similarity)
+    return _met(lead, beside.select(F.explode("pre").alias("list"), *shape, "root"), similarity)
 
 
 def rare_word_pairs(classes: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:

@@ -230,3 +230,14 @@ def test_lengths_tighten_the_parity_bound(spark):
     assert spark.createDataFrame(rows, cols).where(~L._possible(0.8)).count() == 0
     far = spark.createDataFrame([(20, 24, (1 << 5) - 1, 0, 0, 0, 0, 0, 0, 0)], cols)  # 5 odd kinds may come from 4 words more and an edit less
     assert far.where(L._possible(0.8)).count() == 0
+
+
+def test_leaders_lead_few_lists(spark, monkeypatch):
+    """However many lists a component's leaders are in, a class meets each of them in few; links are the same."""
+    shape = [F.lit(0).cast("long").alias(c) for c in L.PARITIES]
+    classes = spark.range(6).select(F.col("id").alias("h"), F.lit(20).alias("n"), *shape, F.sequence(F.lit(1), F.lit(40)).alias("pre"))
+    roots = spark.createDataFrame([(0, 0), (1, 0)], "node long, root long")
+    monkeypatch.setattr(L, "LARGE", 2)
+    monkeypatch.setattr(L, "_pairs", lambda q: q.select(F.col("h_a").alias("a"), F.col("h_b").alias("b")))
+    rows = [(r.a, r.b) for r in L.large_component_pairs(classes, roots, 0.8).collect()]
+    assert set(rows) == {(a, b) for a in (0, 1) for b in range(2, 6)} and len(rows) == 8 * L.LED
