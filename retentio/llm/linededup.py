@@ -474,7 +474,8 @@ def rare_word_pairs(classes: DataFrame, roots: DataFrame, similarity: float) ->
     order = F.col("h_a") < F.col("h_b")
     found = []
     for k in range(ROUNDS):
-        part = entries(few).where(F.pmod("list", F.lit(ROUNDS)) == k)
+        # Here most pairs share few lists, and the lists before would double what is shuffled.
+        part = few.select(F.explode("pre").alias("list"), *shape, "root").where(F.pmod("list", F.lit(ROUNDS)) == k)
         found.append(cut(_met(part, part, similarity, order)))
     if not large.isEmpty():
         many = cut(entries(known.where("large")))
